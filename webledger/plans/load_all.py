@@ -1,3 +1,4 @@
 """Import every query module so that each registers itself."""
 
 from webledger.plans import q_cost  # noqa: F401
+from webledger.plans import q_cache  # noqa: F401
