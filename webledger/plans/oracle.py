@@ -35,6 +35,8 @@ def with_views(body: str) -> str:
     if not seen:
         return body
     ctes = ",\n".join(f"{n} as (\n{VIEWS[n]}\n)" for n in seen)
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
