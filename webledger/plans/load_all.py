@@ -4,3 +4,4 @@ from webledger.plans import q_cost  # noqa: F401
 from webledger.plans import q_cache  # noqa: F401
 from webledger.plans import q_pool  # noqa: F401
 from webledger.plans import q_pages  # noqa: F401
+from webledger.plans import q_search  # noqa: F401
