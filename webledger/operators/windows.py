@@ -44,3 +44,46 @@ def running_sum(
 
 def minute_chunk(ts: str = "ts") -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(60_000_000)).cast("bigint")
+
+
+def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Global inclusive prefix aggregates over a total ``order``, skew-free.
+
+    ``values`` maps an output name to ("sum" | "max", column).  The rows are
+    range-partitioned by the full order (a hot key spans many partitions),
+    numbered inside each partition, and materialised once so that the
+    partition boundaries stay fixed.  Per-partition totals form a table with
+    one row per partition - bounded by the partition count, hence broadcast -
+    whose exclusive prefix is added to a window that runs inside one
+    partition.
+    """
+    spark = df.sparkSession
+    from webledger.session import cut_lineage
+
+    cols = {f"_v_{k}": c for k, (_, c) in values.items()}
+    s = df.withColumns(cols).orderBy(*order)
+    s = cut_lineage(s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    aggs = []
+    for k, (how, _) in values.items():
+        fn = F.sum if how == "sum" else F.max
+        aggs.append(fn(f"_v_{k}").alias(f"_p_{k}"))
+    parts = s.groupBy("_pid").agg(*aggs)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(
+        "_pid",
+        *[
+            (F.sum if how == "sum" else F.max)(f"_p_{k}").over(before).alias(f"_c_{k}")
+            for k, (how, _) in values.items()
+        ],
+    )
+    inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    out = s.join(F.broadcast(carry), "_pid")
+    for k, (how, _) in values.items():
+        if how == "sum":
+            expr = F.coalesce(F.col(f"_c_{k}"), F.lit(0)) + F.sum(f"_v_{k}").over(inside)
+        else:
+            expr = F.greatest(F.col(f"_c_{k}"), F.max(f"_v_{k}").over(inside))
+        out = out.withColumn(k, expr)
+    drop = ["_pid", "_mid"] + [f"_v_{k}" for k in values] + [f"_c_{k}" for k in values]
+    del spark
+    return out.drop(*drop)

@@ -151,3 +151,48 @@ def j2_compact_params(v):
                                 F.create_map().cast("map<string,string>")),
     }
     return payload.compact_params(r, fields).select("request_id", "params_json")
+
+
+_REPLAY_SQL = """
+with recursive ord as (
+  select request_id, url, coalesce(format, 'markdown') as format, ts, tool, estimated_credits as credits,
+    row_number() over (partition by url order by ts, request_id) as rn
+  from fetches),
+walk as (
+  select url, rn, request_id, false as hit, format as c_fmt, ts as c_ts, tool as c_tool, credits as c_credits,
+    'URL not cached' as reason
+  from ord where rn = 1
+  union all
+  select o.url, o.rn, o.request_id,
+    (o.ts <= w.c_ts + interval 24 hours and o.format = w.c_fmt) as hit,
+    case when o.ts <= w.c_ts + interval 24 hours and o.format = w.c_fmt then w.c_fmt else o.format end,
+    case when o.ts <= w.c_ts + interval 24 hours and o.format = w.c_fmt then w.c_ts else o.ts end,
+    case when o.ts <= w.c_ts + interval 24 hours and o.format = w.c_fmt then w.c_tool else o.tool end,
+    case when o.ts <= w.c_ts + interval 24 hours and o.format = w.c_fmt then w.c_credits else o.credits end,
+    case when o.ts > w.c_ts + interval 24 hours then 'Cache expired'
+         when o.format <> w.c_fmt then concat('Different format requested (cached: ', w.c_fmt, ', requested: ', o.format, ')')
+         else concat('Already scraped ', w.c_tool, ' at ', strftime(w.c_ts, '%Y-%m-%dT%H:%M:%S.%gZ'),
+                     ' (', w.c_credits, ' credits saved)') end
+  from walk w join ord o on o.url = w.url and o.rn = w.rn + 1)
+"""
+
+
+def replay_log(v):
+    return fetches(v).select("request_id", "url", "format", "ts", "tool",
+                             F.col("estimated_credits").alias("credits"))
+
+
+@query("k2_replay_cache", _REPLAY_SQL + "select request_id, hit, reason from walk")
+def k2_replay_cache(v):
+    from webledger.operators.replay import replay_cache
+
+    return replay_cache(replay_log(v))
+
+
+@query("k2_replay_summary", _REPLAY_SQL + """
+select count(*) filter (where hit) as hits, count(*) filter (where not hit) as misses, count(*) as requests from walk
+""")
+def k2_replay_summary(v):
+    from webledger.operators.replay import replay_cache, replay_summary
+
+    return replay_summary(replay_cache(replay_log(v)))
