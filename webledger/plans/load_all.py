@@ -6,3 +6,4 @@ from webledger.plans import q_pool  # noqa: F401
 from webledger.plans import q_pages  # noqa: F401
 from webledger.plans import q_search  # noqa: F401
 from webledger.plans import q_monitor  # noqa: F401
+from webledger.plans import q_stream  # noqa: F401
