@@ -109,7 +109,7 @@ def estimate_cost(df: DataFrame, enhanced: Column | None = None) -> DataFrame:
 
     crawl_limit = F.coalesce(F.col("limit"), F.lit(DEFAULT_CRAWL_LIMIT))
     crawl_cost = crawl_limit * base
-    # The reference works in IEEE doubles: ceil(15 * 0.2) is 4, not 3.
+    # The reference multiplies in IEEE doubles; do the same rather than in decimals.
     crawl_saving = F.greatest(
         F.lit(0), crawl_cost - F.ceil(crawl_limit.cast("double") * F.lit(0.2)).cast("bigint") - 1
     )

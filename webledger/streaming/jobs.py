@@ -110,9 +110,6 @@ def _iso(us: int) -> str:
 
 def _cache_fold(ttl_us: int):
     def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         entry = state.get if state.exists else None
         frames = [b for b in batches]
         if not frames:
@@ -134,24 +131,24 @@ def _cache_fold(ttl_us: int):
                 entry = (fmt, int(us), tool, int(credits))
             hits.append(hit)
             reasons.append(why)
+        # The entry is kept after it expires, as the reference's store keeps
+        # it: the next request then reads "Cache expired", not "not cached".
+        # State size is the number of distinct URLs, i.e. the cache itself.
         state.update(entry)
-        # Forget a URL once its entry can no longer be fresh.
-        state.setTimeoutTimestamp(int(entry[1] // 1000) + ttl_us // 1000 + 1)
         yield pd.DataFrame({"request_id": pdf["request_id"].astype("int64"), "url": key[0], "hit": hits,
                             "reason": reasons})
 
     return fold
 
 
-def stream_cache(log: DataFrame, ttl_hours: int = 24, watermark: str = "24 hours") -> DataFrame:
-    """K2 on a stream - per-URL state (format, time, tool, credits) with
-    event-time expiry; each micro-batch folds only its own rows per URL."""
+def stream_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
+    """K2 on a stream - per-URL state (format, time, tool, credits); each
+    micro-batch folds only its own rows per URL, in event-time order.  Files
+    are expected to arrive in time order."""
     ttl_us = ttl_hours * HOUR_US
-    df = log.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).withColumn(
-        "ts", F.col("ts").cast("timestamp")
-    ).withWatermark("ts", watermark)
+    df = log.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     return df.groupBy("url").applyInPandasWithState(
-        _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout
     )
 
 
