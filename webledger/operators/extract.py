@@ -35,7 +35,10 @@ def extract_distinct(
     """
     keyed = pages.withColumn("content_sha", content_hash(F.col(html)))
     distinct = keyed.groupBy("content_sha").agg(F.first(html).alias(html))
-    extracted = extractor(distinct).drop(html)
+    # The exchange materialises each extraction once: without it, codegen
+    # defers the projection into the join and re-evaluates it per match.  A
+    # sort-merge join on the hash reuses this partitioning.
+    extracted = extractor(distinct).drop(html).repartition("content_sha")
     return keyed.join(extracted, "content_sha")
 
 

@@ -156,8 +156,11 @@ def e10_scrape(v):
     reqs = v.requests.where(F.col("tool") == "scrape").select("request_id", "page_id", "format")
     wanted = reqs.select("page_id", "format").distinct()
     pages = v.table("pages").join(wanted, "page_id")
-    out = E.scrape(pages, F.array("format"))
-    return reqs.join(out.select("page_id", "format", "markdown", "json"), ["page_id", "format"]).select(
+    # Extract once per distinct (page, format); the exchange keeps codegen
+    # from re-running the extraction for every matching request.
+    out = E.scrape(pages, F.array("format")).select("page_id", "format", "markdown", "json")
+    out = out.repartition("page_id", "format")
+    return reqs.join(out, ["page_id", "format"]).select(
         "request_id", "format", "markdown", "json"
     )
 
