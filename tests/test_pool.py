@@ -62,8 +62,8 @@ def test_resolve_attempts_outcomes(spark):
 
 
 def test_mask_keys(spark):
-    k = _keys(spark, [(1, 0, "main", "fc-1234567890abcdef", 1, None, None, 0, "", False)])
-    assert pool.mask_keys(k).first().masked == "main: fc-12345...cdef (priority: 1, quota: auto)"
+    k = _keys(spark, [(1, 0, "main", "wk-1234567890abcdef", 1, None, None, 0, "", False)])
+    assert pool.mask_keys(k).first().masked == "main: wk-12345...cdef (priority: 1, quota: auto)"
 
 
 def test_refresh_quota_rules(spark):

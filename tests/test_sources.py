@@ -21,7 +21,7 @@ def test_read_files_and_parse(spark, tmp):
 
 
 def test_usage_ledger_and_missing_file(spark, tmp):
-    doc = {"keys": {"fc-1": {"key": "fc-1", "usedCredits": 3, "lastChecked": "2024-01-02T03:04:05.000Z",
+    doc = {"keys": {"wk-1": {"key": "wk-1", "usedCredits": 3, "lastChecked": "2024-01-02T03:04:05.000Z",
                              "remainingCredits": 7}}, "updatedAt": "x"}
     json.dump(doc, open(f"{tmp}/usage.json", "w"))
     r = tables.read_usage_ledger(spark, f"{tmp}/usage.json").first()
