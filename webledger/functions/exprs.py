@@ -23,3 +23,12 @@ def js_ceil_div(num: Column, den: int) -> Column:
 def iso_millis(ts: Column) -> Column:
     """``Date.toISOString`` form of a UTC timestamp."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since the epoch of a wall-clock timestamp, independent of
+    the session time zone (the captured tables load as ``TIMESTAMP_NTZ``)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))

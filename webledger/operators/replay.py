@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webledger.functions.exprs import iso_millis, num_text
+from webledger.functions.exprs import epoch_micros, iso_millis, num_text
 from webledger.operators.windows import prefix_scan
 from webledger.session import cut_lineage
 
@@ -36,7 +36,7 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     ttl = ttl_hours * HOUR_US
     base = log.select(
         "request_id", "url", F.coalesce("format", F.lit("markdown")).alias("fmt"), "ts", "tool", "credits",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+        epoch_micros(F.col("ts")).alias("us"),
     )
     order = ["url", "us", "request_id"]
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from webledger.functions.exprs import epoch_micros
+
 
 def running_sum(
     df: DataFrame,
@@ -43,7 +45,7 @@ def running_sum(
 
 
 def minute_chunk(ts: str = "ts") -> Column:
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(60_000_000)).cast("bigint")
+    return F.floor(epoch_micros(F.col(ts)) / F.lit(60_000_000)).cast("bigint")
 
 
 def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Column]]) -> DataFrame:

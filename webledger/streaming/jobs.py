@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from webledger.functions.exprs import epoch_micros
 from webledger.operators import cost
 
 HOUR_US = 3_600_000_000
@@ -72,11 +73,7 @@ def interact_sessions(requests: DataFrame, activity_ttl: int = INTERACT_ACTIVITY
     s = df.groupBy(F.session_window(ts, f"{activity_ttl} seconds").alias("s"), "account_id").agg(
         F.count(F.lit(1)).alias("n_events")
     )
-    secs = F.least(
-        (F.unix_micros(F.col("s.end").cast("timestamp")) - F.unix_micros(F.col("s.start").cast("timestamp")))
-        / F.lit(1_000_000),
-        F.lit(ttl),
-    )
+    secs = F.least(F.timestamp_diff("MICROSECOND", F.col("s.start"), F.col("s.end")) / F.lit(1_000_000), F.lit(ttl))
     return s.select(
         "account_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events",
         F.ceil(secs).cast("bigint").alias("billed_seconds"),
@@ -146,7 +143,7 @@ def stream_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     micro-batch folds only its own rows per URL, in event-time order.  Files
     are expected to arrive in time order."""
     ttl_us = ttl_hours * HOUR_US
-    df = log.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    df = log.withColumn("us", epoch_micros(F.col("ts")))
     return df.groupBy("url").applyInPandasWithState(
         _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout
     )
