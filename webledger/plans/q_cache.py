@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from webledger.operators import cache, payload
+from webledger.operators import cost as cost_ops
 from webledger.plans.oracle import view
 from webledger.plans.q_cost import fetches
 from webledger.plans.registry import query
@@ -196,3 +197,57 @@ def k2_replay_summary(v):
     from webledger.operators.replay import replay_cache, replay_summary
 
     return replay_summary(replay_cache(replay_log(v)))
+
+
+_ROUTE = """case
+  when contains(lower(goal), 'all pages') or contains(lower(goal), 'every page') or contains(lower(goal), 'site map')
+       or contains(lower(goal), 'list all urls') then 'map'
+  when contains(lower(goal), 'search') or contains(lower(goal), 'find') or contains(lower(goal), 'discover')
+       or contains(lower(goal), 'look for') then 'search'
+  when contains(lower(goal), 'monitor') or contains(lower(goal), 'watch') or contains(lower(goal), 'notify')
+       or contains(lower(goal), 'alert') or contains(lower(goal), 'track changes') then 'monitor_create'
+  when contains(lower(goal), 'pdf') or contains(lower(goal), 'docx') or contains(lower(goal), 'xlsx')
+       or contains(lower(goal), 'local file') or contains(lower(goal), 'upload') then 'parse'
+  else 'scrape' end"""
+
+
+@query("c4_plan_goals_cached", f"""
+select g.goal_id, {_ROUTE} as recommended_tool,
+  case when p.url is null then null
+       when c.url is null or timestamp '{SPLIT}' > c.cached_at + interval 24 hours or c.format <> 'markdown' then false
+       else true end as skip,
+  case when p.url is null then null
+       when c.url is null then 'URL not cached'
+       when timestamp '{SPLIT}' > c.cached_at + interval 24 hours then 'Cache expired'
+       when c.format <> 'markdown' then concat('Different format requested (cached: ', c.format, ', requested: markdown)')
+       else concat('Already scraped ', c.tool, ' at ', strftime(c.cached_at, '%Y-%m-%dT%H:%M:%S.%gZ'),
+                   ' (', c.credits, ' credits saved)') end as cache_reason
+from goals g left join pages p on p.page_id = g.goal_id left join cache_v1 c on c.url = p.url
+""")
+def c4_plan_goals_cached(v):
+    """C4 with the cache verdict: each goal's URL (the captured page with the
+    goal's id) is checked against the cache as of the split instant."""
+    pages = v.table("pages").select(F.col("page_id").alias("goal_id"), "url")
+    probes = v.goals.join(pages, "goal_id").select("goal_id", "url", F.lit("markdown").alias("format"))
+    status = cache.cache_lookup(probes, cache_first_half(v), as_of=_split()).select("goal_id", "skip", "cache_reason")
+    return cost_ops.plan_goals(v.goals, status).select("goal_id", "recommended_tool", "skip", "cache_reason")
+
+
+@query("c7_set_budget", """
+select account_id, case when plan = 'BUILDING' then greatest(monthly_budget, 0) + 500 else monthly_budget end
+  as monthly_budget
+from accounts
+""")
+def c7_set_budget(v):
+    acc = v.accounts
+    updates = acc.where(F.col("plan") == "BUILDING").select(
+        "account_id", (F.greatest(F.col("monthly_budget"), F.lit(0)) + 500).alias("monthly_budget"))
+    return cost_ops.set_budget(acc, updates).select("account_id", "monthly_budget")
+
+
+@query("s1_read_captures", "select page_id, url, length(html) as html_chars from pages")
+def s1_read_captures(v):
+    from webledger.sources.tables import read_captures
+
+    pages = read_captures(v.spark, f"{v.sf_dir.rstrip('/')}/pages.parquet")
+    return pages.select("page_id", "url", F.length("html").alias("html_chars"))
