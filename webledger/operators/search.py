@@ -1,9 +1,9 @@
 """Ranked retrieval over captured text and document handling.
 
 BM25 is computed without exploding whole documents through a shuffle:
-document length is an expression on the row, tokens are exploded and kept
-only when they are query terms (a broadcast semi join behind a size check),
-and only (doc, term) counts move across the network.
+document length is an expression on the row, tokens leave the row only when
+they are query terms (an in-row hash-set filter, or a broadcast join behind
+a size check), and only (doc, term) counts move across the network.
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions import html as H
+from webledger.session import cut_lineage
 
 TOKEN_SPLIT = r"[^\p{L}0-9]+"
 K1 = 1.2
 B = 0.75
-BROADCAST_TERMS_MAX = 2_000_000  # distinct query terms; above this the semi join shuffles
+INLINE_TERMS_MAX = 50_000  # distinct query terms filtered in-row by a hash set
+BROADCAST_TERMS_MAX = 2_000_000  # above this the term join shuffles
+SENTINEL = ""  # never a token: tokens are non-empty
 
 
 def tokens(text: Column) -> Column:
@@ -26,31 +29,61 @@ def tokens(text: Column) -> Column:
 def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "doc_id", text: str = "text",
            query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B) -> DataFrame:
     """Q1: BM25 (idf ln(1 + (N - df + 0.5) / (df + 0.5))), top ``limit`` per
-    query; scores rounded to 6 places, ties by document id."""
-    d = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("toks"))
-    d = d.withColumn("dl", F.size("toks"))
-    stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+    query; scores rounded to 6 places, ties by document id.
 
+    One pass over the documents: each emits its query-term tokens plus one
+    sentinel row carrying its length, so N and the average length come out
+    of the same (doc, term) aggregate as the term frequencies.
+    """
     qt = (
         queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query)))).alias("term"))
         .distinct()
     )
     terms = qt.select("term").distinct()
     n_terms = terms.count()
-    terms_side = F.broadcast(terms) if n_terms <= BROADCAST_TERMS_MAX else terms
-
-    hits = d.select("doc_id", "dl", F.explode("toks").alias("term")).join(terms_side, "term", "left_semi")
-    tf = hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = tf.join(df_, "term").withColumn(
-        "w",
-        idf * F.col("tf") * (k1 + 1)
-        / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))),
+    toks = tokens(F.col(text))
+    sentinel = F.array(F.lit(SENTINEL))
+    d = docs.select(F.col(doc_id).alias("doc_id"), toks.alias("toks"))
+    if n_terms <= INLINE_TERMS_MAX:
+        # Small term sets filter inside the row with a hash set before the
+        # explode, so only matching tokens leave the row.
+        term_list = [r.term for r in terms.collect()]
+        kept = F.filter("toks", lambda t: t.isin(term_list)) if term_list else F.array().cast("array<string>")
+        hits = d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat(kept, sentinel)).alias("term"))
+    else:
+        flagged = terms.withColumn("_q", F.lit(True))
+        side = F.broadcast(flagged) if n_terms <= BROADCAST_TERMS_MAX else flagged
+        hits = (
+            d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", sentinel)).alias("term"))
+            .join(side, "term", "left")
+            .where(F.col("_q") | (F.col("term") == SENTINEL))
+            .drop("_q")
+        )
+    # The (doc, term) counts feed three consumers; Catalyst would plan each
+    # with its own pruned copy of the aggregate (and its own pass over the
+    # text), so they are materialised once in the shared checkpoint folder.
+    # They are far smaller than the text: matched pairs plus one row per doc.
+    tf = cut_lineage(hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")))
+    df_ = tf.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("dl").alias("sum_dl"), F.max(F.col("term") == SENTINEL).alias("is_sentinel")
+    )
+    stats = df_.where("is_sentinel").select(
+        F.col("df").alias("n_docs"), (F.col("sum_dl") / F.col("df")).alias("avgdl"), F.lit(1).alias("_one")
+    )
+    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = (
+        tf.join(qt, "term")
+        .join(df_.select("term", "df"), "term")
+        .withColumn("_one", F.lit(1))
+        .join(F.broadcast(stats), "_one")  # one row: the corpus statistics
+        .withColumn(
+            "w",
+            idf * F.col("tf") * (k1 + 1)
+            / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))),
+        )
     )
     scored = (
-        weighted.join(qt, "term")
+        weighted
         .groupBy("query_id", "doc_id")
         .agg(F.round(F.sum("w"), 6).alias("score"))
     )

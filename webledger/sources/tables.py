@@ -23,8 +23,22 @@ PAGES_SCHEMA = T.StructType(
 )
 
 
+# Tables whose rows carry whole texts: parsing them is the expensive part.
+TEXT_TABLES = {"pages", "documents"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table.  A text table whose files give fewer scan splits than
+    the cluster has cores (one small file, one row group) is spread
+    round-robin, so regexes and tokenising run on every core; a large input
+    already has more splits than cores and is left as is.  Filters and column
+    pruning still reach the scan below the repartition."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def read_captures(spark: SparkSession, path: str, schema: T.StructType = PAGES_SCHEMA) -> DataFrame:
