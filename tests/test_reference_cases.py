@@ -46,3 +46,21 @@ def test_response_bodies(spark):
                                             F.expr("try_variant_get(payload, '$.ok', 'boolean')").alias("ok")).collect()
     assert (out[0].payload_kind, out[0].ok) == ("json", True)
     assert (out[1].payload_kind, out[1].raw_text) == ("text", "not json")
+
+
+def test_encode_component_matches_encode_uri_component(spark):
+    from webledger.functions.urls import encode_component
+
+    df = spark.createDataFrame([("m-Customer#000000001 a*b~c!d'e(f)g/h+i",)], "x string")
+    assert df.select(encode_component(F.col("x"))).first()[0] == "m-Customer%23000000001%20a*b~c!d'e(f)g%2Fh%2Bi"
+
+
+def test_request_paths_skip_zero_limit_and_offset(spark):
+    calls = spark.createDataFrame(
+        [("a", "monitor_list", None, 0, 0), ("b", "monitor_list", None, 25, 5), ("c", "monitor_checks", "x y", None, 2),
+         ("d", "crawl_status", "job/1", None, None), ("e", "scrape", None, None, None)],
+        "call_id string, tool string, id string, limit int, offset int",
+    )
+    got = {r.call_id: r.path for r in payload.request_paths(calls).collect()}
+    assert got == {"a": "/monitor", "b": "/monitor?limit=25&offset=5", "c": "/monitor/x%20y/checks?offset=2",
+                   "d": "/crawl/job%2F1", "e": "/scrape"}

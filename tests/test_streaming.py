@@ -49,7 +49,7 @@ def test_spend_windows_stream_equals_batch_and_drops_late_rows(spark, sf, tmp):
     _split_files(priced, f"{tmp}/in", "us", 4)
     late = priced.orderBy("ts").limit(1).withColumn("request_id", F.lit(-1))
     late.coalesce(1).write.parquet(f"{tmp}/in/f999")  # an early row arriving last
-    stream = spark.readStream.schema(priced.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
+    stream = J.read_request_stream(spark, f"{tmp}/in/*", priced.schema, max_files_per_trigger=1)
     s = J.spend_windows(J.event_time(stream), "1 day", watermark="1 hour")
     got = _drain(s, "update", ["window_start", "account_id"], spark, tmp, "t1")
     want = {(r.window_start, r.account_id): r.credits

@@ -46,3 +46,17 @@ def resolve(base: Column, href: Column) -> Column:
         .otherwise(F.concat(F.when(base_dir.rlike(r"^[a-z][a-z0-9+.-]*://[^/]+/"), base_dir)
                             .otherwise(F.concat(base, F.lit("/"))), href))
     )
+
+
+# Characters ``encodeURIComponent`` leaves as they are besides
+# letters and digits (Java's encoder escapes some of them, and a space as "+").
+_UNRESERVED_MARKS = [("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~"), ("%2A", "*")]
+
+
+def encode_component(c: Column) -> Column:
+    """Percent-encode one path or query component like ``encodeURIComponent``
+    (a space is ``%20``, not ``+``)."""
+    out = F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+    for esc, ch in _UNRESERVED_MARKS:
+        out = F.replace(out, F.lit(esc), F.lit(ch))
+    return out

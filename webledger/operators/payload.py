@@ -46,3 +46,42 @@ def merge_latest(current: DataFrame, updates: DataFrame, key: list[str], order:
     ordering = F.struct(*[F.col(o) for o in order], F.col("_src"))
     latest = F.max_by(F.struct(*value_cols), ordering)
     return tagged.groupBy(*key).agg(latest.alias("_v")).select(*key, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+
+
+# The endpoint of each tool.
+TOOL_PATHS = {
+    "scrape": "/scrape",
+    "crawl": "/crawl",
+    "map": "/map",
+    "search": "/search",
+    "parse": "/parse",
+    "interact": "/interact",
+    "monitor_create": "/monitor",
+}
+
+
+def request_paths(calls: DataFrame) -> DataFrame:
+    """API path per call: ``tool``, optional ``id``, ``limit``, ``offset``.
+    Ids are percent-encoded; a zero or missing limit/offset is not sent, and
+    the query string appears only when something is."""
+    from webledger.functions.urls import encode_component
+
+    tool = F.col("tool")
+    truthy = lambda c: F.col(c).isNotNull() & (F.col(c) != 0)
+    qs = F.concat_ws(
+        "&",
+        F.when(truthy("limit"), F.concat(F.lit("limit="), F.col("limit").cast("bigint").cast("string"))),
+        F.when(truthy("offset"), F.concat(F.lit("offset="), F.col("offset").cast("bigint").cast("string"))),
+    )
+    query = F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit(""))
+    eid = encode_component(F.col("id"))
+    fixed = F.lit(None).cast("string")
+    for name, p in reversed(list(TOOL_PATHS.items())):
+        fixed = F.when(tool == name, F.lit(p)).otherwise(fixed)
+    path = (
+        F.when(tool == "crawl_status", F.concat(F.lit("/crawl/"), eid))
+        .when(tool == "monitor_list", F.concat(F.lit("/monitor"), query))
+        .when(tool == "monitor_checks", F.concat(F.lit("/monitor/"), eid, F.lit("/checks"), query))
+        .otherwise(fixed)
+    )
+    return calls.withColumn("path", path)

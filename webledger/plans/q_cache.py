@@ -251,3 +251,52 @@ def s1_read_captures(v):
 
     pages = read_captures(v.spark, f"{v.sf_dir.rstrip('/')}/pages.parquet")
     return pages.select("page_id", "url", F.length("html").alias("html_chars"))
+
+
+def _enc_sql(c: str) -> str:
+    return (f"replace(replace(replace(replace(replace(replace(url_encode({c}), '%21', '!'), '%27', ''''), "
+            f"'%28', '('), '%29', ')'), '%7E', '~'), '%2A', '*')")
+
+
+@query("j3_request_paths", f"""
+select call_id, case when tool in ('scrape', 'crawl', 'map', 'search', 'interact') then '/' || tool end as path
+from (select 'r' || request_id as call_id, tool from requests) r
+union all
+select 'j' || job_id, '/crawl/' || {_enc_sql("cast(job_id as varchar)")} from jobs
+union all
+select 'm' || monitor_id, '/monitor/' || {_enc_sql('name')} || '/checks' ||
+  case when concat_ws('&', case when monitor_id % 4 <> 0 then 'limit=' || (monitor_id % 4 * 25) end,
+                           case when monitor_id % 3 <> 0 then 'offset=' || (monitor_id % 3) end) <> ''
+       then '?' || concat_ws('&', case when monitor_id % 4 <> 0 then 'limit=' || (monitor_id % 4 * 25) end,
+                                  case when monitor_id % 3 <> 0 then 'offset=' || (monitor_id % 3) end)
+       else '' end
+from monitors
+union all
+select 'a' || account_id, '/monitor' ||
+  case when concat_ws('&', case when account_id % 101 <> 0 then 'limit=' || (account_id % 101) end,
+                           case when account_id % 7 <> 0 then 'offset=' || (account_id % 7) end) <> ''
+       then '?' || concat_ws('&', case when account_id % 101 <> 0 then 'limit=' || (account_id % 101) end,
+                                  case when account_id % 7 <> 0 then 'offset=' || (account_id % 7) end)
+       else '' end
+from accounts
+""")
+def j3_request_paths(v):
+    """The API path of every call the tables describe: each request, a status
+    call per crawl job, a checks page per monitor, a monitor list per account."""
+    none = F.lit(None).cast("bigint")
+    calls = (
+        v.requests.select(F.concat(F.lit("r"), F.col("request_id")).alias("call_id"), "tool",
+                          F.lit(None).cast("string").alias("id"), none.alias("limit"), none.alias("offset"))
+        .unionByName(v.jobs.select(F.concat(F.lit("j"), F.col("job_id")).alias("call_id"),
+                                   F.lit("crawl_status").alias("tool"), F.col("job_id").cast("string").alias("id"),
+                                   none.alias("limit"), none.alias("offset")))
+        .unionByName(v.monitors.select(F.concat(F.lit("m"), F.col("monitor_id")).alias("call_id"),
+                                       F.lit("monitor_checks").alias("tool"), F.col("name").alias("id"),
+                                       (F.col("monitor_id") % 4 * 25).alias("limit"),
+                                       (F.col("monitor_id") % 3).alias("offset")))
+        .unionByName(v.accounts.select(F.concat(F.lit("a"), F.col("account_id")).alias("call_id"),
+                                       F.lit("monitor_list").alias("tool"), F.lit(None).cast("string").alias("id"),
+                                       (F.col("account_id") % 101).alias("limit"),
+                                       (F.col("account_id") % 7).alias("offset")))
+    )
+    return payload.request_paths(calls).select("call_id", "path")
