@@ -369,7 +369,7 @@ def tool_adoption(selections: DataFrame, account: str = "account_id", tool: str
     known = F.array(*[F.lit(t) for t in TOOL_ORDER])
     per = selections.groupBy(account).agg(F.collect_set(tool).alias("tool_set"))
     ordered = canonical_tools(F.col("tool_set"))
-    n = F.size(ordered)
+    n = F.size(ordered).cast("bigint")
     return per.select(
         account,
         F.array_join(ordered, ",").alias("tools"),

@@ -155,4 +155,4 @@ def select_pages(urls: DataFrame, search: str, k: int, url: str = "url") -> Data
     u = urls.withColumn("site", site_of(F.col(url)))
     score = F.col(url).contains(search).cast("int")
     w = Window.partitionBy("site").orderBy(score.desc(), F.length(url), F.col(url))
-    return u.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return u.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)

@@ -46,7 +46,7 @@ def extract_links(pages: DataFrame, base: str = "url") -> DataFrame:
     """One row per anchor, resolved to an absolute URL (order kept in ``pos``)."""
     return pages.select(
         "page_id", F.col(base).alias("page_url"), F.posexplode(H.links(F.col("html"))).alias("pos", "href")
-    ).withColumn("link", resolve(F.col("page_url"), F.col("href")))
+    ).withColumns({"pos": F.col("pos").cast("bigint"), "link": resolve(F.col("page_url"), F.col("href"))})
 
 
 def extract_markdown(pages: DataFrame) -> DataFrame:

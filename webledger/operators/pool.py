@@ -60,7 +60,7 @@ def rank_keys(keys: DataFrame, strategy: str = "quota-first", pool: str = "accou
         order = [F.coalesce(F.col("last_checked"), F.lit("")).asc(), F.col("key_id").asc()]
     else:
         order = [F.col("key_id").asc()]
-    return keys.withColumn(out, F.row_number().over(Window.partitionBy(pool).orderBy(*order)))
+    return keys.withColumn(out, F.row_number().over(Window.partitionBy(pool).orderBy(*order)).cast("bigint"))
 
 
 def select_key(ranked: DataFrame, start: int = 0, pool: str = "account_id", auto_disable: bool = True) -> DataFrame:

@@ -88,7 +88,7 @@ def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "
         .agg(F.round(F.sum("w"), 6).alias("score"))
     )
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= limit)
 
 
 def search_then_scrape(results: DataFrame, pages: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:

@@ -250,7 +250,7 @@ def s1_read_captures(v):
     from webledger.sources.tables import read_captures
 
     pages = read_captures(v.spark, f"{v.sf_dir.rstrip('/')}/pages.parquet")
-    return pages.select("page_id", "url", F.length("html").alias("html_chars"))
+    return pages.select("page_id", "url", F.length("html").cast("bigint").alias("html_chars"))
 
 
 def _enc_sql(c: str) -> str:

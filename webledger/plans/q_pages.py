@@ -93,7 +93,7 @@ def e3_extract_markdown(v):
 select page_id, {H.apply_steps_sql('html', H.CLEAN_STEPS)} as clean_html, length(html) as raw_chars from pages
 """)
 def e4_extract_html(v):
-    return E.extract_html(v.table("pages")).select("page_id", "clean_html", F.length("raw_html").alias("raw_chars"))
+    return E.extract_html(v.table("pages")).select("page_id", "clean_html", F.length("raw_html").cast("bigint").alias("raw_chars"))
 
 
 @query("e5_extract_json", f"""
@@ -134,7 +134,7 @@ def e7_filter_tags_tree(v):
 select page_id, length(regexp_replace(html, {_lit(H.BASE64_IMG_PATTERN)}, '', 'g')) as html_chars from pages
 """)
 def e8_strip_base64_images(v):
-    return E.strip_base64_images(v.table("pages")).select("page_id", F.length("html").alias("html_chars"))
+    return E.strip_base64_images(v.table("pages")).select("page_id", F.length("html").cast("bigint").alias("html_chars"))
 
 
 @query("e9_block_ads", f"""
