@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from webledger.functions.exprs import num_text
 from webledger.operators.windows import minute_chunk, running_sum
+from webledger.session import cut_lineage
 
 FALLBACK_PRIORITY = 999
 FALLBACK_NAME = "env-default"
@@ -302,8 +303,12 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool:
     safe running sums) and meet in an equi join on (pool, bucket) with an
     overlap filter, never a nested loop.  Output: one row per share.
     """
+    # The demand intervals feed the bucket join and the overflow rows; they
+    # are written once to the shared checkpoint folder rather than having the
+    # running-sum windows recomputed for each consumer.
     d = running_sum(demand, [pool], [*order, "request_id"], "credits", F.col("demand_chunk"), out="d1")
-    d = d.withColumn("d0", F.col("d1") - F.col("credits"))
+    d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
+        "request_id", pool, "credits", "d0", "d1"))
     cap = F.greatest(F.lit(0), F.coalesce(F.col("remaining_credits"), F.col("monthly_quota") - F.col("used_credits")))
     kw = Window.partitionBy(pool).orderBy(F.col("capacity").asc_nulls_last(), F.col("key_id"))
     k = keys.select("key_id", F.col("account_id").alias(pool), cap.alias("capacity"))
@@ -314,7 +319,7 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool:
         F.count(F.when(F.col("capacity").isNotNull(), 1)).alias("_n_finite"),
         F.max(F.col("capacity").isNull().cast("int")).alias("has_unlimited"),
     )
-    totals = d.groupBy(pool).agg(F.max("d1").alias("total_demand"))
+    totals = demand.groupBy(pool).agg(F.sum("credits").alias("total_demand"))
     sizes = totals.withColumn(
         "bsize", F.greatest(F.lit(bucket_min), F.ceil(F.col("total_demand") / F.lit(buckets_per_pool))).cast("bigint")
     )

@@ -1,9 +1,9 @@
 """Ranked retrieval over captured text and document handling.
 
 BM25 is computed without exploding whole documents through a shuffle:
-document length is an expression on the row, tokens leave the row only when
-they are query terms (an in-row hash-set filter, or a broadcast join behind
-a size check), and only (doc, term) counts move across the network.
+document length is an expression on the row, tokens meet the query terms in
+a broadcast join behind a size check (no shuffle of the text), and only
+(doc, term) counts move across the network.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from webledger.session import cut_lineage
 TOKEN_SPLIT = r"[^\p{L}0-9]+"
 K1 = 1.2
 B = 0.75
-INLINE_TERMS_MAX = 50_000  # distinct query terms filtered in-row by a hash set
 BROADCAST_TERMS_MAX = 2_000_000  # above this the term join shuffles
 SENTINEL = ""  # never a token: tokens are non-empty
 
@@ -44,21 +43,17 @@ def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "
     toks = tokens(F.col(text))
     sentinel = F.array(F.lit(SENTINEL))
     d = docs.select(F.col(doc_id).alias("doc_id"), toks.alias("toks"))
-    if n_terms <= INLINE_TERMS_MAX:
-        # Small term sets filter inside the row with a hash set before the
-        # explode, so only matching tokens leave the row.
-        term_list = [r.term for r in terms.collect()]
-        kept = F.filter("toks", lambda t: t.isin(term_list)) if term_list else F.array().cast("array<string>")
-        hits = d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat(kept, sentinel)).alias("term"))
-    else:
-        flagged = terms.withColumn("_q", F.lit(True))
-        side = F.broadcast(flagged) if n_terms <= BROADCAST_TERMS_MAX else flagged
-        hits = (
-            d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", sentinel)).alias("term"))
-            .join(side, "term", "left")
-            .where(F.col("_q") | (F.col("term") == SENTINEL))
-            .drop("_q")
-        )
+    # Query terms meet document tokens in a join: broadcast while the term
+    # set is within a checked bound, shuffled beyond it.  The sentinel row of
+    # every document survives the join and carries its length.
+    flagged = terms.withColumn("_q", F.lit(True))
+    side = F.broadcast(flagged) if n_terms <= BROADCAST_TERMS_MAX else flagged
+    hits = (
+        d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", sentinel)).alias("term"))
+        .join(side, "term", "left")
+        .where(F.col("_q") | (F.col("term") == SENTINEL))
+        .drop("_q")
+    )
     # The (doc, term) counts feed three consumers; Catalyst would plan each
     # with its own pruned copy of the aggregate (and its own pass over the
     # text), so they are materialised once in the shared checkpoint folder.
