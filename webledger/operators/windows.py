@@ -59,7 +59,6 @@ def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Co
     whose exclusive prefix is added to a window that runs inside one
     partition.
     """
-    spark = df.sparkSession
     from webledger.session import cut_lineage
 
     cols = {f"_v_{k}": c for k, (_, c) in values.items()}
@@ -87,5 +86,4 @@ def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Co
             expr = F.greatest(F.col(f"_c_{k}"), F.max(f"_v_{k}").over(inside))
         out = out.withColumn(k, expr)
     drop = ["_pid", "_mid"] + [f"_v_{k}" for k in values] + [f"_c_{k}" for k in values]
-    del spark
     return out.drop(*drop)

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from webledger.functions import html as H
-from webledger.functions.urls import site_of
 from webledger.operators import discover as D
 from webledger.operators import extract as E
 from webledger.plans.oracle import view
