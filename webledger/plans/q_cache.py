@@ -300,3 +300,31 @@ def j3_request_paths(v):
                                        (F.col("account_id") % 7).alias("offset")))
     )
     return payload.request_paths(calls).select("call_id", "path")
+
+
+@query("s3_usage_ledger_roundtrip", """
+select sha256(key_text) as key_hash, used_credits, remaining_credits, monthly_quota as plan_credits, last_checked
+from keys where last_checked <> ''
+""")
+def s3_usage_ledger_roundtrip(v):
+    """The usage ledger written as JSON Lines to the shared folder and read back."""
+    from webledger.plans.q_pool import key_usage
+    from webledger.sources import tables
+
+    path = tables.write_state(key_usage(v), tables.state_path(v.spark, "usage"))
+    return tables.read_usage_lines(v.spark, path)
+
+
+@query("s4_url_cache_roundtrip", """
+select url, tool, format, cached_at, credits from cache_v1
+""")
+def s4_url_cache_roundtrip(v):
+    """The URL cache written as JSON Lines (ISO timestamps) and read back."""
+    from webledger.sources import tables
+
+    entries = cache_first_half(v).select(
+        "url", "tool", "format", F.date_format("cached_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "credits",
+    )
+    path = tables.write_state(entries, tables.state_path(v.spark, "cache"))
+    return tables.read_cache_lines(v.spark, path)

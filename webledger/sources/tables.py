@@ -149,3 +149,54 @@ def read_url_cache(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
         F.coalesce(F.sum("monthlyBudget"), F.lit(0.0)).cast("bigint").alias("monthly_budget"),
     )
     return entries, totals
+
+
+# JSON Lines stores: one entry per line, written and read in parallel ---------
+
+USAGE_LINE = T.StructType(
+    [
+        T.StructField("key_hash", T.StringType()),
+        T.StructField("used_credits", T.LongType()),
+        T.StructField("remaining_credits", T.LongType()),
+        T.StructField("plan_credits", T.LongType()),
+        T.StructField("last_checked", T.StringType()),
+    ]
+)
+CACHE_LINE = T.StructType(
+    [
+        T.StructField("url", T.StringType()),
+        T.StructField("tool", T.StringType()),
+        T.StructField("format", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("credits", T.LongType()),
+    ]
+)
+
+
+def state_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a state table inside the shared checkpoint folder."""
+    import uuid
+
+    from webledger.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/state/{name}-{uuid.uuid4().hex}"
+
+
+def write_state(df: DataFrame, path: str) -> str:
+    """Write a state table as JSON Lines (the scalable form of the stores)."""
+    df.write.mode("overwrite").json(path)
+    return path
+
+
+def read_usage_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S3 (scalable layout): the usage ledger, one JSON object per key."""
+    return spark.read.schema(USAGE_LINE).option("mode", "PERMISSIVE").json(path)
+
+
+def read_cache_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S4 (scalable layout): URL cache entries, one JSON object per URL;
+    timestamps are ISO strings as the reference writes them."""
+    return spark.read.schema(CACHE_LINE).option("mode", "PERMISSIVE").json(path).select(
+        "url", "tool", F.coalesce("format", F.lit("markdown")).alias("format"),
+        F.to_timestamp_ntz("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("cached_at"), "credits",
+    )
