@@ -47,6 +47,22 @@ def t2_interact_sessions(v):
     return J.interact_sessions(v.requests, activity_ttl=600, ttl=3600)
 
 
+@query("t2_interact_sessions_scan", """
+select account_id, min(ts) as session_start, max(ts) + interval 600 seconds as session_end, count(*) as n_events,
+  cast(ceil(least(epoch_us(max(ts) + interval 600 seconds) - epoch_us(min(ts)), 3600000000) / 1000000.0) as bigint)
+    as billed_seconds,
+  cast(ceil(least(epoch_us(max(ts) + interval 600 seconds) - epoch_us(min(ts)), 3600000000) / 1000000.0 / 60.0) * 2
+    as bigint) as credits
+from (select *, sum(case when prev is null or epoch_us(ts) - epoch_us(prev) >= 600000000 then 1 else 0 end)
+                  over (partition by account_id order by ts, request_id) as sid
+      from (select request_id, account_id, ts, lag(ts) over (partition by account_id order by ts, request_id) as prev
+            from requests where tool = 'interact') a) b
+group by account_id, sid
+""")
+def t2_interact_sessions_scan(v):
+    return J.interact_sessions_scan(v.requests, activity_ttl=600, ttl=3600)
+
+
 @query("t5_exhaustion", """
 select key_id, count(*) filter (where http_status between 200 and 299) as successes,
   count(*) filter (where http_status = 429 and (contains(lower(body), 'monthly usage limit')

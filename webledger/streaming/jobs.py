@@ -263,3 +263,37 @@ def write_alerts(events: DataFrame, subscriptions: DataFrame, path: str, checkpo
         kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+
+
+def interact_sessions_scan(requests: DataFrame, activity_ttl: int = INTERACT_ACTIVITY_TTL, ttl: int = INTERACT_TTL,
+                           ts: str = "ts") -> DataFrame:
+    """T2, batch form for skewed logs: the same sessions as ``session_window``
+    without putting an account's history in one task.  Rows get a global
+    index in (account, time, id) order, a session starts where the previous
+    row is another account or at least ``activity_ttl`` earlier, and session
+    ids are a prefix count of starts; sessions then aggregate partially."""
+    from webledger.operators.windows import prefix_scan
+    from webledger.session import cut_lineage
+
+    if not (10 <= activity_ttl <= 3600 and 30 <= ttl <= 3600):
+        raise ValueError("activityTtl must be 10-3600 and ttl 30-3600 seconds")
+    gap = activity_ttl * 1_000_000
+    r = requests.where(F.col("tool") == "interact").select(
+        "request_id", "account_id", F.col(ts).alias("ts"), epoch_micros(F.col(ts)).alias("us"))
+    r = cut_lineage(prefix_scan(r, ["account_id", "us", "request_id"], {"idx": ("sum", F.lit(1))}))
+    prev = r.select((F.col("idx") + 1).alias("idx"), F.col("account_id").alias("p_acc"), F.col("us").alias("p_us"))
+    r = r.join(prev, "idx", "left").withColumn(
+        "start", F.col("p_acc").isNull() | (F.col("p_acc") != F.col("account_id")) | (F.col("us") - F.col("p_us") >= gap)
+    )
+    r = prefix_scan(r, ["idx"], {"sid": ("sum", F.col("start").cast("bigint"))})
+    s = r.groupBy("sid").agg(
+        F.first("account_id").alias("account_id"), F.min("ts").alias("session_start"), F.max("ts").alias("last_ts"),
+        F.count(F.lit(1)).alias("n_events"),
+    )
+    end = F.col("last_ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(activity_ttl))
+    secs = F.least(F.timestamp_diff("MICROSECOND", F.col("session_start"), end) / F.lit(1_000_000), F.lit(ttl))
+    return s.select(
+        "account_id", "session_start", end.alias("session_end"), "n_events",
+        F.ceil(secs).cast("bigint").alias("billed_seconds"),
+        (F.ceil(secs / 60.0) * 2).cast("bigint").alias("credits"),
+    )
