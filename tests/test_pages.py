@@ -63,3 +63,17 @@ def test_canonical_urls(spark):
 def test_markdown_sql_mirror_is_well_formed():
     sql = H.apply_steps_sql("html", H.MARKDOWN_STEPS)
     assert sql.count("regexp_replace") + sql.count("replace(") >= len(H.MARKDOWN_STEPS)
+
+
+def test_schedule_slots_follow_the_monitor_timezone(spark):
+    from webledger.operators import monitor as M
+
+    m = spark.createDataFrame([(1, 360, "America/New_York"), (2, 360, None)],
+                              "monitor_id long, every_minutes int, tz string")
+    got = sorted((r.monitor_id, str(r.slot_ts)) for r in
+                 M.schedule_slots(m, "2024-01-01 00:00:00", "2024-01-01 12:00:00", timezone="tz").collect())
+    assert got == [(1, "2024-01-01 05:00:00"), (1, "2024-01-01 11:00:00"),
+                   (2, "2024-01-01 00:00:00"), (2, "2024-01-01 06:00:00")]
+    # every interval is at least five minutes
+    fast = spark.createDataFrame([(3, 1)], "monitor_id long, every_minutes int")
+    assert M.schedule_slots(fast, "2024-01-01 00:00:00", "2024-01-01 01:00:00").count() == 12
