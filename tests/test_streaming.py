@@ -153,3 +153,19 @@ def test_write_alerts_foreach_batch(spark, sf, tmp):
 def test_event_time_cast(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz")
     assert dict(J.event_time(df).dtypes)["ts"] == "timestamp"
+
+
+def test_stream_cache_forgets_idle_urls_when_asked(spark, tmp):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, "u", "markdown", t0, "scrape", 1), (2, "v", "markdown", t0, "scrape", 1),
+            (3, "v", "markdown", t0 + dt.timedelta(days=3), "scrape", 1),
+            (4, "u", "markdown", t0 + dt.timedelta(days=3, hours=1), "scrape", 1)]
+    df = spark.createDataFrame(rows, "request_id long, url string, format string, ts timestamp_ntz, tool string, credits long")
+    df.where("request_id <= 2").coalesce(1).write.parquet(f"{tmp}/in/f1")
+    df.where("request_id = 3").coalesce(1).write.parquet(f"{tmp}/in/f2")
+    df.where("request_id = 4").coalesce(1).write.parquet(f"{tmp}/in/f3")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
+    got = _drain(J.stream_cache(stream, forget_after_hours=48), "append", ["request_id"], spark, tmp, "t3f")
+    reasons = {k[0]: v["reason"] for k, v in got.items()}
+    assert reasons[3] == "Cache expired"  # v was seen again before being forgotten
+    assert reasons[4] == "URL not cached"  # u idle past 48 h: forgotten

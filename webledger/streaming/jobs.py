@@ -88,6 +88,7 @@ CACHE_STATE = T.StructType(
         T.StructField("us", T.LongType()),
         T.StructField("tool", T.StringType()),
         T.StructField("credits", T.LongType()),
+        T.StructField("seen_us", T.LongType()),
     ]
 )
 CACHE_OUT = T.StructType(
@@ -104,9 +105,18 @@ def _iso(us: int) -> str:
     return pd.Timestamp(us, unit="us").strftime("%Y-%m-%dT%H:%M:%S.") + f"{(us // 1000) % 1000:03d}Z"
 
 
-def _cache_fold(ttl_us: int):
+def _cache_fold(ttl_us: int, forget_after_ms: int | None = None):
     def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            # Idle longer than the horizon: the URL leaves the state store.
+            state.remove()
+            return
         entry = state.get if state.exists else None
+        if entry is not None and forget_after_ms is not None:
+            # Forgotten once the watermark is past last use + the horizon,
+            # whether or not the timeout has fired yet.
+            if entry[4] // 1000 + forget_after_ms < state.getCurrentWatermarkMs():
+                entry = None
         frames = [b for b in batches]
         if not frames:
             return
@@ -124,27 +134,42 @@ def _cache_fold(ttl_us: int):
             else:
                 hit, why = True, f"Already scraped {entry[2]} at {_iso(int(entry[1]))} ({int(entry[3])} credits saved)"
             if not hit:
-                entry = (fmt, int(us), tool, int(credits))
+                entry = (fmt, int(us), tool, int(credits), 0)
             hits.append(hit)
             reasons.append(why)
         # The entry is kept after it expires, as the reference's store keeps
         # it: the next request then reads "Cache expired", not "not cached".
-        # State size is the number of distinct URLs, i.e. the cache itself.
-        state.update(entry)
+        seen = int(pdf["us"].max())
+        state.update(entry[:4] + (seen,))
+        if forget_after_ms is not None:
+            state.setTimeoutTimestamp(seen // 1000 + forget_after_ms)
         yield pd.DataFrame({"request_id": pdf["request_id"].astype("int64"), "url": key[0], "hit": hits,
                             "reason": reasons})
 
     return fold
 
 
-def stream_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
+def stream_cache(log: DataFrame, ttl_hours: int = 24, forget_after_hours: int | None = None,
+                 watermark: str = "1 hour") -> DataFrame:
     """K2 on a stream - per-URL state (format, time, tool, credits); each
     micro-batch folds only its own rows per URL, in event-time order.  Files
-    are expected to arrive in time order."""
+    are expected to arrive in time order.
+
+    By default the state keeps one row per URL ever seen (exactly the
+    reference's store).  ``forget_after_hours`` bounds it: a URL idle that
+    long past the watermark is dropped, and its next request reads "URL not
+    cached" instead of "Cache expired" (both are misses).
+    """
     ttl_us = ttl_hours * HOUR_US
     df = log.withColumn("us", epoch_micros(F.col("ts")))
+    if forget_after_hours is None:
+        return df.groupBy("url").applyInPandasWithState(
+            _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout
+        )
+    df = df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
     return df.groupBy("url").applyInPandasWithState(
-        _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout
+        _cache_fold(ttl_us, forget_after_hours * 3_600_000), CACHE_OUT, CACHE_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
 
 
