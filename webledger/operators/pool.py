@@ -334,6 +334,10 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool:
             .otherwise(F.col("_run")),
         }
     )
+    # Key intervals are clipped to the pool's demand: a key far larger than
+    # the demand would otherwise explode into buckets nobody asks for.  With
+    # that, a pool has at most about ``buckets_per_pool`` + keys buckets.
+    k = k.withColumn("k1", F.least(F.col("k1"), F.col("total_demand")))
     kb = k.where(F.col("k1") > F.col("k0")).withColumn(
         "bucket", F.explode(F.sequence(F.floor(F.col("k0") / F.col("bsize")),
                                        F.floor((F.col("k1") - 1) / F.col("bsize"))))
