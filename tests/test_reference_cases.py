@@ -29,15 +29,16 @@ def test_merge_keeps_first_seen_order(spark):
 
 
 def test_cleaning_drops_absent_keeps_null_slots(spark):
+    # {keep:false, drop:undefined, nested:{drop:undefined, value:null}, list:[undefined,1]}
     df = spark.createDataFrame([(1,)], "id int")
     fields = {
         "keep": F.lit(False),
-        "drop": F.lit(None).cast("string"),
-        "nested": F.struct(F.lit(None).cast("string").alias("drop")),
+        "drop": F.lit(None).cast("string"),  # absent
+        "nested": F.struct(F.lit(None).cast("string").alias("drop"), payload.explicit_null().alias("value")),
         "list": F.array(F.lit(None).cast("int"), F.lit(1)),
     }
-    # Spark has no "undefined": absent and null fields both drop, array slots stay.
-    assert payload.compact_params(df, fields).first().params_json == '{"keep":false,"nested":{},"list":[null,1]}'
+    out = payload.compact_params(df, fields).first().params_json
+    assert out == '{"keep":false,"nested":{"value":null},"list":[null,1]}'
 
 
 def test_response_bodies(spark):

@@ -29,9 +29,16 @@ def payload_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("payload_kind").agg(F.count(F.lit(1)).alias("bodies"))
 
 
+def explicit_null() -> Column:
+    """A JSON ``null`` that survives cleaning: a VARIANT null is a value, not
+    an absent field, so ``to_json`` keeps it."""
+    return F.parse_json(F.lit("null"))
+
+
 def compact_params(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Parameters as JSON with absent (null) fields omitted, like the
-    reference's cleaning step; ``to_json`` drops null struct fields."""
+    """Parameters as JSON with absent fields omitted at every depth, like
+    the reference's cleaning step: ``to_json`` drops SQL-NULL struct fields,
+    keeps array slots (as ``null``) and keeps ``explicit_null()`` values."""
     return df.withColumn("params_json", F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()])))
 
 
