@@ -114,6 +114,12 @@ from nation cross join (values (0, 'List all URLs of'), (1, 'Find reviews about'
   (6, 'monitor and find news on'), (7, 'all pages to watch in')) as t(i, txt)
 """)
 
+view("intents", """
+select cast(goal_id as bigint) as goal_id, goal, 'template' as source from goals
+union all
+select cast(1000000 + conv_id * 1000 + turn as bigint), text, 'conversation' from conversations where role = 'user'
+""")
+
 view("monitors", """
 select c_custkey as monitor_id, concat('m-', c_name) as name, c_mktsegment as goal_topic,
   cast(30 + 30 * (c_custkey % 4) as int) as every_minutes,

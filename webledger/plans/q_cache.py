@@ -222,15 +222,18 @@ select g.goal_id, {_ROUTE} as recommended_tool,
        when c.format <> 'markdown' then concat('Different format requested (cached: ', c.format, ', requested: markdown)')
        else concat('Already scraped ', c.tool, ' at ', strftime(c.cached_at, '%Y-%m-%dT%H:%M:%S.%gZ'),
                    ' (', c.credits, ' credits saved)') end as cache_reason
-from goals g left join pages p on p.page_id = g.goal_id left join cache_v1 c on c.url = p.url
+from intents g left join pages p on p.page_id = g.goal_id and g.source = 'template'
+left join cache_v1 c on c.url = p.url
 """)
 def c4_plan_goals_cached(v):
-    """C4 with the cache verdict: each goal's URL (the captured page with the
-    goal's id) is checked against the cache as of the split instant."""
+    """C4 with the cache verdict: each templated goal's URL (the captured page
+    with the goal's id) is checked against the cache as of the split instant;
+    free-text goals carry no URL."""
     pages = v.table("pages").select(F.col("page_id").alias("goal_id"), "url")
-    probes = v.goals.join(pages, "goal_id").select("goal_id", "url", F.lit("markdown").alias("format"))
+    templated = v.intents.where(F.col("source") == "template")
+    probes = templated.join(pages, "goal_id").select("goal_id", "url", F.lit("markdown").alias("format"))
     status = cache.cache_lookup(probes, cache_first_half(v), as_of=_split()).select("goal_id", "skip", "cache_reason")
-    return cost_ops.plan_goals(v.goals, status).select("goal_id", "recommended_tool", "skip", "cache_reason")
+    return cost_ops.plan_goals(v.intents, status).select("goal_id", "recommended_tool", "skip", "cache_reason")
 
 
 @query("c7_set_budget", """

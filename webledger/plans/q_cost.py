@@ -79,10 +79,10 @@ case
 select goal_id, goal, {_ROUTE_SQL} as recommended_tool,
   case when contains(lower(goal), 'scrape') or contains(lower(goal), 'this url') or contains(lower(goal), 'this page')
             or contains(lower(goal), 'extract from') then 1 else 0 end as rule5_or_default
-from goals
+from intents
 """)
 def c3_route_goals(v):
-    routed = cost.route_goals(v.goals)
+    routed = cost.route_goals(v.intents)
     low = F.lower("goal")
     rule5 = low.contains("scrape") | low.contains("this url") | low.contains("this page") | low.contains("extract from")
     return routed.select("goal_id", "goal", "recommended_tool", F.when(rule5, 1).otherwise(0).alias("rule5_or_default"))
@@ -97,10 +97,10 @@ select goal_id, recommended_tool,
   case recommended_tool when 'scrape' then 0 when 'search' then 0 end::bigint as alternative_savings,
   case recommended_tool when 'scrape' then 'Consider using map + scrape instead to save 0 credits.'
        else 'This is already the cheapest option.' end as tip
-from (select goal_id, {_ROUTE_SQL} as recommended_tool from goals) g
+from (select goal_id, {_ROUTE_SQL} as recommended_tool from intents) g
 """)
 def c4_plan_goals(v):
-    return cost.plan_goals(v.goals).select(
+    return cost.plan_goals(v.intents).select(
         "goal_id",
         "recommended_tool",
         "estimated_credits",

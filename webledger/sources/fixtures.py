@@ -147,6 +147,18 @@ def _view_goals(v: Views) -> DataFrame:
     )
 
 
+def _view_intents(v: Views) -> DataFrame:
+    """Goals to route: the templated goals plus every user turn of the
+    conversations (which grows with the data)."""
+    templated = v.goals.select(F.col("goal_id").cast("bigint").alias("goal_id"), "goal",
+                               F.lit("template").alias("source"))
+    turns = v.table("conversations").where(F.col("role") == "user").select(
+        (F.lit(1_000_000) + F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("goal_id"),
+        F.col("text").alias("goal"), F.lit("conversation").alias("source"),
+    )
+    return templated.unionByName(turns)
+
+
 def _view_monitors(v: Views) -> DataFrame:
     return v.table("customer").selectExpr(
         "c_custkey as monitor_id",
