@@ -17,7 +17,7 @@ from webledger.session import cut_lineage
 TOKEN_SPLIT = r"[^\p{L}0-9]+"
 K1 = 1.2
 B = 0.75
-BROADCAST_TERMS_MAX = 2_000_000  # above this the term join shuffles
+BROADCAST_TERMS_MAX = 500_000  # distinct query terms; above this the term join shuffles
 SENTINEL = ""  # never a token: tokens are non-empty
 
 
