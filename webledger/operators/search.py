@@ -152,3 +152,18 @@ def parse_documents(files: DataFrame, only_main_content: bool = False) -> DataFr
         .when(t == "json", F.concat(F.lit("```json\n"), text, F.lit("\n```")))
     )
     return files.withColumns({"markdown": out, "parsed": out.isNotNull()})
+
+
+def uploads_to_files(uploads: DataFrame, file: str = "file", file_name: str = "file_name") -> DataFrame:
+    """The parse request's upload form: a base64 ``file`` and an optional
+    ``fileName`` (default ``uploaded-file``) -> the files shape of
+    ``parse_documents`` (bytes, name, type by extension)."""
+    name = F.coalesce(F.col(file_name), F.lit("uploaded-file"))
+    ext = F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
+    return uploads.withColumns(
+        {
+            "content": F.unbase64(F.col(file)),
+            "file_name": name,
+            "file_type": F.when(ext == "", F.lit("bin")).otherwise(ext),
+        }
+    ).drop(file)

@@ -106,3 +106,15 @@ select 'page-' || page_id || '.html', 'html', {md_sql('html')} from pages
 """)
 def p1_parse_documents(v):
     return S.parse_documents(_files(v)).select("file_name", "file_type", "markdown")
+
+
+@query("p1_parse_uploads", """
+select 'doc-' || doc_id || '.txt' as file_name, 'txt' as file_type, text as markdown from documents
+""")
+def p1_parse_uploads(v):
+    """Documents sent as base64 uploads, decoded and parsed."""
+    uploads = v.table("documents").select(
+        F.base64(F.encode("text", "UTF-8")).alias("file"),
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"),
+    )
+    return S.parse_documents(S.uploads_to_files(uploads)).select("file_name", "file_type", "markdown")
