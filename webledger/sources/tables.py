@@ -35,8 +35,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pruning still reach the scan below the repartition."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in TEXT_TABLES:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df
 
