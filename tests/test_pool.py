@@ -80,7 +80,7 @@ def test_refresh_quota_rules(spark):
 
 def test_allocation_never_exceeds_capacity_and_covers_demand(spark):
     demand = spark.createDataFrame(
-        [Row(request_id=i, pool=0, credits=c, light_rank=0, ts=i, demand_chunk=i // 4)
+        [Row(request_id=i, pool=0, credits=c, light_rank=0, ts=i)
          for i, c in enumerate([3, 5, 2, 8, 1, 9, 4, 4, 7, 6])]
     )
     keys = _keys(spark, [

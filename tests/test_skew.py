@@ -43,3 +43,17 @@ def test_session_scan_equals_session_window_on_a_hot_account(spark):
     a = {(r.account_id, r.session_start): (r.n_events, r.credits) for r in J.interact_sessions(df, 600, 3600).collect()}
     b = {(r.account_id, r.session_start): (r.n_events, r.credits) for r in J.interact_sessions_scan(df, 600, 3600).collect()}
     assert a == b
+
+
+def test_running_sum_equals_a_window_on_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from webledger.operators.windows import running_sum
+
+    rnd = random.Random(9)
+    rows = [(i, 0 if i % 3 == 0 else rnd.randint(1, 30), rnd.randint(0, 10_000), rnd.randint(1, 9)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, acct long, t long, v long")
+    got = {r.id: r.running for r in running_sum(df, ["acct"], ["t", "id"], "v").collect()}
+    w = Window.partitionBy("acct").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.id: r.running for r in df.withColumn("running", F.sum("v").over(w)).collect()}
+    assert got == want

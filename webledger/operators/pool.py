@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.exprs import num_text
-from webledger.operators.windows import minute_chunk, running_sum
+from webledger.operators.windows import running_sum
 from webledger.session import cut_lineage
 
 FALLBACK_PRIORITY = 999
@@ -262,9 +262,8 @@ def burn_down(priced: DataFrame, accounts: DataFrame) -> DataFrame:
     run = running_sum(
         with_month,
         ["account_id", "month"],
-        [F.col("ts"), F.col("request_id")],
+        ["ts", "request_id"],
         "estimated_credits",
-        minute_chunk("ts"),
         out="running_credits",
     )
     b = accounts.select("account_id", "monthly_budget")
@@ -298,15 +297,14 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool:
     null).  Keys without a known capacity are unlimited; the first of them
     (by id) takes all overflow.
 
-    ``demand``: request_id, pool, credits, demand_chunk (non-decreasing along
-    ``order``).  Both sides become intervals on a per-pool credit axis (skew-
+    ``demand``: request_id, pool, credits and the ``order`` columns.  Both sides become intervals on a per-pool credit axis (skew-
     safe running sums) and meet in an equi join on (pool, bucket) with an
     overlap filter, never a nested loop.  Output: one row per share.
     """
     # The demand intervals feed the bucket join and the overflow rows; they
     # are written once to the shared checkpoint folder rather than having the
     # running-sum windows recomputed for each consumer.
-    d = running_sum(demand, [pool], [*order, "request_id"], "credits", F.col("demand_chunk"), out="d1")
+    d = running_sum(demand, [pool], [*order, "request_id"], "credits", out="d1")
     d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
         "request_id", pool, "credits", "d0", "d1"))
     cap = F.greatest(F.lit(0), F.coalesce(F.col("remaining_credits"), F.col("monthly_quota") - F.col("used_credits")))

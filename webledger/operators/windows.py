@@ -1,10 +1,10 @@
-"""Skew-safe running totals.
+"""Skew-safe running totals and prefix scans.
 
 A plain ``sum(...) over (partition by account order by ts)`` puts every row
 of an account into one task; when one account holds a third of the log that
-task is the job.  ``running_sum`` splits each partition key into ordered
-chunks, runs the window inside a chunk (bounded), and adds the total of the
-earlier chunks, computed on the small per-chunk table.
+task is the job.  ``prefix_scan`` computes global prefix aggregates over a
+range-partitioned order, and ``running_sum`` derives per-key running sums
+from it, so no key is ever gathered into one task.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webledger.functions.exprs import epoch_micros
 
 
 def running_sum(
@@ -20,32 +19,29 @@ def running_sum(
     part: list[str],
     order: list[Column | str],
     value: Column | str,
-    chunk: Column,
     out: str = "running",
 ) -> DataFrame:
     """Inclusive running sum of ``value`` over ``order`` within ``part``.
 
-    ``chunk`` must be non-decreasing along ``order`` inside each partition
-    (for example the minute of the timestamp that leads ``order``).
+    ``part`` + ``order`` must be a total order (end ``order`` with a unique
+    id).  One global prefix sum runs over the whole table in that order
+    (``prefix_scan``: range-partitioned, so a key holding a third of the rows
+    is spread over many tasks); a key's running sum is the global one minus
+    the global sum just before the key's first row, a per-key minimum that
+    aggregates map-side.
     """
     v = F.col(value) if isinstance(value, str) else value
-    tagged = df.withColumn("_chunk", chunk).withColumn("_v", v)
-    inside = Window.partitionBy(*part, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = tagged.withColumn("_within", F.sum("_v").over(inside))
-    chunks = tagged.groupBy(*part, "_chunk").agg(F.sum("_v").alias("_chunk_total"))
-    before = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.withColumn("_offset", F.coalesce(F.sum("_chunk_total").over(before), F.lit(0))).drop(
-        "_chunk_total"
-    )
-    return (
-        tagged.join(offsets, [*part, "_chunk"])
-        .withColumn(out, F.col("_offset") + F.col("_within"))
-        .drop("_chunk", "_v", "_within", "_offset")
-    )
-
-
-def minute_chunk(ts: str = "ts") -> Column:
-    return F.floor(epoch_micros(F.col(ts)) / F.lit(60_000_000)).cast("bigint")
+    names = [o if isinstance(o, str) else None for o in order]
+    tagged = df.withColumn("_v", v)
+    if any(n is None for n in names):
+        for i, o in enumerate(order):
+            if not isinstance(o, str):
+                tagged = tagged.withColumn(f"_o{i}", o)
+        names = [n if n is not None else f"_o{i}" for i, n in enumerate(names)]
+    scanned = prefix_scan(tagged, [*part, *names], {"_g": ("sum", F.col("_v"))})
+    offsets = scanned.groupBy(*part).agg(F.min(F.col("_g") - F.col("_v")).alias("_before"))
+    drop = ["_v", "_g", "_before"] + [n for n in names if n.startswith("_o")]
+    return scanned.join(offsets, part).withColumn(out, F.col("_g") - F.col("_before")).drop(*drop)
 
 
 def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Column]]) -> DataFrame:

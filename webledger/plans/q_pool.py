@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from webledger.operators import cost, pool
-from webledger.operators.windows import minute_chunk
 from webledger.plans.oracle import view
 from webledger.plans.registry import query
 
@@ -296,9 +295,7 @@ def c10_allocate_budget(v):
         v.accounts.select("account_id", F.col("nation_id").alias("pool")), "account_id"
     )
     light = F.when(F.col("tool").isin(*cost.LIGHT_TOOLS), 0).otherwise(1)
-    minute = minute_chunk("ts")
     demand = priced.select(
         "request_id", "pool", "ts", F.col("estimated_credits").alias("credits"), light.alias("light_rank"),
-        (light.cast("bigint") * F.lit(1 << 40) + minute).alias("demand_chunk"),
     )
     return pool.allocate_budget(demand, pool.eligible_keys(v.keys), ["light_rank", "ts"])
