@@ -75,24 +75,46 @@ def url_sources(captured: DataFrame, linked: DataFrame, ignore_sitemap: bool = F
     return u.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
 
 
-def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None = None) -> DataFrame:
+def bucketed_table(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` in the shared checkpoint
+    folder and read it back.  Joins on ``key`` against it then shuffle only
+    the other side; the write also cuts lineage (a reliable copy)."""
+    import uuid
+
+    from webledger.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    name = f"webledger_{label}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None = None,
+          buckets: int | None = None) -> DataFrame:
     """D3: breadth-first reach from many seeds at once with minimum depth.
 
-    Each hop is an equi join of the frontier with the edges and an anti join
-    with the visited set; lineage is cut every hop into the shared
-    checkpoint folder.  Only the frontier's emptiness reaches the driver.
-    ``limit`` is applied after the whole hop by (depth, node), so the
-    result does not depend on partitioning.
+    The edge table is written once bucketed by source, and the visited set is
+    re-written bucketed by node after every hop; both live in the shared
+    checkpoint folder.  A hop is then an equi join of the (small) frontier
+    with the edges and an anti join with the visited set, and only the
+    frontier is shuffled - never the edges or the visited set.  Only the
+    frontier's emptiness reaches the driver.  ``limit`` is applied after the
+    whole hop by (depth, node), so the result does not depend on
+    partitioning.
     """
-    visited = cut_lineage(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)))
+    spark = edges.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = bucketed_table(edges.select(F.col("src").alias("node"), F.col("dst")), "node", n, "edges")
+    visited = bucketed_table(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "node", n,
+                             "visited")
     frontier = visited.select("node")
-    e = edges.select(F.col("src").alias("node"), F.col("dst"))
     for d in range(1, max_depth + 1):
-        nxt = frontier.join(e, "node").select(F.col("dst").alias("node")).distinct()
-        nxt = cut_lineage(nxt.join(visited.select("node"), "node", "left_anti"))
+        reached = frontier.join(e, "node").select(F.col("dst").alias("node")).distinct()
+        nxt = cut_lineage(reached.join(visited.select("node"), "node", "left_anti"))
         if nxt.isEmpty():
             break
-        visited = cut_lineage(visited.unionByName(nxt.withColumn("depth", F.lit(d))))
+        visited = bucketed_table(visited.unionByName(nxt.withColumn("depth", F.lit(d))), "node", n, "visited")
         frontier = nxt
     if limit is not None:
         visited = visited.orderBy("depth", "node").limit(limit)
