@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.urls import host, path, site_of
-from webledger.session import cut_lineage
+from webledger.session import bucketed_table, cut_lineage
 
 
 def _any(patterns: list[str]) -> str:
@@ -75,21 +75,6 @@ def url_sources(captured: DataFrame, linked: DataFrame, ignore_sitemap: bool = F
     return u.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
 
 
-def bucketed_table(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
-    """Write ``df`` as a table bucketed by ``key`` in the shared checkpoint
-    folder and read it back.  Joins on ``key`` against it then shuffle only
-    the other side; the write also cuts lineage (a reliable copy)."""
-    import uuid
-
-    from webledger.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    name = f"webledger_{label}_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
 def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None = None,
           buckets: int | None = None) -> DataFrame:
     """D3: breadth-first reach from many seeds at once with minimum depth.

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from webledger.functions.exprs import epoch_micros, iso_millis, num_text
 from webledger.operators.windows import prefix_scan
-from webledger.session import cut_lineage
+from webledger.session import bucketed_table, cut_lineage
 
 HOUR_US = 3_600_000_000
 
@@ -76,14 +76,19 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
                       F.floor((F.col("run_t1") - F.col("run_t0")) / F.lit(ttl)) + 1))
     ).first()[0] or 1
     steps = max(1, math.ceil(math.log2(bound + 1)))
-    jump = rows.where(F.col("nxt").isNotNull()).select(F.col("idx").alias("i"), F.col("nxt").alias("j"))
+    # The jump table is kept bucketed by its source index, so each round
+    # shuffles only the chain (for the reach join) and the jump table's
+    # targets (for the composition), not the bucketed side.
+    n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    jump = bucketed_table(
+        rows.where(F.col("nxt").isNotNull()).select(F.col("idx").alias("i"), F.col("nxt").alias("j")), "i", n, "jump")
     chain = runs.select(F.col("run_first").alias("i"))
     for _ in range(steps):
         reached = chain.join(jump, "i").select(F.col("j").alias("i"))
         chain = cut_lineage(chain.unionByName(reached).distinct())
         nxt2 = jump.alias("a").join(jump.alias("b"), F.col("a.j") == F.col("b.i")).select(
             F.col("a.i").alias("i"), F.col("b.j").alias("j"))
-        jump = cut_lineage(nxt2)
+        jump = bucketed_table(nxt2, "i", n, "jump")
     misses = chain.select(F.col("i").alias("idx"), F.lit(True).alias("miss"))
     rows = rows.join(misses, "idx", "left").withColumn("miss", F.coalesce("miss", F.lit(False)))
 

@@ -64,3 +64,16 @@ def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def bucketed_table(df, key: str, buckets: int, label: str):
+    """Write ``df`` as a table bucketed by ``key`` in the shared checkpoint
+    folder and read it back.  Joins on ``key`` against it then shuffle only
+    the other side; the write also cuts lineage (a reliable copy)."""
+    import uuid
+
+    spark = df.sparkSession
+    name = f"webledger_{label}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
