@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.urls import host, path, site_of
-from webledger.session import bucketed_table, cut_lineage
+from webledger.session import bucketed_table, cut_lineage, drop_bucketed
 
 
 def _any(patterns: list[str]) -> str:
@@ -99,7 +99,9 @@ def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None
         nxt = cut_lineage(reached.join(visited.select("node"), "node", "left_anti"))
         if nxt.isEmpty():
             break
+        previous = visited
         visited = bucketed_table(visited.unionByName(nxt.withColumn("depth", F.lit(d))), "node", n, "visited")
+        drop_bucketed(previous)
         frontier = nxt
     if limit is not None:
         visited = visited.orderBy("depth", "node").limit(limit)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from webledger.functions.exprs import epoch_micros, iso_millis, num_text
 from webledger.operators.windows import prefix_scan
-from webledger.session import bucketed_table, cut_lineage
+from webledger.session import bucketed_table, cut_lineage, drop_bucketed
 
 HOUR_US = 3_600_000_000
 
@@ -88,7 +88,9 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
         chain = cut_lineage(chain.unionByName(reached).distinct())
         nxt2 = jump.alias("a").join(jump.alias("b"), F.col("a.j") == F.col("b.i")).select(
             F.col("a.i").alias("i"), F.col("b.j").alias("j"))
+        previous = jump
         jump = bucketed_table(nxt2, "i", n, "jump")
+        drop_bucketed(previous)
     misses = chain.select(F.col("i").alias("idx"), F.lit(True).alias("miss"))
     rows = rows.join(misses, "idx", "left").withColumn("miss", F.coalesce("miss", F.lit(False)))
 

@@ -76,4 +76,14 @@ def bucketed_table(df, key: str, buckets: int, label: str):
     name = f"webledger_{label}_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
     df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._webledger_table = name  # so a superseded copy can be dropped from the catalog
+    return out
+
+
+def drop_bucketed(df) -> None:
+    """Forget a superseded ``bucketed_table`` in the catalog (external table:
+    the files stay in the scratch folder)."""
+    name = getattr(df, "_webledger_table", None)
+    if name:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
