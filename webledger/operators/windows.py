@@ -49,22 +49,19 @@ def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Co
 
     ``values`` maps an output name to ("sum" | "max", column).  The rows are
     range-partitioned by the full order (a hot key spans many partitions),
-    numbered inside each partition, and materialised once - as a table
-    bucketed by partition id, so the partition boundaries stay fixed and the
-    steps below need no further shuffle of the rows.  Per-partition totals form a table with
+    numbered inside each partition, and materialised once so that the
+    partition boundaries stay fixed.  (A table bucketed by partition id would
+    save the window's shuffle, but its write costs more than the shuffle at
+    the sizes measured here.)  Per-partition totals form a table with
     one row per partition - bounded by the partition count, hence broadcast -
     whose exclusive prefix is added to a window that runs inside one
     partition.
     """
-    from webledger.session import bucketed_table
+    from webledger.session import cut_lineage
 
     cols = {f"_v_{k}": c for k, (_, c) in values.items()}
     s = df.withColumns(cols).orderBy(*order)
-    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    # Materialised bucketed by partition id: the per-partition totals and the
-    # window inside each partition then need no further shuffle.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = bucketed_table(s, "_pid", n, "scan")
+    s = cut_lineage(s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     aggs = []
     for k, (how, _) in values.items():
         fn = F.sum if how == "sum" else F.max
