@@ -79,30 +79,33 @@ def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None
           buckets: int | None = None) -> DataFrame:
     """D3: breadth-first reach from many seeds at once with minimum depth.
 
-    The edge table is written once bucketed by source, and the visited set is
-    re-written bucketed by node after every hop; both live in the shared
-    checkpoint folder.  A hop is then an equi join of the (small) frontier
-    with the edges and an anti join with the visited set, and only the
-    frontier is shuffled - never the edges or the visited set.  Only the
-    frontier's emptiness reaches the driver.  ``limit`` is applied after the
-    whole hop by (depth, node), so the result does not depend on
-    partitioning.
+    Edges are written once as a table bucketed by source, and each hop's
+    newly reached nodes are written once as a layer bucketed by node, all in
+    the shared checkpoint folder.  A hop joins the frontier (the last layer)
+    with the edges and anti-joins the reached nodes against every earlier
+    layer; all of those sides are bucketed on the node, so the only shuffle
+    of a hop is the reached nodes' ``distinct``, and nothing is rewritten:
+    every node is written once.  Only a layer's emptiness reaches the driver.
+    ``limit`` is applied after the whole hop by (depth, node), so the result
+    does not depend on partitioning.
     """
     spark = edges.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = bucketed_table(edges.select(F.col("src").alias("node"), F.col("dst")), "node", n, "edges")
-    visited = bucketed_table(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "node", n,
-                             "visited")
-    frontier = visited.select("node")
+    layers = [bucketed_table(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "node", n, "layer")]
     for d in range(1, max_depth + 1):
-        reached = frontier.join(e, "node").select(F.col("dst").alias("node")).distinct()
-        nxt = cut_lineage(reached.join(visited.select("node"), "node", "left_anti"))
-        if nxt.isEmpty():
+        reached = layers[-1].select("node").join(e, "node").select(F.col("dst").alias("node")).distinct()
+        for layer in layers:
+            reached = reached.join(layer.select("node"), "node", "left_anti")
+        layer = bucketed_table(reached.withColumn("depth", F.lit(d)), "node", n, "layer")
+        if layer.isEmpty():
+            drop_bucketed(layer)
             break
-        previous = visited
-        visited = bucketed_table(visited.unionByName(nxt.withColumn("depth", F.lit(d))), "node", n, "visited")
-        drop_bucketed(previous)
-        frontier = nxt
+        layers.append(layer)
+    drop_bucketed(e)
+    visited = layers[0]
+    for layer in layers[1:]:
+        visited = visited.unionByName(layer)
     if limit is not None:
         visited = visited.orderBy("depth", "node").limit(limit)
     return visited
