@@ -91,7 +91,9 @@ def estimate_cost(df: DataFrame, enhanced: Column | None = None) -> DataFrame:
     optionally adds the declared (never applied) enhanced surcharge.
     """
     tool = F.col("tool")
-    base = base_credits(tool)
+    # The rate is computed once per row, not inlined into every expression below.
+    df = df.withColumn("_base", base_credits(tool))
+    base = F.col("_base")
     fmts = F.coalesce(F.col("formats"), F.array(F.lit("markdown")))
     has_json = F.array_contains(fmts, "json")
     has_shot = F.array_contains(fmts, "screenshot")
@@ -180,7 +182,7 @@ def estimate_cost(df: DataFrame, enhanced: Column | None = None) -> DataFrame:
             "alternative_savings": savings,
             "tip": tip,
         }
-    )
+    ).drop("_base")
 
 
 def priced_requests(requests: DataFrame) -> DataFrame:
