@@ -1,7 +1,6 @@
 """Key pools: ranking ties, selection, rotation, ledger updates, allocation."""
 
 from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from webledger.operators import pool
 

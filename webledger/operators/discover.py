@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.urls import host, path, site_of
-from webledger.session import bucketed_table, cut_lineage, drop_bucketed
+from webledger.session import bucketed_table, drop_bucketed
 
 
 def _any(patterns: list[str]) -> str:
