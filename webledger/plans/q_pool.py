@@ -73,20 +73,23 @@ def n1_keys_with_usage(v):
 
 
 @query("n2_add_fallback_key", f"""
-select key_id, account_id, name, key_text, priority, false as matches_disabled from keys where {_ELIGIBLE}
+select key_id, account_id, name, sha256(key_text) as key_hash, priority, false as matches_disabled from keys where {_ELIGIBLE}
 union all
-select cast(null as bigint), f.account_id, 'env-default', f.key_text, 999,
+select cast(null as bigint), f.account_id, 'env-default', sha256(f.key_text), 999,
   exists (select 1 from keys k where k.account_id = f.account_id and k.key_text = f.key_text
           and coalesce(k.disabled, false))
 from fallback_keys f
 where not exists (select 1 from keys e where e.account_id = f.account_id and e.key_text = f.key_text and {_ELIGIBLE.replace('disabled', 'e.disabled').replace('key_text', 'e.key_text')})
 """)
 def n2_add_fallback_key(v):
-    return pool.add_fallback_key(v.keys, fallback_keys(v))
+    # Reports show key hashes, never key texts (only R6 shows a masked key).
+    out = pool.add_fallback_key(v.keys, fallback_keys(v))
+    return out.select("key_id", "account_id", "name", pool.key_hash(F.col("key_text")).alias("key_hash"), "priority",
+                      "matches_disabled")
 
 
 @query("n3_insert_new_keys", """
-select f.candidate_id, f.account_id, f.key_text,
+select f.candidate_id, f.account_id, sha256(f.key_text) as key_hash,
   concat('key-', greatest(coalesce(s.n, 0), coalesce(s.max_suffix, 0))
                  + row_number() over (partition by f.account_id order by f.candidate_id)) as name,
   cast(coalesce(s.n, 0) + row_number() over (partition by f.account_id order by f.candidate_id) as int) as priority,
@@ -99,7 +102,9 @@ left join (select account_id, count(*) as n,
 where not exists (select 1 from keys k where k.account_id = f.account_id and k.key_text = f.key_text)
 """)
 def n3_insert_new_keys(v):
-    return pool.insert_new_keys(v.keys, v.key_candidates)
+    out = pool.insert_new_keys(v.keys, v.key_candidates)
+    return out.select("candidate_id", "account_id", pool.key_hash(F.col("key_text")).alias("key_hash"), "name",
+                      "priority", "monthly_quota", "disabled")
 
 
 @query("n4_remove_keys_remaining", """
