@@ -47,3 +47,22 @@ def test_top_k_is_a_distributed_take_ordered(spark, sf):
 
 def test_tree_filter_is_the_only_python_stage(spark, sf):
     assert "MapInPandas" in plan(Q["e7_filter_tags_tree"](spark, sf))
+
+
+def test_crawl_hop_does_not_shuffle_the_edges(spark, sf):
+    from pyspark.sql import functions as F
+
+    from webledger.session import bucketed_table
+    from webledger.sources.fixtures import Views
+
+    v = Views(spark, sf)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = bucketed_table(v.link_edges.select(F.col("src").alias("node"), "dst"), "node", n, "edges")
+    layer = bucketed_table(v.table("pages").select(F.col("page_id").alias("node")), "node", n, "layer")
+    # At scale neither side is broadcast; check the plan under that condition.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(layer.join(edges, "node"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in p and p.count("Bucketed: true") >= 2

@@ -313,3 +313,19 @@ where rank <= 3
 """)
 def d8_select_pages(v):
     return D.select_pages(v.table("pages").select("url"), "/en/", 3).select("url", "site", "rank")
+
+
+@query("f2_filter_scope_allow_backward", f"""
+select page_id, pos, link, {host_sql('link')} <> {host_sql('page_url')} as is_external,
+  not starts_with({path_sql('link')}, regexp_replace({path_sql('page_url')}, '[^/]*$', '')) as is_backward,
+  {host_sql('link')} = {host_sql('page_url')} as in_scope
+from page_links
+""")
+def f2_filter_scope_allow_backward(v):
+    out = D.filter_scope(page_links(v), allow_backward=True)
+    return out.select("page_id", "pos", "link", "is_external", "is_backward", "in_scope")
+
+
+@query("d2_url_sources_ignore_sitemap", "select link as url, 'link' as sources from page_links group by link")
+def d2_url_sources_ignore_sitemap(v):
+    return D.url_sources(v.table("pages"), page_links(v), ignore_sitemap=True)
