@@ -93,3 +93,13 @@ def test_allocation_never_exceeds_capacity_and_covers_demand(spark):
     assert per_key[3] <= 6 and per_key[1] <= 10 and per_key[2] <= 15
     assert sum(per_key.values()) == 49
     assert per_key[None] == 49 - 31  # overflow beyond every key stays unallocated
+
+
+def test_skew_safe_ranking_equals_the_window(spark, sf):
+    from webledger.sources.fixtures import Views
+
+    keys = pool.eligible_keys(Views(spark, sf).keys)
+    for strategy in pool.STRATEGIES + ("unknown",):
+        a = {r.key_id: r.rank for r in pool.rank_keys(keys, strategy).collect()}
+        b = {r.key_id: r.rank for r in pool.rank_keys(keys, strategy, skew_safe=True).collect()}
+        assert a == b, strategy

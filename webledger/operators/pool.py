@@ -47,21 +47,28 @@ def unexhausted(keys: DataFrame, auto_disable: bool = True) -> DataFrame:
     return keys.where(~exhausted(auto_disable))
 
 
-def rank_keys(keys: DataFrame, strategy: str = "quota-first", pool: str = "account_id", out: str = "rank") -> DataFrame:
+def rank_keys(keys: DataFrame, strategy: str = "quota-first", pool: str = "account_id", out: str = "rank",
+              skew_safe: bool = False) -> DataFrame:
     """Rank per pool.  Ties keep input order (``key_id``); an unknown
-    strategy keeps input order."""
+    strategy keeps input order.
+
+    ``skew_safe`` ranks with a running count over the global prefix scan
+    instead of a window per pool, for pools too large for one task (key
+    tables are normally small, so the window is the default)."""
+    rem = F.coalesce(
+        F.col("remaining_credits").cast("double"), F.col("monthly_quota").cast("double"), F.lit(float("inf"))
+    )
     if strategy == "quota-first":
-        rem = F.coalesce(
-            F.col("remaining_credits").cast("double"), F.col("monthly_quota").cast("double"), F.lit(float("inf"))
-        )
-        order = [rem.desc(), F.col("priority").asc(), F.col("key_id").asc()]
+        asc = [-rem, F.col("priority"), F.col("key_id")]
     elif strategy == "priority":
-        order = [F.col("priority").asc(), F.col("key_id").asc()]
+        asc = [F.col("priority"), F.col("key_id")]
     elif strategy == "round-robin":
-        order = [F.coalesce(F.col("last_checked"), F.lit("")).asc(), F.col("key_id").asc()]
+        asc = [F.coalesce(F.col("last_checked"), F.lit("")), F.col("key_id")]
     else:
-        order = [F.col("key_id").asc()]
-    return keys.withColumn(out, F.row_number().over(Window.partitionBy(pool).orderBy(*order)).cast("bigint"))
+        asc = [F.col("key_id")]
+    if skew_safe:
+        return running_sum(keys, [pool], asc, F.lit(1), out=out).withColumn(out, F.col(out).cast("bigint"))
+    return keys.withColumn(out, F.row_number().over(Window.partitionBy(pool).orderBy(*asc)).cast("bigint"))
 
 
 def select_key(ranked: DataFrame, start: int = 0, pool: str = "account_id", auto_disable: bool = True) -> DataFrame:
