@@ -73,9 +73,10 @@ def rank_keys(keys: DataFrame, strategy: str = "quota-first", pool: str = "accou
 
 def select_key(ranked: DataFrame, start: int = 0, pool: str = "account_id", auto_disable: bool = True) -> DataFrame:
     """R2: first usable key scanning the ring from ``start``; null when every
-    key of the pool is exhausted."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(pool))
-    scan = ranked.withColumn("_pos", F.pmod(F.col("rank") - 1 - F.lit(start), n))
+    key of the pool is exhausted.  Ring size and choice are partial
+    aggregates per pool (no window)."""
+    n = ranked.groupBy(pool).agg(F.count(F.lit(1)).alias("_n"))
+    scan = ranked.join(n, pool).withColumn("_pos", F.pmod(F.col("rank") - 1 - F.lit(start), F.col("_n")))
     ok = ~exhausted(auto_disable)
     return scan.groupBy(pool).agg(
         F.min(F.when(ok, F.struct(F.col("_pos"), F.col("key_id")))).getField("key_id").alias("selected_key_id")
@@ -84,11 +85,14 @@ def select_key(ranked: DataFrame, start: int = 0, pool: str = "account_id", auto
 
 def next_key(ranked: DataFrame, pool: str = "account_id") -> DataFrame:
     """The key after each key in the ring (no exhaustion test); null for
-    a one-key pool."""
-    w = Window.partitionBy(pool).orderBy("rank")
-    whole = Window.partitionBy(pool)
-    nxt = F.coalesce(F.lead("key_id").over(w), F.min_by("key_id", "rank").over(whole))
-    return ranked.withColumn("next_key_id", F.when(F.count(F.lit(1)).over(whole) > 1, nxt))
+    a one-key pool.  An equi join on rank + 1, wrapping to the pool's first
+    key (no window)."""
+    succ = ranked.select(pool, (F.col("rank") - 1).alias("rank"), F.col("key_id").alias("_succ"))
+    ring = ranked.groupBy(pool).agg(F.count(F.lit(1)).alias("_n"), F.min_by("key_id", "rank").alias("_first"))
+    j = ranked.join(succ, [pool, "rank"], "left").join(ring, pool)
+    return j.withColumn(
+        "next_key_id", F.when(F.col("_n") > 1, F.coalesce(F.col("_succ"), F.col("_first")))
+    ).drop("_succ", "_n", "_first")
 
 
 def resolve_attempts(attempts: DataFrame) -> DataFrame:
