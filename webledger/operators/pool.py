@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.exprs import num_text
-from webledger.operators.windows import running_sum
+from webledger.operators.windows import running_sum, running_sums
 from webledger.session import cut_lineage
 
 FALLBACK_PRIORITY = 999
@@ -202,8 +202,8 @@ def insert_new_keys(keys: DataFrame, candidates: DataFrame, pool: str = "account
             F.max(F.regexp_extract("name", r"^key-([0-9]+)$", 1).try_cast("bigint")), F.lit(0)
         ).alias("_max_suffix"),
     )
-    i = F.row_number().over(Window.partitionBy(pool).orderBy("candidate_id"))
-    added = fresh.join(sizes, pool, "left").withColumn("_i", i)
+    # i-th accepted candidate of its pool: a running count (no window per pool).
+    added = running_sum(fresh.join(sizes, pool, "left"), [pool], ["candidate_id"], F.lit(1), out="_i")
     n = F.coalesce(F.col("_n"), F.lit(0))
     return added.select(
         "candidate_id",
@@ -319,10 +319,13 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool:
     d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
         "request_id", pool, "credits", "d0", "d1"))
     cap = F.greatest(F.lit(0), F.coalesce(F.col("remaining_credits"), F.col("monthly_quota") - F.col("used_credits")))
-    kw = Window.partitionBy(pool).orderBy(F.col("capacity").asc_nulls_last(), F.col("key_id"))
+    # Keys in ascending capacity (unknown capacity last), as a running
+    # capacity and a running count - one prefix scan, no window per pool.
     k = keys.select("key_id", F.col("account_id").alias(pool), cap.alias("capacity"))
-    k = k.withColumn("_run", F.sum("capacity").over(kw.rowsBetween(Window.unboundedPreceding, 0)))
-    k = k.withColumn("_rn", F.row_number().over(kw))
+    k = running_sums(
+        k, [pool], [F.col("capacity").isNull().cast("int"), F.coalesce(F.col("capacity"), F.lit(0)), "key_id"],
+        {"_run": F.coalesce(F.col("capacity"), F.lit(0)), "_rn": F.lit(1)},
+    ).withColumn("_run", F.when(F.col("capacity").isNotNull(), F.col("_run")))
     fin = k.groupBy(pool).agg(
         F.coalesce(F.sum("capacity"), F.lit(0)).alias("finite_capacity"),
         F.count(F.when(F.col("capacity").isNotNull(), 1)).alias("_n_finite"),

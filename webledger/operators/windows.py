@@ -14,34 +14,54 @@ from pyspark.sql import functions as F
 
 
 
-def running_sum(
+def running_sums(
     df: DataFrame,
     part: list[str],
     order: list[Column | str],
-    value: Column | str,
-    out: str = "running",
+    values: dict[str, Column | str],
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` over ``order`` within ``part``.
+    """Inclusive running sums of several ``values`` (output name -> column)
+    over ``order`` within ``part``, from one prefix scan.
 
     ``part`` + ``order`` must be a total order (end ``order`` with a unique
-    id).  One global prefix sum runs over the whole table in that order
-    (``prefix_scan``: range-partitioned, so a key holding a third of the rows
-    is spread over many tasks); a key's running sum is the global one minus
-    the global sum just before the key's first row, a per-key minimum that
-    aggregates map-side.
+    id).  One global prefix sum per value runs over the whole table in that
+    order (``prefix_scan``: range-partitioned, so a key holding a third of
+    the rows is spread over many tasks); a key's running sum is the global
+    one minus the global sum just before the key's first row, a per-key
+    minimum that aggregates map-side.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    names = [o if isinstance(o, str) else None for o in order]
-    tagged = df.withColumn("_v", v)
-    if any(n is None for n in names):
-        for i, o in enumerate(order):
-            if not isinstance(o, str):
-                tagged = tagged.withColumn(f"_o{i}", o)
-        names = [n if n is not None else f"_o{i}" for i, n in enumerate(names)]
-    scanned = prefix_scan(tagged, [*part, *names], {"_g": ("sum", F.col("_v"))})
-    offsets = scanned.groupBy(*part).agg(F.min(F.col("_g") - F.col("_v")).alias("_before"))
-    drop = ["_v", "_g", "_before"] + [n for n in names if n.startswith("_o")]
-    return scanned.join(offsets, part).withColumn(out, F.col("_g") - F.col("_before")).drop(*drop)
+    tagged = df
+    names = []
+    for i, o in enumerate(order):
+        if isinstance(o, str):
+            names.append(o)
+        else:
+            tagged = tagged.withColumn(f"_o{i}", o)
+            names.append(f"_o{i}")
+    vals = {}
+    for k, c in values.items():
+        tagged = tagged.withColumn(f"_v_{k}", F.col(c) if isinstance(c, str) else c)
+        vals[f"_g_{k}"] = ("sum", F.col(f"_v_{k}"))
+    scanned = prefix_scan(tagged, [*part, *names], vals)
+    offsets = scanned.groupBy(*part).agg(
+        *[F.min(F.col(f"_g_{k}") - F.col(f"_v_{k}")).alias(f"_b_{k}") for k in values]
+    )
+    out = scanned.join(offsets, part)
+    for k in values:
+        out = out.withColumn(k, F.col(f"_g_{k}") - F.col(f"_b_{k}"))
+    drop = [c for k in values for c in (f"_v_{k}", f"_g_{k}", f"_b_{k}")] + [n for n in names if n.startswith("_o")]
+    return out.drop(*drop)
+
+
+def running_sum(
+    df: DataFrame,
+    part: list[str],
+    order: list[Column | str],
+    value: Column | str,
+    out: str = "running",
+) -> DataFrame:
+    """One running sum (see ``running_sums``)."""
+    return running_sums(df, part, order, {out: value})
 
 
 def prefix_scan(df: DataFrame, order: list[str], values: dict[str, tuple[str, Column]]) -> DataFrame:
