@@ -3,7 +3,8 @@ and print one JSON line.
 
 Each query runs to completion into Spark's ``noop`` sink (the whole plan
 executes, nothing is collected to the driver).  ``BENCH_ALL=1`` times every
-registered query instead of the headline set.
+registered query instead of the headline set; ``BENCH_QUERIES=a,b`` times the
+named ones.
 """
 
 from __future__ import annotations
@@ -55,7 +56,11 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").groupBy("event_type").count().collect()
 
     queries = all_queries()
-    names = sorted(queries) if os.environ.get("BENCH_ALL") == "1" else HEADLINE
+    chosen = os.environ.get("BENCH_QUERIES")
+    if chosen:
+        names = [n.strip() for n in chosen.split(",") if n.strip()]
+    else:
+        names = sorted(queries) if os.environ.get("BENCH_ALL") == "1" else HEADLINE
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
