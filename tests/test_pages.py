@@ -77,3 +77,19 @@ def test_schedule_slots_follow_the_monitor_timezone(spark):
     # every interval is at least five minutes
     fast = spark.createDataFrame([(3, 1)], "monitor_id long, every_minutes int")
     assert M.schedule_slots(fast, "2024-01-01 00:00:00", "2024-01-01 01:00:00").count() == 12
+
+
+def test_extract_json_custom_fields(spark):
+    doc = '<html lang="fr"><head><title>A &amp; B</title></head><body><h1>Big <b>news</b></h1><p>x</p></body></html>'
+    fields = {"title": H.TITLE_PATTERN, "heading": H.H1_PATTERN, "lang": H.LANG_PATTERN,
+              "missing": r"(?is)<nope>(.*?)</nope>"}
+    r = E.extract_json(_pages(spark, [doc]), fields).first()
+    assert (r.title, r.heading, r.lang, r.missing) == ("A & B", "Big news", "fr", None)
+    assert r.json == '{"title":"A & B","heading":"Big news","lang":"fr"}'  # absent fields omitted
+
+
+def test_main_content_falls_back_to_body_without_chrome(spark):
+    with_article = "<body><nav>menu</nav><article><p>core</p></article><footer>f</footer></body>"
+    without = "<body><header>h</header><nav>menu</nav><p>core</p><footer>f</footer></body>"
+    got = [r.main_html for r in E.main_content(_pages(spark, [with_article, without])).orderBy("page_id").collect()]
+    assert got == ["<p>core</p>", "<p>core</p>"]
