@@ -103,3 +103,26 @@ def test_skew_safe_ranking_equals_the_window(spark, sf):
         a = {r.key_id: r.rank for r in pool.rank_keys(keys, strategy).collect()}
         b = {r.key_id: r.rank for r in pool.rank_keys(keys, strategy, skew_safe=True).collect()}
         assert a == b, strategy
+
+
+def test_fallback_key_rules(spark):
+    k = _keys(spark, [
+        (1, 0, "a", "wk-aaaa", 1, None, None, 0, "", False),
+        (2, 1, "b", "wk-bbbb", 1, None, None, 0, "", True),   # disabled
+    ])
+    fb = spark.createDataFrame([(0, "wk-aaaa"), (1, "wk-bbbb"), (2, "wk-cccc")], "account_id int, key_text string")
+    got = {(r.account_id, r.key_text): (r.name, r.priority, r.matches_disabled) for r in pool.add_fallback_key(k, fb).collect()}
+    assert (0, "wk-aaaa") in got and got[(0, "wk-aaaa")][0] == "a"      # already eligible: not added
+    assert got[(1, "wk-bbbb")] == ("env-default", 999, True)             # equal to a disabled key: re-added, flagged
+    assert got[(2, "wk-cccc")] == ("env-default", 999, False)
+
+
+def test_insert_new_keys_rules(spark):
+    k = _keys(spark, [(1, 0, "key-3", "wk-old", 1, None, None, 0, "", False),
+                      (2, 0, "x", "wk-x", 2, None, None, 0, "", False)])
+    cands = spark.createDataFrame([(10, 0, "wk-new", 700), (11, 0, "wk-old", 5), (12, 0, "wk-new", 9),
+                                   (13, 0, "wk-two", None)],
+                                  "candidate_id long, account_id int, key_text string, plan_credits long")
+    got = {r.candidate_id: (r.name, r.priority, r.monthly_quota) for r in pool.insert_new_keys(k, cands).collect()}
+    # duplicates (existing text, or repeated in the batch) are rejected; names continue after key-3
+    assert got == {10: ("key-4", 3, 700), 13: ("key-5", 4, 1000)}
