@@ -70,3 +70,12 @@ def test_dedupe_batch_fetches_each_key_once(spark):
     )
     out = cache.dedupe_batch(df, F.col("day"), ["url", "format"]).collect()
     assert sorted(r.request_id for r in out if r.is_fetch) == [1, 3, 4]
+
+
+def test_record_fetches_last_write_wins(spark):
+    w = spark.createDataFrame([
+        ("u", "scrape", "json", T0, 5, 1), ("u", "crawl", None, T0 + dt.timedelta(hours=1), 1, 2),
+        ("v", "map", "markdown", T0, 1, 3),
+    ], "url string, tool string, format string, ts timestamp_ntz, credits long, request_id long")
+    got = {r.url: (r.tool, r.format, r.credits, r.n_writes, r.credits_written) for r in cache.record_fetches(w).collect()}
+    assert got == {"u": ("crawl", "markdown", 1, 2, 6), "v": ("map", "markdown", 1, 1, 1)}

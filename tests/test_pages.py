@@ -1,5 +1,7 @@
 """Pages: extraction on synthetic HTML, tree-mode tag filter, crawl depth."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from webledger.functions import html as H
@@ -93,3 +95,17 @@ def test_main_content_falls_back_to_body_without_chrome(spark):
     without = "<body><header>h</header><nav>menu</nav><p>core</p><footer>f</footer></body>"
     got = [r.main_html for r in E.main_content(_pages(spark, [with_article, without])).orderBy("page_id").collect()]
     assert got == ["<p>core</p>", "<p>core</p>"]
+
+
+def test_monitor_paging_rules(spark):
+    import pytest
+
+    from webledger.operators import monitor as M
+
+    m = spark.createDataFrame([(i, f"m{i}") for i in range(40)], "monitor_id long, name string")
+    c = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), "same")],
+                              "check_id long, monitor_id long, checked_at timestamp_ntz, outcome string")
+    assert M.list_monitors(m, c, limit=0).count() == 25          # a zero limit is not sent: default 25
+    assert [r.monitor_id for r in M.list_monitors(m, c, limit=5, offset=38).collect()] == [38, 39]
+    with pytest.raises(ValueError):
+        M.list_monitors(m, c, limit=101)

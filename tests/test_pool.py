@@ -126,3 +126,15 @@ def test_insert_new_keys_rules(spark):
     got = {r.candidate_id: (r.name, r.priority, r.monthly_quota) for r in pool.insert_new_keys(k, cands).collect()}
     # duplicates (existing text, or repeated in the batch) are rejected; names continue after key-3
     assert got == {10: ("key-4", 3, 700), 13: ("key-5", 4, 1000)}
+
+
+def test_mark_exhausted_needs_a_rotation_and_a_usage_row(spark):
+    k = _keys(spark, [(1, 0, "a", "x1", 1, None, 50, 0, "", False), (2, 0, "b", "x2", 1, None, 50, 0, "", False),
+                      (3, 0, "c", "x3", 1, None, 50, None, "", False)])
+    a = spark.createDataFrame([
+        (1, 1, 1, 429, "Monthly usage limit reached"), (1, 2, 2, 200, "ok"),   # rotated: key 1 exhausted
+        (2, 1, 2, 429, "quota exceeded"),                                      # no rotation: unchanged
+        (3, 1, 3, 429, "Quota Exceeded"), (3, 2, 1, 200, "ok"),                # no usage row: unchanged
+    ], "request_id int, attempt int, key_id long, http_status int, body string")
+    got = {r.key_id: (r.remaining_credits, r.marked_exhausted) for r in pool.mark_exhausted(k, a).collect()}
+    assert got == {1: (0, True), 2: (50, False), 3: (50, False)}
