@@ -109,3 +109,30 @@ def test_monitor_paging_rules(spark):
     assert [r.monitor_id for r in M.list_monitors(m, c, limit=5, offset=38).collect()] == [38, 39]
     with pytest.raises(ValueError):
         M.list_monitors(m, c, limit=101)
+
+
+def test_crawl_status_and_results(spark):
+    jobs = spark.createDataFrame([(1,), (2,), (3,)], "job_id long")
+    t = dt.datetime(2024, 1, 1)
+    jp = spark.createDataFrame([
+        (1, 1, 10, "completed", 2, t), (1, 2, 11, "completed", 3, t + dt.timedelta(days=1)),
+        (2, 1, 20, "completed", 4, t), (2, 2, 21, "pending", 9, t), (2, 3, 22, "completed", 1, t),
+    ], "job_id long, page_no int, page_ref long, status string, credits long, updated_at timestamp_ntz")
+    got = {r.job_id: (r.status, r.completed, r.total, r.credits_used) for r in D.crawl_status(jobs, jp).collect()}
+    assert got == {1: ("completed", 2, 2, 5), 2: ("scraping", 2, 3, 5), 3: ("pending", 0, 0, 0)}
+    page = D.crawl_results(jp, spark.createDataFrame([(2,)], "job_id long"), limit=1, offset=1).collect()
+    assert [(r.job_id, r.page_no) for r in page] == [(2, 3)]   # completed pages only, second one
+
+
+def test_path_and_scope_filters(spark):
+    urls = spark.createDataFrame([("https://s.test/en/a",), ("https://s.test/en/b.html",), ("https://s.test/fr/c",)],
+                                 "url string")
+    kept = sorted(r.url for r in D.filter_paths(urls, include=["^/en/"], exclude=[r"\.html$"]).collect())
+    assert kept == ["https://s.test/en/a"]
+    links = spark.createDataFrame([("https://s.test/docs/a", "https://s.test/docs/b"),
+                                   ("https://s.test/docs/a", "https://s.test/blog/c"),
+                                   ("https://s.test/docs/a", "https://other.test/docs/d")], "page_url string, link string")
+    got = [(r.is_external, r.is_backward, r.in_scope) for r in D.filter_scope(links).collect()]
+    assert got == [(False, False, True), (False, True, False), (True, False, False)]
+    got = [r.in_scope for r in D.filter_scope(links, allow_backward=True, allow_external=True).collect()]
+    assert got == [True, True, True]
