@@ -65,3 +65,27 @@ def test_request_paths_skip_zero_limit_and_offset(spark):
     got = {r.call_id: r.path for r in payload.request_paths(calls).collect()}
     assert got == {"a": "/monitor", "b": "/monitor?limit=25&offset=5", "c": "/monitor/x%20y/checks?offset=2",
                    "d": "/crawl/job%2F1", "e": "/scrape"}
+
+
+def test_url_overlap_set_operations(spark):
+    a = spark.createDataFrame([("u1",), ("u2",), ("u2",), ("u3",)], "url string")
+    b = spark.createDataFrame([("u2",), ("u4",)], "url string")
+    got = {how: sorted(r.url for r in sets.url_overlap(a, b, how).collect())
+           for how in ("both", "only_a", "only_b", "either")}
+    assert got == {"both": ["u2"], "only_a": ["u1", "u3"], "only_b": ["u4"], "either": ["u1", "u2", "u3", "u4"]}
+
+
+def test_search_changes_between_runs(spark):
+    from webledger.operators import monitor
+
+    prev = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "query_id long, doc_id long")
+    curr = spark.createDataFrame([(1, 11), (1, 12), (2, 20)], "query_id long, doc_id long")
+    got = sorted((r.query_id, r.doc_id, r.change) for r in monitor.search_changes(prev, curr).collect())
+    assert got == [(1, 10, "left"), (1, 12, "entered")]
+
+
+def test_set_budget_replaces_only_updated_accounts(spark):
+    acc = spark.createDataFrame([(1, 100), (2, 200)], "account_id long, monthly_budget long")
+    upd = spark.createDataFrame([(2, 500)], "account_id long, monthly_budget long")
+    got = {r.account_id: r.monthly_budget for r in cost.set_budget(acc, upd).collect()}
+    assert got == {1: 100, 2: 500}
