@@ -30,14 +30,16 @@ def first_use_order(df: DataFrame, group: str, item: str, ts: str, out: str) ->
 
 def url_overlap(a: DataFrame, b: DataFrame, how: str, url: str = "url") -> DataFrame:
     """URLs in both captures (``both``), only in the first (``only_a``),
-    only in the second (``only_b``) or in either (``either``)."""
+    only in the second (``only_b``) or in either (``either``), as sets."""
     ua, ub = a.select(url), b.select(url)
     if how == "both":
         return ua.intersect(ub)
+    # Set semantics (EXCEPT DISTINCT): a URL present in both captures is in
+    # neither "only" set, however often it repeats on one side.
     if how == "only_a":
-        return ua.exceptAll(ub).distinct()
+        return ua.subtract(ub)
     if how == "only_b":
-        return ub.exceptAll(ua).distinct()
+        return ub.subtract(ua)
     if how == "either":
         return ua.union(ub).distinct()
     raise ValueError(how)
