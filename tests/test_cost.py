@@ -97,3 +97,21 @@ def test_tool_adoption_status(spark):
     got = {r.account_id: r for r in cost.tool_adoption(spark.createDataFrame(rows)).collect()}
     assert got[1].status == "enabled" and got[1].valid
     assert got[2].tools == "scrape,search" and got[2].status == "partial" and not got[2].valid
+
+
+def test_increment_usage_only_for_keys_with_a_usage_row(spark):
+    priced = spark.createDataFrame([Row(key_id=1, http_status=200, estimated_credits=5),
+                                    Row(key_id=1, http_status=429, estimated_credits=5),
+                                    Row(key_id=2, http_status=200, estimated_credits=3),
+                                    Row(key_id=9, http_status=200, estimated_credits=1)])
+    keys = spark.createDataFrame([Row(key_id=1, used_credits=10), Row(key_id=2, used_credits=None)],
+                                 "key_id long, used_credits long")
+    got = {r.key_id: (r.added, r.new_used_credits) for r in cost.increment_usage(priced, keys).collect()}
+    assert got == {1: (1, 11)}  # key 2 has no usage row, key 9 is unknown
+    got = {r.key_id: r.new_used_credits for r in cost.increment_usage(priced, keys, unit="credits").collect()}
+    assert got == {1: 15}
+
+
+def test_adoption_of_an_account_with_only_unknown_tools(spark):
+    out = cost.tool_adoption(spark.createDataFrame([Row(account_id=7, tool="bogus")])).first()
+    assert (out.tools, out.n_tools, out.valid, out.status) == ("", 0, False, "disabled")

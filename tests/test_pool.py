@@ -138,3 +138,12 @@ def test_mark_exhausted_needs_a_rotation_and_a_usage_row(spark):
     ], "request_id int, attempt int, key_id long, http_status int, body string")
     got = {r.key_id: (r.remaining_credits, r.marked_exhausted) for r in pool.mark_exhausted(k, a).collect()}
     assert got == {1: (0, True), 2: (50, False), 3: (50, False)}
+
+
+def test_remove_keys_takes_the_first_of_a_repeated_name(spark):
+    k = _keys(spark, [(1, 0, "dup", "x1", 1, None, None, 0, "", False), (2, 0, "dup", "x2", 1, None, None, 0, "", False),
+                      (3, 0, "solo", "x3", 1, None, None, 0, "", False)])
+    names = spark.createDataFrame([(0, "dup"), (0, "dup"), (0, "ghost")], "account_id int, name string")
+    remaining, not_found = pool.remove_keys(k, names)
+    assert sorted(r.key_id for r in remaining.collect()) == [2, 3]
+    assert [(r.account_id, r.name) for r in not_found.collect()] == [(0, "ghost")]
