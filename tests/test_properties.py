@@ -69,3 +69,28 @@ def test_replay_equals_sequential_fold(spark, evs):
         want[rid] = hit
     assert got == want
     assert sum(got.values()) + sum(not h for h in got.values()) == len(rows)
+
+
+def test_missed_checks_tolerance_is_inclusive(spark):
+    slots = spark.createDataFrame([(1, T0), (1, T0 + dt.timedelta(hours=1)), (2, T0)],
+                                  "monitor_id long, slot_ts timestamp_ntz")
+    checks = spark.createDataFrame([(1, T0 + dt.timedelta(minutes=30)), (2, T0 + dt.timedelta(minutes=31))],
+                                   "monitor_id long, checked_at timestamp_ntz")
+    missed = sorted((r.monitor_id, r.slot_ts) for r in M.missed_checks(slots, checks, 30).collect())
+    assert missed == [(2, T0)]  # 30 minutes away still counts, 31 does not
+
+
+def test_target_validity_and_alert_recipient_cap(spark):
+    targets = spark.createDataFrame([
+        (1, None, [("search", None, None, ["q"])]),
+        (2, "g", [("scrape", ["u1", "u2"], None, None)]),
+    ], "monitor_id long, goal string, "
+       "targets array<struct<type:string, urls:array<string>, url:string, queries:array<string>>>")
+    got = sorted((r.monitor_id, r.unit, r.valid) for r in M.expand_targets(targets).collect())
+    assert got == [(1, "q", False), (2, "u1", True), (2, "u2", True)]  # search needs a goal
+    changes = spark.createDataFrame([("u1", "changed")], "url string, status string")
+    units = spark.createDataFrame([(2, "u1"), (3, "u1")], "monitor_id long, unit string")
+    notify = spark.createDataFrame([(2, True, [f"r{i}" for i in range(30)]), (3, False, ["x"])],
+                                   "monitor_id long, enabled boolean, recipients array<string>")
+    out = M.fan_out_alerts(changes, units, notify).collect()
+    assert len(out) == 25 and {r.monitor_id for r in out} == {2}
