@@ -115,3 +115,13 @@ def test_increment_usage_only_for_keys_with_a_usage_row(spark):
 def test_adoption_of_an_account_with_only_unknown_tools(spark):
     out = cost.tool_adoption(spark.createDataFrame([Row(account_id=7, tool="bogus")])).first()
     assert (out.tools, out.n_tools, out.valid, out.status) == ("", 0, False, "disabled")
+
+
+def test_budget_with_negative_balance_and_ratio_without_successes(spark):
+    priced = spark.createDataFrame([Row(account_id=1, estimated_credits=3)])
+    accounts = spark.createDataFrame([Row(account_id=1, monthly_budget=-50)])
+    r = cost.budget_status(priced, accounts).first()
+    assert (r.remaining, r.percentage, r.message) == (0, 0, "No budget set. Use setMonthlyBudget() to configure.")
+    rows = [Row(tool="crawl", estimated_credits=7, http_status=500)]
+    out = {r.tool: r.credits_per_success for r in cost.credits_per_success(spark.createDataFrame(rows)).collect()}
+    assert out == {"crawl": None, None: None}  # no successes: no ratio
