@@ -60,6 +60,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, so that
+    functions sent to them import it wherever the workers run."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="webledger-py-")) / "webledger.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
