@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webledger.llm.common import with_python
+from webledger.llm.common import table, with_python
 from webledger.llm.pretoken import PieceIds, ids_of_texts
 
 NONE = np.int32(2**31 - 1)
@@ -243,3 +243,9 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
     return with_python(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webledger.llm import lines, naming, packing
+from webledger.llm import bpe, language, lines, naming, packing, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
+    "op5_simhash_near_dedup": simhash.op5,
+    "op6_language_id": language.op6,
     "op7_packing": packing.op7,
     "op8_exact_dedup": naming.op8,
+    "op9_byte_bpe": bpe.op9,
+    "op10_top_k": topk.op10,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": lines.OP1_SQL,
     "op8_exact_dedup": naming.OP8_SQL,
+    "op10_top_k": topk.OP10_SQL,
 }
