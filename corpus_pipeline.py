@@ -12,16 +12,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm import naming, packing
+from webledger.llm import language, naming, packing, secrets, simhash
 from webledger.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``ids``."""
+    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model recognises; those it rejects go."""
+    return kept(docs, language.predict(docs, language.learn(docs)).where(~F.col("rejected")))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the smallest doc_id stays."""
-    kept = naming.exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    return kept(docs, naming.exact_groups(docs).where("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays."""
+    return kept(docs, simhash.near_groups(docs).where("doc_id = component_id"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return secrets.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +52,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
     ("packing", pack),
 ]
 

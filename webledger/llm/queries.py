@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webledger.llm import bpe, language, lines, naming, packing, simhash, topk
+from webledger.llm import bpe, html, language, licenses, lines, naming, packing, secrets, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
+    "op2_html_extraction": html.op2,
+    "op3_secret_scan": secrets.op3,
+    "op4_license_scan": licenses.op4,
     "op5_simhash_near_dedup": simhash.op5,
     "op6_language_id": language.op6,
     "op7_packing": packing.op7,
