@@ -26,7 +26,7 @@ def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model recognises; those it rejects go."""
-    return kept(docs, language.predict(docs, language.learn(docs)).where(~F.col("rejected")))
+    return language.accepted(docs.select(*COLUMNS), language.learn(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays."""
-    return kept(docs, simhash.near_groups(docs).where("doc_id = component_id"))
+    """Of documents whose fingerprints are linked, the one with the smallest
+    doc_id stays; so does each without a doc_id."""
+    return kept(docs, simhash.near_groups(docs).where("component_id is null or doc_id = component_id"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

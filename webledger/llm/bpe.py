@@ -19,6 +19,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -194,9 +195,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
     data = read_ranks(path)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":  # noqa: F821
-        import pandas as pd
-
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series([x.astype(np.int32) for x in codec(data).encode(s.fillna("").tolist())], index=s.index, dtype=object)
 
@@ -208,9 +207,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     data = read_ranks(path)
 
     @F.pandas_udf(T.BinaryType())
-    def back(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":  # noqa: F821
-        import pandas as pd
-
+    def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series([b"" if x is None else codec(data).decode(list(x)) for x in s], index=s.index, dtype=object)
 

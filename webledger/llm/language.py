@@ -199,6 +199,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not model.predict(t)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return with_python(docs).mapInArrow(run, docs.schema)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return predict(docs, learn(docs))

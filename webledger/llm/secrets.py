@@ -19,6 +19,7 @@ import functools
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -144,7 +145,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with secrets in column ``text`` replaced; a null stays null."""
 
     @F.pandas_udf("string")
-    def clean(batches: "Iterator[pd.Series]") -> "Iterator[pd.Series]":  # noqa: F821
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield s.map(lambda t: None if t is None else redacted(t, spans(t)))
 
