@@ -99,17 +99,16 @@ def test_tool_adoption_status(spark):
     assert got[2].tools == "scrape,search" and got[2].status == "partial" and not got[2].valid
 
 
-def test_increment_usage_only_for_keys_with_a_usage_row(spark):
-    priced = spark.createDataFrame([Row(key_id=1, http_status=200, estimated_credits=5),
-                                    Row(key_id=1, http_status=429, estimated_credits=5),
-                                    Row(key_id=2, http_status=200, estimated_credits=3),
-                                    Row(key_id=9, http_status=200, estimated_credits=1)])
-    keys = spark.createDataFrame([Row(key_id=1, used_credits=10), Row(key_id=2, used_credits=None)],
-                                 "key_id long, used_credits long")
-    got = {r.key_id: (r.added, r.new_used_credits) for r in cost.increment_usage(priced, keys).collect()}
-    assert got == {1: (1, 11)}  # key 2 has no usage row, key 9 is unknown
-    got = {r.key_id: r.new_used_credits for r in cost.increment_usage(priced, keys, unit="credits").collect()}
-    assert got == {1: 15}
+def test_increment_usage_counts_any_2xx_for_the_key_that_served(spark):
+    calls = spark.createDataFrame([
+        (1, 200, 10, 5), (1, 429, 11, 5), (2, 204, 12, 5), (2, 500, 13, 3), (9, 200, 14, 1), (3, 500, 15, 1)],
+        "key_id long, http_status int, ts int, estimated_credits long")
+    keys = spark.createDataFrame([(1, 10), (2, None), (3, None), (4, 7), (5, None)], "key_id long, used_credits long")
+    got = {r.key_id: (r.used_credits, r.added, r.new_used_credits, r.last_try) for r in cost.increment_usage(calls, keys).collect()}
+    # Keys 2 and 3 get a row at their first try, 4 was not asked, 5 has no row, 9 is unknown.
+    assert got == {1: (10, 1, 11, 11), 2: (0, 1, 1, 13), 3: (0, 0, 0, 15), 4: (7, 0, 7, None)}
+    got = {r.key_id: r.new_used_credits for r in cost.increment_usage(calls, keys, unit="credits").collect()}
+    assert got == {1: 15, 2: 5, 3: 0, 4: 7}
 
 
 def test_adoption_of_an_account_with_only_unknown_tools(spark):

@@ -78,19 +78,23 @@ def test_missed_checks_tolerance_is_inclusive(spark):
                                    "monitor_id long, checked_at timestamp_ntz")
     missed = sorted((r.monitor_id, r.slot_ts) for r in M.missed_checks(slots, checks, 30).collect())
     assert missed == [(2, T0)]  # 30 minutes away still counts, 31 does not
+    on_time = checks.unionByName(spark.createDataFrame([(2, T0)], "monitor_id long, checked_at timestamp_ntz"))
+    assert [r.monitor_id for r in M.missed_checks(slots, on_time, 0).collect() if r.slot_ts == T0] == [1]
 
 
-def test_target_validity_and_alert_recipient_cap(spark):
+def test_target_validity_and_too_many_recipients(spark):
     targets = spark.createDataFrame([
         (1, None, [("search", None, None, ["q"])]),
         (2, "g", [("scrape", ["u1", "u2"], None, None)]),
+        (3, "g", []), (4, "g", None), (5, "g", [("scrape", [], None, None)]), (6, "g", [("crawl", None, None, None)]),
     ], "monitor_id long, goal string, "
        "targets array<struct<type:string, urls:array<string>, url:string, queries:array<string>>>")
-    got = sorted((r.monitor_id, r.unit, r.valid) for r in M.expand_targets(targets).collect())
-    assert got == [(1, "q", False), (2, "u1", True), (2, "u2", True)]  # search needs a goal
+    got = {(r.monitor_id, r.unit, r.valid) for r in M.expand_targets(targets).collect()}
+    # A search needs a goal; monitors and targets with nothing to do stay and aren't valid.
+    assert got == {(1, "q", False), (2, "u1", True), (2, "u2", True), *((m, None, False) for m in (3, 4, 5, 6))}
     changes = spark.createDataFrame([("u1", "changed")], "url string, status string")
     units = spark.createDataFrame([(2, "u1"), (3, "u1")], "monitor_id long, unit string")
     notify = spark.createDataFrame([(2, True, [f"r{i}" for i in range(30)]), (3, False, ["x"])],
                                    "monitor_id long, enabled boolean, recipients array<string>")
     out = M.fan_out_alerts(changes, units, notify).collect()
-    assert len(out) == 25 and {r.monitor_id for r in out} == {2}
+    assert len(out) == 30 and {(r.monitor_id, r.valid) for r in out} == {(2, False)}

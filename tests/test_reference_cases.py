@@ -89,3 +89,6 @@ def test_set_budget_replaces_only_updated_accounts(spark):
     upd = spark.createDataFrame([(2, 500)], "account_id long, monthly_budget long")
     got = {r.account_id: r.monthly_budget for r in cost.set_budget(acc, upd).collect()}
     assert got == {1: 100, 2: 500}
+    upd = spark.createDataFrame([(2, 500, 1), (2, 300, 2), (7, 50, 1)], "account_id long, monthly_budget long, updated_at int")
+    got = sorted((r.account_id, r.monthly_budget) for r in cost.set_budget(acc, upd).collect())
+    assert got == [(1, 100), (2, 300), (7, 50)]  # the last update counts, a new account is added

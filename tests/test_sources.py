@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from webledger.operators import payload
+from webledger.operators import search as S
 from webledger.operators.search import parse_documents
 from webledger.sources import tables
 
@@ -28,6 +29,68 @@ def test_usage_ledger_and_missing_file(spark, tmp):
     assert (r.used_credits, r.remaining_credits, r.plan_credits) == (3, 7, None)
     assert str(r.last_checked).startswith("2024-01-02 03:04:05")
     assert tables.read_usage_ledger(spark, f"{tmp}/missing.json").count() == 0
+    doc["keys"]["wk-1"]["lastChecked"] = " "
+    json.dump(doc, open(f"{tmp}/blank.json", "w"))
+    assert tables.read_usage_ledger(spark, f"{tmp}/blank.json").first().last_checked is None
+    assert dict(tables.read_usage_ledger(spark, f"{tmp}/blank.json").dtypes)["last_checked"] == "timestamp_ntz"
+
+
+def test_line_stores_read_the_time_forms_that_occur(spark, tmp):
+    with open(f"{tmp}/cache.jsonl", "w") as f:
+        for t in ("2024-01-02T03:04:05.678Z", "2024-01-02T03:04:05.678901", "2024-01-02T03:04:05Z", "", "soon"):
+            f.write(json.dumps({"url": t or "none", "tool": "scrape", "timestamp": t, "credits": 1}) + "\n")
+    got = {r.url: str(r.cached_at) for r in tables.read_cache_lines(spark, f"{tmp}/cache.jsonl").collect()}
+    assert got == {
+        "2024-01-02T03:04:05.678Z": "2024-01-02 03:04:05.678000", "2024-01-02T03:04:05.678901": "2024-01-02 03:04:05.678901",
+        "2024-01-02T03:04:05Z": "2024-01-02 03:04:05", "none": "None", "soon": "None",
+    }
+
+
+def test_requests_cover_pages_and_keys_that_grow(spark):
+    from webledger.sources.fixtures import Views
+
+    seen = []
+    for sf in ("0.001", "0.01"):
+        v = Views(spark, f"/root/testdata/sf{sf}")
+        pages, keys = v.requests.selectExpr("count(distinct page_id)", "count(distinct key_id)").first()
+        assert pages == v.table("pages").count() and keys >= 0.9 * v.table("supplier").count()
+        seen.append((pages, keys))
+    assert seen[1][0] >= 4 * seen[0][0] and seen[1][1] >= 8 * seen[0][1]
+
+
+def test_undecodable_files_and_quoted_cells(spark):
+    rows = [("a.txt", "txt", bytearray(b"ok \xff")), ("b.csv", "csv", bytearray(b'name,"say ""hi"""\n"Doe, J",x\n"two\nlines",')),
+            ("c.json", "json", bytearray(b"{}")), ("d.pdf", "pdf", bytearray(b"%PDF")), ("e.txt", "txt", None)]
+    got = {r.file_name: (r.parsed, r.markdown) for r in S.parse_documents(
+        spark.createDataFrame(rows, "file_name string, file_type string, content binary")).collect()}
+    assert got["a.txt"] == (False, None) and got["d.pdf"] == (False, None) and got["e.txt"] == (False, None)
+    assert got["b.csv"] == (True, '| name | say "hi" |\n| --- | --- |\n| Doe, J | x |\n| two lines |  |')
+    assert got["c.json"] == (True, "```json\n{}\n```")
+
+
+def test_parse_options(spark):
+    html = b"<!DOCTYPE html><html><body><nav>menu</nav><article><h1>T</h1><p>text <a href='/x'>l</a></p></article></body></html>"
+    df = spark.createDataFrame([("p.html", "html", bytearray(html))], "file_name string, file_type string, content binary")
+    out = S.parse_documents(df, only_main_content=True, formats=F.array(F.lit("markdown"), F.lit("rawHtml"))).first()
+    assert "menu" not in out.markdown and "# T" in out.markdown and out.raw_html == html.decode() and out.links is None
+    out = S.parse_documents(df, exclude_tags=["nav"], formats=F.array(F.lit("html"))).first()
+    assert "menu" not in out.html_out and out.markdown is None
+
+
+def test_replayed_json_keys_and_null_bodies(spark):
+    df = spark.createDataFrame([(1, '{"a":1,"a":2}'), (2, None)], "id int, body string")
+    got = {r.id: (r.payload_kind, r.p) for r in payload.parse_payloads(df).select("id", "payload_kind", F.to_json("payload").alias("p")).collect()}
+    assert got == {1: ("json", '{"a":2}'), 2: ("empty", "{}")}
+
+
+def test_merging_a_cache_counts_writes_only(spark):
+    from webledger.operators import cache
+
+    w = spark.createDataFrame([("u", "scrape", "json", "2024-01-02 00:00:00", 1, 5)], "url string, tool string, format string, ts string, credits long, request_id long")
+    w = w.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    old = cache.record_fetches(w.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY")).withColumn("credits", F.lit(6)))
+    r = cache.record_fetches(w, old).first()
+    assert (r.n_writes, r.credits_written, r.credits) == (1, 1, 1)
 
 
 def test_url_cache_document(spark, tmp):

@@ -15,13 +15,31 @@ from webledger.functions.exprs import iso_millis, num_text
 CACHE_TTL_HOURS = 24
 DEFAULT_FORMAT = "markdown"
 
+# The texts of the cache's verdicts.
+NOT_CACHED = "URL not cached"
+EXPIRED = "Cache expired"
+OTHER_FORMAT = "Different format requested (cached: %s, requested: %s)"
+ALREADY = "Already scraped %s at %s (%s credits saved)"
+
+
+def verdict_text(missing: Column, expired: Column, other_format: Column, cached_format: Column, wanted: Column,
+                 tool: Column, cached_at: Column, credits: Column) -> Column:
+    """The verdict on one request, tested in this order."""
+    return (
+        F.when(missing, F.lit(NOT_CACHED))
+        .when(expired, F.lit(EXPIRED))
+        .when(other_format, F.format_string(OTHER_FORMAT, cached_format, wanted))
+        .otherwise(F.format_string(ALREADY, tool, iso_millis(cached_at), num_text(credits)))
+    )
+
 
 def record_fetches(fetches: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """K3: last write per URL wins whatever its format; ``credits_written``
     sums every write, as the running total does.
 
     ``fetches``: url, tool, format, ts, credits, request_id.  An existing
-    ``cache`` (same columns, ``cached_at`` for ts) is merged underneath.
+    ``cache`` (same columns, ``cached_at`` for ts) is merged underneath; its
+    rows are no writes and add nothing to the counts.
     """
     writes = fetches.select(
         "url", "tool", F.coalesce("format", F.lit(DEFAULT_FORMAT)).alias("format"),
@@ -31,14 +49,17 @@ def record_fetches(fetches: DataFrame, cache: DataFrame | None = None) -> DataFr
     if cache is not None:
         old = cache.select(
             "url", "tool", "format", "cached_at", "credits",
-            F.lit(-1).cast("bigint").alias("write_id"),
+            F.lit(None).cast("bigint").alias("write_id"),
         )
         writes = old.unionByName(writes)
-    order = F.struct("cached_at", "write_id")
+    order = F.struct("cached_at", F.coalesce("write_id", F.lit(-1)))
     last = F.max_by(F.struct("tool", "format", "cached_at", "credits"), order)
     return (
         writes.groupBy("url")
-        .agg(last.alias("e"), F.count(F.lit(1)).alias("n_writes"), F.sum("credits").alias("credits_written"))
+        .agg(
+            last.alias("e"), F.count("write_id").alias("n_writes"),
+            F.coalesce(F.sum(F.when(F.col("write_id").isNotNull(), F.col("credits"))), F.lit(0)).alias("credits_written"),
+        )
         .select("url", "e.tool", "e.format", "e.cached_at", "e.credits", "n_writes", "credits_written")
     )
 
@@ -58,14 +79,8 @@ def cache_lookup(probes: DataFrame, cache: DataFrame, as_of: Column, fmt: Column
     missing = F.col("_c_url").isNull()
     expired = F.col("_as_of") > F.col("_c_at") + F.expr(f"INTERVAL {CACHE_TTL_HOURS} HOURS")
     other_fmt = F.col("_c_format") != F.col("_want")
-    reason = (
-        F.when(missing, F.lit("URL not cached"))
-        .when(expired, F.lit("Cache expired"))
-        .when(other_fmt, F.format_string("Different format requested (cached: %s, requested: %s)",
-                                         F.col("_c_format"), F.col("_want")))
-        .otherwise(F.format_string("Already scraped %s at %s (%s credits saved)", F.col("_c_tool"),
-                                   iso_millis(F.col("_c_at")), num_text(F.col("_c_credits"))))
-    )
+    reason = verdict_text(missing, expired, other_fmt, F.col("_c_format"), F.col("_want"), F.col("_c_tool"),
+                          F.col("_c_at"), F.col("_c_credits"))
     skip = ~(missing | expired | other_fmt)
     return joined.withColumns({"skip": skip, "cache_reason": reason}).drop(
         "_c_url", "_c_tool", "_c_format", "_c_at", "_c_credits", "_as_of", "_want"

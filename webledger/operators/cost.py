@@ -270,9 +270,12 @@ def reset_month(priced: DataFrame, url_of: Column) -> DataFrame:
 
 
 def set_budget(accounts: DataFrame, updates: DataFrame) -> DataFrame:
-    """New budgets replace old ones by account; other accounts keep theirs."""
-    upd = updates.select("account_id", F.col("monthly_budget").alias("new_budget"))
-    return accounts.join(upd, "account_id", "left").withColumn(
+    """New budgets replace old ones by account; other accounts keep theirs
+    and new accounts are added.  Of several updates of an account the last by
+    ``updated_at`` counts, or the largest where there is no such column."""
+    order = F.struct(*[c for c in ("updated_at", "monthly_budget") if c in updates.columns])
+    upd = updates.groupBy("account_id").agg(F.max_by("monthly_budget", order).alias("new_budget"))
+    return accounts.join(upd, "account_id", "full").withColumn(
         "monthly_budget", F.coalesce("new_budget", "monthly_budget")
     ).drop("new_budget")
 
@@ -315,12 +318,17 @@ def compare_interact(priced: DataFrame, needs_login: Column) -> DataFrame:
     )
 
 
+def succeeded(status: Column) -> Column:
+    """Any 2xx answer."""
+    return (status >= 200) & (status < 300)
+
+
 def credits_per_success(priced: DataFrame) -> DataFrame:
     """C11: total credits over successful calls, two decimals truncated;
     overall (tool null) and per tool."""
     agg = priced.rollup("tool").agg(
         F.sum("estimated_credits").alias("credits"),
-        F.count_if(F.col("http_status") == 200).alias("successes"),
+        F.count_if(succeeded(F.col("http_status"))).alias("successes"),
     )
     ratio = F.when(
         F.col("successes") > 0, F.expr("(credits * 100) div successes").cast("double") / 100.0
@@ -328,21 +336,26 @@ def credits_per_success(priced: DataFrame) -> DataFrame:
     return agg.select("tool", "credits", "successes", ratio.alias("credits_per_success"))
 
 
-def increment_usage(priced: DataFrame, keys: DataFrame, unit: str = "request") -> DataFrame:
-    """Add one per successful call (or its credits) to the serving key,
-    only where the key has a usage row."""
+def increment_usage(calls: DataFrame, keys: DataFrame, unit: str = "request") -> DataFrame:
+    """Add one per successful call (or its credits) to the key that
+    served it, and note the last try of every key that was asked.
+
+    ``calls`` has a row per try: key_id, http_status, ts, estimated_credits; a
+    successful retry counts for the key it was made with.  A key without a
+    usage row gets one at its first try."""
     amount = F.lit(1) if unit == "request" else F.col("estimated_credits")
-    added = (
-        priced.where(F.col("http_status") == 200)
-        .groupBy("key_id")
-        .agg(F.sum(amount).cast("bigint").alias("added"))
+    tried = calls.groupBy("key_id").agg(
+        F.coalesce(F.sum(F.when(succeeded(F.col("http_status")), amount)), F.lit(0)).cast("bigint").alias("added"),
+        F.max("ts").alias("last_try"),
     )
-    ledger = keys.where(F.col("used_credits").isNotNull()).select("key_id", "used_credits")
-    return ledger.join(added, "key_id", "left").select(
+    ledger = keys.select("key_id", F.col("used_credits").alias("had"))
+    used = F.coalesce(F.col("had"), F.lit(0))
+    return ledger.join(tried, "key_id", "left").where(F.col("had").isNotNull() | F.col("last_try").isNotNull()).select(
         "key_id",
-        "used_credits",
+        used.cast("bigint").alias("used_credits"),
         F.coalesce("added", F.lit(0)).cast("bigint").alias("added"),
-        (F.col("used_credits") + F.coalesce("added", F.lit(0))).cast("bigint").alias("new_used_credits"),
+        (used + F.coalesce("added", F.lit(0))).cast("bigint").alias("new_used_credits"),
+        "last_try",
     )
 
 

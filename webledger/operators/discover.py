@@ -128,9 +128,9 @@ def canonical_url(url: Column) -> Column:
 
 
 def dedupe_similar_urls(urls: DataFrame, url: str = "url") -> DataFrame:
-    """One URL (the smallest) per canonical form."""
+    """One URL (the smallest) per canonical form, and how many different URLs have it."""
     return urls.groupBy(canonical_url(F.col(url)).alias("canonical")).agg(
-        F.min(url).alias("url"), F.count(F.lit(1)).alias("n_variants")
+        F.min(url).alias("url"), F.count_distinct(url).alias("n_variants")
     )
 
 

@@ -138,8 +138,8 @@ def _tree_filter(include: list[str], exclude: list[str]):
                 return
             while self.stack:
                 t = self.stack.pop()
-                closing_excluded = t in exclude
-                if not closing_excluded:
+                # Only the page's own end tags are written, none for what an outer one closes.
+                if t not in exclude and t == tag:
                     self._emit(f"</{t}>")
                 if t in include:
                     self.inc_depth -= 1
@@ -151,6 +151,12 @@ def _tree_filter(include: list[str], exclude: list[str]):
         def handle_data(self, data):
             self._emit(data)
 
+        def handle_decl(self, decl):
+            self._emit(f"<!{decl}>")
+
+        def handle_comment(self, data):
+            self._emit(f"<!--{data}-->")
+
         def handle_entityref(self, name):
             self._emit(f"&{name};")
 
@@ -199,11 +205,11 @@ def block_ads(pages: DataFrame, markers: list[str] | None = None) -> DataFrame:
 
 def scrape(pages: DataFrame, formats: Column, only_main_content: bool = False, remove_base64_images: bool = True,
            block_ads_: bool = True, include_tags: list[str] | None = None,
-           exclude_tags: list[str] | None = None) -> DataFrame:
+           exclude_tags: list[str] | None = None, keep_formats: bool = False) -> DataFrame:
     """One output column per format, null unless requested in the row's
-    ``formats`` array.  Options apply before extraction; Catalyst prunes the
-    columns a caller does not select."""
-    df = pages.withColumn("_formats", formats)
+    ``formats`` array.  Options apply before extraction, but ``rawHtml`` is
+    the page as captured; Catalyst prunes the columns a caller does not select."""
+    df = pages.withColumns({"_formats": formats, "_raw": F.col("html")})
     if remove_base64_images:
         df = strip_base64_images(df)
     if block_ads_:
@@ -221,8 +227,8 @@ def scrape(pages: DataFrame, formats: Column, only_main_content: bool = False, r
         {
             "markdown": F.when(want("markdown"), H.markdown(h)),
             "html_out": F.when(want("html"), H.clean_html(h)),
-            "raw_html": F.when(want("rawHtml"), h),
+            "raw_html": F.when(want("rawHtml"), F.col("_raw")),
             "links": F.when(want("links"), F.transform(H.links(h), lambda x: resolve(F.col("url"), x))),
             "json": F.when(want("json"), fields),
         }
-    ).drop("_formats")
+    ).drop("_raw", *([] if keep_formats else ["_formats"]))

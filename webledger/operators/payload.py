@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def parse_payloads(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Lenient parse.  Empty -> empty object, valid JSON -> a variant,
-    anything else stays raw text."""
+    """Lenient parse.  Null or empty -> empty object, valid JSON -> a
+    variant (of repeated keys the last counts, which this sets for the
+    session), anything else stays raw text."""
+    responses.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     b = F.col(body)
     parsed = F.try_parse_json(b)
     kind = (
@@ -18,7 +20,7 @@ def parse_payloads(responses: DataFrame, body: str = "body") -> DataFrame:
     )
     return responses.withColumns(
         {
-            "payload": F.when(b == "", F.parse_json(F.lit("{}"))).otherwise(parsed),
+            "payload": F.when(kind == "empty", F.parse_json(F.lit("{}"))).otherwise(parsed),
             "payload_kind": kind,
             "raw_text": F.when(kind == "text", b),
         }

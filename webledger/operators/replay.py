@@ -23,7 +23,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webledger.functions.exprs import epoch_micros, iso_millis, num_text
+from webledger.functions.exprs import epoch_micros
+from webledger.operators.cache import verdict_text
 from webledger.operators.windows import prefix_scan
 from webledger.session import bucketed_table, cut_lineage, drop_bucketed
 
@@ -111,14 +112,8 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     out = out.join(entry, F.col("seen_writer") == F.col("w_idx"), "left")
     cached = F.col("w_idx").isNotNull()
     expired = F.col("us") - F.col("w_us") > ttl
-    reason = (
-        F.when(~cached, F.lit("URL not cached"))
-        .when(expired, F.lit("Cache expired"))
-        .when(F.col("w_fmt") != F.col("fmt"),
-              F.format_string("Different format requested (cached: %s, requested: %s)", F.col("w_fmt"), F.col("fmt")))
-        .otherwise(F.format_string("Already scraped %s at %s (%s credits saved)", F.col("w_tool"),
-                                   iso_millis(F.col("w_ts")), num_text(F.col("w_credits"))))
-    )
+    reason = verdict_text(~cached, expired, F.col("w_fmt") != F.col("fmt"), F.col("w_fmt"), F.col("fmt"),
+                          F.col("w_tool"), F.col("w_ts"), F.col("w_credits"))
     return out.select("request_id", (~F.col("miss")).alias("hit"), reason.alias("reason"))
 
 

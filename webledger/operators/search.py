@@ -2,7 +2,7 @@
 
 BM25 is computed without exploding whole documents through a shuffle:
 document length is an expression on the row, tokens meet the query terms in
-a broadcast join behind a size check (no shuffle of the text), and only
+a semi join that the engine broadcasts while the terms are small, and only
 (doc, term) counts move across the network.
 """
 
@@ -17,7 +17,6 @@ from webledger.session import cut_lineage
 TOKEN_SPLIT = r"[^\p{L}0-9]+"
 K1 = 1.2
 B = 0.75
-BROADCAST_TERMS_MAX = 500_000  # distinct query terms; above this the term join shuffles
 SENTINEL = ""  # never a token: tokens are non-empty
 
 
@@ -26,35 +25,37 @@ def tokens(text: Column) -> Column:
 
 
 def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "doc_id", text: str = "text",
-           query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B) -> DataFrame:
+           query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B, seeds: int = 3) -> DataFrame:
     """Q1: BM25 (idf ln(1 + (N - df + 0.5) / (df + 0.5))), top ``limit`` per
     query; scores rounded to 6 places, ties by document id.
 
     One pass over the documents: each emits its query-term tokens plus one
     sentinel row carrying its length, so N and the average length come out
     of the same (doc, term) aggregate as the term frequencies.
+
+    No document is scored for common words alone.  A term adds less than
+    idf * (k1 + 1) to any score.  The ``seeds`` rarest terms of a query give
+    partial scores, and the ``limit``-th of these is a lower bound of what the
+    top needs.  The query's most common terms whose bounds together stay
+    below that can't bring a document in: only documents with another term
+    are candidates, and only for those the common terms are added.  The
+    result is exact.
     """
     qt = (
         queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query)))).alias("term"))
         .distinct()
     )
     terms = qt.select("term").distinct()
-    n_terms = terms.count()
     toks = tokens(F.col(text))
     sentinel = F.array(F.lit(SENTINEL))
     d = docs.select(F.col(doc_id).alias("doc_id"), toks.alias("toks"))
-    # Query terms meet document tokens in a join: broadcast while the term
-    # set is within a checked bound, shuffled beyond it.  The sentinel row of
-    # every document survives the join and carries its length.
-    flagged = terms.withColumn("_q", F.lit(True))
-    side = F.broadcast(flagged) if n_terms <= BROADCAST_TERMS_MAX else flagged
+    # The sentinel is one of the terms, so every document's length survives the join.
+    wanted = terms.unionByName(docs.sparkSession.range(1).select(F.lit(SENTINEL).alias("term")))
     hits = (
         d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", sentinel)).alias("term"))
-        .join(side, "term", "left")
-        .where(F.col("_q") | (F.col("term") == SENTINEL))
-        .drop("_q")
+        .join(wanted, "term", "left_semi")
     )
-    # The (doc, term) counts feed three consumers; Catalyst would plan each
+    # The (doc, term) counts feed several consumers; Catalyst would plan each
     # with its own pruned copy of the aggregate (and its own pass over the
     # text), so they are materialised once in the shared checkpoint folder.
     # They are far smaller than the text: matched pairs plus one row per doc.
@@ -66,33 +67,61 @@ def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "
         F.col("df").alias("n_docs"), (F.col("sum_dl") / F.col("df")).alias("avgdl"), F.lit(1).alias("_one")
     )
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = (
-        tf.join(qt, "term")
-        .join(df_.select("term", "df"), "term")
-        .withColumn("_one", F.lit(1))
+    of_term = cut_lineage(
+        df_.where(~F.col("is_sentinel")).withColumn("_one", F.lit(1))
         .join(F.broadcast(stats), "_one")  # one row: the corpus statistics
-        .withColumn(
-            "w",
-            idf * F.col("tf") * (k1 + 1)
-            / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))),
+        .select("term", idf.alias("idf"), "avgdl")
+    )
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    postings = tf.join(of_term, "term").select("term", "doc_id", weight.alias("w"))
+    # A query's terms from the rarest on, and what it and the commoner ones can add at most.
+    rarest = Window.partitionBy("query_id").orderBy(F.desc("idf"), "term")
+    commoner = rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    own = cut_lineage(
+        qt.join(of_term, "term").withColumns(
+            {"place": F.row_number().over(rarest), "can_add": F.sum(F.col("idf") * (k1 + 1)).over(commoner)}
+        ).select("query_id", "term", "place", "can_add")
+    )
+    partial = own.where(F.col("place") <= seeds).join(postings, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("s"))
+    top = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s")))
+    needed = partial.withColumn("n", top).where(F.col("n") == limit).select("query_id", F.col("s").alias("needed"))
+    own = cut_lineage(
+        own.join(needed, "query_id", "left").select(
+            "query_id", "term", F.coalesce(F.col("can_add") < F.col("needed") - 1e-5, F.lit(False)).alias("common")
         )
     )
-    scored = (
-        weighted
-        .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum("w"), 6).alias("score"))
+    first = own.where(~F.col("common")).join(postings, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("w"))
+    first = cut_lineage(first)
+    more = (
+        first.select("query_id", "doc_id").join(own.where("common").select("query_id", "term"), "query_id")
+        .join(postings, ["doc_id", "term"]).select("query_id", "doc_id", "w")
     )
+    scored = first.unionByName(more).groupBy("query_id", "doc_id").agg(F.round(F.sum("w"), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= limit)
 
 
-def search_then_scrape(results: DataFrame, pages: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
-    """``scrapeOptions`` on search - attach extraction to each result.
-    The join runs first, so only result pages are parsed."""
-    fields = fields or {"title": H.TITLE_PATTERN}
-    j = results.join(pages.select(F.col("page_id").alias("doc_id"), "html"), "doc_id", "left")
-    cols = {k: F.nullif(H.strip_inline(F.regexp_extract(F.col("html"), p, 1)), F.lit("")) for k, p in fields.items()}
-    return j.withColumns(cols).drop("html")
+def search_then_scrape(results: DataFrame, pages: DataFrame, formats: list[str] | None = None, **options) -> DataFrame:
+    """``scrapeOptions`` on search - the requested formats of each
+    result's page, and its title.  The join runs first, so only result pages
+    are parsed."""
+    from webledger.operators import extract as E
+
+    j = results.join(pages.select(F.col("page_id").alias("doc_id"), "url", "html"), "doc_id", "left")
+    title = F.nullif(H.strip_inline(F.regexp_extract(F.col("html"), H.TITLE_PATTERN, 1)), F.lit(""))
+    wanted = F.array(*[F.lit(f) for f in formats or ["markdown"]])
+    return E.scrape(j.withColumn("title", title), wanted, **options).drop("html")
+
+
+def search_filtered(docs: DataFrame, queries: DataFrame, limit: int = 10, lang: str | None = None, tbs: str | None = None,
+                    as_of: Column | None = None, ts: str = "ts", lang_col: str = "lang", **bm25) -> DataFrame:
+    """Q1 with the search's ``location`` and ``tbs``: only documents of the
+    language and of the time range are searched (and counted)."""
+    if lang is not None:
+        docs = filter_location(docs, lang, lang_col)
+    if tbs is not None:
+        docs = filter_time(docs, tbs, as_of, ts)
+    return search(docs, queries, limit, **bm25)
 
 
 TBS_INTERVALS = {"qdr:h": "1 HOUR", "qdr:d": "1 DAY", "qdr:w": "7 DAYS", "qdr:m": "1 MONTH", "qdr:y": "1 YEAR"}
@@ -102,7 +131,7 @@ def filter_time(results: DataFrame, tbs: str, as_of: Column, ts: str = "ts") ->
     """Google-style ``tbs`` time ranges relative to ``as_of``; a plain
     timestamp predicate, so it reaches the Parquet scan."""
     if tbs not in TBS_INTERVALS:
-        return results
+        raise ValueError(f"unknown time range {tbs!r}; known: {', '.join(TBS_INTERVALS)}")
     start = as_of - F.expr(f"INTERVAL {TBS_INTERVALS[tbs]}")
     return results.where((F.col(ts) > start) & (F.col(ts) <= as_of))
 
@@ -123,35 +152,57 @@ def parse_limits(files: DataFrame, max_pages: int | None, n_chars: str = "n_char
     return files.withColumns({"n_pages": pages, "billed_pages": billed, "credits": billed})
 
 
+def _cells(line: Column) -> Column:
+    """The cells of one line of CSV: quotes enclose commas, and two of them stand for one."""
+    raw = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'(?s)("(?:[^"]|"")*"[^,]*|[^,]*),'), F.lit(1))
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c, r'(?s)^"(.*)"\s*$', "$1"), '""', '"')
+    return F.transform(raw, lambda c: F.when(c.startswith('"'), plain(c)).otherwise(c))
+
+
 def csv_to_markdown(text: Column) -> Column:
-    """Comma-separated lines -> a markdown table (first line is the header)."""
-    rows = F.filter(F.split(F.regexp_replace(text, r"\r", ""), "\n"), lambda r: r != "")
-    cells = F.transform(rows, lambda r: F.concat(F.lit("| "), F.array_join(F.split(r, ","), " | "), F.lit(" |")))
+    """Comma-separated lines -> a markdown table (first line is the header);
+    a line ends only outside quotes, and within a cell becomes a space."""
+    lines = F.regexp_extract_all(F.concat(F.regexp_replace(text, r"\r", ""), F.lit("\n")),
+                                 F.lit(r'((?:[^"\n]|"(?:[^"]|"")*"|")*)\n'), F.lit(1))
+    rows = F.filter(lines, lambda r: r != "")
+    cells = F.transform(rows, lambda r: F.concat(F.lit("| "), F.regexp_replace(F.array_join(_cells(r), " | "), "\n", " "),
+                                                 F.lit(" |")))
     head = F.element_at(cells, 1)
-    ncol = F.size(F.split(F.element_at(rows, 1), ","))
+    ncol = F.size(_cells(F.element_at(rows, 1)))
     sep = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), ncol))
     return F.when(F.size(rows) == 0, F.lit("")).otherwise(
         F.array_join(F.concat(F.array(head, sep), F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))), "\n")
     )
 
 
-def parse_documents(files: DataFrame, only_main_content: bool = False) -> DataFrame:
-    """Files -> text by type.  HTML through the scrape markdown rules,
-    CSV as a markdown table, JSON fenced, plain text as is; other binary
-    types (PDF, DOCX, XLSX) are not decoded here."""
-    text = F.decode(F.col("content"), "UTF-8")
+def parse_documents(files: DataFrame, only_main_content: bool = False, formats: Column | None = None,
+                    include_tags: list[str] | None = None, exclude_tags: list[str] | None = None) -> DataFrame:
+    """Files -> text by type.  HTML goes through the scrape rules with
+    their options (main content, tags, formats: ``markdown``, ``html``,
+    ``rawHtml``, ``links``, ``json``); CSV becomes a markdown table, JSON is
+    fenced, plain text stays as it is.  Bytes that aren't UTF-8 and other types
+    (PDF, DOCX, XLSX) are not decoded here: ``parsed`` is false."""
+    from webledger.operators import extract as E
+
+    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
     t = F.col("file_type")
-    src = text
-    if only_main_content:
-        src = F.coalesce(F.nullif(F.regexp_extract(text, r"(?is)<article( [^>]*)?>(.*)</article>", 2), F.lit("")),
-                         text)
-    out = (
-        F.when(t.isin("html", "htm"), H.markdown(src))
-        .when(t.isin("txt", "md", "text"), text)
-        .when(t == "csv", csv_to_markdown(text))
-        .when(t == "json", F.concat(F.lit("```json\n"), text, F.lit("\n```")))
+    is_html = t.isin("html", "htm")
+    wanted = formats if formats is not None else F.array(F.lit("markdown"))
+    base = files.withColumns({"_text": text, "_formats": wanted})
+    if "url" not in files.columns:
+        base = base.withColumn("url", F.lit(None).cast("string"))
+    page = base.withColumn("html", F.when(is_html, F.col("_text")))
+    out = E.scrape(page, F.col("_formats"), only_main_content, remove_base64_images=False, block_ads_=False,
+                   include_tags=include_tags, exclude_tags=exclude_tags, keep_formats=True)
+    other = (
+        F.when(t.isin("txt", "md", "text"), F.col("_text"))
+        .when(t == "csv", csv_to_markdown(F.col("_text")))
+        .when(t == "json", F.concat(F.lit("```json\n"), F.col("_text"), F.lit("\n```")))
     )
-    return files.withColumns({"markdown": out, "parsed": out.isNotNull()})
+    asked = F.array_contains("_formats", "markdown")
+    known = F.col("_text").isNotNull() & t.isin("html", "htm", "txt", "md", "text", "csv", "json")
+    out = out.withColumns({"markdown": F.when(is_html, F.col("markdown")).when(asked, other), "parsed": F.coalesce(known, F.lit(False))})
+    return out.drop("_text", "_formats", "html", *([] if "url" in files.columns else ["url"]))
 
 
 def uploads_to_files(uploads: DataFrame, file: str = "file", file_name: str = "file_name") -> DataFrame:

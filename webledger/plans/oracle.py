@@ -53,13 +53,15 @@ select event_id as request_id, ts, user_id as account_id,
   case event_type when 'view' then 'scrape' when 'click' then 'map' when 'purchase' then 'crawl'
        when 'signup' then 'search' else 'interact' end as tool,
   cast(floor(value) as int) + 1 as n,
-  cast(regexp_extract(props, '([0-9]+)', 1) as int) % 50 as page_id,
+  (event_id * 7919 + cast(regexp_extract(props, '([0-9]+)', 1) as int)) % (select count(*) from pages) as page_id,
   case cast(event_id % 4 as int) when 0 then 'json' when 1 then 'screenshot' else 'markdown' end as format,
   event_id % 3 = 0 as with_scrape,
-  cast(user_id % 10 as bigint) as key_id,
-  case when event_id % 13 = 0 then 429 when event_id % 97 = 0 then 500 else 200 end as http_status,
-  case when event_id % 26 = 0 then 'Monthly usage limit reached'
-       when event_id % 13 = 0 then 'rate limited' else '{"ok":true}' end as body
+  user_id % (select count(*) from supplier) as key_id,
+  case when event_id % 13 = 0 then 429 when event_id % 97 = 0 then 500 when event_id % 17 = 5 then 201
+       when event_id % 17 = 9 then 204 else 200 end as http_status,
+  case when event_id % 26 = 0 then 'Monthly usage limit reached' when event_id % 13 = 0 then 'rate limited'
+       when event_id % 17 = 9 then '' when event_id % 19 = 7 then '{"ok":true,"ok":false}'
+       when event_id % 97 = 0 then null else '{"ok":true}' end as body
 from events
 """)
 
@@ -129,8 +131,7 @@ from customer
 """)
 
 view("search_queries", """
-select item_id as query_id, lower(regexp_extract(text, '^([^ ]+ [^ ]+ [^ .,]+)', 1)) as query
-from benchmark
+select item_id as query_id, lower(text) as query from benchmark
 """)
 
 view("checks", """
@@ -142,7 +143,7 @@ from orders
 view("attempts", """
 select request_id, 1 as attempt, key_id, http_status, body, ts from requests
 union all
-select request_id, 2 as attempt, cast((key_id + 1) % 10 as bigint) as key_id,
+select request_id, 2 as attempt, (key_id + 1) % (select count(*) from supplier) as key_id,
   case when request_id % 3 = 0 then 500 else 200 end as http_status,
   case when request_id % 3 = 0 then 'server error' else '{"ok":true}' end as body, ts
 from requests where http_status = 429

@@ -19,7 +19,7 @@ def _split():
 
 def _writes(v):
     """Successful fetches as cache writes."""
-    return fetches(v).where(F.col("http_status") == 200).withColumnRenamed("estimated_credits", "credits")
+    return fetches(v).where(cost_ops.succeeded(F.col("http_status"))).withColumnRenamed("estimated_credits", "credits")
 
 
 def cache_first_half(v):
@@ -32,7 +32,7 @@ select url, tool, format, cached_at, credits, n_writes, credits_written from (
     row_number() over (partition by url order by ts desc, request_id desc) as rn,
     count(*) over (partition by url) as n_writes,
     cast(sum(estimated_credits) over (partition by url) as bigint) as credits_written
-  from fetches where http_status = 200 and ts < timestamp '{SPLIT}') w
+  from fetches where http_status between 200 and 299 and ts < timestamp '{SPLIT}') w
 where rn = 1
 """)
 
@@ -60,7 +60,7 @@ select url, tool, format, cached_at, credits, n_writes, credits_written from (
     row_number() over (partition by url order by ts desc, request_id desc) as rn,
     count(*) over (partition by url) as n_writes,
     cast(sum(estimated_credits) over (partition by url) as bigint) as credits_written
-  from fetches where http_status = 200) w
+  from fetches where http_status between 200 and 299) w
 where rn = 1
 """)
 def k3_record_fetches(v):
@@ -95,7 +95,7 @@ select url, tool, format, cached_at, credits from (
     select url, tool, format, cached_at, credits, 0 as src from cache_v1
     union all
     select url, tool, format, ts as cached_at, estimated_credits as credits, 1 as src
-    from fetches where http_status = 200 and ts >= timestamp '{SPLIT}') u) x
+    from fetches where http_status between 200 and 299 and ts >= timestamp '{SPLIT}') u) x
 where rn = 1
 """)
 def s5_merge_latest(v):
@@ -110,7 +110,7 @@ def s5_merge_latest(v):
 select request_id,
   case when body is null or body = '' then 'empty' when json_valid(body) then 'json' else 'text' end as payload_kind,
   case when body <> '' and not json_valid(body) then body end as raw_text,
-  case when json_valid(body) then json_extract(body, '$.ok')::boolean end as ok
+  case when json_valid(body) then try_cast(regexp_extract(body, '.*"ok":(true|false)', 1) as boolean) end as ok
 from attempts
 """)
 def j1_parse_payloads(v):

@@ -155,6 +155,23 @@ def c7_reset_month(v):
     return cost.reset_month(fetches(v), F.col("url"))
 
 
+@query("c7_set_budget", """
+select coalesce(a.account_id, u.account_id) as account_id, coalesce(u.b, a.monthly_budget) as monthly_budget
+from accounts a full join (
+  select account_id, arg_max(b, t) as b from (
+    select o_custkey + 100 as account_id, cast(floor(o_totalprice) as bigint) as b,
+           o_orderdate::varchar || lpad(cast(floor(o_totalprice) as bigint)::varchar, 20, '0') as t from orders) x
+  group by 1) u on u.account_id = a.account_id
+""")
+def c7_set_budget(v):
+    """Budgets set from the order log: several updates per account, some of accounts not in the table."""
+    updates = v.table("orders").select(
+        (F.col("o_custkey") + 100).alias("account_id"), F.floor("o_totalprice").cast("bigint").alias("monthly_budget"),
+        F.col("o_orderdate").alias("updated_at"),
+    )
+    return cost.set_budget(v.accounts, updates).select("account_id", "monthly_budget")
+
+
 @query("c8_compare_strategies", """
 select site, count(*) as n_pages, count(*) filter (where contains(url, '/en/')) as wanted,
   count(*) as crawl_credits, count(*) filter (where contains(url, '/en/')) + 1 as map_scrape_credits,
@@ -189,7 +206,7 @@ def c9_compare_interact(v):
 select tool, credits, successes,
   case when successes > 0 then cast((credits * 100) // successes as double) / 100.0 end as credits_per_success
 from (select tool, cast(sum(estimated_credits) as bigint) as credits,
-             count(*) filter (where http_status = 200) as successes
+             count(*) filter (where http_status between 200 and 299) as successes
       from priced group by rollup(tool)) t
 """)
 def c11_credits_per_success(v):
@@ -197,22 +214,35 @@ def c11_credits_per_success(v):
 
 
 _INCREMENT_SQL = """
-select k.key_id, k.used_credits, coalesce(a.added, 0)::bigint as added,
-  (k.used_credits + coalesce(a.added, 0))::bigint as new_used_credits
-from keys k left join (select key_id, sum({amount}) as added from priced where http_status = 200 group by 1) a
+select k.key_id, coalesce(k.used_credits, 0)::bigint as used_credits, coalesce(a.added, 0)::bigint as added,
+  (coalesce(k.used_credits, 0) + coalesce(a.added, 0))::bigint as new_used_credits, a.last_try
+from (select key_id, case when key_id % 6 <> 5 then used_credits end as used_credits from keys) k
+left join (select t.key_id, sum(case when t.http_status between 200 and 299 then {amount} end) as added, max(t.ts) as last_try
+           from attempts t join priced p on p.request_id = t.request_id group by 1) a
   on a.key_id = k.key_id
-where k.used_credits is not null
+where k.used_credits is not null or a.last_try is not null
 """
 
 
+def _calls(v):
+    """Every try with the credits of its request."""
+    credits = cost.priced_requests(v.requests).select("request_id", "estimated_credits")
+    return v.attempts.join(credits, "request_id")
+
+
+def _ledger(v):
+    """The keys; every sixth has no usage row yet."""
+    return v.keys.withColumn("used_credits", F.when(F.col("key_id") % 6 != 5, F.col("used_credits")))
+
+
 @query("c12_increment_usage", _INCREMENT_SQL.format(amount="1"))
 def c12_increment_usage(v):
-    return cost.increment_usage(cost.priced_requests(v.requests), v.keys, "request")
+    return cost.increment_usage(_calls(v), _ledger(v), "request")
 
 
-@query("c12_increment_usage_credits", _INCREMENT_SQL.format(amount="estimated_credits"))
+@query("c12_increment_usage_credits", _INCREMENT_SQL.format(amount="p.estimated_credits"))
 def c12_increment_usage_credits(v):
-    return cost.increment_usage(cost.priced_requests(v.requests), v.keys, "credits")
+    return cost.increment_usage(_calls(v), _ledger(v), "credits")
 
 
 @query("c13_distinct_urls", "select account_id, count(distinct url) as distinct_urls from fetches group by 1")

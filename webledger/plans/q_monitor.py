@@ -92,15 +92,24 @@ def m2_diff_lines(v):
 
 
 @query("m3_relevant_changes", r"""
-select c.url, g.goal_id, count(*) as score from
-  (select distinct url, unnest(list_distinct(list_filter(string_split_regex(lower(line), '[^\p{L}0-9]+'),
-          lambda t: length(t) >= 3))) as term from line_diff where kind = 'added') c
-join (select distinct goal_id, unnest(list_distinct(list_filter(string_split_regex(lower(goal), '[^\p{L}0-9]+'),
-          lambda t: length(t) >= 3))) as term from goals) g on g.term = c.term
-group by 1, 2
+with c as (
+  select distinct url, unnest(list_distinct(list_filter(string_split_regex(lower(line), '[^\p{L}0-9]+'),
+         lambda t: t <> ''))) as term from line_diff where kind = 'added'),
+g as (
+  select distinct goal_id, unnest(list_distinct(list_filter(string_split_regex(lower(goal), '[^\p{L}0-9]+'),
+         lambda t: t <> ''))) as term from intents),
+rare as (
+  select term, ln((select count(distinct url) from c) / count(*)) as weight from c group by 1
+  having count(*) <= greatest(2.0, (select count(distinct url) from c) * 0.02)),
+s as (
+  select c.url, g.goal_id, round(sum(r.weight), 6) as score
+  from c join g on g.term = c.term join rare r on r.term = c.term group by 1, 2)
+select url, goal_id, score, place from (
+  select *, row_number() over (partition by url order by score desc, goal_id) as place from s) x
+where place <= 3
 """)
 def m3_relevant_changes(v):
-    return M.relevant_changes(M.diff_lines(v.capture_v1, v.capture_v2), v.goals, min_len=3)
+    return M.relevant_changes(M.diff_lines(v.capture_v1, v.capture_v2), v.intents)
 
 
 @query("m4_expand_targets", "select monitor_id, target_type, unit, valid from monitor_units")
@@ -108,6 +117,38 @@ def m4_expand_targets(v):
     return monitor_units(v)
 
 
+@query("m4_expand_targets_invalid", """
+with t as (
+  select monitor_id, monitor_id % 6 as k, lower(goal_topic) as topic, 'https://' || name as u from monitors)
+select monitor_id, target_type, unit, valid from (
+  select monitor_id, 'search' as target_type, topic as unit, true as valid from t where k = 0
+  union all select monitor_id, 'search', topic, false from t where k = 1
+  union all select monitor_id, null, null, false from t where k = 2
+  union all select monitor_id, 'scrape', null, false from t where k = 3
+  union all select monitor_id, 'crawl', u, false from t, range(51) where k = 4
+  union all select monitor_id, 'other', null, false from t where k = 5) x
+""")
+def m4_expand_targets_invalid(v):
+    """Monitors without a goal, without targets, with a target without URLs, with too many, of unknown type."""
+    k = F.col("monitor_id") % 6
+    none = F.lit(None).cast("array<string>")
+
+    def target(kind, urls=none, url=F.lit(None).cast("string"), queries=none):
+        return F.struct(F.lit(kind).alias("type"), urls.alias("urls"), url.alias("url"), queries.alias("queries"))
+
+    topic = F.lower("goal_topic")
+    search = F.array(target("search", queries=F.array(topic)))
+    targets = (
+        F.when(k < 2, search)
+        .when(k == 2, F.array().cast("array<struct<type:string,urls:array<string>,url:string,queries:array<string>>>"))
+        .when(k == 3, F.array(target("scrape", urls=F.array().cast("array<string>"))))
+        .when(k == 4, F.array_repeat(target("crawl", url=F.concat(F.lit("https://"), F.col("name"))), 51))
+        .otherwise(F.array(target("other")))
+    )
+    goal = F.when(k != 1, F.col("goal_topic"))
+    return M.expand_targets(v.monitors.select("monitor_id", goal.alias("goal"), targets.alias("targets")))
+
+
 @query("m5_schedule_slots", """
 select monitor_id, slot_ts from (
   select monitor_id, unnest(generate_series(timestamp '1995-03-01 00:00:00', timestamp '1995-03-02 00:00:00',
@@ -173,18 +214,18 @@ def _notify(v):
 
 
 @query("m8_fan_out_alerts", """
-select u.monitor_id, c.url, c.status, r.recipient
+select u.monitor_id, c.url, c.status, r.recipient, u.monitor_id % 30 + 1 <= 25 as valid
 from capture_diff c
 join monitor_units u on u.unit = c.url and u.target_type = 'scrape'
-join (select monitor_id, unnest(list_slice(list_transform(range(1, cast(monitor_id % 30 + 2 as bigint)),
-        lambda i: 'r' || i || '@' || lower(goal_topic) || '.example'), 1, 25)) as recipient
+join (select monitor_id, unnest(list_transform(range(1, cast(monitor_id % 30 + 2 as bigint)),
+        lambda i: 'r' || i || '@' || lower(goal_topic) || '.example')) as recipient
       from monitors where monitor_id % 2 = 0) r on r.monitor_id = u.monitor_id
 where c.status in ('changed', 'new')
 """)
 def m8_fan_out_alerts(v):
     changes = M.diff_captures(v.capture_v1, v.capture_v2).where(F.col("status").isin("changed", "new"))
     units = monitor_units(v).where(F.col("target_type") == "scrape")
-    return M.fan_out_alerts(changes, units, _notify(v)).select("monitor_id", "url", "status", "recipient")
+    return M.fan_out_alerts(changes, units, _notify(v)).select("monitor_id", "url", "status", "recipient", "valid")
 
 
 view("corpus_grown", """

@@ -269,7 +269,7 @@ regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regex
 
 
 @query("d5_dedupe_similar_urls", f"""
-select canonical, min(url) as url, count(*) as n_variants from (
+select canonical, min(url) as url, count(distinct url) as n_variants from (
   select url, {_CANON_SQL} as canonical
   from (select url, regexp_replace(regexp_replace(url, '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') as ns
         from (select url from pages union all select link from page_links) u) a) b

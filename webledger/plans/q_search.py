@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from webledger.operators import search as S
-from webledger.plans.oracle import view
-from webledger.plans.q_pages import _lit, md_sql
+from webledger.plans.oracle import VIEWS, view
+from webledger.plans.q_pages import _ADS, _lit, md_sql
 from webledger.functions import html as H
 from webledger.plans.registry import query
 
@@ -44,13 +44,25 @@ def q1_search(v):
 
 @query("n6_search_then_scrape", f"""
 select b.query_id, b.doc_id, b.rank,
-  nullif({H.apply_steps_sql(f"regexp_extract(p.html, {_lit(H.TITLE_PATTERN)}, 1)", H.TEXT_STEPS[len(H.CLEAN_STEPS):])}, '') as title
+  nullif({H.apply_steps_sql(f"regexp_extract(p.html, {_lit(H.TITLE_PATTERN)}, 1)", H.TEXT_STEPS[len(H.CLEAN_STEPS):])}, '') as title,
+  sha256({md_sql(_ADS)}) as markdown_sha
 from bm25 b left join pages p on p.page_id = b.doc_id
 where b.rank <= 10
 """)
 def n6_search_then_scrape(v):
     res = bm25(v).select("query_id", "doc_id", "rank")
-    return S.search_then_scrape(res, v.table("pages"))
+    out = S.search_then_scrape(res, v.table("pages"), ["markdown"])
+    return out.select("query_id", "doc_id", "rank", "title", F.sha2("markdown", 256).alias("markdown_sha"))
+
+
+view("documents_de", "select * from documents where lang = 'de'")
+view("bm25_de", VIEWS["bm25"].replace("from documents", "from documents_de"))
+
+
+@query("q1_search_filtered", "select query_id, doc_id, score, rank from bm25_de where rank <= 5")
+def q1_search_filtered(v):
+    out = S.search_filtered(v.table("documents"), v.search_queries, limit=5, lang="de")
+    return out.select("query_id", "doc_id", "score", "rank")
 
 
 @query("f3_filter_time_week", """

@@ -35,7 +35,17 @@ class Views:
         return self._cache[name]
 
 
+def _rows_of(v: Views, name: str):
+    """The number of rows of a given table, as a scalar subquery."""
+    return v.table(name).agg(F.count(F.lit(1))).scalar()
+
+
 def _view_requests(v: Views) -> DataFrame:
+    # Requests are spread over every captured page and every key, so both grow with the data.
+    spread = {
+        "page_id": (F.col("request_id") * 7919 + F.col("page_no")) % _rows_of(v, "pages"),
+        "key_id": F.col("account_id") % _rows_of(v, "supplier"),
+    }
     return v.table("events").selectExpr(
         "event_id as request_id",
         "ts",
@@ -43,14 +53,15 @@ def _view_requests(v: Views) -> DataFrame:
         """case event_type when 'view' then 'scrape' when 'click' then 'map' when 'purchase' then 'crawl'
              when 'signup' then 'search' else 'interact' end as tool""",
         "cast(floor(value) as int) + 1 as n",
-        "cast(regexp_extract(props, '([0-9]+)', 1) as int) % 50 as page_id",
+        "cast(regexp_extract(props, '([0-9]+)', 1) as int) as page_no",
         "case cast(event_id % 4 as int) when 0 then 'json' when 1 then 'screenshot' else 'markdown' end as format",
         "event_id % 3 = 0 as with_scrape",
-        "cast(user_id % 10 as bigint) as key_id",
-        "case when event_id % 13 = 0 then 429 when event_id % 97 = 0 then 500 else 200 end as http_status",
-        """case when event_id % 26 = 0 then 'Monthly usage limit reached'
-             when event_id % 13 = 0 then 'rate limited' else '{"ok":true}' end as body""",
-    )
+        """case when event_id % 13 = 0 then 429 when event_id % 97 = 0 then 500 when event_id % 17 = 5 then 201
+             when event_id % 17 = 9 then 204 else 200 end as http_status""",
+        """case when event_id % 26 = 0 then 'Monthly usage limit reached' when event_id % 13 = 0 then 'rate limited'
+             when event_id % 17 = 9 then '' when event_id % 19 = 7 then '{"ok":true,"ok":false}'
+             when event_id % 97 = 0 then null else '{"ok":true}' end as body""",
+    ).withColumns(spread).drop("page_no")
 
 
 def _view_keys(v: Views) -> DataFrame:
@@ -172,7 +183,7 @@ def _view_monitors(v: Views) -> DataFrame:
 
 def _view_search_queries(v: Views) -> DataFrame:
     return v.table("benchmark").selectExpr(
-        "item_id as query_id", r"lower(regexp_extract(text, '^([^ ]+ [^ ]+ [^ .,]+)', 1)) as query"
+        "item_id as query_id", "lower(text) as query"
     )
 
 
@@ -190,8 +201,8 @@ def _view_checks(v: Views) -> DataFrame:
 
 def _view_attempts(v: Views) -> DataFrame:
     """Call attempts: every request is a first try; a 429 is retried once on the
-    next key of its ring of ten key slots, and that retry fails with 500 when
-    ``request_id % 3 = 0``."""
+    next key of the ring of all keys, and that retry fails with 500 when
+    ``request_id % 3 = 0``.  The retries are made up by rule: no given table has any."""
     r = v.requests
     first = r.selectExpr(
         "request_id", "1 as attempt", "key_id", "http_status", "body", "ts"
@@ -199,11 +210,11 @@ def _view_attempts(v: Views) -> DataFrame:
     retry = r.where("http_status = 429").selectExpr(
         "request_id",
         "2 as attempt",
-        "cast((key_id + 1) % 10 as bigint) as key_id",
+        "key_id + 1 as key_id",
         "case when request_id % 3 = 0 then 500 else 200 end as http_status",
         """case when request_id % 3 = 0 then 'server error' else '{"ok":true}' end as body""",
         "ts",
-    )
+    ).withColumn("key_id", F.col("key_id") % _rows_of(v, "supplier"))
     return first.unionByName(retry)
 
 

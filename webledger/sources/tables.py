@@ -5,7 +5,7 @@ Every reader declares its schema; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,26 +23,10 @@ PAGES_SCHEMA = T.StructType(
 )
 
 
-# Tables whose rows carry whole texts: parsing them is the expensive part.
-TEXT_TABLES = {"pages", "documents"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  A text table whose files give fewer scan splits than
-    the cluster has cores (one small file, one row group) is spread
-    round-robin, so regexes and tokenising run on every core; a large input
-    already has more splits than cores and is left as is.  Filters and column
-    pruning still reach the scan below the repartition."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+    """A given table.  How many splits a scan has is the reader's business
+    (``spark.sql.files.maxPartitionBytes``); nothing is dealt out anew."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_captures(spark: SparkSession, path: str, schema: T.StructType = PAGES_SCHEMA) -> DataFrame:
@@ -109,7 +93,10 @@ CACHE_DOC = T.StructType(
     ]
 )
 
-_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
+def iso_time(text: Column) -> Column:
+    """An ISO 8601 time, with or without zone and fraction, as wall-clock time
+    of the session's zone (UTC here); blank or unreadable text is null."""
+    return F.try_to_timestamp(F.nullif(F.trim(text), F.lit(""))).cast("timestamp_ntz")
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -134,7 +121,7 @@ def read_usage_ledger(spark: SparkSession, path: str) -> DataFrame:
         F.col("r.usedCredits").cast("bigint").alias("used_credits"),
         F.col("r.remainingCredits").cast("bigint").alias("remaining_credits"),
         F.col("r.planCredits").cast("bigint").alias("plan_credits"),
-        F.to_timestamp("r.lastChecked", _ISO).alias("last_checked"),
+        iso_time(F.col("r.lastChecked")).alias("last_checked"),
     )
 
 
@@ -145,7 +132,7 @@ def read_url_cache(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
         F.coalesce("e.url", "cache_url").alias("url"),
         F.col("e.tool").alias("tool"),
         F.coalesce("e.format", F.lit("markdown")).alias("format"),
-        F.to_timestamp("e.timestamp", _ISO).alias("cached_at"),
+        iso_time(F.col("e.timestamp")).alias("cached_at"),
         F.col("e.credits").cast("bigint").alias("credits"),
     )
     totals = doc.agg(
@@ -194,7 +181,9 @@ def write_state(df: DataFrame, path: str) -> str:
 
 def read_usage_lines(spark: SparkSession, path: str) -> DataFrame:
     """S3 (scalable layout): the usage ledger, one JSON object per key."""
-    return spark.read.schema(USAGE_LINE).option("mode", "PERMISSIVE").json(path)
+    return spark.read.schema(USAGE_LINE).option("mode", "PERMISSIVE").json(path).withColumn(
+        "last_checked", iso_time(F.col("last_checked"))
+    )
 
 
 def read_cache_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -202,5 +191,5 @@ def read_cache_lines(spark: SparkSession, path: str) -> DataFrame:
     timestamps are ISO strings as the reference writes them."""
     return spark.read.schema(CACHE_LINE).option("mode", "PERMISSIVE").json(path).select(
         "url", "tool", F.coalesce("format", F.lit("markdown")).alias("format"),
-        F.to_timestamp_ntz("timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("cached_at"), "credits",
+        iso_time(F.col("timestamp")).alias("cached_at"), "credits",
     )

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from webledger.functions.exprs import epoch_micros
+from webledger.operators.cache import ALREADY, EXPIRED, NOT_CACHED, OTHER_FORMAT
 
 HOUR_US = 3_600_000_000
 
@@ -126,13 +127,13 @@ def _cache_fold(ttl_us: int, forget_after_ms: int | None = None):
                                                pdf["credits"]):
             fmt = fmt or "markdown"
             if entry is None:
-                hit, why = False, "URL not cached"
+                hit, why = False, NOT_CACHED
             elif us - entry[1] > ttl_us:
-                hit, why = False, "Cache expired"
+                hit, why = False, EXPIRED
             elif entry[0] != fmt:
-                hit, why = False, f"Different format requested (cached: {entry[0]}, requested: {fmt})"
+                hit, why = False, OTHER_FORMAT % (entry[0], fmt)
             else:
-                hit, why = True, f"Already scraped {entry[2]} at {_iso(int(entry[1]))} ({int(entry[3])} credits saved)"
+                hit, why = True, ALREADY % (entry[2], _iso(int(entry[1])), int(entry[3]))
             if not hit:
                 entry = (fmt, int(us), tool, int(credits), 0)
             hits.append(hit)
