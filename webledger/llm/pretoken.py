@@ -61,6 +61,7 @@ def starts(points: np.ndarray, edges: np.ndarray) -> np.ndarray:
             after = q + size
             after = after[after < n]
             new[after] = True
+    new[edges] = True
     return np.flatnonzero(new)
 
 
@@ -102,46 +103,119 @@ def split(text: str) -> list[str]:
     return [w for part in parts(text) for w in next(split_many([part]))]
 
 
+#: Odd multipliers of the two hashes of a piece.
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: A longer piece is looked up by itself, not by hash.
+HASHED = 64
+
+
+@functools.cache
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both bases, their powers and inverse powers up to ``n``, modulo 2^64."""
+    out = []
+    for base in BASES:
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(n + 1, b, np.uint64)
+            p[0] = 1
+            both.append(np.cumprod(p, dtype=np.uint64))
+        out.append(tuple(both))
+    return out
+
+
+def piece_hashes(points: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit polynomial hashes of every piece."""
+    x = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    out = []
+    for up, down in powers(1 << max(16, int(len(points)).bit_length())):
+        total = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(x * up[: len(points)], out=total[1:])
+        out.append((total[stop] - total[begin]) * down[begin])
+    return out
+
+
 class PieceIds:
-    """Ids of pieces, remembered for the most recent ``keep`` distinct ones.
+    """Ids of the pieces of texts; distinct pieces are remembered, up to ``keep`` of them.
 
     ``encode(pieces)`` gives the id list of each distinct piece not yet known.
+    Pieces are found again by two hashes of 64 bits; a string is made only of
+    a new piece.
     """
 
-    def __init__(self, encode, keep: int = 300_000):
+    def __init__(self, encode, keep: int = 600_000):
         self.encode, self.keep = encode, keep
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.first, self.size = np.zeros(1 << 16, np.uint32), [], []
-        self.used = 0
-
-    def learn(self, pieces: list[str]) -> None:
-        new = list(set(pieces).difference(self.place))
-        if not new:
-            return
-        if len(self.place) + len(new) > self.keep and self.place:
-            self.clear()
-            new = list(set(pieces))
-        for piece, ids in zip(new, self.encode(new), strict=True):
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.place[piece] = len(self.first)
-            self.first.append(self.used)
-            self.size.append(len(ids))
-            self.used += len(ids)
-        self.firsts, self.sizes = np.array(self.first), np.array(self.size)
-
-    def of(self, pieces: list[str]) -> np.ndarray:
-        """All ids of ``pieces``, which ``learn`` has seen, one after the other."""
-        if not pieces:
-            return np.zeros(0, np.uint32)
-        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-        size = self.sizes[at]
-        stop = np.cumsum(size)
-        return self.flat[np.repeat(self.firsts[at] - (stop - size), size) + np.arange(stop[-1])]
+        self.place: dict[int, int] = {}
+        self.check = np.zeros(1 << 12, np.uint64)
+        self.first, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.flat, self.used = np.zeros(1 << 14, np.uint32), 0
+
+    def add(self, keys: list[int], checks: np.ndarray, pieces: list[str]) -> None:
+        lists = self.encode(pieces)
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter((i for x in lists for i in x), np.uint32, int(size.sum()))
+        n, m = len(self.place), len(pieces)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while n + m > len(self.check):
+            self.check, self.first, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.check, self.first, self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.check[n : n + m], self.size[n : n + m] = checks, size
+        self.first[n : n + m] = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        self.place.update(zip(keys, range(n, n + m), strict=True))
+
+    def group(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each of some texts of moderate length together."""
+        joined = "\0".join(texts)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if not len(points):
+            return [np.zeros(0, np.uint32)] * len(texts)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        begin = starts(points, ends[:-1])
+        stop = np.append(begin[1:], len(points))
+        one, two = piece_hashes(points, begin, stop)
+        edge = np.zeros(len(begin), bool)
+        edge[np.searchsorted(begin, ends[:-1])] = True
+        long = np.flatnonzero((stop - begin > HASHED) & ~edge)
+        one[long] = np.arange(len(long), dtype=np.uint64)  # each by itself; looked up no further
+        special = edge.copy()
+        special[long] = True
+        keys, first, where = np.unique(one[~special], return_index=True, return_inverse=True)
+        usual = np.flatnonzero(~special)
+        first = usual[first]
+        get = self.place.get
+        known = np.array([get(k, -1) for k in keys.tolist()], np.int64)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            if len(self.place) and len(self.place) + len(new) > self.keep:
+                self.clear()
+                new = np.arange(len(keys))
+            at = first[new]
+            n = len(self.place)
+            self.add(keys[new].tolist(), two[at], [joined[a:b] for a, b in zip(begin[at].tolist(), stop[at].tolist(), strict=True)])
+            known[new] = np.arange(n, n + len(new))
+        at = known[where]
+        if not np.array_equal(self.check[at], two[usual]):  # two pieces with one hash
+            return [self.plain(t) for t in texts]
+        size = np.zeros(len(begin), np.int64)
+        size[usual] = self.size[at]
+        lists = self.encode([joined[a:b] for a, b in zip(begin[long].tolist(), stop[long].tolist(), strict=True)]) if len(long) else []
+        size[long] = [len(x) for x in lists]
+        upto = np.cumsum(size)
+        source = np.zeros(len(begin), np.int64)
+        source[usual] = self.first[at]
+        ids = self.flat[np.minimum(np.repeat(source - (upto - size), size) + np.arange(upto[-1]), len(self.flat) - 1)]
+        for p, x in zip(long.tolist(), lists, strict=True):
+            ids[upto[p] - size[p] : upto[p]] = x
+        cuts = upto[np.searchsorted(begin, ends[:-1])]
+        return np.split(ids, cuts)
+
+    def plain(self, text: str) -> np.ndarray:
+        return np.array([i for x in self.encode(next(split_many([text]))) for i in x], np.uint32)
 
 
 def ids_of_texts(texts: list[str], known: PieceIds) -> Iterator[np.ndarray]:
@@ -153,15 +227,7 @@ def ids_of_texts(texts: list[str], known: PieceIds) -> Iterator[np.ndarray]:
             size += len(texts[j])
             j += 1
         if j == i + 1 and size > LIMIT:
-            out = []
-            for part in parts(texts[i]):
-                pieces = next(split_many([part]))
-                known.learn(pieces)
-                out.append(known.of(pieces))
-            yield np.concatenate(out)
+            yield np.concatenate([known.group([part])[0] for part in parts(texts[i])])
         else:
-            lists = list(split_many(texts[i:j]))
-            known.learn([w for x in lists for w in x])
-            for x in lists:
-                yield known.of(x)
+            yield from known.group(texts[i:j])
         i = j
