@@ -66,3 +66,17 @@ def test_crawl_hop_does_not_shuffle_the_edges(spark, sf):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange hashpartitioning" not in p and p.count("Bucketed: true") >= 2
+
+
+def test_running_totals_deal_the_log_by_chunk_not_by_account(spark, sf):
+    from webledger.operators import cost, pool
+    from webledger.sources.fixtures import Views
+
+    v = Views(spark, sf)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(pool.burn_down(cost.priced_requests(v.requests), v.accounts))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [b for b in p.split("\n\n") if ") Exchange" in b and "request_id" in b]
+    assert len(moves) == 1 and all("_hour" in m.split("Arguments:")[1] for m in moves)

@@ -86,7 +86,7 @@ def test_allocation_never_exceeds_capacity_and_covers_demand(spark):
         (1, 0, "a", "x1", 1, None, 10, 0, "", False), (2, 0, "b", "x2", 1, 20, None, 5, "", False),
         (3, 0, "c", "x3", 1, None, 6, 0, "", False),
     ])
-    out = pool.allocate_budget(demand, keys, ["light_rank", "ts"]).collect()
+    out = pool.allocate_budget(demand, keys, ["light_rank", "ts"], {"_light": F.col("light_rank"), "_t": F.floor(F.col("ts") / 2)}).collect()
     per_key = {}
     for r in out:
         per_key[r.key_id] = per_key.get(r.key_id, 0) + r.allocated

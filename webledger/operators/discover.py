@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.urls import host, path, site_of
-from webledger.session import bucketed_table, drop_bucketed
+from webledger.session import append_bucketed, bucketed_table, cut_lineage, drop_bucketed, reread
 
 
 def _any(patterns: list[str]) -> str:
@@ -75,42 +75,73 @@ def url_sources(captured: DataFrame, linked: DataFrame, ignore_sitemap: bool = F
     return u.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
 
 
-def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, limit: int | None = None,
+def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, limit: int | None = None,
           buckets: int | None = None) -> DataFrame:
-    """D3: breadth-first reach from many seeds at once with minimum depth.
-
-    Edges are written once as a table bucketed by source, and each hop's
-    newly reached nodes are written once as a layer bucketed by node, all in
-    the shared checkpoint folder.  A hop joins the frontier (the last layer)
-    with the edges and anti-joins the reached nodes against every earlier
-    layer; all of those sides are bucketed on the node, so the only shuffle
-    of a hop is the reached nodes' ``distinct``, and nothing is rewritten:
-    every node is written once.  Only a layer's emptiness reaches the driver.
-    ``limit`` is applied after the whole hop by (depth, node), so the result
-    does not depend on partitioning.
+    """D3: breadth-first reach from many seeds at once with minimum depth,
+    ``max_depth`` hops or until nothing new is reached.
+
+    Edges are written once as a table bucketed by source, and so are the nodes
+    reached so far, which a hop appends to; both lie in the shared checkpoint
+    folder.  A hop joins the last layer with the edges and leaves out what the
+    table of reached nodes has; the only shuffle of a hop is the reached
+    nodes' ``distinct``.  Only a layer's size reaches the driver.  ``limit`` is
+    applied by (depth, node), so the result does not depend on partitioning,
+    and the crawl ends after the hop that reaches it.
     """
     spark = edges.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = bucketed_table(edges.select(F.col("src").alias("node"), F.col("dst")), "node", n, "edges")
-    layers = [bucketed_table(seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0)), "node", n, "layer")]
-    for d in range(1, max_depth + 1):
-        reached = layers[-1].select("node").join(e, "node").select(F.col("dst").alias("node")).distinct()
-        for layer in layers:
-            reached = reached.join(layer.select("node"), "node", "left_anti")
-        layer = bucketed_table(reached.withColumn("depth", F.lit(d)), "node", n, "layer")
-        if layer.isEmpty():
-            drop_bucketed(layer)
+    visited = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0))
+    visited = bucketed_table(visited, "node", n, "visited")
+    depth, total = 0, visited.count()
+    while (max_depth is None or depth < max_depth) and (limit is None or total < limit):
+        last = visited.where(F.col("depth") == depth).select("node")
+        reached = last.join(e, "node").select(F.col("dst").alias("node")).distinct()
+        fresh = cut_lineage(reached.join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth + 1)))
+        new = fresh.count()
+        if not new:
             break
-        layers.append(layer)
+        append_bucketed(fresh, visited, "node", n)
+        visited = reread(visited)
+        depth, total = depth + 1, total + new
     drop_bucketed(e)
-    visited = layers[0]
-    for layer in layers[1:]:
-        visited = visited.unionByName(layer)
     if limit is not None:
         visited = visited.orderBy("depth", "node").limit(limit)
     return visited
 
 
+def scoped_links(pages: DataFrame, links: DataFrame, include_paths: list[str] | None = None,
+                 exclude_paths: list[str] | None = None, allow_backward: bool = False, allow_external: bool = False,
+                 dedupe_similar: bool = False, ignore_sitemap: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The crawl's options over captured pages (page_id, url) and their
+    anchors (page_url, link): nodes and edges to crawl, by URL.
+
+    Paths, backward and external links are decided for each link; with
+    ``dedupe_similar`` URLs of one canonical form are one node, named by its
+    smallest URL; unless ``ignore_sitemap``, the sitemap (the captured pages
+    of a host) is linked from each of the host's pages that stands at its
+    root, or from its smallest URL."""
+    scoped = filter_scope(links, "page_url", "link", allow_backward, allow_external).where("in_scope")
+    scoped = filter_paths(scoped, include_paths, exclude_paths, url="link").select(
+        F.col("page_url").alias("src"), F.col("link").alias("dst")
+    )
+    nodes = filter_paths(pages.select("url"), include_paths, exclude_paths).distinct()
+    if not ignore_sitemap:
+        roots = pages.groupBy(host(F.col("url")).alias("h")).agg(F.min("url").alias("root"))
+        site = nodes.withColumn("h", host(F.col("url"))).join(roots, "h").select(F.col("root").alias("src"), F.col("url").alias("dst"))
+        scoped = scoped.unionByName(site)
+    if dedupe_similar:
+        every = pages.select("url").unionByName(scoped.select(F.col("dst").alias("url"))).distinct()
+        named = dedupe_similar_urls(every).select("canonical", F.col("url").alias("name"))
+        scoped = (
+            scoped.withColumn("cs", canonical_url(F.col("src"))).withColumn("cd", canonical_url(F.col("dst")))
+            .join(named.toDF("cs", "s"), "cs").join(named.toDF("cd", "d"), "cd")
+            .select(F.col("s").alias("src"), F.col("d").alias("dst"))
+        )
+        nodes = nodes.withColumn("canonical", canonical_url(F.col("url"))).join(named, "canonical").select(F.col("name").alias("url")).distinct()
+    return nodes, scoped.where("src <> dst").distinct()
+
+
 def canonical_url(url: Column) -> Column:
     """D5 canonical form: no fragment or scheme, no ``www.``/``m.``, no
     tracking parameters, no ``.html`` and no trailing slash."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions.exprs import num_text
-from webledger.operators.windows import running_sum, running_sums
+from webledger.operators.windows import chunked_running_sum, running_sum, running_sums
 from webledger.session import cut_lineage
 
 FALLBACK_PRIORITY = 999
@@ -270,15 +270,16 @@ def burn_down(priced: DataFrame, accounts: DataFrame) -> DataFrame:
     """Running credits per account-month, over-budget flag and the
     first request over budget (budget > 0 only)."""
     with_month = priced.withColumn("month", F.date_trunc("month", F.col("ts")).cast("date"))
-    run = running_sum(
+    # The budget joins the hourly totals of an account, not its requests.
+    j = chunked_running_sum(
         with_month,
         ["account_id", "month"],
         ["ts", "request_id"],
         "estimated_credits",
+        {"_hour": F.date_trunc("hour", F.col("ts"))},
         out="running_credits",
+        carry=(accounts.select("account_id", "monthly_budget"), ["account_id"]),
     )
-    b = accounts.select("account_id", "monthly_budget")
-    j = run.join(b, "account_id", "left")
     budget = F.col("monthly_budget")
     over = F.coalesce((budget > 0) & (F.col("running_credits") > budget), F.lit(False))
     first = over & ~F.coalesce(
@@ -301,21 +302,22 @@ def rolling_spend(priced: DataFrame, days: int = 7) -> DataFrame:
     return daily.withColumn("rolling_credits", F.sum("day_credits").over(w).cast("bigint"))
 
 
-def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], pool: str = "pool",
+def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], chunk: dict[str, Column], pool: str = "pool",
                     bucket_min: int = 1024, buckets_per_pool: int = 4096) -> DataFrame:
     """Fill keys in ascending capacity with demand in ``order``; overflow
     spills to the next key, and what exceeds every key stays unallocated (key
     null).  Keys without a known capacity are unlimited; the first of them
     (by id) takes all overflow.
 
-    ``demand``: request_id, pool, credits and the ``order`` columns.  Both sides become intervals on a per-pool credit axis (skew-
-    safe running sums) and meet in an equi join on (pool, bucket) with an
+    ``demand``: request_id, pool, credits and the ``order`` columns; ``chunk``
+    cuts that order into stretches (see ``chunked_running_sum``).  Both sides
+    become intervals on a per-pool credit axis and meet in an equi join on (pool, bucket) with an
     overlap filter, never a nested loop.  Output: one row per share.
     """
     # The demand intervals feed the bucket join and the overflow rows; they
     # are written once to the shared checkpoint folder rather than having the
     # running-sum windows recomputed for each consumer.
-    d = running_sum(demand, [pool], [*order, "request_id"], "credits", out="d1")
+    d = chunked_running_sum(demand, [pool], [*order, "request_id"], "credits", chunk, out="d1")
     d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
         "request_id", pool, "credits", "d0", "d1"))
     cap = F.greatest(F.lit(0), F.coalesce(F.col("remaining_credits"), F.col("monthly_quota") - F.col("used_credits")))

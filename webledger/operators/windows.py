@@ -14,6 +14,39 @@ from pyspark.sql import functions as F
 
 
 
+def chunked_running_sum(
+    df: DataFrame,
+    part: list[str],
+    order: list[str],
+    value: str,
+    chunk: dict[str, Column],
+    out: str = "running",
+    carry: tuple[DataFrame, list[str]] | None = None,
+) -> DataFrame:
+    """Inclusive running sum of ``value`` over ``order`` within ``part``, in
+    two levels and with one shuffle of the rows.
+
+    ``chunk`` (name -> column) cuts each part into stretches of its order, say
+    the hour of a time that leads ``order``.  Totals per (part, chunk) are a
+    partial aggregate; their exclusive prefix within a part runs over one row
+    per chunk.  The rows are dealt by (part, chunk), so a part that holds a
+    third of them is spread over its chunks, and a window inside the chunk adds
+    up the rest.  ``carry`` joins a table with one row per key to the chunk
+    totals, so its columns reach the rows without another shuffle of them.
+    Parts and chunks that are null are left out.
+    """
+    keys = [*part, *chunk]
+    tagged = df.withColumns(chunk)
+    totals = tagged.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(*part).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+    if carry is not None:
+        offsets = offsets.join(carry[0], carry[1], "left")
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = tagged.withColumn("_inside", F.sum(value).over(inside)).join(offsets, keys)
+    return summed.withColumn(out, F.col("_before") + F.col("_inside")).drop("_before", "_inside", *chunk)
+
+
 def running_sums(
     df: DataFrame,
     part: list[str],
@@ -21,7 +54,8 @@ def running_sums(
     values: dict[str, Column | str],
 ) -> DataFrame:
     """Inclusive running sums of several ``values`` (output name -> column)
-    over ``order`` within ``part``, from one prefix scan.
+    over ``order`` within ``part``, from one prefix scan.  Where the order is
+    led by something that cuts into chunks, ``chunked_running_sum`` moves less.
 
     ``part`` + ``order`` must be a total order (end ``order`` with a unique
     id).  One global prefix sum per value runs over the whole table in that

@@ -306,7 +306,8 @@ def j3_request_paths(v):
 
 
 @query("s3_usage_ledger_roundtrip", """
-select sha256(key_text) as key_hash, used_credits, remaining_credits, monthly_quota as plan_credits, last_checked
+select sha256(key_text) as key_hash, used_credits, remaining_credits, monthly_quota as plan_credits,
+  strptime(last_checked, '%Y-%m-%dT%H:%M:%S.%gZ') as last_checked
 from keys where last_checked <> ''
 """)
 def s3_usage_ledger_roundtrip(v):

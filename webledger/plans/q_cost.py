@@ -155,7 +155,7 @@ def c7_reset_month(v):
     return cost.reset_month(fetches(v), F.col("url"))
 
 
-@query("c7_set_budget", """
+@query("c7_set_budget_updates", """
 select coalesce(a.account_id, u.account_id) as account_id, coalesce(u.b, a.monthly_budget) as monthly_budget
 from accounts a full join (
   select account_id, arg_max(b, t) as b from (
@@ -163,7 +163,7 @@ from accounts a full join (
            o_orderdate::varchar || lpad(cast(floor(o_totalprice) as bigint)::varchar, 20, '0') as t from orders) x
   group by 1) u on u.account_id = a.account_id
 """)
-def c7_set_budget(v):
+def c7_set_budget_updates(v):
     """Budgets set from the order log: several updates per account, some of accounts not in the table."""
     updates = v.table("orders").select(
         (F.col("o_custkey") + 100).alias("account_id"), F.floor("o_totalprice").cast("bigint").alias("monthly_budget"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from webledger.functions import html as H
 from webledger.operators import discover as D
 from webledger.operators import extract as E
+from webledger.functions.urls import host
 from webledger.plans.oracle import view
 from webledger.plans.registry import query
 
@@ -249,15 +250,17 @@ def d3_crawl_limit(v):
     return out.select(F.col("node").alias("page_id"), "depth")
 
 
-@query("d4_crawl_scrape", _CRAWL_SQL + f"""
-select w.page_id, w.depth, {md_sql('p.html')} as markdown
-from (select node as page_id, min(depth) as depth from walk group by node) w join pages p on p.page_id = w.page_id
+@query("d3_crawl_unbounded", """
+with recursive walk(node, depth) as (
+  select page_id, 0 from pages where page_id = 0
+  union all
+  select e.dst, w.depth + 1 from walk w join link_edges e on e.src = w.node)
+select node as page_id, min(depth) as depth from walk group by node
 """)
-def d4_crawl_scrape(v):
-    crawled = D.crawl(v.link_edges, _crawl_seeds(v), max_depth=3).withColumnRenamed("node", "page_id")
-    pages = v.table("pages").join(crawled, "page_id")
-    out = E.extract_distinct(pages, E.extract_markdown)
-    return out.select("page_id", "depth", "markdown")
+def d3_crawl_unbounded(v):
+    """From the first page until nothing new is reached."""
+    seeds = v.table("pages").where("page_id = 0").select(F.col("page_id").alias("node"))
+    return D.crawl(v.link_edges, seeds).select(F.col("node").alias("page_id"), "depth")
 
 
 _CANON_SQL = r"""
@@ -268,6 +271,59 @@ regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regex
 """
 
 
+def _canon_of(u):
+    ns = f"regexp_replace(regexp_replace({u}, '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '')"
+    return "(" + _CANON_SQL.replace("(ns,", f"({ns},") + ")"
+
+
+_SCOPED_SQL = f"""
+with recursive scoped as (
+  select page_url as src, link as dst from page_links
+  where {host_sql('link')} = {host_sql('page_url')} and regexp_matches({path_sql('link')}, '^/(en|de|fr|es|[A-Za-z])')
+    and not regexp_matches({path_sql('link')}, '(\\.html$)')
+  union
+  select r.root, p.url from pages p join (select {host_sql('url')} as h, min(url) as root from pages group by 1) r
+    on r.h = {host_sql('p.url')}
+  where regexp_matches({path_sql('p.url')}, '^/(en|de|fr|es|[A-Za-z])') and not regexp_matches({path_sql('p.url')}, '(\\.html$)')),
+named as (select c, min(url) as name from (
+  select url, {_canon_of('url')} as c from (select url from pages union select dst from scoped) u) x group by 1),
+edge as (
+  select distinct s.name as src, d.name as dst from (
+    select {_canon_of('src')} as cs, {_canon_of('dst')} as cd from scoped) x
+  join named s on s.c = x.cs join named d on d.c = x.cd where s.name <> d.name),
+walk(node, depth) as (
+  select distinct n.name, 0 from (select min(url) as url from pages group by {host_sql('url')}) r join named n on n.c = {_canon_of('r.url')}
+  union
+  select e.dst, w.depth + 1 from walk w join edge e on e.src = w.node where w.depth < 2)
+select node as url, min(depth) as depth from walk group by node
+"""
+
+
+@query("d3_crawl_scope", _SCOPED_SQL)
+def d3_crawl_scope(v):
+    """Each host from its smallest URL: two hops over its sitemap and links,
+    inside the host, by path patterns, similar URLs as one."""
+    pages = v.table("pages")
+    links = page_links(v).select("page_url", "link")
+    _, edges = D.scoped_links(pages, links, ["^/(en|de|fr|es|[A-Za-z])"], [r"\.html$"], allow_backward=True, dedupe_similar=True)
+    named = D.dedupe_similar_urls(pages.select("url").unionByName(edges.select(F.col("dst").alias("url"))))
+    roots = pages.groupBy(host(F.col("url")).alias("h")).agg(F.min("url").alias("url"))
+    seeds = roots.withColumn("canonical", D.canonical_url(F.col("url"))).join(
+        named.select("canonical", F.col("url").alias("node")), "canonical").select("node")
+    return D.crawl(edges, seeds, max_depth=2).select(F.col("node").alias("url"), "depth")
+
+
+@query("d4_crawl_scrape", _CRAWL_SQL + f"""
+select w.page_id, w.depth, {md_sql('p.html')} as markdown
+from (select node as page_id, min(depth) as depth from walk group by node) w join pages p on p.page_id = w.page_id
+""")
+def d4_crawl_scrape(v):
+    crawled = D.crawl(v.link_edges, _crawl_seeds(v), max_depth=3).withColumnRenamed("node", "page_id")
+    pages = v.table("pages").join(crawled, "page_id")
+    out = E.extract_distinct(pages, E.extract_markdown)
+    return out.select("page_id", "depth", "markdown")
+
+
 @query("d5_dedupe_similar_urls", f"""
 select canonical, min(url) as url, count(distinct url) as n_variants from (
   select url, {_CANON_SQL} as canonical

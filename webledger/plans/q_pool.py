@@ -303,4 +303,5 @@ def c10_allocate_budget(v):
     demand = priced.select(
         "request_id", "pool", "ts", F.col("estimated_credits").alias("credits"), light.alias("light_rank"),
     )
-    return pool.allocate_budget(demand, pool.eligible_keys(v.keys), ["light_rank", "ts"])
+    chunk = {"_light": F.col("light_rank"), "_hour": F.date_trunc("hour", F.col("ts"))}
+    return pool.allocate_budget(demand, pool.eligible_keys(v.keys), ["light_rank", "ts"], chunk)

@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (Spark Connect: the server owns spark.checkpoint.dir)
-        return spark.conf.get("spark.checkpoint.dir", "")
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -54,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="webledger-ckpt-"))
     return sc.getCheckpointDir()
@@ -102,9 +105,26 @@ def bucketed_table(df, key: str, buckets: int, label: str):
     return out
 
 
+def append_bucketed(df, to, key: str, buckets: int) -> None:
+    """Append ``df`` to the ``bucketed_table`` that ``to`` reads; ``reread`` it afterwards."""
+    df.select(*to.columns).write.mode("append").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(to._webledger_table)
+
+
+def reread(df):
+    """The present rows of a ``bucketed_table``."""
+    spark = df.sparkSession
+    spark.catalog.refreshTable(df._webledger_table)
+    out = spark.table(df._webledger_table)
+    out._webledger_table = df._webledger_table
+    return out
+
+
 def drop_bucketed(df) -> None:
-    """Forget a superseded ``bucketed_table`` in the catalog (external table:
-    the files stay in the scratch folder)."""
+    """Drop a superseded ``bucketed_table`` and its files."""
     name = getattr(df, "_webledger_table", None)
     if name:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -225,6 +225,33 @@ def stream_exhaustion(attempts: DataFrame) -> DataFrame:
     )
 
 
+def stream_exhaustion_marks(attempts: DataFrame, watermark: str | None = None, within: str = "1 hour") -> DataFrame:
+    """T5, the rule of R5: a key whose first try met a spent limit or quota is
+    marked when the call rotated, that is, when its retry arrives (a
+    stream-stream join; append mode).  One row per such call."""
+    body = F.lower(F.col("body"))
+    limit_hit = (F.col("http_status") == 429) & (body.contains("monthly usage limit") | body.contains("quota exceeded"))
+    first = attempts.where((F.col("attempt") == 1) & limit_hit).select("request_id", "key_id", F.col("ts").alias("first_ts"))
+    retry = attempts.where(F.col("attempt") == 2).select(F.col("request_id").alias("retried"), F.col("ts").alias("retry_ts"))
+    if watermark is not None:
+        first, retry = first.withWatermark("first_ts", watermark), retry.withWatermark("retry_ts", watermark)
+    return first.join(
+        retry, (F.col("request_id") == F.col("retried")) & (F.col("retry_ts") >= F.col("first_ts"))
+        & (F.col("retry_ts") <= F.col("first_ts") + F.expr(f"INTERVAL {within}")),
+    ).select("request_id", "key_id")
+
+
+def quota_exhaustion(usage: DataFrame, keys: DataFrame) -> DataFrame:
+    """T5, the rule of quotas: keys whose used credits and successes so far
+    (``stream_exhaustion``) reach their monthly quota."""
+    k = keys.select("key_id", "monthly_quota", "used_credits")
+    used = F.col("used_credits") + F.col("successes")
+    return usage.select("key_id", "successes").join(k, "key_id").select(
+        "key_id", used.alias("used"),
+        F.coalesce((F.col("monthly_quota") != 0) & (used >= F.col("monthly_quota")), F.lit(False)).alias("quota_spent"),
+    )
+
+
 # T6 ---------------------------------------------------------------------------
 
 
@@ -323,3 +350,40 @@ def interact_sessions_scan(requests: DataFrame, activity_ttl: int = INTERACT_ACT
         F.ceil(secs).cast("bigint").alias("billed_seconds"),
         (F.ceil(secs / 60.0) * 2).cast("bigint").alias("credits"),
     )
+
+
+# Streams run to their end ------------------------------------------------------
+
+
+def run_over(df: DataFrame, path: str, build, mode: str = "append", key: list[str] | None = None,
+             order: str | None = None, slices: int = 3) -> DataFrame:
+    """The result of the stream ``build(source)`` over the rows of ``df``.
+
+    The rows arrive in ``slices`` steps, cut by ``order`` (a number) if given:
+    each step's files are written to the stream's folder, and the stream runs
+    over what is new (available now) with one checkpoint throughout.  Results
+    go to Parquet folders named by batch; with ``key``, the row of a key's
+    last batch counts (update mode)."""
+    spark = df.sparkSession
+    lo, hi = df.agg(F.min(order), F.max(order)).first() if order else (0, 0)
+    result = None
+    for i in range(slices if lo is not None and hi > lo else 1):
+        from_, to = (lo + (hi - lo + 1) * k // slices for k in (i, i + 1))
+        part = df.where((F.col(order) >= from_) & (F.col(order) < to)) if lo is not None and hi > lo else df
+        part.write.parquet(f"{path}/in/f{i}")
+        stream = build(read_request_stream(spark, f"{path}/in/*", df.schema, max_files_per_trigger=1_000_000))
+        if result is None:
+            result = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
+            spark.createDataFrame([], result).write.parquet(f"{path}/out/none")  # a stream without rows has no batch
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/out/b{batch_id}")
+
+        q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
+        q.trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(result).parquet(f"{path}/out/*")
+    if key is None:
+        return rows.drop("_batch")
+    rest = [c for c in result.names if c not in (*key, "_batch")]
+    last = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_batch").alias("v"))
+    return last.select(*key, *[F.col(f"v.{c}").alias(c) for c in rest])
