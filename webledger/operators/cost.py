@@ -60,6 +60,8 @@ ROUTING_RULES = [
     ("scrape", ["scrape", "this url", "this page", "extract from"],
      "Scrape is the cheapest for single URLs. Markdown format (no JSON surcharge)."),
 ]
+# How the message on a cache verdict starts.
+SKIP, FETCH = "SKIP: ", "FETCH: "
 DEFAULT_ROUTE = ("scrape", "Default: scrape with markdown format (1 credit, no surcharges).")
 
 LIGHT_TOOLS = ["scrape", "crawl", "search", "map"]
@@ -205,9 +207,9 @@ def route_goals(goals: DataFrame, goal_col: str = "goal") -> DataFrame:
 
 
 def plan_goals(goals: DataFrame, cache_status: DataFrame | None = None) -> DataFrame:
-    """C4: route, then price the routed tool with no parameters beyond the URL;
-    attach the cache verdict when a ``cache_status`` (goal_id, skip, cache_reason)
-    table is given."""
+    """C4: route (``route_reason`` says why), then price the routed tool with
+    no parameters beyond the URL; attach the cache verdict and its message
+    when a ``cache_status`` (goal_id, skip, cache_reason) table is given."""
     routed = route_goals(goals)
     priced = estimate_cost(
         routed.withColumns(
@@ -221,7 +223,8 @@ def plan_goals(goals: DataFrame, cache_status: DataFrame | None = None) -> DataF
         )
     )
     if cache_status is not None:
-        priced = priced.join(cache_status, "goal_id", "left")
+        verdict = F.concat(F.when(F.col("skip"), SKIP).otherwise(FETCH), F.col("cache_reason"))
+        priced = priced.join(cache_status, "goal_id", "left").withColumn("cache_message", verdict)
     return priced
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from webledger.operators import cache, payload
 from webledger.operators import cost as cost_ops
 from webledger.plans.oracle import view
-from webledger.plans.q_cost import fetches
+from webledger.plans.q_cost import _ROUTE_SQL, fetches
 from webledger.plans.registry import query
 
 SPLIT = "2024-01-16 00:00:00"
@@ -199,20 +199,11 @@ def k2_replay_summary(v):
     return replay_summary(replay_cache(replay_log(v)))
 
 
-_ROUTE = """case
-  when contains(lower(goal), 'all pages') or contains(lower(goal), 'every page') or contains(lower(goal), 'site map')
-       or contains(lower(goal), 'list all urls') then 'map'
-  when contains(lower(goal), 'search') or contains(lower(goal), 'find') or contains(lower(goal), 'discover')
-       or contains(lower(goal), 'look for') then 'search'
-  when contains(lower(goal), 'monitor') or contains(lower(goal), 'watch') or contains(lower(goal), 'notify')
-       or contains(lower(goal), 'alert') or contains(lower(goal), 'track changes') then 'monitor_create'
-  when contains(lower(goal), 'pdf') or contains(lower(goal), 'docx') or contains(lower(goal), 'xlsx')
-       or contains(lower(goal), 'local file') or contains(lower(goal), 'upload') then 'parse'
-  else 'scrape' end"""
-
-
 @query("c4_plan_goals_cached", f"""
-select g.goal_id, {_ROUTE} as recommended_tool,
+select goal_id, recommended_tool, skip, cache_reason,
+  case when skip then 'SKIP: ' when not skip then 'FETCH: ' end || cache_reason as cache_message
+from (
+select g.goal_id, {_ROUTE_SQL} as recommended_tool,
   case when p.url is null then null
        when c.url is null or timestamp '{SPLIT}' > c.cached_at + interval 24 hours or c.format <> 'markdown' then false
        else true end as skip,
@@ -223,7 +214,7 @@ select g.goal_id, {_ROUTE} as recommended_tool,
        else concat('Already scraped ', c.tool, ' at ', strftime(c.cached_at, '%Y-%m-%dT%H:%M:%S.%gZ'),
                    ' (', c.credits, ' credits saved)') end as cache_reason
 from intents g left join pages p on p.page_id = g.goal_id and g.source = 'template'
-left join cache_v1 c on c.url = p.url
+left join cache_v1 c on c.url = p.url) x
 """)
 def c4_plan_goals_cached(v):
     """C4 with the cache verdict: each templated goal's URL (the captured page
@@ -233,7 +224,8 @@ def c4_plan_goals_cached(v):
     templated = v.intents.where(F.col("source") == "template")
     probes = templated.join(pages, "goal_id").select("goal_id", "url", F.lit("markdown").alias("format"))
     status = cache.cache_lookup(probes, cache_first_half(v), as_of=_split()).select("goal_id", "skip", "cache_reason")
-    return cost_ops.plan_goals(v.intents, status).select("goal_id", "recommended_tool", "skip", "cache_reason")
+    return cost_ops.plan_goals(v.intents, status).select(
+        "goal_id", "recommended_tool", "skip", "cache_reason", "cache_message")
 
 
 @query("c7_set_budget", """

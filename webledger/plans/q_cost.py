@@ -61,6 +61,19 @@ def c2_estimate_alternative(v):
     )
 
 
+_REASON_SQL = """
+case recommended_tool
+  when 'map' then 'Map discovers all URLs for 1 credit. Scrape only what you need after.'
+  when 'search' then 'Search discovers relevant pages. Scrape only top results after.'
+  when 'monitor_create' then 'Monitor checks automatically and only charges for actual changes.'
+  when 'parse' then 'Parse handles local files directly.'
+  else case when rule5 = 1 then 'Scrape is the cheapest for single URLs. Markdown format (no JSON surcharge).'
+            else 'Default: scrape with markdown format (1 credit, no surcharges).' end end
+"""
+_RULE5_SQL = """
+case when contains(lower(goal), 'scrape') or contains(lower(goal), 'this url') or contains(lower(goal), 'this page')
+          or contains(lower(goal), 'extract from') then 1 else 0 end
+"""
 _ROUTE_SQL = """
 case
   when contains(lower(goal), 'all pages') or contains(lower(goal), 'every page') or contains(lower(goal), 'site map')
@@ -76,20 +89,15 @@ case
 
 
 @query("c3_route_goals", f"""
-select goal_id, goal, {_ROUTE_SQL} as recommended_tool,
-  case when contains(lower(goal), 'scrape') or contains(lower(goal), 'this url') or contains(lower(goal), 'this page')
-            or contains(lower(goal), 'extract from') then 1 else 0 end as rule5_or_default
-from intents
+select goal_id, goal, recommended_tool, {_REASON_SQL} as route_reason
+from (select goal_id, goal, {_ROUTE_SQL} as recommended_tool, {_RULE5_SQL} as rule5 from intents) g
 """)
 def c3_route_goals(v):
-    routed = cost.route_goals(v.intents)
-    low = F.lower("goal")
-    rule5 = low.contains("scrape") | low.contains("this url") | low.contains("this page") | low.contains("extract from")
-    return routed.select("goal_id", "goal", "recommended_tool", F.when(rule5, 1).otherwise(0).alias("rule5_or_default"))
+    return cost.route_goals(v.intents).select("goal_id", "goal", "recommended_tool", "route_reason")
 
 
 @query("c4_plan_goals", f"""
-select goal_id, recommended_tool,
+select goal_id, recommended_tool, {_REASON_SQL} as route_reason,
   case recommended_tool when 'search' then 2 else 1 end::bigint as estimated_credits,
   case recommended_tool when 'scrape' then '1 credit(s)' when 'search' then '2 credits (no scraping)'
        when 'map' then '1 credit for URL discovery' when 'parse' then '1 credit per page' else '1 credit(s)' end as cost_breakdown,
@@ -97,12 +105,13 @@ select goal_id, recommended_tool,
   case recommended_tool when 'scrape' then 0 when 'search' then 0 end::bigint as alternative_savings,
   case recommended_tool when 'scrape' then 'Consider using map + scrape instead to save 0 credits.'
        else 'This is already the cheapest option.' end as tip
-from (select goal_id, {_ROUTE_SQL} as recommended_tool from intents) g
+from (select goal_id, {_ROUTE_SQL} as recommended_tool, {_RULE5_SQL} as rule5 from intents) g
 """)
 def c4_plan_goals(v):
     return cost.plan_goals(v.intents).select(
         "goal_id",
         "recommended_tool",
+        "route_reason",
         "estimated_credits",
         F.col("reason").alias("cost_breakdown"),
         "cheaper_alternative",
@@ -259,13 +268,19 @@ _CANON = "['scrape','crawl','crawl_status','map','search','parse','interact','mo
 
 
 @query("c14_tool_adoption", f"""
-select account_id, array_to_string(ordered, ',') as tools, len(ordered) as n_tools, true as valid,
+select account_id, array_to_string(ordered, ',') as tools, len(ordered) as n_tools, account_id % 7 <> 3 as valid,
   case when len(ordered) = 11 then 'enabled' when len(ordered) = 0 then 'disabled' else 'partial' end as status
 from (select account_id, list_filter({_CANON}, lambda t: list_contains(s, t)) as ordered
       from (select account_id, list(distinct tool) as s from requests group by 1) x) y
 """)
 def c14_tool_adoption(v):
-    return cost.tool_adoption(v.requests)
+    return cost.tool_adoption(_selections(v))
+
+
+def _selections(v):
+    """Tools by account; some accounts also name a tool that doesn't exist."""
+    named = v.requests.select("account_id", "tool")
+    return named.unionByName(named.where("account_id % 7 = 3").withColumn("tool", F.concat("tool", F.lit("_old"))))
 
 
 @query("c14_adoption_counts", f"""

@@ -130,11 +130,14 @@ def e7_filter_tags_tree(v):
     return out.select("page_id", "filtered_html")
 
 
-@query("e8_strip_base64_images", f"""
-select page_id, length(regexp_replace(html, {_lit(H.BASE64_IMG_PATTERN)}, '', 'g')) as html_chars from pages
-""")
+@query("e8_strip_base64_images", "select page_id, sha256(html) as html_sha, page_id % 3 = 0 as had_image from pages")
 def e8_strip_base64_images(v):
-    return E.strip_base64_images(v.table("pages")).select("page_id", F.length("html").cast("bigint").alias("html_chars"))
+    """Inline images put into every third page come out again, and nothing else does."""
+    image = F.lit('<img src="data:image/png;base64,iVBORw0KGgo=" alt="x">')
+    had = F.col("page_id") % 3 == 0
+    with_images = v.table("pages").withColumn("had_image", had).withColumn(
+        "html", F.when(had, F.concat(F.replace(F.col("html"), F.lit("<h1>"), F.concat(image, F.lit("<h1>"))), image)).otherwise(F.col("html")))
+    return E.strip_base64_images(with_images).select("page_id", F.sha2("html", 256).alias("html_sha"), "had_image")
 
 
 @query("e9_block_ads", f"""
@@ -165,6 +168,24 @@ def e10_scrape(v):
     )
 
 
+@query("e10_scrape_formats", f"""
+select page_id, case when page_id % 3 = 0 then sha256(html) end as raw_sha,
+  case when page_id % 3 = 1 then sha256({H.apply_steps_sql(_ADS, H.CLEAN_STEPS)}) end as html_sha,
+  case when page_id % 3 = 2 then coalesce(n, 0) end as n_links, case when page_id % 3 = 2 then first_link end as first_link
+from pages left join (
+  select page_id as pid, count(*) as n, min(case when pos = 0 then link end) as first_link from page_links group by 1) l
+  on l.pid = page_id
+""")
+def e10_scrape_formats(v):
+    """The other text formats, one to a page: the page as captured, cleaned, and its links."""
+    k = F.col("page_id") % 3
+    out = E.scrape(v.table("pages"), F.array(F.when(k == 0, "rawHtml").when(k == 1, "html").otherwise("links")))
+    return out.select(
+        "page_id", F.sha2("raw_html", 256).alias("raw_sha"), F.sha2("html_out", 256).alias("html_sha"),
+        F.when(F.col("links").isNotNull(), F.size("links")).cast("bigint").alias("n_links"), F.get("links", F.lit(0)).alias("first_link"),
+    )
+
+
 @query("f1_filter_paths", f"""
 select page_id, url from pages
 where (regexp_matches({path_sql('url')}, '(^/en/)|(^/de/)')) and not regexp_matches({path_sql('url')}, '(\\.html$)')
