@@ -186,14 +186,19 @@ def add_fallback_key(keys: DataFrame, fallback: DataFrame, pool: str = "account_
 
 
 def insert_new_keys(keys: DataFrame, candidates: DataFrame, pool: str = "account_id") -> DataFrame:
-    """Add candidates in id order, rejecting key texts already present
+    """Add candidates in id order, rejecting those whose quota check failed
+    (``quota_error``, where there is such a column) and key texts already present
     (configured or added earlier in the batch).  Quota = plan credits or
     1000; priority = pool size + i; name suffix continues after the highest
     existing ``key-N`` (so a name never repeats after a removal)."""
+    if "quota_error" in candidates.columns:
+        candidates = candidates.where(F.col("quota_error").isNull())
+    if "remaining_credits" not in candidates.columns:
+        candidates = candidates.withColumn("remaining_credits", F.lit(None).cast("bigint"))
     first_offer = (
         candidates.groupBy(pool, "key_text")
-        .agg(F.min_by(F.struct("candidate_id", "plan_credits"), "candidate_id").alias("c"))
-        .select(pool, "key_text", "c.candidate_id", "c.plan_credits")
+        .agg(F.min_by(F.struct("candidate_id", "plan_credits", "remaining_credits"), "candidate_id").alias("c"))
+        .select(pool, "key_text", "c.*")
     )
     fresh = first_offer.join(keys.select(pool, "key_text"), [pool, "key_text"], "left_anti")
     sizes = keys.groupBy(pool).agg(
@@ -214,6 +219,19 @@ def insert_new_keys(keys: DataFrame, candidates: DataFrame, pool: str = "account
         (n + F.col("_i")).cast("int").alias("priority"),
         F.coalesce(F.col("plan_credits"), F.lit(DEFAULT_NEW_QUOTA)).cast("bigint").alias("monthly_quota"),
         F.lit(False).alias("disabled"),
+        "plan_credits",
+        "remaining_credits",
+    )
+
+
+def usage_of_new_keys(added: DataFrame, as_of: Column) -> DataFrame:
+    """The usage rows of keys that ``insert_new_keys`` added: what the plan
+    has no longer left, or nothing used without a plan."""
+    plan = F.col("plan_credits")
+    used = F.when(plan.isNotNull() & (plan != 0), plan - F.coalesce("remaining_credits", F.lit(0))).otherwise(F.lit(0))
+    return added.select(
+        key_hash(F.col("key_text")).alias("key_hash"), used.cast("bigint").alias("used_credits"), "remaining_credits",
+        "plan_credits", as_of.alias("last_checked"),
     )
 
 

@@ -161,7 +161,9 @@ from supplier
 view("key_candidates", """
 select c_custkey as candidate_id, c_nationkey as account_id,
   concat('wk-', repeat(cast(c_custkey % 10 as string), 6), '-', cast(c_custkey % 400 + 100000 as string)) as key_text,
-  case when c_custkey % 3 = 0 then null else cast(floor(abs(c_acctbal)) as bigint) end as plan_credits
+  case when c_custkey % 3 = 0 then null else cast(floor(abs(c_acctbal)) as bigint) end as plan_credits,
+  case when c_custkey % 5 = 0 then null else cast(floor(abs(c_acctbal)) as bigint) // 2 end as remaining_credits,
+  case when c_custkey % 11 = 4 then 'HTTP 401' else null end as quota_error
 from customer
 """)
 

@@ -228,6 +228,27 @@ def m8_fan_out_alerts(v):
     return M.fan_out_alerts(changes, units, _notify(v)).select("monitor_id", "url", "status", "recipient", "valid")
 
 
+@query("m8_fan_out_diffs", """
+select u.monitor_id, c.url, r.recipient, u.monitor_id % 30 + 1 <= 25 as valid,
+  case when u.monitor_id % 4 = 0 then sha256(d.lines) end as diff_sha
+from capture_diff c
+join monitor_units u on u.unit = c.url and u.target_type = 'scrape'
+join (select monitor_id, unnest(list_transform(range(1, cast(monitor_id % 30 + 2 as bigint)),
+        lambda i: 'r' || i || '@' || lower(goal_topic) || '.example')) as recipient
+      from monitors where monitor_id % 2 = 0) r on r.monitor_id = u.monitor_id
+left join (select url, array_to_string(list_sort(list(case kind when 'added' then '+' else '-' end || line)), chr(10)) as lines
+           from line_diff group by 1) d on d.url = c.url
+where c.status = 'changed'
+""")
+def m8_fan_out_diffs(v):
+    """Alerts with the changed lines for the monitors that ask for them."""
+    changes = M.diff_captures(v.capture_v1, v.capture_v2).where(F.col("status") == "changed")
+    units = monitor_units(v).where(F.col("target_type") == "scrape")
+    notify = _notify(v).withColumn("include_diffs", F.col("monitor_id") % 4 == 0)
+    out = M.fan_out_alerts(changes, units, notify, M.diff_lines(v.capture_v1, v.capture_v2))
+    return out.select("monitor_id", "url", "recipient", "valid", F.sha2("diff", 256).alias("diff_sha"))
+
+
 view("corpus_grown", """
 select doc_id, text from documents union all select 1000000000000 + item_id, text from benchmark
 """)

@@ -48,6 +48,17 @@ def f6_eligible_keys(v):
     return pool.eligible_keys(v.keys).select("key_id", "account_id")
 
 
+@query("f7_unexhausted_unused", f"""
+select key_id, account_id from (
+  select * replace (case when key_id % 6 <> 5 then used_credits end as used_credits) from keys) k
+where {_ELIGIBLE} and not {_EXHAUSTED}
+""")
+def f7_unexhausted_unused(v):
+    """Every sixth key has no usage row: its quota can't be known to be spent."""
+    k = v.keys.withColumn("used_credits", F.when(F.col("key_id") % 6 != 5, F.col("used_credits")))
+    return pool.unexhausted(pool.eligible_keys(k)).select("key_id", "account_id")
+
+
 @query("f7_unexhausted", f"select key_id, account_id from keys where {_ELIGIBLE} and not {_EXHAUSTED}")
 def f7_unexhausted(v):
     return pool.unexhausted(pool.eligible_keys(v.keys)).select("key_id", "account_id")
@@ -95,7 +106,7 @@ select f.candidate_id, f.account_id, sha256(f.key_text) as key_hash,
   cast(coalesce(s.n, 0) + row_number() over (partition by f.account_id order by f.candidate_id) as int) as priority,
   cast(coalesce(f.plan_credits, 1000) as bigint) as monthly_quota, false as disabled
 from (select * from (select *, row_number() over (partition by account_id, key_text order by candidate_id) as rn
-                     from key_candidates) c where rn = 1) f
+                     from key_candidates where quota_error is null) c where rn = 1) f
 left join (select account_id, count(*) as n,
                   coalesce(max(try_cast(regexp_extract(name, '^key-([0-9]+)$', 1) as bigint)), 0) as max_suffix
            from keys group by 1) s on s.account_id = f.account_id
@@ -107,6 +118,19 @@ def n3_insert_new_keys(v):
                       "priority", "monthly_quota", "disabled")
 
 
+@query("n3_usage_of_new_keys", """
+select sha256(f.key_text) as key_hash,
+  case when coalesce(f.plan_credits, 0) <> 0 then f.plan_credits - coalesce(f.remaining_credits, 0) else 0 end as used_credits,
+  f.remaining_credits, f.plan_credits, timestamp '2024-02-01 00:00:00' as last_checked
+from (select *, row_number() over (partition by account_id, key_text order by candidate_id) as rn
+      from key_candidates where quota_error is null) f
+where rn = 1 and not exists (select 1 from keys k where k.account_id = f.account_id and k.key_text = f.key_text)
+""")
+def n3_usage_of_new_keys(v):
+    as_of = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    return pool.usage_of_new_keys(pool.insert_new_keys(v.keys, v.key_candidates), as_of)
+
+
 @query("n4_remove_keys_remaining", """
 select key_id, account_id, name from keys
 where key_id not in (select min(k.key_id) from keys k
