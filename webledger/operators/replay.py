@@ -52,26 +52,59 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     rows = rows.withColumn("is_start", start)
     rows = prefix_scan(rows, ["idx"], {"run": ("sum", F.col("is_start").cast("bigint"))})
     rows = cut_lineage(rows)
+    # 3. the misses: the chain of starts within each run
+    chain, rows = chain_starts(rows, "url", ttl)
+    misses = chain.select(F.col("i").alias("idx"), F.lit(True).alias("miss"))
+    rows = rows.join(misses, "idx", "left").withColumn("miss", F.coalesce("miss", F.lit(False)))
+
+    # 4. the entry each request sees: the latest miss at or before it (same
+    #    run), or, at a run start, the previous run's last miss.
+    rows = prefix_scan(rows, ["idx"], {"writer": ("max", F.when(F.col("miss"), F.col("idx")))})
+    rows = cut_lineage(rows)
+    entry = rows.where("miss").select(
+        F.col("idx").alias("w_idx"), F.col("us").alias("w_us"), F.col("ts").alias("w_ts"),
+        F.col("fmt").alias("w_fmt"), F.col("tool").alias("w_tool"), F.col("credits").alias("w_credits"),
+    )
+    # the cached entry before row i is the writer of row i-1 (same URL only)
+    before = rows.select((F.col("idx") + 1).alias("idx"), F.col("writer").alias("seen_writer"),
+                         F.col("url").alias("b_url"))
+    out = rows.join(before, "idx", "left").withColumn(
+        "seen_writer", F.when(F.col("b_url") == F.col("url"), F.col("seen_writer"))
+    )
+    out = out.join(entry, F.col("seen_writer") == F.col("w_idx"), "left")
+    cached = F.col("w_idx").isNotNull()
+    expired = F.col("us") - F.col("w_us") > ttl
+    reason = verdict_text(~cached, expired, F.col("w_fmt") != F.col("fmt"), F.col("w_fmt"), F.col("fmt"),
+                          F.col("w_tool"), F.col("w_ts"), F.col("w_credits"))
+    return out.select("request_id", (~F.col("miss")).alias("hit"), reason.alias("reason"))
+
+
+def chain_starts(rows: DataFrame, part: str, ttl: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (column ``i``, their idx) that start anew: the first of every
+    run, and from each start the run's first row more than ``ttl``
+    microseconds later.  Also returns ``rows`` with the bounds of their run.
+
+    ``rows`` has ``idx`` in (``part``, us, request_id) order and ``run``."""
     runs = rows.groupBy("run").agg(
         F.min("idx").alias("run_first"), F.max("idx").alias("run_last"),
         F.min("us").alias("run_t0"), F.max("us").alias("run_t1"),
     )
 
-    # 3. nxt(i): first row after ts_i + TTL, found by counting data rows that
-    #    sort before the probe (url, ts_i + TTL) in the same global order.
-    data = rows.select("url", "us", F.lit(0).alias("kind"), "request_id", F.lit(None).cast("bigint").alias("probe_of"))
+    # nxt(i): first row after ts_i + TTL, found by counting data rows that
+    #    sort before the probe (part, ts_i + TTL) in the same global order.
+    data = rows.select(part, "us", F.lit(0).alias("kind"), "request_id", F.lit(None).cast("bigint").alias("probe_of"))
     probes = rows.select(
-        "url", (F.col("us") + ttl).alias("us"), F.lit(1).alias("kind"),
+        part, (F.col("us") + ttl).alias("us"), F.lit(1).alias("kind"),
         F.lit(None).cast("bigint").alias("request_id"), F.col("idx").alias("probe_of"),
     )
     both = data.unionByName(probes)
-    counted = prefix_scan(both, ["url", "us", "kind", "request_id"],
+    counted = prefix_scan(both, [part, "us", "kind", "request_id"],
                           {"n_data": ("sum", (F.col("kind") == 0).cast("bigint"))})
     nxt = counted.where(F.col("kind") == 1).select(F.col("probe_of").alias("idx"), F.col("n_data").alias("nxt"))
     rows = rows.join(nxt, "idx").join(runs.select("run", "run_last", "run_first"), "run")
     rows = cut_lineage(rows.withColumn("nxt", F.when(F.col("nxt") <= F.col("run_last"), F.col("nxt"))))
 
-    # 4. chain from each run start by pointer doubling
+    # The chain from each run start by pointer doubling
     bound = runs.agg(
         F.max(F.least(F.col("run_last") - F.col("run_first") + 1,
                       F.floor((F.col("run_t1") - F.col("run_t0")) / F.lit(ttl)) + 1))
@@ -80,7 +113,7 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     # The jump table is kept bucketed by its source index, so each round
     # shuffles only the chain (for the reach join) and the jump table's
     # targets (for the composition), not the bucketed side.
-    n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     jump = bucketed_table(
         rows.where(F.col("nxt").isNotNull()).select(F.col("idx").alias("i"), F.col("nxt").alias("j")), "i", n, "jump")
     chain = runs.select(F.col("run_first").alias("i"))
@@ -92,29 +125,8 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
         previous = jump
         jump = bucketed_table(nxt2, "i", n, "jump")
         drop_bucketed(previous)
-    misses = chain.select(F.col("i").alias("idx"), F.lit(True).alias("miss"))
-    rows = rows.join(misses, "idx", "left").withColumn("miss", F.coalesce("miss", F.lit(False)))
-
-    # 5. the entry each request sees: the latest miss at or before it (same
-    #    run), or, at a run start, the previous run's last miss.
-    rows = prefix_scan(rows, ["idx"], {"writer": ("max", F.when(F.col("miss"), F.col("idx")))})
-    rows = cut_lineage(rows)
-    entry = rows.where("miss").select(
-        F.col("idx").alias("w_idx"), F.col("us").alias("w_us"), F.col("ts").alias("w_ts"),
-        F.col("fmt").alias("w_fmt"), F.col("tool").alias("w_tool"), F.col("credits").alias("w_credits"),
-    )
-    # the cached entry before row i is the writer of row i-1 (same URL only)
-    before = rows.select((F.col("idx") + 1).alias("idx"), F.col("writer").alias("seen_writer"),
-                         F.col("url").alias("b_url"))
-    out = rows.join(before, "idx", "left").withColumn(
-        "seen_writer", F.when(F.col("b_url") == F.col("url"), F.col("seen_writer"))
-    )
-    out = out.join(entry, F.col("seen_writer") == F.col("w_idx"), "left")
-    cached = F.col("w_idx").isNotNull()
-    expired = F.col("us") - F.col("w_us") > ttl
-    reason = verdict_text(~cached, expired, F.col("w_fmt") != F.col("fmt"), F.col("w_fmt"), F.col("fmt"),
-                          F.col("w_tool"), F.col("w_ts"), F.col("w_credits"))
-    return out.select("request_id", (~F.col("miss")).alias("hit"), reason.alias("reason"))
+    drop_bucketed(jump)
+    return chain, rows
 
 
 def replay_summary(replayed: DataFrame) -> DataFrame:

@@ -36,27 +36,31 @@ def t1_spend_windows_sliding(v):
 
 
 _SESSIONS_SQL = """
-select account_id, min(ts) as session_start, max(ts) + interval 600 seconds as session_end, count(*) as n_events,
-  cast(ceil(least(epoch_us(max(ts) + interval 600 seconds) - epoch_us(min(ts)), 3600000000) / 1000000.0) as bigint)
-    as billed_seconds,
-  cast(ceil(least(epoch_us(max(ts) + interval 600 seconds) - epoch_us(min(ts)), 3600000000) / 1000000.0 / 60.0) * 2
-    as bigint) as credits
-from (select *, sum(case when prev is null or epoch_us(ts) - epoch_us(prev) >= 600000000 then 1 else 0 end)
-                  over (partition by account_id order by ts, request_id) as sid
-      from (select request_id, account_id, ts, lag(ts) over (partition by account_id order by ts, request_id) as prev
-            from requests where tool = 'interact') a) b
-group by account_id, sid
+with recursive ord as (
+  select account_id, epoch_us(ts) as us, row_number() over (partition by account_id order by ts, request_id) as rn
+  from requests where tool = 'interact'),
+walk as (
+  select account_id, rn, us, us as s from ord where rn = 1
+  union all
+  select o.account_id, o.rn, o.us,
+    case when o.us - w.us >= 3600000000 or o.us >= w.s + 1800000000 then o.us else w.s end
+  from walk w join ord o on o.account_id = w.account_id and o.rn = w.rn + 1),
+x as (
+  select account_id, s, count(*) as n_events, least(max(us) - s + 3600000000, 1800000000) as l from walk group by 1, 2)
+select account_id, make_timestamp(s) as session_start, make_timestamp(s + l) as session_end, n_events,
+  cast(ceil(l / 1000000.0) as bigint) as billed_seconds, cast(ceil(l / 60000000.0) * 2 as bigint) as credits
+from x
 """
 
 
 @query("t2_interact_sessions", _SESSIONS_SQL)
 def t2_interact_sessions(v):
-    return J.interact_sessions(v.requests, activity_ttl=600, ttl=3600)
+    return J.interact_sessions(v.requests, activity_ttl=3600, ttl=1800)
 
 
 @query("t2_interact_sessions_scan", _SESSIONS_SQL)
 def t2_interact_sessions_scan(v):
-    return J.interact_sessions_scan(v.requests, activity_ttl=600, ttl=3600)
+    return J.interact_sessions_scan(v.requests, activity_ttl=3600, ttl=1800)
 
 
 @query("t5_exhaustion", """

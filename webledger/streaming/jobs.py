@@ -62,22 +62,43 @@ INTERACT_TTL = 600
 
 def interact_sessions(requests: DataFrame, activity_ttl: int = INTERACT_ACTIVITY_TTL, ttl: int = INTERACT_TTL,
                       watermark: str | None = None, ts: str = "ts") -> DataFrame:
-    """Browser sessions per account - a session closes after
-    ``activity_ttl`` seconds without activity (10-3600) and lasts at most
-    ``ttl`` seconds (30-3600); billed ``ceil(seconds / 60) * 2``."""
-    if not (10 <= activity_ttl <= 3600 and 30 <= ttl <= 3600):
-        raise ValueError("activityTtl must be 10-3600 and ttl 30-3600 seconds")
+    """Browser sessions per account - a session ends after
+    ``activity_ttl`` seconds without activity (10-3600), and ``ttl`` seconds
+    (30-3600) after its start at the latest; activity after that starts a new
+    one.  Billed ``ceil(seconds / 60) * 2``.
+
+    Activity without a gap is one session window; its times are then cut into
+    sessions in order.  An account's stretch of activity is held by one task
+    (``interact_sessions_scan`` holds none)."""
+    check_ttls(activity_ttl, ttl)
     df = requests.where(F.col("tool") == "interact")
     if watermark is not None:
         df = df.withWatermark(ts, watermark)
-    s = df.groupBy(F.session_window(ts, f"{activity_ttl} seconds").alias("s"), "account_id").agg(
-        F.count(F.lit(1)).alias("n_events")
+    runs = df.groupBy(F.session_window(ts, f"{activity_ttl} seconds").alias("s"), "account_id").agg(
+        F.array_sort(F.collect_list(epoch_micros(F.col(ts)))).alias("times")
     )
-    secs = F.least(F.timestamp_diff("MICROSECOND", F.col("s.start"), F.col("s.end")) / F.lit(1_000_000), F.lit(ttl))
-    return s.select(
-        "account_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n_events",
-        F.ceil(secs).cast("bigint").alias("billed_seconds"),
-        (F.ceil(secs / 60.0) * 2).cast("bigint").alias("credits"),
+    cut = F.expr(f"""aggregate(times, cast(array() as array<struct<first:bigint,last:bigint,n:bigint>>), (a, t) ->
+      if(size(a) = 0 or t >= element_at(a, -1).first + {ttl * 1_000_000},
+         concat(a, array(named_struct('first', t, 'last', t, 'n', 1L))),
+         concat(slice(a, 1, size(a) - 1),
+                array(named_struct('first', element_at(a, -1).first, 'last', t, 'n', element_at(a, -1).n + 1L)))))""")
+    each = runs.select("account_id", F.col("s.start").alias("s"), F.element_at("times", 1).alias("t0"), F.explode(cut).alias("x"))
+    start = F.col("s") + F.make_dt_interval(secs=((F.col("x.first") - F.col("t0")) / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return billed(each.select("account_id", start.alias("session_start"), F.col("x.n").alias("n_events"),
+                              (F.col("x.last") - F.col("x.first")).alias("active_us")), activity_ttl, ttl)
+
+
+def check_ttls(activity_ttl: int, ttl: int) -> None:
+    if not (10 <= activity_ttl <= 3600 and 30 <= ttl <= 3600):
+        raise ValueError("activityTtl must be 10-3600 and ttl 30-3600 seconds")
+
+
+def billed(sessions: DataFrame, activity_ttl: int, ttl: int) -> DataFrame:
+    """Sessions (account_id, session_start, n_events, active_us) with their end and credits."""
+    secs = F.least((F.col("active_us") / F.lit(1_000_000) + activity_ttl).cast("decimal(18,6)"), F.lit(ttl).cast("decimal(18,6)"))
+    return sessions.select(
+        "account_id", "session_start", (F.col("session_start") + F.make_dt_interval(secs=secs)).alias("session_end"), "n_events",
+        F.ceil(secs).cast("bigint").alias("billed_seconds"), (F.ceil(secs / 60) * 2).cast("bigint").alias("credits"),
     )
 
 
@@ -320,36 +341,35 @@ def write_alerts(events: DataFrame, subscriptions: DataFrame, path: str, checkpo
 
 def interact_sessions_scan(requests: DataFrame, activity_ttl: int = INTERACT_ACTIVITY_TTL, ttl: int = INTERACT_TTL,
                            ts: str = "ts") -> DataFrame:
-    """T2, batch form for skewed logs: the same sessions as ``session_window``
-    without putting an account's history in one task.  Rows get a global
-    index in (account, time, id) order, a session starts where the previous
-    row is another account or at least ``activity_ttl`` earlier, and session
-    ids are a prefix count of starts; sessions then aggregate partially."""
+    """T2, batch form for skewed logs: the same sessions without putting an
+    account's history in one task.  Rows get a global index in (account,
+    time, id) order; a run starts where the previous row is another account or
+    at least ``activity_ttl`` earlier; within a run sessions start as the
+    chain of K2's misses does.  Sessions then aggregate partially."""
+    from webledger.operators.replay import chain_starts
     from webledger.operators.windows import prefix_scan
     from webledger.session import cut_lineage
 
-    if not (10 <= activity_ttl <= 3600 and 30 <= ttl <= 3600):
-        raise ValueError("activityTtl must be 10-3600 and ttl 30-3600 seconds")
+    check_ttls(activity_ttl, ttl)
     gap = activity_ttl * 1_000_000
     r = requests.where(F.col("tool") == "interact").select(
         "request_id", "account_id", F.col(ts).alias("ts"), epoch_micros(F.col(ts)).alias("us"))
-    r = cut_lineage(prefix_scan(r, ["account_id", "us", "request_id"], {"idx": ("sum", F.lit(1))}))
+    r = prefix_scan(r, ["account_id", "us", "request_id"], {"idx": ("sum", F.lit(1))})
+    r = cut_lineage(r.withColumn("idx", F.col("idx") - 1))
     prev = r.select((F.col("idx") + 1).alias("idx"), F.col("account_id").alias("p_acc"), F.col("us").alias("p_us"))
     r = r.join(prev, "idx", "left").withColumn(
         "start", F.col("p_acc").isNull() | (F.col("p_acc") != F.col("account_id")) | (F.col("us") - F.col("p_us") >= gap)
-    )
-    r = prefix_scan(r, ["idx"], {"sid": ("sum", F.col("start").cast("bigint"))})
+    ).drop("p_acc", "p_us")
+    r = cut_lineage(prefix_scan(r, ["idx"], {"run": ("sum", F.col("start").cast("bigint"))}))
+    starts, r = chain_starts(r, "account_id", ttl * 1_000_000 - 1)  # activity at the very end starts anew
+    starts = starts.select(F.col("i").alias("idx"), F.lit(True).alias("begins"))
+    r = r.join(starts, "idx", "left")
+    r = prefix_scan(r, ["idx"], {"sid": ("max", F.when(F.col("begins"), F.col("idx")))})
     s = r.groupBy("sid").agg(
-        F.first("account_id").alias("account_id"), F.min("ts").alias("session_start"), F.max("ts").alias("last_ts"),
-        F.count(F.lit(1)).alias("n_events"),
-    )
-    end = F.col("last_ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(activity_ttl))
-    secs = F.least(F.timestamp_diff("MICROSECOND", F.col("session_start"), end) / F.lit(1_000_000), F.lit(ttl))
-    return s.select(
-        "account_id", "session_start", end.alias("session_end"), "n_events",
-        F.ceil(secs).cast("bigint").alias("billed_seconds"),
-        (F.ceil(secs / 60.0) * 2).cast("bigint").alias("credits"),
+        F.first("account_id").alias("account_id"), F.min("ts").alias("session_start"), F.count(F.lit(1)).alias("n_events"),
+        (F.max("us") - F.min("us")).alias("active_us"),
     )
+    return billed(s, activity_ttl, ttl)
 
 
 # Streams run to their end ------------------------------------------------------
