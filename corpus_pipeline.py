@@ -15,18 +15,15 @@ from pyspark.sql import functions as F
 from webledger.llm import language, naming, packing, secrets, simhash
 from webledger.llm.common import table, written
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is in ``ids``."""
     ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model recognises; those it rejects go."""
-    return language.accepted(docs.select(*COLUMNS), language.learn(docs))
+    return language.accepted(docs, language.learn(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +38,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark."""
-    return secrets.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
+    """All documents, their secrets replaced by a mark, and n_chars by the new length."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
