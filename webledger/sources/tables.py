@@ -23,10 +23,28 @@ PAGES_SCHEMA = T.StructType(
 )
 
 
+# Tables whose rows carry whole texts: parsing them is the expensive part.
+TEXT_TABLES = {"pages", "documents"}
+#: A text table of up to this size is one or two row groups, which a scan cannot split.
+SMALL_BYTES = 32 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table.  How many splits a scan has is the reader's business
-    (``spark.sql.files.maxPartitionBytes``); nothing is dealt out anew."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    (``spark.sql.files.maxPartitionBytes``).  Only a text table of a few
+    megabytes, which would be parsed on one core, is spread over the cores;
+    moving it costs nothing that counts on any cluster."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if name in TEXT_TABLES and bytes_of(spark, path) <= SMALL_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
+
+
+def bytes_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder in whatever store ``path`` names."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
 
 
 def read_captures(spark: SparkSession, path: str, schema: T.StructType = PAGES_SCHEMA) -> DataFrame:
