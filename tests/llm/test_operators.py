@@ -417,6 +417,11 @@ def test_structure_settles_pages_with_articles():
         '<aside>side</aside><div class="comments"><p>me too</p></div><ul><li>five<li>six</ul></article><form>mail</form>'
     )
     assert [t for z, t in html.blocks_of(page) if z == html.MAIN] == ["A & B", "one two three", "four", "five", "six"]
+    main = lambda x: [t for z, t in html.blocks_of(x) if z == html.MAIN]
+    assert main('<article class="post has-comments with-ads"><p>a <span class="ad">buy</span>b<div class="share">x</div>c</article>') == ["a b", "c"]
+    assert main('<main><article>one<article class="comment">two</article>three</article></main>') == ["one", "three"]
+    assert main('<article><table><tr><td>1<td>2<tr><th>3</table><dl><dt>k<dd>v</dl>') == ["1", "2", "3", "k", "v"]
+    assert main('<article><p>x<form><input>mail<div>us</div></form>y</article>') == ["x", "y"]
     for broken in (None, "", "<", "<article>", "<!-- x", "</p></div>", "<p class='", "a < b && c > d"):
         assert all(z == html.OPEN for z, _ in html.blocks_of(broken))
 
