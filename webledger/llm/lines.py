@@ -46,7 +46,7 @@ SHARD_KEYS = 200_000
 KEYS = ["shard", "hi", "lo"]
 
 
-def line_keys(text: str | None, min_chars: int) -> tuple[list[str], list[bytes | None]]:
+def line_keys(text: str | None, min_chars: int) -> tuple[list[bytes], list[bytes | None]]:
     """The lines of a text and the 128-bit hash of each one's key; None for a key that is too short."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     lines = raw.split(b"\n")

@@ -29,6 +29,8 @@ from webledger.llm.pretoken import PieceIds, ids_of_texts
 
 #: Rows of one length that are numbered in one task.
 RANKED_TOGETHER = 50_000
+#: Pieces that the tokenizer gets at once.
+TOGETHER = 2048
 
 
 @functools.lru_cache(maxsize=2)
@@ -41,7 +43,16 @@ def known_ids(vocabulary: str) -> PieceIds:
 
     t = Tokenizer.from_str(vocabulary)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return PieceIds(lambda pieces: [e.ids for e in t.encode_batch_fast(pieces, add_special_tokens=False)])
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        # The library's results hold far more than ids, so few are held at a time.
+        return [
+            e.ids
+            for i in range(0, len(pieces), TOGETHER)
+            for e in t.encode_batch_fast(pieces[i : i + TOGETHER], add_special_tokens=False)
+        ]
+
+    return PieceIds(encode)
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int = 1) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 OTHER, LETTER, NUMBER, SPACE, EDGE = range(5)
 #: The code points with the property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-LIMIT = 500_000
+LIMIT = 250_000
 
 
 @functools.cache
@@ -143,7 +143,7 @@ class PieceIds:
     a new piece.
     """
 
-    def __init__(self, encode, keep: int = 600_000):
+    def __init__(self, encode, keep: int = 400_000):
         self.encode, self.keep = encode, keep
         self.clear()
 
