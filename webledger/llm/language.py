@@ -34,8 +34,9 @@ BUCKETS, WIDTH = 4096, 16
 SAMPLE = 4000
 #: Characters of the short excerpt that each of them also gives, so that short texts are learned and calibrated too.
 EXCERPT = 60
-#: Share of right, whole calibration texts that may be rejected, and the confidence that is always enough.
-MAY_REJECT, ENOUGH = 0.001, 0.5
+#: Share of right, whole calibration texts that may be rejected, and the confidence that is always enough:
+#: a text in two languages by halves stays, one that is as much of three or of none goes.
+MAY_REJECT, ENOUGH = 0.001, 0.4
 UNKNOWN = "und"
 
 
