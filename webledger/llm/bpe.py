@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webledger.llm.common import table, with_python
+from webledger.llm.common import slices, table, with_python
 from webledger.llm.pretoken import PieceIds, ids_of_texts
 
 NONE = np.int32(2**31 - 1)
@@ -225,7 +225,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(data)
         names = {i: str(i) for i in c.bytes_of}
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             n, ids_sha, back_sha = [], [], []
             for ids in c.encode(texts):

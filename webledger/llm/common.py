@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,14 +55,8 @@ def splittable(key: str) -> Column:
     return F.col(key).bitwiseXOR(F.lit(1))
 
 
-def text_groups(texts: list[str], limit: int = 500_000) -> Iterator[tuple[int, int]]:
-    """Ranges [i, j) of ``texts`` of at most ``limit`` characters together; a
-    longer text stands alone."""
-    i = size = 0
-    for j, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield i, j
-            i, size = j, 0
-        size += len(text)
-    if texts:
-        yield i, len(texts)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """``batches`` in pieces of at most ``rows`` rows, so that few whole texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

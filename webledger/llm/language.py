@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm.common import table, with_python
+from webledger.llm.common import slices, table, with_python
 from webledger.llm.pretoken import LETTER, classes, parts
 
 BUCKETS, WIDTH = 4096, 16
@@ -153,7 +153,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     schema = "doc_id long, lang string, fold int, whole binary, short binary"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.to_pydict()
             whole, short = [], []
             for doc, text in zip(rows["doc_id"], rows["text"], strict=True):
@@ -186,7 +186,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.predict(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()),
@@ -204,7 +204,7 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([not model.predict(t)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return with_python(docs).mapInArrow(run, docs.schema)

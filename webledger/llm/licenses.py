@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm.common import table, with_python
+from webledger.llm.common import slices, table, with_python
 
 #: Every byte outside words becomes a space; A-Z are lower-cased.  Words: runs of 0-9, a-z and what isn't ASCII.
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -222,7 +222,7 @@ def scan(docs: DataFrame) -> DataFrame:
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [scan_text(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm.common import delete_path, scratch_path, splittable, table, with_python
+from webledger.llm.common import delete_path, scratch_path, slices, splittable, table, with_python
 from webledger.llm.cuckoo import CuckooFilter
 
 MIN_CHARS = 10
@@ -73,7 +73,7 @@ def distinct_keys(docs: DataFrame, shards: int, min_chars: int = MIN_CHARS, look
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = None if sent is None else [CuckooFilter.loads(x) if x else None for x in sent.value]
-        for batch in batches:
+        for batch in slices(batches):
             docs_of, digests = [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 own = {d for d in line_keys(text, min_chars)[1] if d}
@@ -190,7 +190,7 @@ class LineStore:
         names = ["doc_id", "kept", "n_lines", "n_dropped"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 out: list[list] = [[], [], []]
                 for text, drops in zip(batch.column("text").to_pylist(), batch.column("drops").to_pylist(), strict=True):
                     if not drops:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webledger.llm.common import table, with_python, written
+from webledger.llm.common import slices, table, with_python, written
 from webledger.llm.pretoken import PieceIds, ids_of_texts
 
 #: Rows of one length that are numbered in one task.
@@ -63,7 +63,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, max_len: int = 2048, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = known_ids(vocabulary)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             out: list[list] = [[], [], [], [], []]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of_texts(texts, known), strict=True):

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm.common import table, with_python
+from webledger.llm.common import slices, table, with_python
 
 KINDS = ("assign", "access", "hex", "novel")
 # The patterns of the contract, over UTF-8 with A-Z lower-cased where letters count in either case.
@@ -135,7 +135,7 @@ def scan(docs: DataFrame) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans(t)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "spans"])
 

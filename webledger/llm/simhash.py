@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webledger.llm import golay
-from webledger.llm.common import splittable, table, with_python, written
+from webledger.llm.common import slices, splittable, table, with_python, written
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: First bit and number of bits of each segment.
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id and the fingerprint as a signed long, for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fp = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
 
