@@ -2,7 +2,8 @@
 
 The patterns find assignments to names like ``password``, access key ids and
 long hexadecimal runs.  Besides, strings that stand shortly after a word of
-``CONTEXT`` are candidates.  A candidate's novelty is what it adds to the
+``CONTEXT`` are candidates; where the word stands in the string itself, as in
+``ACCESS_KEY=value``, the value is.  A candidate's novelty is what it adds to the
 compressed size of the text around it, in bytes for each of its characters,
 where the compressor already knows a dictionary of common identifiers.
 Names, paths and words that occur nearby add little; random strings can't be
@@ -69,6 +70,23 @@ def novelty(raw: bytes, start: int, end: int) -> float:
     return (len(size(before + raw[start:end] + after)) - len(size(before + after))) / (end - start)
 
 
+def value_start(raw: bytes, lower: bytes, start: int, end: int, named: bool) -> int | None:
+    """Where the candidate in the run raw[start:end] begins: after the first '='
+    behind the last context word that a value follows, else at the start.  ``named``:
+    a context word ends at the start, so without a value there is none."""
+    last = end
+    while last > start and raw[last - 1] == 61:  # padding
+        last -= 1
+    if raw.find(b"=", start, last) >= 0:
+        for word in reversed([start] * named + [w.end() for w in CONTEXT.finditer(lower, start, end)]):
+            at = raw.find(b"=", word, last)
+            while 0 <= at < last and raw[at] == 61:
+                at += 1
+            if 0 <= at and CANDIDATE.match(raw, at, end):
+                return at
+    return None if named else start
+
+
 def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
     """The text's UTF-8 and its spans (start, kind, end) in bytes, sorted."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -94,9 +112,13 @@ def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
             if c.start() >= reach:
                 break
             s, e = c.span()
-            if s and INSIDE.match(raw, s - 1):
-                continue  # the rest of a run that a context word stands in
-            if DIGIT.search(c[0]) and not any(a < e and s < b for a, b in taken) and novelty(raw, s, e) >= NOVEL:
+            named = s > 0 and INSIDE.match(raw, s - 1) is not None
+            if named and s != m.end():
+                continue  # the rest of a run that was taken whole
+            s = value_start(raw, lower, s, e, named)
+            if s is None:
+                continue
+            if DIGIT.search(raw, s, e) and not any(a < e and s < b for a, b in taken) and novelty(raw, s, e) >= NOVEL:
                 found.append((s, 3, e))
                 taken.append((s, e))
     return raw, sorted(found)
