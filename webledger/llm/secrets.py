@@ -4,10 +4,12 @@ The patterns find assignments to names like ``password``, access key ids and
 long hexadecimal runs.  Besides, strings that stand shortly after a word of
 ``CONTEXT`` are candidates; where the word stands in the string itself, as in
 ``ACCESS_KEY=value``, the value is.  A candidate's novelty is what it adds to the
-compressed size of the text around it, in bytes for each of its characters,
-where the compressor already knows a dictionary of common identifiers.
-Names, paths and words that occur nearby add little; random strings can't be
-compressed and are reported as ``novel``.
+compressed size of the text around it, in bytes for each of its characters and
+against random strings of its length and alphabet, where the compressor already
+knows a dictionary of common identifiers.  Names, paths and words that occur
+nearby add little; random strings can't be compressed and are reported as
+``novel``.  Copies that follow a sensitive word themselves don't make a string
+known, others do.
 
 Input cases: a null or empty text has no spans; spans count code points;
 repeated rows give repeated results; an empty table gives no rows; further
@@ -17,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import functools
+import random
 import re
 from collections.abc import Iterator
 
@@ -43,6 +46,12 @@ DIGIT = re.compile(rb"[0-9]")
 REACH, AROUND = 64, 256
 #: Bytes added for each character, from which a candidate is incompressible.
 NOVEL = 0.95
+#: A candidate is so too from this share of what random strings of its length and alphabet add in its place, on
+#: average: long ones come down to their alphabet's entropy (base64: 0.75 bytes a character).  Words joined to
+#: names add 0.6 to 0.8 of it.
+RANDOM_SHARE, RANDOM_STRINGS = 0.9, 4
+LOWER, UPPER, DIGITS, HEXES = (frozenset(x) for x in (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"abcdefABCDEF"))
+LETTERS = LOWER | UPPER
 _HEX_MAP = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 #: Identifier dictionary: words that secrets' surroundings and harmless identifiers are made of.
 IDENTIFIERS = (
@@ -63,11 +72,34 @@ def compressor() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=19, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
 
 
-def novelty(raw: bytes, start: int, end: int) -> float:
-    """Bytes that raw[start:end] adds to the compressed text around it, for each of its own."""
-    before, after = raw[max(0, start - AROUND) : start], raw[end : end + AROUND]
+def without(raw: bytes, start: int, end: int, cut: list[tuple[int, int]]) -> bytes:
+    """raw[start:end] without the ranges ``cut``, which are in order."""
+    out = []
+    for s, e in cut:
+        out.append(raw[start : max(start, min(s, end))])
+        start = max(start, min(e, end))
+    return b"".join([*out, raw[start:end]])
+
+
+def alphabet(candidate: bytes) -> bytes:
+    """The characters that a random string of the candidate's kind is drawn from."""
+    body = set(candidate.rstrip(b"="))
+    reach = HEXES if body & LETTERS <= HEXES else LETTERS
+    return bytes(sorted(DIGITS | (body - LETTERS) | set().union(*(kind & reach for kind in (LOWER, UPPER) if body & kind))))
+
+
+def is_novel(raw: bytes, start: int, end: int, copies: list[tuple[int, int]]) -> bool:
+    """Whether raw[start:end] adds to the compressed text around it, copies of
+    itself left out, NOVEL bytes a character or nearly what random strings add."""
+    before, after = without(raw, max(0, start - AROUND), start, copies), without(raw, end, end + AROUND, copies)
     size = compressor().compress
-    return (len(size(before + raw[start:end] + after)) - len(size(before + after))) / (end - start)
+    known, n = len(size(before + after)), end - start
+    added = len(size(before + raw[start:end] + after)) - known
+    if added >= NOVEL * n:
+        return True
+    letters, draw = alphabet(raw[start:end]), random.Random(n)
+    times = RANDOM_STRINGS if n < AROUND else 1  # long ones hardly differ
+    return added * times >= RANDOM_SHARE * sum(len(size(before + bytes(draw.choices(letters, k=n)) + after)) - known for _ in range(times))
 
 
 def value_start(raw: bytes, lower: bytes, start: int, end: int, named: bool) -> int | None:
@@ -87,6 +119,18 @@ def value_start(raw: bytes, lower: bytes, start: int, end: int, named: bool) ->
     return None if named else start
 
 
+def copies_of(raw: bytes, start: int, end: int, candidates: dict[int, int], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Other places near raw[start:end] of the same string that are candidates or stand in a span."""
+    word, n, out = raw[start:end], end - start, []
+    last = end + AROUND + n
+    at = raw.find(word, max(0, start - AROUND - n), last)
+    while at >= 0:
+        if at != start and (candidates.get(at) == at + n or any(a <= at and at + n <= b for a, b in taken)):
+            out.append((at, at + n))
+        at = raw.find(word, at + n, last)
+    return out
+
+
 def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
     """The text's UTF-8 and its spans (start, kind, end) in bytes, sorted."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -103,6 +147,7 @@ def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
         found.append((at, 2, end))
         at = runs.find(b"x" * HEX_LEN, end)
     taken = [(s, e) for s, _, e in found]
+    candidates: dict[int, int] = {}
     near = reach = 0
     for m in CONTEXT.finditer(lower):
         near = max(reach, m.end())
@@ -118,9 +163,13 @@ def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
             s = value_start(raw, lower, s, e, named)
             if s is None:
                 continue
-            if DIGIT.search(raw, s, e) and not any(a < e and s < b for a, b in taken) and novelty(raw, s, e) >= NOVEL:
-                found.append((s, 3, e))
-                taken.append((s, e))
+            if DIGIT.search(raw, s, e) and not any(a < e and s < b for a, b in taken):
+                candidates[s] = e
+    free = 0
+    for s, e in candidates.items():
+        if s >= free and is_novel(raw, s, e, copies_of(raw, s, e, candidates, taken)):
+            found.append((s, 3, e))
+            free = e
     return raw, sorted(found)
 
 
