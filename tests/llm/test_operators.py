@@ -475,6 +475,28 @@ def test_structure_settles_pages_with_articles():
         assert all(z == html.OPEN for z, _ in html.blocks_of(broken))
 
 
+def test_names_made_of_article_words_lose_nothing():
+    main = lambda x: [t for z, t in html.blocks_of(x) if z == html.MAIN]
+    for attrs in (
+        'id="social-history"', 'id="cookie-consent-law"', 'id="related-work"', 'id="notice"', 'id="comments"', 'class="legal-analysis"', 'class="section alert-fatigue"',
+        'class="social-history" id="menu"', 'class="related-work"', 'class="md:hidden-figures"', 'id="login-and-copyright"', 'class="legal-article"',
+    ):
+        for tag in ("section", "div", "h2", "p", "ul", "span", "blockquote"):
+            assert main(f"<article><p>a</p><{tag} {attrs}>b</{tag}><p>c</p></article>") in (["a", "b", "c"], ["a", "b c"])
+            assert main(f"<article {attrs}><p>a</p></article>") == ["a"]
+        for tag in ("section", "h2", "p"):
+            assert [t for z, t in html.blocks_of(f"<body><{tag} {attrs}>b</{tag}></body>") if z == html.OPEN] == ["b"]
+    assert main('<article><pre>x <span class="token comment"># why</span></pre></article>') == ["x # why"]
+    for name in (
+        "ad", "ad-box", "share", "share-buttons", "shareButtons", "social-share", "post-comments", "comment-list", "related-posts", "ad_slot_2", "newsletter-signup-form",
+        "cookie-banner", "share__button--twitter", "wp-block-social-links", "x comments", "site-notice", "sponsored-content", "ad-300x250",
+    ):
+        assert main(f'<article><p>a</p><div class="{name}">b</div><p>c</p></article>') == ["a", "c"]
+    for attrs in ('class="comment-body"', 'class="teaser"', 'class="related-post"', 'id="comment-12"', 'class="widget_2"'):
+        assert main(f"<main><p>a</p><article {attrs}>b</article></main>") == ["a"]
+    assert main('<article class="post-teaser-free comment-on-law" id="ad-hoc-2">b</article>') == ["b"]
+
+
 def test_repeated_runs_go_where_no_article_is_marked(spark):
     menu = "<div>Home News Sport Weather Travel Culture Science Contact Imprint</div>"
     bottom = "<div>This site is run by a small team of friends since long ago</div>"
