@@ -510,6 +510,25 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert got == Counter([*enumerate(own), (7, alone), (8, ""), (8, ""), (9, own[0]), (0, own[0])])
 
 
+def test_copies_and_quotations_stay_where_no_article_is_marked(spark):
+    rng = np.random.default_rng(3)
+    menu = "Home News Sport Weather Travel Culture Science Contact Imprint"
+    words = [f"w{i}" for i in range(400)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    quote, copied, phrase = text(30), text(60), text(9)
+    own = [f"{text(50)} {phrase if i % 5 == 0 else text(9)} {text(20)}" for i in range(40)]  # a phrase on 8 of 40 pages
+    own[1] += f" {quote}"
+    own[2] = f"{quote} {own[2]}"
+    near = [copied.replace(copied.split()[30], f"changed{i}", 1) for i in range(30)]  # copies, more than a third of the pages
+    pages = [(i, f"https://a.example/{i}", f"<body><div>{menu}</div><p>{t}</p></body>") for i, t in enumerate(own + near)]
+    want = {i: t for i, t in enumerate(own + near)}
+    pair = [copied, copied.replace(copied.split()[30], "other", 1)]
+    pages += [(100 + i, f"https://b.example/{i}", f"<body><p>{t}</p></body>") for i, t in enumerate(pair)]
+    want |= {100 + i: t for i, t in enumerate(pair)}
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html.main_text(df).collect()} == want
+
+
 def test_windows_do_not_depend_on_how_pages_meet(spark, monkeypatch):
     rng = np.random.default_rng(8)
     pages = [(f"h{i % 3}", bytes([i]), [" ".join(rng.choice(list("abc"), 30))]) for i in range(40)]
