@@ -387,6 +387,22 @@ def test_rules_prefer_specific_and_containing_detections():
     assert licenses.resolved([d(5, 0, 10), d(1, 2, 8), d(3, 6, 14), d(2, 0, 10)]) == [d(2, 0, 10)]
 
 
+def test_every_text_made_from_a_rule_passes_the_keyword_filter():
+    index = licenses.by_keyword()
+    for i, rule in enumerate(licenses.rules()):
+        for made in licenses.strings(rule.pattern.pattern.decode().removeprefix("(?<= )").removesuffix("(?= )")):
+            assert rule.pattern.fullmatch(f" {made} ".encode(), 1, len(made) + 1) or rule.pattern.search(f" {made} ".encode())
+            assert any(i in index.get(w, ()) for w in made.encode().split()), made
+    assert all(set(phrase.split()) & index.keys() for phrase in licenses.BASE)
+    label = lambda t: licenses.scan_text(t)[5]
+    for text, want in {
+        "Proprietary and confidential": "proprietary", "Unauthorized copying of this file": "proprietary", "Expat License": "mit", "FreeBSD License": "bsd-2-clause",
+        "Internet Software Consortium License": "isc", "WTFPL": "wtfpl", "Creative Commons Zero": "cc0", "Beer-Ware License": "beerware",
+        "released under the Open RAIL License": "openrail", "GPL2": "gpl-2", "GPLv3": "gpl-3", "ASL 2.0": "apache-2.0", "GNU FDL 1.3": "gfdl-1.3", "SIL OFL 1.1": "ofl-1.1",
+    }.items():
+        assert label(f"{EN}. {text}. {EN}") == want
+
+
 # Language ID -------------------------------------------------------------
 
 

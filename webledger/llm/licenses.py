@@ -1,8 +1,9 @@
 """License scan (operator 4): ordered signature rules.
 
 A text becomes its words, lower-cased and joined by one space.  Rules are
-regular expressions over that string, each with a keyword; a rule is tried only
-on texts that hold its keyword.  A detection within another is dropped; of
+regular expressions over that string, each with keywords; a rule is tried only
+on texts that hold one of them.  Every string that a rule matches has one of its
+keywords among its words, since they are taken from all those strings.  A detection within another is dropped; of
 detections that overlap otherwise, the one whose rule comes earlier stays, and
 specific rules (a license with its version, a tag) stand before general ones.
 
@@ -33,10 +34,55 @@ BASE = {b"gnu general public license": "gpl", b"apache license": "apache", b"cc
 class Rule(NamedTuple):
     label: str
     pattern: re.Pattern
-    keyword: bytes
+    keywords: frozenset[bytes]
     confidence: float
 
 
+#: Words that are no keywords unless a rule names them so.
+COMMON = frozenset(
+    "licensed released distributed available under the terms of license licence version free software public general open source "
+    "as published by foundation either only or later".split()
+)
+
+
+def strings(pattern: str) -> set[str]:
+    """All strings that match a pattern of characters, classes, (?:a|b) groups and '?'."""
+
+    def choice(at: int) -> tuple[set[str], int]:
+        out: set[str] = set()
+        while True:
+            one, at = sequence(at)
+            out |= one
+            if at == len(pattern) or pattern[at] == ")":
+                return out, at
+            at += 1
+
+    def sequence(at: int) -> tuple[set[str], int]:
+        out = {""}
+        while at < len(pattern) and pattern[at] not in "|)":
+            if pattern.startswith("(?:", at):
+                part, at = choice(at + 3)
+            elif pattern[at] == "[":
+                end = pattern.index("]", at)
+                members = re.sub(r"(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), pattern[at + 1 : end])
+                part, at = set(members), end
+            else:
+                part = {pattern[at]}
+            at += 1
+            if at < len(pattern) and pattern[at] == "?":
+                part, at = part | {""}, at + 1
+            out = {a + b for a in out for b in part}
+        return out, at
+
+    return choice(0)[0]
+
+
+def keyword_of(string: str, wanted: str) -> bytes:
+    """``wanted`` if it is a word of the string, else its longest word that isn't common."""
+    words = string.split()
+    return (wanted if wanted in words else max([w for w in words if w not in COMMON] or words, key=len)).encode()
+
+
 #: Licenses with versions: label, names, short names, versions, words in between.
 VERSIONED = [
     ("gpl", ["gnu general public licen[sc]e", "general public licen[sc]e"], ["gpl", "gplv", "gnu gpl"], ["1", "2", "3"], b"general"),
@@ -109,15 +155,17 @@ def rules() -> tuple[Rule, ...]:
     out: list[Rule] = []
 
     def add(label: str, pattern: str, keyword: bytes | str, confidence: float) -> None:
-        word = keyword if isinstance(keyword, bytes) else keyword.encode()
-        out.append(Rule(label, re.compile(rf"(?<= ){pattern}(?= )".encode()), word, confidence))
+        word = keyword.decode() if isinstance(keyword, bytes) else keyword
+        words = frozenset(keyword_of(string, word) for string in strings(pattern))
+        out.append(Rule(label, re.compile(rf"(?<= ){pattern}(?= )".encode()), words, confidence))
 
     def dashed(version: str) -> str:
         return version.replace(" ", ".")
 
     for label, _, short, versions, _ in VERSIONED:  # tags
         for v in versions:
-            add(f"{label}-{dashed(v)}", rf"spdx licen[sc]e identifier {short[0]} {v}(?: 0)?(?: only| or later)?", "spdx", 1.0)
+            for name in short:
+                add(f"{label}-{dashed(v)}", rf"spdx licen[sc]e identifier {name} {v}(?: 0)?(?: only| or later)?", "spdx", 1.0)
     for label, names, _ in NAMED:
         add(label, rf"spdx licen[sc]e identifier {label.replace('-', ' ')}", "spdx", 1.0)
     for kind in CC:
@@ -135,7 +183,8 @@ def rules() -> tuple[Rule, ...]:
             for name in names:
                 add(f"{label}-{dashed(v)}", rf"{name}(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?{v}(?: only| or later)?", word, 0.95)
             first = short[0].split()[0]
-            add(f"{label}-{dashed(v)}", rf"{short[0]} ?v? ?(?:version )?{v}(?: only| or later)?", short[0].split()[0].replace("licen[sc]e", "license"), 0.8)
+            for name in short:
+                add(f"{label}-{dashed(v)}", rf"{name} ?v? ?(?:version )?{v}(?: only| or later)?", name.split()[-1], 0.8)
             if not v.startswith("0"):
                 add(f"{label}-{dashed(v)}", rf"{first}v{v}", f"{first}v{v.split()[0]}", 0.9)
     for label, names, word in NAMED:
@@ -156,7 +205,8 @@ def rules() -> tuple[Rule, ...]:
 def by_keyword() -> dict[bytes, tuple[int, ...]]:
     out: dict[bytes, list[int]] = {}
     for i, rule in enumerate(rules()):
-        out.setdefault(rule.keyword, []).append(i)
+        for word in rule.keywords:
+            out.setdefault(word, []).append(i)
     return {k: tuple(v) for k, v in out.items()}
 
 
@@ -187,11 +237,8 @@ def resolved(found: list[Detection]) -> list[Detection]:
 def detect(words: list[bytes], text: bytes) -> list[Detection]:
     """Detections in ``text``, the words joined by spaces with a space at both ends."""
     index = by_keyword()
-    found = []
-    for word in sorted(index.keys() & set(words)):
-        for i in index[word]:
-            found += [Detection(i, m.start(), m.end()) for m in rules()[i].pattern.finditer(text)]
-    return resolved(found)
+    tried = sorted({i for word in index.keys() & set(words) for i in index[word]})
+    return resolved([Detection(i, m.start(), m.end()) for i in tried for m in rules()[i].pattern.finditer(text)])
 
 
 def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
