@@ -79,7 +79,7 @@ def test_registered_names():
     import __spark_entry__ as e
 
     named = [q for q in e.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in named) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in named) == list(range(1, 14))
     assert "pipeline" in e.queries() and set(queries.ORACLES) <= set(e.oracle_sql())
 
 
@@ -90,7 +90,7 @@ def test_registered_query(spark, sf, name):
     df = queries.QUERIES[name](spark, sf)
     rows = [tuple(r) for r in df.collect()]
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
     if name in queries.ORACLES:
         cur = con.execute(queries.ORACLES[name])
@@ -99,5 +99,5 @@ def test_registered_query(spark, sf, name):
         at = [df.columns.index(c) for c in names]
         assert Counter(tuple(r[i] for i in at) for r in rows) == Counter(cur.fetchall())
     else:
-        table = "pages" if name.startswith("op2") else "documents"
+        table = {"op2": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
         assert len({r[0] for r in rows}) == con.execute(f"select count(*) from {table}").fetchone()[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webledger.llm import bpe, html, language, licenses, lines, naming, packing, secrets, simhash, topk
+from webledger.llm import bpe, decontaminate, html, language, lexical, licenses, lines, naming, packing, secrets, simhash, topk, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
@@ -19,10 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": naming.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_top_k": topk.op10,
+    "op11_decontamination": decontaminate.op11,
+    "op12_lexical_search": lexical.op12,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": lines.OP1_SQL,
     "op8_exact_dedup": naming.OP8_SQL,
     "op10_top_k": topk.OP10_SQL,
+    "op11_decontamination": decontaminate.OP11_SQL,
+    "op12_lexical_search": lexical.OP12_SQL,
 }
