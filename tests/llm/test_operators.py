@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from webledger.llm.common import Scratch
 from webledger.llm import bpe, html, language, licenses, lines, naming, packing, pretoken, secrets, simhash, topk
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -69,8 +70,9 @@ def test_block_naming_groups_equal_texts(docs, block):
 
 
 def test_block_naming_does_not_trust_hashes(spark):
-    texts = spark.createDataFrame([(1, "aaaabbbb"), (2, "aaaabbbc"), (3, "aaaabbbb"), (4, "bbbbaaaa")], "doc_id long, norm string").withColumn("bucket", F.lit(0))
-    name = {r["doc_id"]: r["name"] for r in naming.document_names(texts, 4).collect()}
+    texts = spark.createDataFrame([(1, "aaaabbbb"), (2, "aaaabbbc"), (3, "aaaabbbb"), (4, "bbbbaaaa")], "row long, norm string")
+    with Scratch(spark) as keep:
+        name = {r["row"]: r["name"] for r in naming.document_names(texts, keep, 4).collect()}
     assert name[1] == name[3] and len({name[1], name[2], name[4]}) == 3
 
 

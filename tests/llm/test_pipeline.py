@@ -75,6 +75,29 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, df.limit(0), "").count() == 0
 
 
+@pytest.mark.parametrize("stage", [corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup])
+def test_copies_go_by_row_not_by_doc_id(spark, stage):
+    rng = np.random.default_rng(12)
+    a, b, c, d, e = (" ".join(rng.choice(EN + DE, 300)) for _ in "abcde")
+    rows = [(1, a, 1), (1, b, 2), (2, a, 3), (2, c, 4), (3, d, 5), (3, d, 6), (None, a, 7), (None, e, 8), (None, e, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rank int").repartition(3)
+    got = stage(spark, df, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(1, a), (1, b), (2, c), (3, d), (0, e)])
+
+
+def test_block_naming_sends_no_text_to_the_driver(spark):
+    """Names are dealt by hash: no range sort, whose samples are whole blocks."""
+    from webledger.llm import naming
+    from webledger.llm.common import Scratch
+
+    seen = []
+    with Scratch(spark) as keep:
+        write = keep.written
+        keep.written = lambda df, label: seen.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label)
+        naming.document_names(spark.createDataFrame([(1, "aaaabbbbcc"), (2, "aaaabbbbcc")], "row long, norm string"), keep, 4).collect()
+    assert len(seen) > 3 and not any("rangepartitioning" in p for p in seen)
+
+
 def test_registered_names():
     import __spark_entry__ as e
 

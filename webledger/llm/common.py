@@ -48,6 +48,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Scratch:
+    """Intermediate tables of one operator in the shared folder, deleted on
+    leaving the ``with`` block.  What is read later must be written outside it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
 def splittable(key: str) -> Column:
     """The long column ``key`` as a join key that no earlier exchange is known
     to be dealt by.  Joined on this, an aggregated side gets an exchange of

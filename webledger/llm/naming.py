@@ -4,7 +4,7 @@ Two texts can be equal only if length and 64-bit hash agree, so documents
 alone with their (length, hash) are their own class at once.  All others are
 decided without trusting the hash: their texts are cut into blocks of a fixed
 number of characters, the distinct blocks are sorted and numbered, and then
-adjacent pairs of names are sorted and numbered, again and again, until each
+adjacent pairs of names are sorted and numbered in turn, over and over, until each
 document has one name.  Equal names at the end mean equal texts, character by
 character.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webledger.llm.common import splittable, table, written
+from webledger.llm.common import Scratch, splittable, table, written
 
 #: Characters of a block.
 BLOCK = 4096
@@ -29,87 +29,85 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def names_of(values: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """The distinct rows of ``columns``, sorted, with an integer ``name`` each.
+def names_of(values: DataFrame, columns: list[str], label: str, keep: Scratch) -> DataFrame:
+    """The distinct rows of ``columns`` with an integer ``name`` each.
 
-    The sort is dealt by ranges, so no task holds all rows; a name is the
-    range's number and the place in it, and is fixed once written.
+    Equal rows meet in one task of the ``distinct``, by a hash of theirs; there
+    they are sorted, by a 64-bit hash first and then by themselves, so equal
+    hashes do no harm.  A name is the task's number and the place in it, and is
+    fixed once written.  No task holds all rows, and none reaches the driver.
     """
-    distinct = values.select(*columns).distinct()
-    ordered = distinct.repartitionByRange(*[F.col(c).asc_nulls_first() for c in columns]).sortWithinPartitions(*columns)
-    return written(ordered.withColumn("name", F.monotonically_increasing_id()), label)
+    ordered = values.select(*columns).distinct().sortWithinPartitions(F.xxhash64(*columns), *columns)
+    return keep.written(ordered.withColumn("name", F.monotonically_increasing_id()), label)
 
 
-def document_names(texts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``texts`` (doc_id, bucket, norm; distinct) to (doc_id, bucket, blocks, name):
-    within equal ``blocks``, equal names stand for equal texts and no others."""
+def document_names(texts: DataFrame, keep: Scratch, block: int = BLOCK) -> DataFrame:
+    """``texts`` (row, norm) to (row, blocks, name): within equal ``blocks``,
+    equal names stand for equal texts and no others."""
     cut = F.regexp_extract_all("norm", F.lit(rf"(?s).{{1,{block}}}"), F.lit(0))
     cut = F.when(F.size(cut) == 0, F.array(F.lit(""))).otherwise(cut)
-    pieces = written(
-        texts.select("doc_id", "bucket", cut.alias("cut")).select(
-            "doc_id", "bucket", F.size("cut").alias("blocks"), F.posexplode("cut").alias("pos", "block")
-        ),
-        "blocks",
-    )
-    names = names_of(pieces, ["block"], "block-names").withColumnRenamed("block", "named")
-    level = written(
-        pieces.join(names, F.col("block") == F.col("named")).select("doc_id", "bucket", "blocks", "pos", "name"), "level"
+    pieces = keep.written(
+        texts.select("row", cut.alias("cut")).select("row", F.size("cut").alias("blocks"), F.posexplode("cut").alias("pos", "block")), "blocks"
     )
+    names = names_of(pieces, ["block"], "block-names", keep).withColumnRenamed("block", "named")
+    level = keep.written(pieces.join(names, F.col("block") == F.col("named")).select("row", "blocks", "pos", "name"), "level")
     most = level.agg(F.max("blocks")).first()[0] or 1
     ready = level.where("blocks = 1")
     width = 1
     while width < most:
         width *= 2
-        pairs = written(
+        pairs = keep.written(
             level.where(F.col("blocks") > width // 2)
-            .groupBy("doc_id", "bucket", "blocks", F.expr("pos div 2").cast("int").alias("pos"))
+            .groupBy("row", "blocks", F.expr("pos div 2").cast("int").alias("pos"))
             .agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b")),
             "pairs",
         )
-        names = names_of(pairs, ["a", "b"], "pair-names").select(F.col("a").alias("x"), F.col("b").alias("y"), "name")
-        level = written(
-            pairs.join(names, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))).select("doc_id", "bucket", "blocks", "pos", "name"),
-            "level",
+        names = names_of(pairs, ["a", "b"], "pair-names", keep).select(F.col("a").alias("x"), F.col("b").alias("y"), "name")
+        level = keep.written(
+            pairs.join(names, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))).select("row", "blocks", "pos", "name"), "level"
         )
         ready = ready.unionByName(level.where(F.col("blocks").between(width // 2 + 1, width)))
-    return ready.select("doc_id", "bucket", "blocks", "name")
+    return ready.select("row", "blocks", "name")
 
 
-def exact_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row of ``docs``."""
-    norm = docs.select(F.col("doc_id").cast("long"), normalised(F.col("text")).alias("norm"))
-    bucket = F.struct(F.length("norm").alias("len"), F.xxhash64("norm").alias("hash"))
-    keyed = written(
-        norm.select("doc_id", bucket.alias("bucket"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), "keyed"
-    )
-    shared = (
-        keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select(F.col("bucket.len").alias("len"), F.col("bucket.hash").bitwiseXOR(F.lit(1)).alias("hash"))
-    )
-    # The shared buckets' side is exchanged too, so a hot bucket of texts can be split.
-    candidates = (
-        norm.withColumn("bucket", bucket)
-        .join(shared, (F.col("bucket.len") == F.col("len")) & (F.col("bucket.hash").bitwiseXOR(F.lit(1)) == F.col("hash")), "left_semi")
-    )
-    named = document_names(candidates.select("doc_id", "bucket", "norm"), block).select(
-        F.col("doc_id").alias("named_doc"), F.col("bucket").alias("named_bucket"), "blocks", "name"
-    ).distinct()
-    identity = written(
-        keyed.join(named, F.col("doc_id").eqNullSafe(F.col("named_doc")) & (F.col("bucket") == F.col("named_bucket")), "left")
-        .select("doc_id", "text_sha256", "bucket", "blocks", "name"),
-        "identity",
-    )
+def exact_groups(docs: DataFrame, block: int = BLOCK, row: str | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row of ``docs``.
+
+    With ``row``, a column that numbers the rows, also this number and ``stays``,
+    true for exactly one row of each class: of the smallest doc_id's rows the first.
+    """
+    spark = docs.sparkSession
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    with Scratch(spark) as keep:
+        norm = docs.select(number.alias("row"), F.col("doc_id").cast("long"), normalised(F.col("text")).alias("norm"))
+        keyed = keep.written(
+            norm.select(
+                "row", "doc_id", "norm", F.length("norm").alias("len"), F.xxhash64("norm").alias("hash"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
+            ),
+            "keyed",
+        )
+        shared = (
+            keyed.groupBy("len", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            .select(F.col("len").alias("of_len"), splittable("hash").alias("of_hash"))
+        )
+        # The shared buckets' side is exchanged too, so a hot bucket of texts can be split.
+        candidates = keyed.join(shared, (F.col("len") == F.col("of_len")) & (splittable("hash") == F.col("of_hash")), "left_semi")
+        named = document_names(candidates.select("row", "norm"), keep, block).withColumnRenamed("row", "named_row")
+        identity = written(
+            keyed.select("row", "doc_id", "text_sha256").join(named, F.col("row") == F.col("named_row"), "left").drop("named_row"), "identity"
+        )
     alone = identity.where("name is null").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
-    )
-    together = identity.where("name is not null").select("doc_id", "text_sha256", "blocks", "name")
-    groups = together.groupBy("blocks", "name").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(
-        F.col("blocks").alias("of_blocks"), splittable("name").alias("of_name"), "keep_id", "group_size"
+        "row", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256", F.col("row").alias("keep_row")
     )
-    joined = together.join(groups, (F.col("blocks") == F.col("of_blocks")) & (splittable("name") == F.col("of_name"))).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    together = identity.where("name is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    groups = together.groupBy("blocks", "name").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")).select(
+        F.col("blocks").alias("of_blocks"), splittable("name").alias("of_name"), F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size"
     )
-    return alone.unionByName(joined)
+    joined = together.join(groups, (F.col("blocks") == F.col("of_blocks")) & (splittable("name") == F.col("of_name")))
+    every = alone.unionByName(joined.select(*alone.columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    return every.select(*columns) if row is None else every.select(F.col("row").alias(row), *columns, (F.col("row") == F.col("keep_row")).alias("stays"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,15 +63,17 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint as a signed long, for every row."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """row, doc_id and the fingerprint as a signed long, for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fp = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(fp)], ["row", "doc_id", "fp"])
 
-    return with_python(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    number = F.monotonically_increasing_id() if row is None else F.col(row).cast("long")
+    few = with_python(docs).select(number.alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return few.mapInArrow(run, "row long, doc_id long, fp long")
 
 
 def fuzzy_keys(fps: DataFrame) -> DataFrame:
@@ -253,23 +255,26 @@ def starred(edges: DataFrame, chosen) -> DataFrame:
     return edges.join(least, splittable("u") == F.col("k")).where(chosen).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def near_groups(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed long) and component_id of every row of ``docs``."""
-    own = written(fingerprints(docs, size), "fingerprints")
-    first = written(own.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null"), "distinct")
-    links = near_links(first.select("fp"), max_bits)
-    left, right = first.toDF("fp_a", "node_a"), first.toDF("fp_b", "node_b")
-    by_node = (
-        links.join(left, F.col("a") == F.col("fp_a")).join(right, F.col("b") == F.col("fp_b"))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    )
-    found = components(by_node)
-    of_fp = first.join(found, "node", "left").select(
-        splittable("fp").alias("k"), F.coalesce("component", "node").alias("component_id")
-    )
-    return own.join(of_fp, splittable("fp") == F.col("k"), "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+def near_groups(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, row: str | None = None) -> DataFrame:
+    """doc_id, fp (signed long) and component_id of every row of ``docs``.
+
+    With ``row``, a column that numbers the rows, those without doc_id link
+    like any other, and there are two more columns: this number, and
+    ``stays``, true for exactly one row of each component: of the smallest
+    doc_id's rows the first, and one without doc_id only if no other is there.
+    """
+    own = written(fingerprints(docs, size, row), "fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    first = own.groupBy("fp").agg(best.alias("best"))
+    first = written(first.where("not best.unnamed") if row is None else first, "distinct")
+    found = components(near_links(first.select("fp"), max_bits)).select(F.col("node").alias("of_fp"), "component")
+    member = written(first.join(found, F.col("fp") == F.col("of_fp"), "left").select("fp", F.coalesce("component", "fp").alias("component"), "best"), "members")
+    heads = member.groupBy("component").agg(F.min("best").alias("head")).select(splittable("component").alias("k"), "head")
+    of_fp = member.join(heads, splittable("component") == F.col("k")).select(splittable("fp").alias("k"), "head")
+    every = own.join(of_fp, splittable("fp") == F.col("k"), "left").select(
+        "row", "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("head.doc_id")).alias("component_id"), (F.col("row") == F.col("head.row")).alias("stays")
     )
+    return every.select("doc_id", "fp", "component_id") if row is None else every.withColumnRenamed("row", row)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
