@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; the
 last returns packed pieces.  ``run`` writes each stage's rows as Parquet in
 the shared folder and reads them again for the next stage.
+
+Input cases: a row is kept or dropped by its own verdict, so rows that repeat a
+doc_id with other texts are other documents, and of copies exactly one row
+stays, whether their doc_ids are equal, different or null (a row without
+doc_id only if no copy has one).  A null text counts as empty in the dedup
+stages and is rejected by the language stage, as is one without a letter.
+Further columns go through unchanged; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,10 +22,19 @@ from pyspark.sql import functions as F
 from webledger.llm import language, naming, packing, secrets, simhash
 from webledger.llm.common import table, written
 
-def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+#: Name of the column that numbers the rows within a stage.
+ROW = "row of the stage"
+
+
+def kept(numbered: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``numbered`` that stay, by each row's own verdict."""
+    rows = verdicts.where("stays").select(F.col(ROW).alias("kept row"))
+    return numbered.join(rows, F.col(ROW) == F.col("kept row"), "left_semi").drop(ROW)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number for each row, so that every later reading sees the same numbers."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +43,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the smallest doc_id stays."""
-    return kept(docs, naming.exact_groups(docs).where("kept"))
+    """Of equal texts, the row with the smallest doc_id stays; of several such rows, one."""
+    rows = numbered(docs)
+    return kept(rows, naming.exact_groups(rows, row=ROW))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest
-    doc_id stays; so does each without a doc_id."""
-    return kept(docs, simhash.near_groups(docs).where("component_id is null or doc_id = component_id"))
+    """Of rows whose fingerprints are linked, the one with the smallest doc_id
+    stays; of several such rows, one."""
+    rows = numbered(docs)
+    return kept(rows, simhash.near_groups(rows, row=ROW))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
