@@ -3,7 +3,10 @@ texts, ties, repeated rows and further columns with clashing names."""
 
 import base64
 import hashlib
+import random
 import re
+import string
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -306,7 +309,34 @@ def test_novel_strings_are_reported_in_sensitive_context_only():
     assert secrets.spans(t) == [("novel", at, at + len(secret))]
     assert secrets.spans(t.replace("client_id", "the word")) == []
     assert secrets.spans(f"{EN} credential in config/settings/production2 {EN}") == []
-    assert secrets.spans(f"{secret} {EN} client_id is {secret} as above") == []  # known from nearby
+    copied = f"{secret} {EN} client_id is {secret} as above"  # a copy of its own does not make it known
+    assert secrets.spans(copied) == [("novel", copied.rindex(secret), copied.rindex(secret) + len(secret))]
+
+
+def test_strings_of_letters_and_all_parts_of_tokens_are_reported():
+    draw = random.Random(1)
+    for kind in (string.ascii_letters, string.ascii_lowercase):
+        secret = "".join(draw.choices(kind, k=40))
+        t = f"{EN} client_id is {secret} {EN}"
+        assert secrets.spans(t) == [("novel", t.index(secret), t.index(secret) + 40)]
+    parts = ["".join(draw.choices(string.ascii_letters + string.digits, k=60)) for _ in range(3)]
+    t = f"{EN} authorization: bearer {'.'.join(parts)} {EN}"
+    assert secrets.spans(t) == [("novel", t.index(p), t.index(p) + 60) for p in parts]
+    for harmless in ("internationalisation", "getClientAuthorizationTokenFromRequest", "Donaudampfschifffahrtsgesellschaft"):
+        assert secrets.spans(f"{EN} the token of {harmless} {EN}") == []
+
+
+def test_time_grows_with_the_text_not_its_square():
+    draw = random.Random(2)
+    line = lambda: f"password={''.join(draw.choices(string.ascii_letters, k=12))} bearer {''.join(draw.choices(string.ascii_letters + string.digits, k=30))}\n"
+
+    def seconds(n):
+        t = "".join(line() for _ in range(n))
+        start = time.process_time()
+        assert len(secrets.spans(t)) > 1.8 * n
+        return time.process_time() - start
+
+    assert seconds(8000) < 16 * max(0.1, seconds(1000))
 
 
 @pytest.mark.parametrize("name", [
@@ -429,6 +459,28 @@ def test_language_is_learned_and_nonsense_rejected(spark):
     assert language.accepted(df, language.learn(df)).count() == len(data) + 3
 
 
+FOREIGN = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "zh": "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı",
+    "noise": "asdkfj qwpeoiru zmxncb asldkfj qpwoeir zxmcnvb alskdj fhgqwer poiuzx mnbvlk jhgfds aqwerty uiopzx cvbnmas",
+    "more noise": "kjh kjh sdf sdf lkj wer xcv sdf kjh wer lkj xcv bnm rty fgh vbn rty fgh uio jkl",
+}
+
+
+@pytest.mark.parametrize("learned", [("de", "en", "es", "fr"), ("de", "en"), ("en",)])
+def test_accuracy_and_rejection_on_the_given_table(spark, learned):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("lang").isin(*learned))
+    model = language.learn(docs)
+    held = language.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'").collect()
+    assert len(held) > 100
+    assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.99 * len(held)
+    assert sum(r["rejected"] for r in held) <= max(1, 0.01 * len(held))
+    assert sum(model.predict(t)[2] for t in FOREIGN.values()) >= 0.9 * len(FOREIGN) - 0.5
+
+
 def test_held_out_rows_and_other_columns_teach_nothing(spark):
     data = [(i, (EN, DE)[i % 2], ("en", "de")[i % 2]) for i in range(60)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string")

@@ -6,8 +6,17 @@ an embedding table.  The mean embedding goes through a linear softmax.  Table
 and softmax are trained together by stochastic gradient descent in numpy on a
 bounded sample of the labelled documents (``sample`` of them, about equally
 many of each language).  A fifth of the sample is kept back: on it the
-softmax's temperature is fitted, and the confidence below which a prediction
-is rejected.  Predictions read whole texts.
+softmax's temperature is fitted, and what is rejected.  Predictions read whole
+texts.
+
+A prediction is rejected if no language is likely enough, or if the text's
+subwords are not those of the languages it is said to be in.  The second does
+not depend on how many languages are learned: ``familiarity`` is the mean log
+probability of the subwords under the predicted mixture of the languages'
+subword frequencies, plus the entropy of the likeliest one, so texts of learned
+languages lie about zero.  The least familiarity is fitted between right
+predictions and negatives: the texts of each language with that language left
+out, and texts with their letters shuffled.
 
 Input cases: a null text, or one without a letter, is ``und`` with score 0 and
 rejected; so is every text if nothing is labelled; rows without a language
@@ -37,6 +46,8 @@ EXCERPT = 60
 #: Share of right, whole calibration texts that may be rejected, and the confidence that is always enough:
 #: a text in two languages by halves stays, one that is as much of three or of none goes.
 MAY_REJECT, ENOUGH = 0.001, 0.4
+#: Share of the negatives that the least familiarity is fitted to reject.
+REJECTED = 0.95
 UNKNOWN = "und"
 
 
@@ -72,6 +83,16 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
+    #: Frequency of each bucket in each language, and the least familiarity of a text that is not rejected.
+    frequencies: np.ndarray | None = None
+    least: float = -np.inf
+
+    def familiarity(self, counts: np.ndarray, p: np.ndarray) -> float:
+        """How much a text with these subword counts is made of the subwords of
+        the languages that ``p`` mixes; about zero for a text of one of them."""
+        seen = np.flatnonzero(counts)
+        own = self.frequencies[int(p.argmax())]
+        return float(counts[seen] @ np.log(p @ self.frequencies[:, seen]) / counts.sum() - own @ np.log(own))
 
     def confidences(self, x: np.ndarray) -> np.ndarray:
         return softmax((x @ self.weights + self.bias) / self.temperature)
@@ -84,7 +105,8 @@ class Model:
             return UNKNOWN, 0.0, True
         p = self.confidences(counts / total)
         best = int(p.argmax())
-        return self.langs[best], float(p[best]), bool(p[best] < self.reject_below)
+        strange = self.frequencies is not None and self.familiarity(counts, p) < self.least
+        return self.langs[best], float(p[best]), bool(strange or p[best] < self.reject_below)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -132,6 +154,41 @@ def calibrated(model: Model, x: np.ndarray, y: np.ndarray, whole: np.ndarray) ->
     return model
 
 
+def frequencies(x: np.ndarray, y: np.ndarray, langs: int) -> np.ndarray:
+    """How often each language has each bucket's subwords, none never; x: rows of mean counts."""
+    sums = np.stack([x[y == k].sum(axis=0, dtype=np.float64) for k in range(langs)])
+    return (sums + 1e-4) / (sums + 1e-4).sum(axis=1, keepdims=True)
+
+
+def with_negatives(model: Model, x: np.ndarray, y: np.ndarray, whole: np.ndarray, shuffled: np.ndarray) -> Model:
+    """Fits the least familiarity on rows that weren't trained on: between what right
+    predictions have, whole or short, and what the negatives have."""
+    p = model.confidences(x) if len(x) else np.zeros((0, len(model.langs)))
+    right = p.argmax(axis=1) == y if len(x) else np.zeros(0, bool)
+    good = [np.array([model.familiarity(c, q) for c, q in zip(x[some], p[some], strict=True)]) for some in (right & whole, right & ~whole)]
+    good = [np.quantile(g, MAY_REJECT) for g in good if len(g)]
+    if not good:
+        return model
+    bad = [model.familiarity(c, q) for c, q in zip(shuffled, model.confidences(shuffled), strict=True) if c.any()]
+    for k in range(len(model.langs)) if len(model.langs) > 1 else ():
+        others = [i for i in range(len(model.langs)) if i != k]
+        less = Model([model.langs[i] for i in others], model.weights[:, others], model.bias[others], model.temperature, 0.0, model.frequencies[others])
+        rows = x[(y == k) & whole]
+        bad += [less.familiarity(c, q) for c, q in zip(rows, less.confidences(rows), strict=True)]
+    low = float(min(good))
+    model.least = min(low, (low + float(np.quantile(bad, REJECTED))) / 2) if bad else low
+    return model
+
+
+def shuffled_letters(text: str, seed: int) -> str:
+    """``text`` with its letters dealt anew over the places of letters."""
+    at = [i for i, c in enumerate(text) if c.isalpha()]
+    out, order = list(text), np.random.default_rng(seed).permutation(len(at)).tolist()
+    for i, k in zip(at, order, strict=True):
+        out[i] = text[at[k]]
+    return "".join(out)
+
+
 def is_held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -150,18 +207,21 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = F.lit(False)
     for lang in langs:
         chosen = chosen | ((F.col("lang") == lang) & (place < int(1_000_000 * min(1, each / counts[lang]))))
-    schema = "doc_id long, lang string, fold int, whole binary, short binary"
+    schema = "doc_id long, lang string, fold int, whole binary, short binary, shuffled binary"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = batch.to_pydict()
-            whole, short = [], []
-            for doc, text in zip(rows["doc_id"], rows["text"], strict=True):
+            whole, short, shuffled = [], [], []
+            for doc, text, fold in zip(rows["doc_id"], rows["text"], rows["fold"], strict=True):
                 at = doc * 7919 % max(1, len(text) - EXCERPT)
-                for out, t in ((whole, text), (short, text[at : at + EXCERPT])):
-                    c = subword_counts(t)
-                    out.append((c / max(1, c.sum())).astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"], "lang": rows["lang"], "fold": pa.array(rows["fold"], pa.int32()), "whole": whole, "short": short})
+                mixed = shuffled_letters(text, doc % 2**32) if fold == 0 else None
+                for out, t in ((whole, text), (short, text[at : at + EXCERPT]), (shuffled, mixed)):
+                    c = subword_counts(t or "")
+                    out.append(None if t is None else (c / max(1, c.sum())).astype(np.float16).tobytes())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": rows["doc_id"], "lang": rows["lang"], "fold": pa.array(rows["fold"], pa.int32()), "whole": whole, "short": short, "shuffled": pa.array(shuffled, pa.binary()),
+            })
 
     rows = (
         with_python(labelled).where(chosen).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id")), F.lit(5)).cast("int"))
@@ -178,7 +238,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     if not train.any():
         train, test = some, some & False
     weights, bias = fit(x[train], y[train], len(langs))
-    return calibrated(Model(langs, weights, bias), x[test].astype(np.float64), y[test], whole[test])
+    model = Model(langs, weights, bias, frequencies=frequencies(x[train & whole], y[train & whole], len(langs)))
+    kept_back = x[test].astype(np.float64)
+    model = calibrated(model, kept_back, y[test], whole[test])
+    shuffled = np.array([np.frombuffer(r["shuffled"], np.float16) for r in rows if r["shuffled"] is not None], np.float64).reshape(-1, BUCKETS)
+    return with_negatives(model, kept_back, y[test], whole[test], shuffled[shuffled.any(axis=1)])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -8,8 +8,7 @@ compressed size of the text around it, in bytes for each of its characters and
 against random strings of its length and alphabet, where the compressor already
 knows a dictionary of common identifiers.  Names, paths and words that occur
 nearby add little; random strings can't be compressed and are reported as
-``novel``.  Copies that follow a sensitive word themselves don't make a string
-known, others do.
+``novel``.  A string is not made known by its own copies nearby.
 
 Input cases: a null or empty text has no spans; spans count code points;
 repeated rows give repeated results; an empty table gives no rows; further
@@ -18,7 +17,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -38,11 +39,12 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]+")
 ASSIGN_LEN, ACCESS_LEN, HEX_LEN = 6, 20, 24
 
-#: A candidate follows one of these words within REACH bytes; it is a run of CANDIDATE with a digit.
+#: A candidate follows one of these words within REACH bytes; it is a run of CANDIDATE that ``looks_drawn``.
 CONTEXT = re.compile(rb"passw|passphrase|secret|token|api.?key|access.?key|private.?key|credential|bearer|authorization|client.?id|signing")
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 INSIDE = re.compile(rb"[A-Za-z0-9+/_=-]")
 DIGIT = re.compile(rb"[0-9]")
+CASE_CHANGE, CONSONANTS = re.compile(rb"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]"), re.compile(rb"(?i:[bcdfghjklmnpqrstvwxz]{6})")
 REACH, AROUND = 64, 256
 #: Bytes added for each character, from which a candidate is incompressible.
 NOVEL = 0.95
@@ -85,7 +87,7 @@ def alphabet(candidate: bytes) -> bytes:
     """The characters that a random string of the candidate's kind is drawn from."""
     body = set(candidate.rstrip(b"="))
     reach = HEXES if body & LETTERS <= HEXES else LETTERS
-    return bytes(sorted(DIGITS | (body - LETTERS) | set().union(*(kind & reach for kind in (LOWER, UPPER) if body & kind))))
+    return bytes(sorted((body - LETTERS - DIGITS) | set().union(*(kind & (reach | DIGITS) for kind in (LOWER, UPPER, DIGITS) if body & kind))))
 
 
 def is_novel(raw: bytes, start: int, end: int, copies: list[tuple[int, int]]) -> bool:
@@ -119,18 +121,40 @@ def value_start(raw: bytes, lower: bytes, start: int, end: int, named: bool) ->
     return None if named else start
 
 
-def copies_of(raw: bytes, start: int, end: int, candidates: dict[int, int], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Other places near raw[start:end] of the same string that are candidates or stand in a span."""
+def copies_of(raw: bytes, start: int, end: int) -> list[tuple[int, int]]:
+    """Other places near raw[start:end] of the same string."""
     word, n, out = raw[start:end], end - start, []
     last = end + AROUND + n
     at = raw.find(word, max(0, start - AROUND - n), last)
     while at >= 0:
-        if at != start and (candidates.get(at) == at + n or any(a <= at and at + n <= b for a, b in taken)):
+        if at != start:
             out.append((at, at + n))
         at = raw.find(word, at + n, last)
     return out
 
 
+class Taken:
+    """Ranges in which no candidate may stand; asked in logarithmic time."""
+
+    def __init__(self, ranges: list[tuple[int, int]]) -> None:
+        self.starts = sorted(s for s, _ in ranges)
+        ends = [e for _, e in sorted(ranges)]
+        self.furthest = list(itertools.accumulate(ends, max))
+
+    def overlaps(self, start: int, end: int) -> bool:
+        before = bisect.bisect_left(self.starts, end)
+        return before > 0 and self.furthest[before - 1] > start
+
+
+def looks_drawn(raw: bytes, start: int, end: int) -> bool:
+    """Whether a run can be a random string: it has a digit, or changes case as
+    no name does, or has more consonants in a row than words have."""
+    if DIGIT.search(raw, start, end):
+        return True
+    word = raw[start:end]
+    return 4 * len(CASE_CHANGE.findall(word)) >= len(word) or CONSONANTS.search(word) is not None
+
+
 def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
     """The text's UTF-8 and its spans (start, kind, end) in bytes, sorted."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -146,28 +170,29 @@ def byte_spans(text: str | None) -> tuple[bytes, list[tuple[int, int, int]]]:
         end = HEX.match(raw, at).end()
         found.append((at, 2, end))
         at = runs.find(b"x" * HEX_LEN, end)
-    taken = [(s, e) for s, _, e in found]
+    taken = Taken([(s, e) for s, _, e in found])
     candidates: dict[int, int] = {}
-    near = reach = 0
+    near = reach = behind = 0
     for m in CONTEXT.finditer(lower):
         near = max(reach, m.end())
         reach = m.end() + REACH
-        # A run that starts before the reach is taken whole.
+        # A run that starts before the reach is taken whole; so are further parts of a dotted token.
         for c in CANDIDATE.finditer(raw, near):
-            if c.start() >= reach:
-                break
             s, e = c.span()
+            if s >= reach and not (s == behind + 1 and raw[behind] == 46):
+                break
+            behind = e
             named = s > 0 and INSIDE.match(raw, s - 1) is not None
             if named and s != m.end():
                 continue  # the rest of a run that was taken whole
             s = value_start(raw, lower, s, e, named)
             if s is None:
                 continue
-            if DIGIT.search(raw, s, e) and not any(a < e and s < b for a, b in taken):
+            if looks_drawn(raw, s, e) and not taken.overlaps(s, e):
                 candidates[s] = e
     free = 0
     for s, e in candidates.items():
-        if s >= free and is_novel(raw, s, e, copies_of(raw, s, e, candidates, taken)):
+        if s >= free and is_novel(raw, s, e, copies_of(raw, s, e)):
             found.append((s, 3, e))
             free = e
     return raw, sorted(found)
