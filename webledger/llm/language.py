@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,23 +227,42 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     rows = (
         with_python(labelled).where(chosen).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id")), F.lit(5)).cast("int"))
         .limit(2 * each * len(langs))
-        .mapInArrow(features, schema).collect()
+        .mapInArrow(features, schema).toArrow().combine_chunks()
     )
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"], bytes(r["whole"])))
-    x = np.array([np.frombuffer(r[c], np.float16) for c in ("whole", "short") for r in rows]).reshape(-1, BUCKETS)
-    y = np.array([langs.index(r["lang"]) for _ in range(2) for r in rows], np.int64)
-    fold = np.array([r["fold"] for _ in range(2) for r in rows])
-    whole = np.arange(len(y)) < len(rows)
-    some = x.any(axis=1)
+    return model_of(rows, langs)
+
+
+def matrix_of(column: pa.ChunkedArray) -> np.ndarray:
+    """The rows of a column of half-precision vectors, without a copy; nulls have none."""
+    column = column.drop_null().combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    first, last = (column.offset, column.offset + len(column)) if len(column) else (0, 0)
+    return np.frombuffer(column.buffers()[2] or b"", np.float16).reshape(-1, BUCKETS)[first:last] if len(column) else np.zeros((0, BUCKETS), np.float16)
+
+
+def model_of(rows: pa.Table, langs: list[str]) -> Model:
+    """A model from the features of labelled rows, in an order of their own."""
+    whole, short, shuffled = (matrix_of(rows[c]) for c in ("whole", "short", "shuffled"))
+    mark = [xxhash.xxh64_intdigest(v.tobytes()) for v in whole]
+    lang = np.array([langs.index(g) for g in rows["lang"].to_pylist()], np.int64)
+    order = np.lexsort((np.array(mark, np.uint64), lang, rows["doc_id"].to_numpy()))
+    lang, fold = lang[order], rows["fold"].to_numpy()[order]
+    some = np.stack((whole.any(axis=1)[order], short.any(axis=1)[order]))
     train, test = some & (fold > 0), some & (fold == 0)
     if not train.any():
         train, test = some, some & False
-    weights, bias = fit(x[train], y[train], len(langs))
-    model = Model(langs, weights, bias, frequencies=frequencies(x[train & whole], y[train & whole], len(langs)))
-    kept_back = x[test].astype(np.float64)
-    model = calibrated(model, kept_back, y[test], whole[test])
-    shuffled = np.array([np.frombuffer(r["shuffled"], np.float16) for r in rows if r["shuffled"] is not None], np.float64).reshape(-1, BUCKETS)
-    return with_negatives(model, kept_back, y[test], whole[test], shuffled[shuffled.any(axis=1)])
+
+    def taken(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([x[order[m]] for x, m in zip((whole, short), mask, strict=True)]), np.concatenate([lang[m] for m in mask])
+
+    x, y = taken(train)
+    weights, bias = fit(x, y, len(langs))
+    n = int(train[0].sum())
+    model = Model(langs, weights, bias, frequencies=frequencies(x[:n], y[:n], len(langs)))
+    x, y = taken(test)
+    is_whole = np.arange(len(y)) < int(test[0].sum())
+    model = calibrated(model, x.astype(np.float32), y, is_whole)
+    return with_negatives(model, x.astype(np.float32), y, is_whole, shuffled[shuffled.any(axis=1)].astype(np.float32))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
