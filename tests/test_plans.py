@@ -80,3 +80,18 @@ def test_running_totals_deal_the_log_by_chunk_not_by_account(spark, sf):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     moves = [b for b in p.split("\n\n") if ") Exchange" in b and "request_id" in b]
     assert len(moves) == 1 and all("_hour" in m.split("Arguments:")[1] for m in moves)
+
+
+def test_search_scores_without_moving_postings(spark, sf):
+    """Q1: the index is bucketed by document, so the sum by (query, document)
+    needs no exchange; only each task's best documents of a query move."""
+    from webledger.operators import search as S
+    from webledger.sources.fixtures import Views
+
+    v = Views(spark, sf)
+    index = S.build_index(v.table("documents"))
+    plan = S.search_index(index, v.search_queries)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan and "Bucketed: true" in plan
+    again = S.search_index(index, v.search_queries, limit=3).collect()
+    once = {(r["query_id"], r["doc_id"]): r["score"] for r in S.search(v.table("documents"), v.search_queries, limit=3).collect()}
+    assert {(r["query_id"], r["doc_id"]): r["score"] for r in again} == once and once

@@ -3,16 +3,19 @@
 BM25 is computed without exploding whole documents through a shuffle:
 document length is an expression on the row, tokens meet the query terms in
 a semi join that the engine broadcasts while the terms are small, and only
-(doc, term) counts move across the network.
+(doc, term) counts move across the network.  They form an index by document,
+written once, on which queries are scored without moving its rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webledger.functions import html as H
-from webledger.session import cut_lineage
+from webledger.session import bucketed_table, stored
 
 TOKEN_SPLIT = r"[^\p{L}0-9]+"
 K1 = 1.2
@@ -24,81 +27,70 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
 
 
-def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "doc_id", text: str = "text",
-           query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B, seeds: int = 3) -> DataFrame:
-    """Q1: BM25 (idf ln(1 + (N - df + 0.5) / (df + 0.5))), top ``limit`` per
-    query; scores rounded to 6 places, ties by document id.
-
-    One pass over the documents: each emits its query-term tokens plus one
-    sentinel row carrying its length, so N and the average length come out
-    of the same (doc, term) aggregate as the term frequencies.
-
-    No document is scored for common words alone.  A term adds less than
-    idf * (k1 + 1) to any score.  The ``seeds`` rarest terms of a query give
-    partial scores, and the ``limit``-th of these is a lower bound of what the
-    top needs.  The query's most common terms whose bounds together stay
-    below that can't bring a document in: only documents with another term
-    are candidates, and only for those the common terms are added.  The
-    result is exact.
+@dataclass
+class Index:
+    """A document-partitioned inverted index, written once.
+
+    ``postings`` (doc_id, term, tf, dl) is a table bucketed by document, so a
+    frequent term's list is spread evenly, and all that a document adds to a
+    query meets in the task that reads it.  ``frequencies`` (term, df) and the
+    number of documents and their mean length are of the whole corpus.
     """
-    qt = (
-        queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query)))).alias("term"))
-        .distinct()
-    )
-    terms = qt.select("term").distinct()
-    toks = tokens(F.col(text))
-    sentinel = F.array(F.lit(SENTINEL))
-    d = docs.select(F.col(doc_id).alias("doc_id"), toks.alias("toks"))
-    # The sentinel is one of the terms, so every document's length survives the join.
-    wanted = terms.unionByName(docs.sparkSession.range(1).select(F.lit(SENTINEL).alias("term")))
-    hits = (
-        d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", sentinel)).alias("term"))
-        .join(wanted, "term", "left_semi")
-    )
-    # The (doc, term) counts feed several consumers; Catalyst would plan each
-    # with its own pruned copy of the aggregate (and its own pass over the
-    # text), so they are materialised once in the shared checkpoint folder.
-    # They are far smaller than the text: matched pairs plus one row per doc.
-    tf = cut_lineage(hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")))
-    df_ = tf.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("dl").alias("sum_dl"), F.max(F.col("term") == SENTINEL).alias("is_sentinel")
-    )
-    stats = df_.where("is_sentinel").select(
-        F.col("df").alias("n_docs"), (F.col("sum_dl") / F.col("df")).alias("avgdl"), F.lit(1).alias("_one")
-    )
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    of_term = cut_lineage(
-        df_.where(~F.col("is_sentinel")).withColumn("_one", F.lit(1))
-        .join(F.broadcast(stats), "_one")  # one row: the corpus statistics
-        .select("term", idf.alias("idf"), "avgdl")
-    )
-    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    postings = tf.join(of_term, "term").select("term", "doc_id", weight.alias("w"))
-    # A query's terms from the rarest on, and what it and the commoner ones can add at most.
-    rarest = Window.partitionBy("query_id").orderBy(F.desc("idf"), "term")
-    commoner = rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    own = cut_lineage(
-        qt.join(of_term, "term").withColumns(
-            {"place": F.row_number().over(rarest), "can_add": F.sum(F.col("idf") * (k1 + 1)).over(commoner)}
-        ).select("query_id", "term", "place", "can_add")
-    )
-    partial = own.where(F.col("place") <= seeds).join(postings, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("s"))
-    top = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s")))
-    needed = partial.withColumn("n", top).where(F.col("n") == limit).select("query_id", F.col("s").alias("needed"))
-    own = cut_lineage(
-        own.join(needed, "query_id", "left").select(
-            "query_id", "term", F.coalesce(F.col("can_add") < F.col("needed") - 1e-5, F.lit(False)).alias("common")
-        )
-    )
-    first = own.where(~F.col("common")).join(postings, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("w"))
-    first = cut_lineage(first)
-    more = (
-        first.select("query_id", "doc_id").join(own.where("common").select("query_id", "term"), "query_id")
-        .join(postings, ["doc_id", "term"]).select("query_id", "doc_id", "w")
-    )
-    scored = first.unionByName(more).groupBy("query_id", "doc_id").agg(F.round(F.sum("w"), 6).alias("score"))
+
+    postings: DataFrame
+    frequencies: DataFrame
+    n_docs: int
+    avgdl: float
+
+
+def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> Index:
+    """The index of ``docs``, of all their terms or of those in ``vocabulary`` (term).
+
+    One pass over the text: each document emits its tokens plus one sentinel
+    row carrying its length, so N and the average length come out of the same
+    (doc, term) aggregate as the term frequencies.
+    """
+    spark = docs.sparkSession
+    d = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("toks"))
+    hits = d.select("doc_id", F.size("toks").alias("dl"), F.explode(F.concat("toks", F.array(F.lit(SENTINEL)))).alias("term"))
+    if vocabulary is not None:
+        # The sentinel is one of the terms, so every document's length survives the join.
+        hits = hits.join(vocabulary.select("term").unionByName(spark.range(1).select(F.lit(SENTINEL).alias("term"))), "term", "left_semi")
+    tf = hits.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    postings = bucketed_table(tf.repartition(buckets, "doc_id"), "doc_id", buckets, "postings")
+    df_ = stored(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("sum_dl")), "frequencies")
+    corpus = df_.where(F.col("term") == SENTINEL).select("df", F.col("sum_dl") / F.col("df")).first() or (0, 1.0)
+    return Index(postings, df_.where(F.col("term") != SENTINEL).select("term", "df"), *corpus)
+
+
+def search_index(index: Index, queries: DataFrame, limit: int = 10, query_id: str = "query_id", query: str = "query",
+                 k1: float = K1, b: float = B) -> DataFrame:
+    """The ``limit`` best documents of each query by an index; exact.
+
+    The queries' terms, with their idf, meet the postings where these lie
+    (Spark sends the terms to them while they are small), scores are summed
+    without moving a row, and a task passes on its ``limit`` best of a query.
+    """
+    qt = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query)))).alias("term")).distinct()
+    idf = F.log(1 + (F.lit(float(index.n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    own = stored(qt.join(index.frequencies, "term").select("query_id", "term", idf.alias("idf")), "query-terms")
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(index.avgdl)))
+    # Not the sentinel's rows, whose term no query has.
+    scored = index.postings.join(own, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(weight), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= limit)
+    ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)  # an integer rank, or tasks would pass on all
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "doc_id", text: str = "text",
+           query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B) -> DataFrame:
+    """Q1: BM25 (idf ln(1 + (N - df + 0.5) / (df + 0.5))), top ``limit`` per
+    query; scores rounded to 6 places, ties by document id.  The index is of
+    the queries' terms only, and used once; for more queries over the same
+    documents, keep what ``build_index`` returns."""
+    vocabulary = queries.select(F.explode(F.array_distinct(tokens(F.col(query)))).alias("term")).distinct()
+    return search_index(build_index(docs, vocabulary, doc_id, text), queries, limit, query_id, query, k1, b)
 
 
 def search_then_scrape(results: DataFrame, pages: DataFrame, formats: list[str] | None = None, **options) -> DataFrame:

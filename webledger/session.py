@@ -90,6 +90,18 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, label: str):
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it
+    back: cut lineage whose size the engine knows, so that it can broadcast
+    the table as long as it is small."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bucketed_table(df, key: str, buckets: int, label: str):
     """Write ``df`` as a table bucketed by ``key`` in the shared checkpoint
     folder and read it back.  Joins on ``key`` against it then shuffle only
