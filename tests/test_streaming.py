@@ -74,33 +74,57 @@ def test_interact_sessions_stream_equals_batch(spark, sf, tmp):
     assert len(streamed) > 0.6 * len(batch)
 
 
+END = dt.datetime(2100, 1, 1)
+
+
 def test_stream_cache_equals_batch_replay(spark, sf, tmp):
+    """In batches whose rows are out of time order within the watermark."""
     v = Views(spark, sf)
     pages = v.table("pages").select("page_id", "url")
     log = cost.priced_requests(v.requests).join(pages, "page_id").select(
         "request_id", "url", "format", "ts", "tool", F.col("estimated_credits").alias("credits"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("order_us"))
-    _split_files(log, f"{tmp}/in", "order_us", 5)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
-    got = _drain(J.stream_cache(stream), "append", ["request_id"], spark, tmp, "t3")
+    end = {"request_id": -1, "url": "", "ts": END, "credits": 0}
+    got = J.run_over(log, tmp, lambda s: J.stream_cache(s, watermark="40 days"), order="order_us", slices=4, shuffled=True, end=end)
     want = {r.request_id: (r.hit, r.reason) for r in replay_cache(log.drop("order_us")).collect()}
-    assert {k[0]: (x["hit"], x["reason"]) for k, x in got.items()} == want
+    assert {r.request_id: (r.hit, r.reason) for r in got.collect()} == want
 
 
 def test_stream_changes_equals_diff(spark, sf, tmp):
+    """First captures that arrive after the second ones are compared in their place."""
     v = Views(spark, sf)
     caps = v.capture_v1.withColumn("capture", F.lit(1).cast("long")).unionByName(
         v.capture_v2.withColumn("capture", F.lit(2).cast("long")))
-    caps.where("capture = 1").coalesce(1).write.parquet(f"{tmp}/in/f1")
-    caps.where("capture = 2").coalesce(1).write.parquet(f"{tmp}/in/f2")
-    stream = spark.readStream.schema(caps.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
-    got = _drain(J.stream_changes(stream), "append", ["url", "capture"], spark, tmp, "t4")
-    second = {k[0]: x["status"] for k, x in got.items() if k[1] == 2}
+    caps = caps.withColumn("ts", F.timestamp_seconds(F.col("capture") * 86_400).cast("timestamp_ntz"))
+    caps = caps.withColumn("arrives", F.pmod(F.xxhash64("url", "capture"), F.lit(3)))
+    got = J.run_over(caps, tmp, lambda s: J.stream_changes(s, "3 days"), order="arrives", end={"url": "", "capture": 3, "ts": END})
+    second = {r.url: r.status for r in got.collect() if r.capture == 2}
     diff = {r.url: r.status for r in monitor.diff_captures(v.capture_v1, v.capture_v2).collect()
             if r.status in ("new", "changed")}
     assert second == diff
 
 
+def test_stream_sessions_end_by_timer_in_time_order(spark, tmp):
+    t0 = dt.datetime(2024, 1, 1)
+    at = [(1, 0), (1, 200), (1, 900), (1, 1700), (1, 5000), (2, 100), (2, 3699), (2, 3700), (2, 9000)]
+    rows = [(i, a, "interact", t0 + dt.timedelta(seconds=s), (i * 7) % 3) for i, (a, s) in enumerate(at)] + [(99, 1, "scrape", t0, 0)]
+    df = spark.createDataFrame(rows, "request_id long, account_id long, tool string, ts timestamp_ntz, arrives long")
+    end = {"request_id": -1, "account_id": -1, "tool": "interact", "ts": END}
+    want = {tuple(r) for r in J.interact_sessions(df, 3600, 1800).collect()}
+    for i, order in enumerate(("arrives", "request_id")):
+        got = J.run_over(df, f"{tmp}/{i}", lambda s: J.stream_sessions(s, 3600, 1800, "1 day"), order=order, end=end).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want) > 4
+
+
+def test_events_wait_until_the_watermark_has_passed_them(spark, tmp):
+    """What comes later than the watermark allows is dropped; what is within its delay is not out yet."""
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [("u", "a", 1, day(1), 0), ("u", "b", 2, day(5), 0), ("u", "b", 3, day(20), 1), ("u", "x", 4, day(2), 2), ("u", "c", 5, day(21), 2)]
+    df = spark.createDataFrame(rows, "url string, html string, capture long, ts timestamp_ntz, arrives long")
+    got = J.run_over(df, tmp, lambda s: J.stream_changes(s, "3 days"), order="arrives").collect()
+    assert {(r.capture, r.status) for r in got} == {(1, "new"), (2, "changed")}
+
+
 def test_crawl_progress_and_exhaustion_streams(spark, sf, tmp):
     v = Views(spark, sf)
     jp = v.job_pages
@@ -155,17 +179,15 @@ def test_event_time_cast(spark):
     assert dict(J.event_time(df).dtypes)["ts"] == "timestamp"
 
 
-def test_stream_cache_forgets_idle_urls_when_asked(spark, tmp):
+def test_stream_cache_forgets_idle_urls(spark, tmp):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(1, "u", "markdown", t0, "scrape", 1), (2, "v", "markdown", t0, "scrape", 1),
-            (3, "v", "markdown", t0 + dt.timedelta(days=3), "scrape", 1),
-            (4, "u", "markdown", t0 + dt.timedelta(days=3, hours=1), "scrape", 1)]
+            (3, "v", "markdown", t0 + dt.timedelta(hours=40), "scrape", 1), (4, "v", "markdown", t0 + dt.timedelta(days=3), "scrape", 1),
+            (5, "u", "markdown", t0 + dt.timedelta(days=3, hours=1), "scrape", 1)]
     df = spark.createDataFrame(rows, "request_id long, url string, format string, ts timestamp_ntz, tool string, credits long")
-    df.where("request_id <= 2").coalesce(1).write.parquet(f"{tmp}/in/f1")
-    df.where("request_id = 3").coalesce(1).write.parquet(f"{tmp}/in/f2")
-    df.where("request_id = 4").coalesce(1).write.parquet(f"{tmp}/in/f3")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/*")
-    got = _drain(J.stream_cache(stream, forget_after_hours=48), "append", ["request_id"], spark, tmp, "t3f")
-    reasons = {k[0]: v["reason"] for k, v in got.items()}
-    assert reasons[3] == "Cache expired"  # v was seen again before being forgotten
-    assert reasons[4] == "URL not cached"  # u idle past 48 h: forgotten
+    end = {"request_id": -1, "url": "", "ts": END, "credits": 0}
+    for hours, of_u in ((48, "URL not cached"), (1440, "Cache expired")):
+        got = J.run_over(df, f"{tmp}/{hours}", lambda s, h=hours: J.stream_cache(s, forget_after_hours=h), order="request_id", slices=5, end=end)
+        reasons = {r.request_id: r.reason for r in got.collect()}
+        assert reasons[3] == reasons[4] == "Cache expired"  # v was seen again before being forgotten
+        assert reasons[5] == of_u

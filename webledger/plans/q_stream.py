@@ -3,6 +3,8 @@ checked against these in tests/test_streaming.py."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from webledger.operators import cost
@@ -111,11 +113,24 @@ def s6_request_stream(v):
     return _run(v, r, "requests", lambda s: s.select("request_id", "ts", "tool", "http_status"), order="us")
 
 
+#: A time after all of the tables'.
+_END = dt.datetime(2100, 1, 1)
+
+
+@query("t2_stream_sessions", _SESSIONS_SQL)
+def t2_stream_sessions(v):
+    """Interact requests through the stream of sessions, in batches whose times overlap by a third of the log."""
+    r = v.requests.select("request_id", "account_id", "tool", "ts").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    end = {"request_id": -1, "account_id": -1, "tool": "interact", "ts": _END}
+    return _run(v, r, "sessions", lambda s: J.stream_sessions(s, 3600, 1800, "40 days"), order="us", slices=4, shuffled=True, end=end)
+
+
 @query("t3_stream_cache", _REPLAY_SQL + "select request_id, url, hit, reason from walk")
 def t3_stream_cache(v):
-    """The request log replayed through the cache as a stream, in time order."""
+    """The request log replayed through the cache as a stream, in batches out of time order."""
     log = replay_log(v).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    return _run(v, log, "cache-log", lambda s: J.stream_cache(s.drop("us")), order="us")
+    end = {"request_id": -1, "url": "", "format": "markdown", "ts": _END, "tool": "scrape", "credits": 0}
+    return _run(v, log, "cache-log", lambda s: J.stream_cache(s.drop("us"), watermark="40 days"), order="us", slices=4, shuffled=True, end=end)
 
 
 @query("t4_stream_changes", """
@@ -125,9 +140,12 @@ select n.url, 2, case when o.url is null then 'new' else 'changed' end
 from capture_v2 n left join capture_v1 o on o.url = n.url where o.url is null or o.html <> n.html
 """)
 def t4_stream_changes(v):
+    """Both captures of all pages, a day apart; half of the first ones arrive with the second ones."""
     caps = v.capture_v1.withColumn("capture", F.lit(1).cast("long")).unionByName(
         v.capture_v2.withColumn("capture", F.lit(2).cast("long")))
-    return _run(v, caps, "captures", J.stream_changes, order="capture", slices=2)
+    caps = caps.withColumn("ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("capture") * 86_400).cast("timestamp_ntz"))
+    end = {"url": "", "html": "", "capture": 3, "ts": _END}
+    return _run(v, caps, "captures", lambda s: J.stream_changes(s, "2 days"), order="capture", slices=2, shuffled=True, end=end)
 
 
 @query("t5_exhaustion_marks", """

@@ -8,13 +8,13 @@ rejects, so streams cast event time to ``timestamp`` (session zone UTC).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from webledger.functions.exprs import epoch_micros
 from webledger.operators.cache import ALREADY, EXPIRED, NOT_CACHED, OTHER_FORMAT
@@ -102,132 +102,166 @@ def billed(sessions: DataFrame, activity_ttl: int, ttl: int) -> DataFrame:
     )
 
 
-# T3 ---------------------------------------------------------------------------
+# Events in time order ------------------------------------------------------------
+
+
+class InOrder(StatefulProcessor):
+    """Events of a key, folded in event-time order whatever batch they come in.
 
-CACHE_STATE = T.StructType(
-    [
-        T.StructField("fmt", T.StringType()),
-        T.StructField("us", T.LongType()),
-        T.StructField("tool", T.StringType()),
-        T.StructField("credits", T.LongType()),
-        T.StructField("seen_us", T.LongType()),
-    ]
-)
-CACHE_OUT = T.StructType(
-    [
-        T.StructField("request_id", T.LongType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("hit", T.BooleanType()),
-        T.StructField("reason", T.StringType()),
-    ]
-)
+    They wait in a list state until the watermark has passed them; then a
+    timer takes those that are due, sorted by time and ``order``, and steps
+    through them.  ``step(state, event)`` gives the new state and output rows.
+    A state ends by itself at ``deadline(state)`` (microseconds): then, or when
+    an event at that time or later is stepped to, ``close(state)`` gives its
+    last rows and the state is gone.  So a key holds the events of one
+    watermark's delay, and one state until its deadline.
+    """
+
+    def __init__(self, columns: list[str], waits: str, state: str, step: Callable, deadline: Callable, close: Callable, out: list[str]) -> None:
+        self.columns, self.waits, self.kept = columns, waits, state
+        self.step, self.deadline, self.close_state, self.out = step, deadline, close, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waits)
+        self.state = handle.getValueState("state", self.kept)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            events = list(frame[self.columns].astype(object).where(frame[self.columns].notna(), None).itertuples(index=False, name=None))
+            if events:
+                self.waiting.appendList(events)
+                low = min(e[0] for e in events)
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
+        yield pd.DataFrame(columns=self.out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        events = sorted(self.waiting.get(), key=lambda e: e[:2])
+        due, later = [e for e in events if e[0] <= now], [e for e in events if e[0] > now]
+        state = tuple(self.state.get()) if self.state.exists() else None
+        rows = []
+        for e in due:
+            if state is not None and self.deadline(state) <= e[0]:
+                rows += self.close_state(state)
+                state = None
+            state, more = self.step(state, e)
+            rows += more
+        if state is not None and self.deadline(state) <= now:
+            rows += self.close_state(state)
+            state = None
+        if due:
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+        if state is None:
+            self.state.clear()
+        else:
+            self.state.update(state)
+        ends = [t for t in (later[0][0] if later else None, self.deadline(state) if state is not None else None) if t is not None]
+        if ends:
+            self.handle.registerTimer(min(ends) // 1000 + 1)
+        yield pd.DataFrame([(*key, *r) for r in rows], columns=self.out)
+
+    def close(self) -> None:
+        pass
+
+
+def in_order(df: DataFrame, key: str, events: list[str], waits: str, state: str, step: Callable, deadline: Callable, close: Callable, out: str,
+             watermark: str) -> DataFrame:
+    """``df`` (key, ts, events: time in microseconds first, then what orders equal times) through ``InOrder``."""
+    names = [field.split()[0] for field in out.split(", ")]
+    return df.withWatermark("ts", watermark).groupBy(key).transformWithStateInPandas(
+        InOrder(events, waits, state, step, deadline, close, names), out, "append", "EventTime"
+    )
+
+
+def stream_sessions(requests: DataFrame, activity_ttl: int = INTERACT_ACTIVITY_TTL, ttl: int = INTERACT_TTL, watermark: str = "1 hour") -> DataFrame:
+    """T2 on a stream: an account's open session is its state, and a timer ends
+    it; no task holds more than that and the activity of one watermark's delay."""
+    check_ttls(activity_ttl, ttl)
+    gap, longest = activity_ttl * 1_000_000, ttl * 1_000_000
+    df = requests.where(F.col("tool") == "interact").select(
+        "account_id", F.col("ts").cast("timestamp").alias("ts"), epoch_micros(F.col("ts")).alias("us"), "request_id")
+
+    def step(state, event):
+        us = event[0]
+        return ((us, us, 1) if state is None else (state[0], us, state[2] + 1)), []
+
+    found = in_order(
+        df, "account_id", ["us", "request_id"], "us long, request_id long", "first long, last long, n long", step,
+        lambda s: min(s[1] + gap, s[0] + longest), lambda s: [(s[0], s[2], s[1] - s[0])], "account_id long, first long, n_events long, active_us long", watermark,
+    )
+    start = F.timestamp_micros("first").cast("timestamp_ntz")
+    return billed(found.select("account_id", start.alias("session_start"), "n_events", "active_us"), activity_ttl, ttl)
+
+
+# T3 ---------------------------------------------------------------------------
 
 
 def _iso(us: int) -> str:
     return pd.Timestamp(us, unit="us").strftime("%Y-%m-%dT%H:%M:%S.") + f"{(us // 1000) % 1000:03d}Z"
 
 
-def _cache_fold(ttl_us: int, forget_after_ms: int | None = None):
-    def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            # Idle longer than the horizon: the URL leaves the state store.
-            state.remove()
-            return
-        entry = state.get if state.exists else None
-        if entry is not None and forget_after_ms is not None:
-            # Forgotten once the watermark is past last use + the horizon,
-            # whether or not the timeout has fired yet.
-            if entry[4] // 1000 + forget_after_ms < state.getCurrentWatermarkMs():
-                entry = None
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values(["us", "request_id"])
-        hits, reasons = [], []
-        for rid, fmt, us, tool, credits in zip(pdf["request_id"], pdf["format"], pdf["us"], pdf["tool"],
-                                               pdf["credits"]):
-            fmt = fmt or "markdown"
-            if entry is None:
-                hit, why = False, NOT_CACHED
-            elif us - entry[1] > ttl_us:
-                hit, why = False, EXPIRED
-            elif entry[0] != fmt:
-                hit, why = False, OTHER_FORMAT % (entry[0], fmt)
-            else:
-                hit, why = True, ALREADY % (entry[2], _iso(int(entry[1])), int(entry[3]))
-            if not hit:
-                entry = (fmt, int(us), tool, int(credits), 0)
-            hits.append(hit)
-            reasons.append(why)
-        # The entry is kept after it expires, as the reference's store keeps
-        # it: the next request then reads "Cache expired", not "not cached".
-        seen = int(pdf["us"].max())
-        state.update(entry[:4] + (seen,))
-        if forget_after_ms is not None:
-            state.setTimeoutTimestamp(seen // 1000 + forget_after_ms)
-        yield pd.DataFrame({"request_id": pdf["request_id"].astype("int64"), "url": key[0], "hit": hits,
-                            "reason": reasons})
-
-    return fold
-
-
-def stream_cache(log: DataFrame, ttl_hours: int = 24, forget_after_hours: int | None = None,
-                 watermark: str = "1 hour") -> DataFrame:
-    """K2 on a stream - per-URL state (format, time, tool, credits); each
-    micro-batch folds only its own rows per URL, in event-time order.  Files
-    are expected to arrive in time order.
-
-    By default the state keeps one row per URL ever seen (exactly the
-    reference's store).  ``forget_after_hours`` bounds it: a URL idle that
-    long past the watermark is dropped, and its next request reads "URL not
-    cached" instead of "Cache expired" (both are misses).
+def stream_cache(log: DataFrame, ttl_hours: int = 24, forget_after_hours: int = 24 * 60, watermark: str = "1 hour") -> DataFrame:
+    """K2 on a stream - per-URL state (format, time, tool, credits), folded
+    in event-time order once the watermark has passed a request, so batches
+    may come out of order within it.
+
+    An entry is kept after it expires, as the reference's store keeps it: the
+    next request then reads "Cache expired".  A URL idle for
+    ``forget_after_hours`` (60 days) is dropped by a timer, and its next
+    request reads "URL not cached" (both are misses).
     """
-    ttl_us = ttl_hours * HOUR_US
-    df = log.withColumn("us", epoch_micros(F.col("ts")))
-    if forget_after_hours is None:
-        return df.groupBy("url").applyInPandasWithState(
-            _cache_fold(ttl_us), CACHE_OUT, CACHE_STATE, "append", GroupStateTimeout.NoTimeout
-        )
-    df = df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return df.groupBy("url").applyInPandasWithState(
-        _cache_fold(ttl_us, forget_after_hours * 3_600_000), CACHE_OUT, CACHE_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout,
+    ttl_us, forget_us = ttl_hours * HOUR_US, forget_after_hours * HOUR_US
+
+    def step(entry, event):
+        us, rid, fmt, tool, credits = event
+        fmt = fmt or "markdown"
+        if entry is None:
+            hit, why = False, NOT_CACHED
+        elif us - entry[1] > ttl_us:
+            hit, why = False, EXPIRED
+        elif entry[0] != fmt:
+            hit, why = False, OTHER_FORMAT % (entry[0], fmt)
+        else:
+            hit, why = True, ALREADY % (entry[2], _iso(int(entry[1])), int(entry[3]))
+        entry = (*entry[:4], us) if hit else (fmt, us, tool, credits, us)
+        return entry, [(rid, hit, why)]
+
+    df = log.withColumns({"us": epoch_micros(F.col("ts")), "ts": F.col("ts").cast("timestamp"), "credits": F.col("credits").cast("long")})
+    out = in_order(
+        df.select("url", "ts", "us", "request_id", "format", "tool", "credits"), "url", ["us", "request_id", "format", "tool", "credits"],
+        "us long, request_id long, format string, tool string, credits long", "fmt string, us long, tool string, credits long, seen_us long",
+        step, lambda s: s[4] + forget_us, lambda s: [], "url string, request_id long, hit boolean, reason string", watermark,
     )
+    return out.select("request_id", "url", "hit", "reason")
 
 
 # T4 ---------------------------------------------------------------------------
 
-CHANGE_OUT = T.StructType(
-    [T.StructField("url", T.StringType()), T.StructField("capture", T.LongType()),
-     T.StructField("status", T.StringType())]
-)
-CHANGE_STATE = T.StructType([T.StructField("sha", T.StringType())])
-
-
-def _change_fold(key, batches, state: GroupState):
-    last = state.get[0] if state.exists else None
-    frames = [b for b in batches]
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values("capture")
-    rows = []
-    for cap, sha in zip(pdf["capture"], pdf["sha"]):
-        if last is None:
-            rows.append((key[0], int(cap), "new"))
-        elif sha != last:
-            rows.append((key[0], int(cap), "changed"))
-        last = sha
-    state.update((last,))
-    if rows:
-        yield pd.DataFrame(rows, columns=["url", "capture", "status"])
-
-
-def stream_changes(captures: DataFrame) -> DataFrame:
-    """T4: last content hash per URL; emit ``new`` and ``changed`` captures
-    (``capture`` orders captures of one URL)."""
-    df = captures.select("url", "capture", F.sha2("html", 256).alias("sha"))
-    return df.groupBy("url").applyInPandasWithState(
-        _change_fold, CHANGE_OUT, CHANGE_STATE, "append", GroupStateTimeout.NoTimeout
+
+def stream_changes(captures: DataFrame, watermark: str = "1 hour", forget_after_hours: int = 24 * 365) -> DataFrame:
+    """T4: emit ``new`` and ``changed`` captures (url, capture, ts, html) by the
+    content hash of the URL's capture before it, in the order of ``ts`` and
+    ``capture``.  A capture waits until the watermark has passed it, so late
+    ones are compared in their place; a URL without captures for
+    ``forget_after_hours`` (a year) is forgotten, and is then ``new`` again."""
+    forget_us = forget_after_hours * HOUR_US
+
+    def step(last, event):
+        us, capture, sha = event
+        status = "new" if last is None else "changed" if sha != last[0] else None
+        return (sha, us), [] if status is None else [(capture, status)]
+
+    df = captures.select("url", F.col("ts").cast("timestamp").alias("ts"), epoch_micros(F.col("ts")).alias("us"), "capture", F.sha2("html", 256).alias("sha"))
+    return in_order(
+        df, "url", ["us", "capture", "sha"], "us long, capture long, sha string", "sha string, seen_us long", step,
+        lambda s: s[1] + forget_us, lambda s: [], "url string, capture long, status string", watermark,
     )
 
 
@@ -376,20 +410,33 @@ def interact_sessions_scan(requests: DataFrame, activity_ttl: int = INTERACT_ACT
 
 
 def run_over(df: DataFrame, path: str, build, mode: str = "append", key: list[str] | None = None,
-             order: str | None = None, slices: int = 3) -> DataFrame:
+             order: str | None = None, slices: int = 3, shuffled: bool = False, end: dict | None = None) -> DataFrame:
     """The result of the stream ``build(source)`` over the rows of ``df``.
 
     The rows arrive in ``slices`` steps, cut by ``order`` (a number) if given:
     each step's files are written to the stream's folder, and the stream runs
     over what is new (available now) with one checkpoint throughout.  Results
     go to Parquet folders named by batch; with ``key``, the row of a key's
-    last batch counts (update mode)."""
+    last batch counts (update mode).  ``shuffled`` deals the rows of two
+    neighbouring steps to both, by a hash.  ``end`` (column: value) is a row later than
+    all others, sent twice at last: the first moves the watermark past them,
+    and with the second their timers run; what comes of it is not returned, as
+    the watermark does not pass it."""
     spark = df.sparkSession
     lo, hi = df.agg(F.min(order), F.max(order)).first() if order else (0, 0)
     result = None
-    for i in range(slices if lo is not None and hi > lo else 1):
-        from_, to = (lo + (hi - lo + 1) * k // slices for k in (i, i + 1))
-        part = df.where((F.col(order) >= from_) & (F.col(order) < to)) if lo is not None and hi > lo else df
+    steps = slices if lo is not None and hi > lo else 1
+    last = None if end is None else df.sparkSession.createDataFrame(
+        [tuple(end.get(c) for c in df.columns)], T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    for i in range(steps + (0 if last is None else 2)):
+        part = df
+        if i >= steps:
+            part = last
+        elif steps > 1:
+            at = F.least(F.lit(slices - 1), F.floor((F.col(order) - lo) * slices / (hi - lo + 1)))
+            if shuffled:  # pairs of steps share their rows
+                at = F.least(F.lit(slices - 1), at - at % 2 + F.pmod(F.xxhash64(*df.columns), F.lit(2)))
+            part = df.where(at == i)
         part.write.parquet(f"{path}/in/f{i}")
         stream = build(read_request_stream(spark, f"{path}/in/*", df.schema, max_files_per_trigger=1_000_000))
         if result is None:
