@@ -124,3 +124,18 @@ def test_budget_with_negative_balance_and_ratio_without_successes(spark):
     rows = [Row(tool="crawl", estimated_credits=7, http_status=500)]
     out = {r.tool: r.credits_per_success for r in cost.credits_per_success(spark.createDataFrame(rows)).collect()}
     assert out == {"crawl": None, None: None}  # no successes: no ratio
+
+
+def test_url_sketches_merge_like_one(spark):
+    """Sketches of parts, merged day by day, estimate what one over all does; repeats count once."""
+    rows = spark.range(60_000).selectExpr(
+        "id % 3 account_id", "concat('https://a.test/', id % 20011) url", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 10 as int)) ts")
+    whole = cost.url_sketches(rows)
+    parts = cost.add_sketches(cost.url_sketches(rows.where("account_id = 0")), cost.url_sketches(rows))
+    exact = {r.account_id: r.distinct_urls for r in cost.distinct_urls(rows).collect()}
+    days = [F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-10")]
+    for sketches in (whole, parts):
+        about = {r.account_id: r.approx_urls for r in cost.distinct_urls_between(sketches, *days).collect()}
+        assert about.keys() == exact.keys() and all(abs(about[k] - n) <= 0.03 * n for k, n in exact.items())
+    none = cost.distinct_urls_between(whole, *[F.lit("2023-01-01").cast("date")] * 2)
+    assert none.count() == 0

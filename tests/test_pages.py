@@ -136,3 +136,23 @@ def test_path_and_scope_filters(spark):
     assert got == [(False, False, True), (False, True, False), (True, False, False)]
     got = [r.in_scope for r in D.filter_scope(links, allow_backward=True, allow_external=True).collect()]
     assert got == [True, True, True]
+
+
+def test_patterns_of_each_job_as_rows(spark):
+    import re
+
+    from webledger.operators import discover as D
+
+    urls = [(j, f"https://a.test{p}") for j in (1, 2, 3, 4) for p in ("/en/a.html", "/en/b", "/de/b", "/en", "/enx/b", "/", "", "/fr/en/b", "/en//m")]
+    urls += [(1, None), (None, "https://a.test/en/b"), (1, "https://a.test/en/b")]
+    patterns = [(1, "include", "^/en/"), (1, "include", "^/en/"), (1, "exclude", r"\.html$"), (2, "exclude", "^/en/|^/de/"), (2, "exclude", None),
+                (3, "include", "^/en/*m?$"), (3, "include", "/b$"), (3, "exclude", "^/fr/"), (9, "include", "^/x/")]
+    got = D.filter_paths_by(spark.createDataFrame(urls, "job_id long, url string"), spark.createDataFrame(patterns, "job_id long, kind string, pattern string"))
+
+    def keep(job, url):
+        path = re.sub(r"^[a-z]+://[^/?#]+", "", url or "")
+        kinds = {k: [p for j, kk, p in patterns if j == job and kk == k and p is not None] for k in ("include", "exclude")}
+        return (not kinds["include"] or any(re.search(p, path) for p in kinds["include"])) and not any(re.search(p, path) for p in kinds["exclude"])
+
+    want = sorted(((j, u) for j, u in urls if keep(j, u)), key=str)
+    assert sorted(((r.job_id, r.url) for r in got.collect()), key=str) == want

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from webledger.operators import payload
@@ -122,3 +123,28 @@ def test_compact_params_drops_absent_keeps_array_slots(spark):
     out = payload.compact_params(df, {"keep": F.lit(False), "drop": F.lit(None).cast("string"),
                                       "list": F.array(F.lit(None).cast("int"), F.lit(1))}).first()
     assert out.params_json == '{"keep":false,"list":[null,1]}'
+
+
+def test_versions_survive_a_broken_write(spark, tmp):
+    from webledger.sources.versions import VersionedTable
+
+    schema = "k long, v string, t long"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    table = VersionedTable(spark, f"{tmp}/t", make([]).schema, keep=2)
+    assert table.versions() == [] and table.read().collect() == []
+    assert table.publish(make([(1, "a", 1), (2, "b", 1)])) == 1
+    broken = make([(1, "x", 2), (3, "y", 2)]).withColumn("v", F.when(F.col("k") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        table.publish(broken)
+    assert table.versions() == [1] and {r.v for r in table.read().collect()} == {"a", "b"}
+    held = table.read()  # a reader of version 1 while version 2 is published
+    assert table.merge(make([(2, "c", 2), (4, "d", 2)]), ["k"], ["t"]) == 2
+    assert {(r.k, r.v) for r in table.read().collect()} == {(1, "a"), (2, "c"), (4, "d")}
+    assert {(r.k, r.v) for r in held.collect()} == {(1, "a"), (2, "b")} == {(r.k, r.v) for r in table.read(1).collect()}
+    # Another object, or process, sees the same; old versions go by number.
+    again = VersionedTable(spark, f"{tmp}/t", make([]).schema, keep=2)
+    assert again.publish(make([])) == 3 and again.versions() == [2, 3] and again.read().count() == 0
+    with pytest.raises(ValueError):
+        again.read(1)
+    with pytest.raises(ValueError):
+        VersionedTable(spark, f"{tmp}/t", make([]).schema, keep=0)

@@ -372,6 +372,26 @@ def distinct_urls(fetches: DataFrame, approximate: bool = False, rsd: float = 0.
     return fetches.groupBy("account_id").agg(agg)
 
 
+#: log2 of the registers of a sketch: a standard error of 0.6 %.
+SKETCH_LG_K = 15
+
+
+def url_sketches(fetches: DataFrame, ts: str = "ts", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """C13, incremental: a mergeable sketch of the URLs of each account and day."""
+    return fetches.groupBy("account_id", F.col(ts).cast("date").alias("day")).agg(F.hll_sketch_agg("url", lg_k).alias("urls"))
+
+
+def add_sketches(sketches: DataFrame, more: DataFrame) -> DataFrame:
+    """Stored sketches with those of further fetches merged in, day by day; what was counted before is not read again."""
+    return sketches.unionByName(more).groupBy("account_id", "day").agg(F.hll_union_agg("urls").alias("urls"))
+
+
+def distinct_urls_between(sketches: DataFrame, first: Column, last: Column) -> DataFrame:
+    """About how many distinct URLs each account fetched from day ``first`` to day ``last``, from the sketches alone."""
+    union = F.hll_union_agg("urls")
+    return sketches.where(F.col("day").between(first, last)).groupBy("account_id").agg(F.hll_sketch_estimate(union).alias("approx_urls"))
+
+
 def canonical_tools(tools: Column) -> Column:
     """Canonical ordered distinct subset of ``tools`` (set semantics)."""
     canon = F.array(*[F.lit(t) for t in TOOL_ORDER])

@@ -26,6 +26,38 @@ def filter_paths(urls: DataFrame, include: list[str] | None = None, exclude: lis
     return urls.where(cond)
 
 
+#: The first directory of a path, and of what an anchored pattern can match.
+FIRST_DIR = r"^(/[A-Za-z0-9_-]+/)"
+PATTERN_DIR = r"^\^(/[A-Za-z0-9_-]+/)(?![*?+{])"
+
+
+def filter_paths_by(urls: DataFrame, patterns: DataFrame, by: str = "job_id", url: str = "url") -> DataFrame:
+    """F1 with patterns as rows (``by``, kind ``include`` or ``exclude``,
+    pattern): of each job's URLs, those whose path matches any of the job's
+    include patterns, if it has some, and none of its exclude patterns.
+
+    A pattern that is anchored to a directory, like ``^/en/``, meets only the
+    paths under it: both are joined by job and first directory, and the
+    pattern is tested on what they share.  Any other pattern meets all paths
+    of its job.  A job without patterns keeps all; a null pattern is none; a
+    URL without a path has the empty one.
+    """
+    known = patterns.where("pattern is not null").select(F.col(by).alias("_job"), "kind", "pattern").distinct()
+    anchored = F.when(~F.col("pattern").contains("|"), F.regexp_extract("pattern", PATTERN_DIR, 1))
+    keyed = known.withColumn("_dir", F.coalesce(anchored, F.lit("")))
+    asks = known.where("kind = 'include'").select("_job").distinct().withColumn("_asks", F.lit(True))
+
+    p = path(F.coalesce(F.col(url), F.lit("")))
+    each = urls.select(F.col(by).alias("_of"), F.col(url).alias("_url"), p.alias("_path")).distinct()
+    dirs = F.array_distinct(F.array(F.lit(""), F.regexp_extract("_path", FIRST_DIR, 1)))
+    met = each.withColumn("_key", F.explode(dirs)).join(keyed, (F.col("_of") == F.col("_job")) & (F.col("_key") == F.col("_dir")))
+    hits = met.where(F.expr("rlike(_path, pattern)")).groupBy("_of", "_url").agg(
+        F.bool_or(F.col("kind") == "include").alias("_in"), F.bool_or(F.col("kind") == "exclude").alias("_out"))
+    out = urls.join(hits, (F.col(by) == F.col("_of")) & F.col(url).eqNullSafe(F.col("_url")), "left").join(asks, F.col(by) == F.col("_job"), "left")
+    keep = (F.col("_asks").isNull() | F.coalesce("_in", F.lit(False))) & ~F.coalesce("_out", F.lit(False))
+    return out.where(keep).select(*urls.columns)
+
+
 def filter_scope(links: DataFrame, seed: str = "page_url", link: str = "link", allow_backward: bool = False,
                  allow_external: bool = False) -> DataFrame:
     """a link is external when its host differs from the seed's, and

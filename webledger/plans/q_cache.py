@@ -9,6 +9,8 @@ from webledger.operators import cost as cost_ops
 from webledger.plans.oracle import view
 from webledger.plans.q_cost import _ROUTE_SQL, fetches
 from webledger.plans.registry import query
+from webledger.sources import tables
+from webledger.sources.versions import VersionedTable
 
 SPLIT = "2024-01-16 00:00:00"
 
@@ -106,6 +108,33 @@ def s5_merge_latest(v):
     return payload.merge_latest(current, updates, ["url"], ["cached_at"])
 
 
+_MERGED = f"""
+select url, tool, format, cached_at, credits from (
+  select *, row_number() over (partition by url order by cached_at desc, src desc) as rn from (
+    select url, tool, format, cached_at, credits, 0 as src from cache_v1
+    union all
+    select url, tool, format, ts as cached_at, estimated_credits as credits, 1 as src
+    from fetches where http_status between 200 and 299 and ts >= timestamp '{SPLIT}') u) x
+where rn = 1
+"""
+
+
+@query("s5_merge_versions", f"""
+select 1 as version, url, tool, format, cached_at, credits from cache_v1
+union all select 2, url, tool, format, cached_at, credits from ({_MERGED}) m
+""")
+def s5_merge_versions(v):
+    """The cache published after the first half of the log, the second half merged in, and both versions read."""
+    columns = ["url", "tool", "format", "cached_at", "credits"]
+    first = cache_first_half(v).select(*columns)
+    table = VersionedTable(v.spark, tables.state_path(v.spark, "cache-versions"), first.schema)
+    table.publish(first)
+    updates = _writes(v).where(F.col("ts") >= _split()).select("url", "tool", "format", F.col("ts").alias("cached_at"), "credits")
+    table.merge(updates, ["url"], ["cached_at"])
+    one, two = (table.read(n).select(F.lit(n).alias("version"), *columns) for n in (1, 2))
+    return one.unionByName(two)
+
+
 @query("j1_parse_payloads", """
 select request_id,
   case when body is null or body = '' then 'empty' when json_valid(body) then 'json' else 'text' end as payload_kind,

@@ -8,6 +8,7 @@ from webledger.functions.urls import site_of
 from webledger.operators import cost
 from webledger.plans.oracle import view
 from webledger.plans.registry import query
+from webledger.session import stored
 
 view("fetches", """
 select r.request_id, r.ts, r.account_id, r.tool, r.format, r.key_id, r.http_status, p.url, r.estimated_credits
@@ -264,6 +265,23 @@ def c13_distinct_urls_approx(v):
     return cost.distinct_urls(fetches(v), approximate=True)
 
 
+@query("c13_distinct_urls_sketches", """
+select account_id, count(distinct url) as distinct_urls, true as within_3_percent from fetches
+where cast(ts as date) between date '2024-01-05' and date '2024-01-24' group by 1
+""")
+def c13_distinct_urls_sketches(v):
+    """A range of days from stored sketches, kept up with the log in two steps, against the exact counts."""
+    f = fetches(v).select("account_id", "ts", "url")
+    early = F.col("ts") < F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")  # the day of the cut has sketches of both steps
+    kept = stored(cost.url_sketches(f.where(early)), "url-sketches")
+    kept = stored(cost.add_sketches(kept, cost.url_sketches(f.where(~early))), "url-sketches")
+    first, last = (F.lit(d).cast("date") for d in ("2024-01-05", "2024-01-24"))
+    about = cost.distinct_urls_between(kept, first, last)
+    exact = cost.distinct_urls(f.where(F.col("ts").cast("date").between(first, last)))
+    close = F.abs(F.col("approx_urls") - F.col("distinct_urls")) <= 0.03 * F.col("distinct_urls")
+    return exact.join(about, "account_id", "left").select("account_id", "distinct_urls", F.coalesce(close, F.lit(False)).alias("within_3_percent"))
+
+
 _CANON = "['scrape','crawl','crawl_status','map','search','parse','interact','monitor_create','monitor_list','monitor_checks','optimize']"
 
 

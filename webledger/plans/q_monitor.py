@@ -12,6 +12,8 @@ from webledger.plans.q_cache import SPLIT
 from webledger.plans.q_pages import md_sql
 from webledger.plans.q_search import bm25
 from webledger.plans.registry import query
+from webledger.sources.tables import state_path
+from webledger.streaming.jobs import read_request_stream, write_alerts
 
 # Views of monitor targets, derived by rule from customers and pages ---------
 
@@ -288,7 +290,7 @@ def _subscriptions(v):
     return v.monitors.select("monitor_id", ev.alias("events"))
 
 
-@query("s7_alert_events", """
+_ALERTS_SQL = """
 select monitor_id, event, ref from (
   select monitor_id, 'monitor.check.completed' as event, cast(check_id as varchar) as ref from checks
   union all
@@ -296,13 +298,34 @@ select monitor_id, event, ref from (
   join monitor_units u on u.unit = c.url and u.target_type = 'scrape' where c.status in ('changed', 'new')) e
 where (monitor_id % 3 = 0) or (monitor_id % 3 = 1 and event = 'monitor.page')
    or (monitor_id % 3 = 2 and event = 'monitor.check.completed')
-""")
+"""
+
+
+@query("s7_alert_events", _ALERTS_SQL)
 def s7_alert_events(v):
     changes = M.diff_captures(v.capture_v1, v.capture_v2).where(F.col("status").isin("changed", "new"))
     units = monitor_units(v).where(F.col("target_type") == "scrape").select("monitor_id", F.col("unit").alias("url"))
     return M.alert_events(v.checks, changes.join(units, "url"), _subscriptions(v))
 
 
+@query("s7_alert_stream", _ALERTS_SQL)
+def s7_alert_stream(v):
+    """The same events as a stream into the alert table, which is then read."""
+    changes = M.diff_captures(v.capture_v1, v.capture_v2).where(F.col("status").isin("changed", "new"))
+    units = monitor_units(v).where(F.col("target_type") == "scrape").select("monitor_id", F.col("unit").alias("url"))
+    completed, pages = M.alert_sources(v.checks, changes.join(units, "url"))
+    path = state_path(v.spark, "alerts")
+    events = completed.unionByName(pages)
+    events.write.parquet(f"{path}/in")
+    stream = read_request_stream(v.spark, f"{path}/in", events.schema, max_files_per_trigger=4)
+    q = write_alerts(stream, _subscriptions(v), f"{path}/out", f"{path}/checkpoint")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return v.spark.read.schema(events.schema).parquet(f"{path}/out").select("monitor_id", "event", "ref")
+
+
 # Set operations --------------------------------------------------------------
 
 _CANON = ("['scrape','crawl','crawl_status','map','search','parse','interact','monitor_create','monitor_list',"

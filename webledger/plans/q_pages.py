@@ -169,20 +169,18 @@ def e10_scrape(v):
 
 
 @query("e10_scrape_formats", f"""
-select page_id, case when page_id % 3 = 0 then sha256(html) end as raw_sha,
-  case when page_id % 3 = 1 then sha256({H.apply_steps_sql(_ADS, H.CLEAN_STEPS)}) end as html_sha,
-  case when page_id % 3 = 2 then coalesce(n, 0) end as n_links, case when page_id % 3 = 2 then first_link end as first_link
+select page_id, sha256(html) as raw_sha, sha256({H.apply_steps_sql(_ADS, H.CLEAN_STEPS)}) as html_sha,
+  coalesce(n, 0) as n_links, first_link
 from pages left join (
   select page_id as pid, count(*) as n, min(case when pos = 0 then link end) as first_link from page_links group by 1) l
   on l.pid = page_id
 """)
 def e10_scrape_formats(v):
-    """The other text formats, one to a page: the page as captured, cleaned, and its links."""
-    k = F.col("page_id") % 3
-    out = E.scrape(v.table("pages"), F.array(F.when(k == 0, "rawHtml").when(k == 1, "html").otherwise("links")))
+    """The other text formats of every page, asked for together: as captured, cleaned, and its links."""
+    out = E.scrape(v.table("pages"), F.array(F.lit("rawHtml"), F.lit("html"), F.lit("links")))
     return out.select(
         "page_id", F.sha2("raw_html", 256).alias("raw_sha"), F.sha2("html_out", 256).alias("html_sha"),
-        F.when(F.col("links").isNotNull(), F.size("links")).cast("bigint").alias("n_links"), F.get("links", F.lit(0)).alias("first_link"),
+        F.size("links").cast("bigint").alias("n_links"), F.get("links", F.lit(0)).alias("first_link"),
     )
 
 
@@ -194,6 +192,29 @@ def f1_filter_paths(v):
     return D.filter_paths(v.table("pages"), include=["^/en/", "^/de/"], exclude=[r"\.html$"]).select("page_id", "url")
 
 
+#: Patterns of five crawl jobs: anchored, free, with an alternative, of both kinds, and none at all.
+_JOB_PATTERNS = [
+    (0, "include", "^/en/"), (0, "exclude", r"\.html$"), (1, "include", "^/de/"), (1, "include", "^/[a-d]"), (2, "exclude", "^/en/.*[0-9]"),
+    (3, "include", "^/en/|^/fr/"), (3, "exclude", "^/en/*[m-z]"),
+]
+
+
+@query("f1_filter_paths_by_job", f"""
+select page_id % 5 as job_id, page_id, url from (select page_id, url, {path_sql('url')} as p from pages) x
+where case page_id % 5
+  when 0 then regexp_matches(p, '^/en/') and not regexp_matches(p, '\\.html$')
+  when 1 then regexp_matches(p, '^/de/') or regexp_matches(p, '^/[a-d]')
+  when 2 then not regexp_matches(p, '^/en/.*[0-9]')
+  when 3 then regexp_matches(p, '^/en/|^/fr/') and not regexp_matches(p, '^/en/*[m-z]')
+  else true end
+""")
+def f1_filter_paths_by_job(v):
+    """Patterns as a table, one set for each crawl job."""
+    urls = v.table("pages").select((F.col("page_id") % 5).alias("job_id"), "page_id", "url")
+    patterns = v.spark.createDataFrame(_JOB_PATTERNS, "job_id long, kind string, pattern string")
+    return D.filter_paths_by(urls, patterns)
+
+
 @query("f2_filter_scope", f"""
 select page_id, pos, link, is_external, is_backward, not is_external and not is_backward as in_scope
 from (select page_id, pos, link, {host_sql('link')} <> {host_sql('page_url')} as is_external,

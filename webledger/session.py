@@ -138,5 +138,10 @@ def drop_bucketed(df) -> None:
         spark = df.sparkSession
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark, path: str) -> None:
+    """Delete a folder this library wrote, in whatever store ``path`` names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
