@@ -115,19 +115,56 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(x: np.ndarray, y: np.ndarray, classes_: int, epochs: int = 40, batch: int = 32, rate: float = 30.0) -> tuple[np.ndarray, np.ndarray]:
-    """Embedding table times matrix, and bias, by stochastic gradient descent.
-    x: rows of mean subword counts."""
+class Sparse:
+    """Rows of mean subword counts of which only what is not zero is held."""
+
+    def __init__(self, rows: list[bytes]) -> None:
+        size = np.array([len(r) // 4 for r in rows], np.int64)
+        self.ends = np.append(0, np.cumsum(size))
+        self.bucket = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(r, np.uint16, n) for r, n in zip(rows, size.tolist(), strict=True))])
+        self.mean = np.concatenate([np.zeros(0, np.float16), *(np.frombuffer(r, np.float16, n, 2 * n) for r, n in zip(rows, size.tolist(), strict=True))])
+
+    @staticmethod
+    def packed(counts: np.ndarray) -> bytes:
+        at = np.flatnonzero(counts)
+        return at.astype(np.uint16).tobytes() + (counts[at] / max(1, counts.sum())).astype(np.float16).tobytes()
+
+    def some(self) -> np.ndarray:
+        """Which rows are not all zero."""
+        return np.diff(self.ends) > 0
+
+    def dense(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS))
+        for i, r in enumerate(rows.tolist()):
+            a, b = self.ends[r], self.ends[r + 1]
+            out[i, self.bucket[a:b]] = self.mean[a:b]
+        return out
+
+    def logits(self, rows: np.ndarray, model: Model) -> np.ndarray:
+        parts_ = [self.dense(rows[at : at + 256]) @ model.weights + model.bias for at in range(0, len(rows), 256)]
+        return np.concatenate([np.zeros((0, len(model.langs))), *parts_])
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros(BUCKETS)
+        for at in range(0, len(rows), 256):
+            out += self.dense(rows[at : at + 256]).sum(axis=0)
+        return out
+
+
+def fit(x: Sparse, rows: np.ndarray, y: np.ndarray, classes_: int, epochs: int = 40, batch: int = 32, rate: float = 30.0) -> tuple[np.ndarray, np.ndarray]:
+    """Embedding table times matrix, and bias, by stochastic gradient descent
+    on some ``rows`` of x, with languages ``y``."""
     rng = np.random.default_rng(0)
     table_ = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH))
     matrix, bias = rng.uniform(-1 / WIDTH, 1 / WIDTH, (WIDTH, classes_)), np.zeros(classes_)
-    steps, step = epochs * -(-len(x) // batch), 0
+    steps, step = epochs * -(-len(rows) // batch), 0
     for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
+        order = rng.permutation(len(rows))
+        for at in range(0, len(rows), batch):
             some = order[at : at + batch]
-            seen = np.flatnonzero(x[some].any(axis=0))  # only these rows of the table change
-            xs = x[np.ix_(some, seen)].astype(np.float64)
+            xs = x.dense(rows[some])
+            seen = np.flatnonzero(xs.any(axis=0))  # only these rows of the table change
+            xs = xs[:, seen]
             hidden = xs @ table_[seen]
             off = softmax(hidden @ matrix + bias)
             off[np.arange(len(some)), y[some]] -= 1
@@ -141,42 +178,44 @@ def fit(x: np.ndarray, y: np.ndarray, classes_: int, epochs: int = 40, batch: in
     return table_ @ matrix, bias
 
 
-def calibrated(model: Model, x: np.ndarray, y: np.ndarray, whole: np.ndarray) -> Model:
-    """Fits the temperature, then the confidence to reject below, on rows that weren't trained on."""
-    if not len(x):
+def calibrated(model: Model, x: Sparse, rows: np.ndarray, y: np.ndarray, whole: np.ndarray) -> Model:
+    """Fits the temperature, then the confidence to reject below, on ``rows`` that weren't trained on."""
+    if not len(rows):
         return model
-    z = x @ model.weights + model.bias
+    z = x.logits(rows, model)
     loss = {t: -np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean() for t in np.geomspace(0.25, 8, 41)}
     model.temperature = float(min(loss, key=loss.get))
-    p = model.confidences(x)
+    p = softmax(z / model.temperature)
     right = whole & (p.argmax(axis=1) == y)
     if right.any():
         model.reject_below = float(min(ENOUGH, np.quantile(p[right].max(axis=1), MAY_REJECT)))
     return model
 
 
-def frequencies(x: np.ndarray, y: np.ndarray, langs: int) -> np.ndarray:
-    """How often each language has each bucket's subwords, none never; x: rows of mean counts."""
-    sums = np.stack([x[y == k].sum(axis=0, dtype=np.float64) for k in range(langs)])
+def frequencies(x: Sparse, rows: np.ndarray, y: np.ndarray, langs: int) -> np.ndarray:
+    """How often each language has each bucket's subwords, none never."""
+    sums = np.stack([x.sums(rows[y == k]) for k in range(langs)])
     return (sums + 1e-4) / (sums + 1e-4).sum(axis=1, keepdims=True)
 
 
-def with_negatives(model: Model, x: np.ndarray, y: np.ndarray, whole: np.ndarray, shuffled: np.ndarray) -> Model:
+def familiarities(model: Model, x: Sparse, rows: np.ndarray) -> list[float]:
+    p = softmax(x.logits(rows, model) / model.temperature)
+    return [model.familiarity(x.dense(rows[i : i + 1])[0], q) for i, q in enumerate(p)]
+
+
+def with_negatives(model: Model, x: Sparse, rows: np.ndarray, y: np.ndarray, whole: np.ndarray, shuffled: np.ndarray) -> Model:
     """Fits the least familiarity on rows that weren't trained on: between what right
     predictions have, whole or short, and what the negatives have."""
-    p = model.confidences(x) if len(x) else np.zeros((0, len(model.langs)))
-    right = p.argmax(axis=1) == y if len(x) else np.zeros(0, bool)
-    good = [np.array([model.familiarity(c, q) for c, q in zip(x[some], p[some], strict=True)]) for some in (right & whole, right & ~whole)]
-    good = [np.quantile(g, MAY_REJECT) for g in good if len(g)]
+    right = x.logits(rows, model).argmax(axis=1) == y if len(rows) else np.zeros(0, bool)
+    good = [familiarities(model, x, rows[some]) for some in (right & whole, right & ~whole) if some.any()]
     if not good:
         return model
-    bad = [model.familiarity(c, q) for c, q in zip(shuffled, model.confidences(shuffled), strict=True) if c.any()]
+    bad = familiarities(model, x, shuffled)
     for k in range(len(model.langs)) if len(model.langs) > 1 else ():
         others = [i for i in range(len(model.langs)) if i != k]
         less = Model([model.langs[i] for i in others], model.weights[:, others], model.bias[others], model.temperature, 0.0, model.frequencies[others])
-        rows = x[(y == k) & whole]
-        bad += [less.familiarity(c, q) for c, q in zip(rows, less.confidences(rows), strict=True)]
-    low = float(min(good))
+        bad += familiarities(less, x, rows[(y == k) & whole])
+    low = float(min(np.quantile(g, MAY_REJECT) for g in good))
     model.least = min(low, (low + float(np.quantile(bad, REJECTED))) / 2) if bad else low
     return model
 
@@ -218,8 +257,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
                 at = doc * 7919 % max(1, len(text) - EXCERPT)
                 mixed = shuffled_letters(text, doc % 2**32) if fold == 0 else None
                 for out, t in ((whole, text), (short, text[at : at + EXCERPT]), (shuffled, mixed)):
-                    c = subword_counts(t or "")
-                    out.append(None if t is None else (c / max(1, c.sum())).astype(np.float16).tobytes())
+                    out.append(None if t is None else Sparse.packed(subword_counts(t)))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": rows["doc_id"], "lang": rows["lang"], "fold": pa.array(rows["fold"], pa.int32()), "whole": whole, "short": short, "shuffled": pa.array(shuffled, pa.binary()),
             })
@@ -232,37 +270,23 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return model_of(rows, langs)
 
 
-def matrix_of(column: pa.ChunkedArray) -> np.ndarray:
-    """The rows of a column of half-precision vectors, without a copy; nulls have none."""
-    column = column.drop_null().combine_chunks()
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    first, last = (column.offset, column.offset + len(column)) if len(column) else (0, 0)
-    return np.frombuffer(column.buffers()[2] or b"", np.float16).reshape(-1, BUCKETS)[first:last] if len(column) else np.zeros((0, BUCKETS), np.float16)
-
-
 def model_of(rows: pa.Table, langs: list[str]) -> Model:
     """A model from the features of labelled rows, in an order of their own."""
-    whole, short, shuffled = (matrix_of(rows[c]) for c in ("whole", "short", "shuffled"))
-    mark = [xxhash.xxh64_intdigest(v.tobytes()) for v in whole]
-    lang = np.array([langs.index(g) for g in rows["lang"].to_pylist()], np.int64)
-    order = np.lexsort((np.array(mark, np.uint64), lang, rows["doc_id"].to_numpy()))
-    lang, fold = lang[order], rows["fold"].to_numpy()[order]
-    some = np.stack((whole.any(axis=1)[order], short.any(axis=1)[order]))
-    train, test = some & (fold > 0), some & (fold == 0)
-    if not train.any():
-        train, test = some, some & False
-
-    def taken(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([x[order[m]] for x, m in zip((whole, short), mask, strict=True)]), np.concatenate([lang[m] for m in mask])
-
-    x, y = taken(train)
-    weights, bias = fit(x, y, len(langs))
-    n = int(train[0].sum())
-    model = Model(langs, weights, bias, frequencies=frequencies(x[:n], y[:n], len(langs)))
-    x, y = taken(test)
-    is_whole = np.arange(len(y)) < int(test[0].sum())
-    model = calibrated(model, x.astype(np.float32), y, is_whole)
-    return with_negatives(model, x.astype(np.float32), y, is_whole, shuffled[shuffled.any(axis=1)].astype(np.float32))
+    whole, short = rows["whole"].to_pylist(), rows["short"].to_pylist()
+    lang, doc, fold = np.array([langs.index(g) for g in rows["lang"].to_pylist()], np.int64), rows["doc_id"].to_numpy(), rows["fold"].to_numpy()
+    order = np.lexsort((np.array([xxhash.xxh64_intdigest(w) for w in whole], np.uint64), lang, doc))
+    n, shuffled = len(whole), [r for r in rows["shuffled"].to_pylist() if r]
+    x = Sparse([*(whole[i] for i in order), *(short[i] for i in order), *shuffled])
+    y, fold = np.tile(lang[order], 2), np.tile(fold[order], 2)
+    some = x.some()[: 2 * n]
+    train, test = np.flatnonzero(some & (fold > 0)), np.flatnonzero(some & (fold == 0))
+    if not len(train):
+        train, test = np.flatnonzero(some), train
+    weights, bias = fit(x, train, y[train], len(langs))
+    is_whole = train[train < n]
+    model = Model(langs, weights, bias, frequencies=frequencies(x, is_whole, y[is_whole], len(langs)))
+    model = calibrated(model, x, test, y[test], test < n)
+    return with_negatives(model, x, test, y[test], test < n, np.arange(2 * n, 2 * n + len(shuffled)))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
