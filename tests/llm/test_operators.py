@@ -119,6 +119,59 @@ def test_line_store_takes_documents_in_and_out(spark, docs, monkeypatch, room):
     assert all(not np.frombuffer(r["cells"], np.uint16).any() for r in store.read("filters").collect())
 
 
+def test_line_store_opens_again_and_rewrites_only_touched_parts(spark, docs, tmp_path):
+    path = f"{tmp_path}/store"
+    lines.LineStore(spark, path, shards=64).insert(docs)
+    store = lines.LineStore(spark, path)
+    assert store.shards == 64
+    before, held = dict(store.parts), Counter(map(tuple, store.read("postings").collect()))
+    one = spark.createDataFrame([(900, "a line of this document alone")], "doc_id long, text string")
+    store.insert(one)
+    moved = [p for p in before if store.parts[p] != before[p]]
+    assert len(moved) == 1
+    assert len(list(tmp_path.glob(f"store/{before[moved[0]]}/postings/part={moved[0]}"))) == 0
+    again = lines.LineStore(spark, path)
+    every = [(d, t) for d, t, *_ in rows()]
+    assert Counter(map(tuple, again.clean(docs).collect())) == cleaned(every, every)
+    again.delete(one)
+    assert Counter(map(tuple, lines.LineStore(spark, path).read("postings").collect())) == held
+    with pytest.raises(ValueError, match="min_chars"):
+        lines.LineStore(spark, path, min_chars=5)
+
+
+def test_line_store_survives_a_broken_write(spark, docs, tmp_path, monkeypatch):
+    store = lines.LineStore(spark, f"{tmp_path}/store", shards=4)
+    store.insert(docs.where("doc_id < 6"))
+    held = Counter(map(tuple, store.read("postings").collect()))
+
+    def broken(*_):
+        raise OSError("no room")
+
+    with monkeypatch.context() as m:
+        m.setattr(lines, "changed_filters", broken)
+        with pytest.raises(OSError, match="no room"):
+            store.insert(docs.where("doc_id >= 6"))
+    for s in (store, lines.LineStore(spark, f"{tmp_path}/store")):
+        assert Counter(map(tuple, s.read("postings").collect())) == held
+    store.insert(docs.where("doc_id >= 6 or doc_id is null"))
+    every = [(d, t) for d, t, *_ in rows()]
+    assert Counter(map(tuple, store.clean(docs).collect())) == cleaned(every, every)
+
+
+@pytest.mark.parametrize("hot", [lines.HOT, 3])
+def test_line_store_shards_grow_with_the_lines(spark, docs, monkeypatch, hot):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 5)
+    monkeypatch.setattr(lines, "FILTER_BYTES", 0)
+    monkeypatch.setattr(lines, "HOT", hot)
+    store = lines.LineStore(spark)
+    store.insert(docs.where("doc_id < 3"))
+    few = store.shards
+    store.insert(docs.where("doc_id >= 3 or doc_id is null"))
+    assert store.shards > few
+    every = [(d, t) for d, t, *_ in rows()]
+    assert Counter(map(tuple, store.clean(docs).collect())) == cleaned(every, every)
+
+
 def test_cuckoo_filter_has_no_false_negatives_and_forgets():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 2**63, 50_000).astype(np.uint64)
