@@ -488,6 +488,35 @@ def test_every_text_made_from_a_rule_passes_the_keyword_filter():
         assert label(f"{EN}. {text}. {EN}") == want
 
 
+def test_short_names_with_other_meanings_need_a_word_of_licensing():
+    label = lambda t: licenses.scan_text(t)[5]
+    for text in ("Server: Apache/2.0.52 (Red Hat)", "the champions took the EPL 1-0 at home", "a boost 1.0 litres engine", "in the AFL 2.0 points", "import mpl 2.0", "msv1 0"):
+        assert label(text) == "", text
+    assert label('"license": "Apache-2.0",') == "apache-2.0"
+    assert label("released under the terms of the EPL 2.0") == "epl-2.0"
+    assert label("Boost 1.0 license") == "bsl-1.0"
+    assert label("MS-PL 1.0") == "ms-pl-1.0" and label("MS-RL 1.0") == "ms-rl-1.0"
+
+
+def test_signatures_of_license_texts():
+    label = lambda t: set(licenses.scan_text(t)[5].split(","))
+    assert "bsd-3-clause" in label("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products")
+    assert "mpl-2.0" in label("If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org")
+    assert "apache-2.0" in label("You may obtain a copy of the License at\n\n  http://www.apache.org/licenses/LICENSE-2.0\n")
+    assert label("You should have received a copy of the GNU Lesser General Public License along with this library") == {"lgpl"}
+    assert label("permission is hereby granted to any passer-by") == {""}
+
+
+def test_prefilter_loses_no_detection_of_all_rules_tried(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    bodies = [text.replace("[sc]", "s").replace("(?:", "").split("|")[0].replace(")", "").replace("?", "") for _, text, _ in licenses.BODIES]
+    for text in texts + bodies:
+        words = (text or "").encode().translate(licenses.WORDS).split()
+        line = b" " + b" ".join(words) + b" "
+        every = [licenses.Detection(i, m.start(), m.end()) for i, rule in enumerate(licenses.rules()) for m in rule.pattern.finditer(line)]
+        assert licenses.detect(words, line) == licenses.resolved(every)
+
+
 # Language ID -------------------------------------------------------------
 
 
@@ -652,6 +681,26 @@ def test_copies_and_quotations_stay_where_no_article_is_marked(spark):
     assert {r["page_id"]: r["text"] for r in html.main_text(df).collect()} == want
 
 
+def test_quotes_pair_only_where_a_value_starts():
+    text = lambda page: [t for _, t in html.blocks_of(page)]
+    assert text("<p title=it's>Hello I don't know</p><p>more</p>") == ["Hello I don't know", "more"]
+    assert text('<p>a <a href="x"">link</a> b</p>') == ["a link b"]
+    assert text("<p>a <a title='x > y' href=z\"w>link</a> b</p><p>c</p>") == ["a link b", "c"]
+    assert text('<p title = "a > b" data-x=\'>\'>in</p>') == ["in"]
+    assert text('<p class="open>never closed</p><p>next</p>') == ["never closed", "next"]
+    assert text("<title-card>kept</title-card><title>gone</title>") == ["kept"]
+    assert html.attributes(" title=it's class='a b' hidden") == {"title": "it's", "class": "a b", "hidden": ""}
+    assert html.blocks_of("<article><fieldset>a poll</fieldset></article>") == [(html.MAIN, "a poll")]
+
+
+def test_long_pages_of_odd_quotes_take_linear_time():
+    page = "<article>" + "<p title=it's data-q=\"x\"\">don't <b class='a>stop</b></p>" * 40_000 + '<p class="open' + "</article>"
+    start = time.monotonic()
+    blocks = html.blocks_of(page)
+    assert time.monotonic() - start < 20
+    assert blocks and all(z == html.MAIN for z, _ in blocks)
+
+
 def test_windows_do_not_depend_on_how_pages_meet(spark, monkeypatch):
     rng = np.random.default_rng(8)
     pages = [(f"h{i % 3}", bytes([i]), [" ".join(rng.choice(list("abc"), 30))]) for i in range(40)]

@@ -131,18 +131,53 @@ NAMED = [
     ("ncsa", ["university of illinois ncsa open source licen[sc]e", "ncsa licen[sc]e"], b"ncsa"),
     ("beerware", ["beer ware licen[sc]e", "beerware"], b"beerware"),
 ]
-#: Phrases of license texts themselves.
+#: Short names that also mean other things (a server, a sports league, a library): only with a word of licensing beside them.
+SHARED_NAMES = frozenset("apache mpl epl cpl osl afl artistic boost ofl zpl psf".split())
+#: Signatures of license texts and file headers: label, words, and one word that the others seldom hold.
 BODIES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", b"granted"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", b"substantial"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy", b"granted"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", b"permission"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software", b"disclaims"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement", b"permission"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", b"redistribution"),
+    ("bsd", "redistributions of source code must retain the above copyright notice", b"redistributions"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", b"redistributions"),
+    ("bsd-3-clause", "neither the name of the (?:copyright holder|copyright owner|university|author|organization) nor the names of its contributors may be used to endorse or promote products", b"endorse"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", b"advertising"),
+    ("apache-2.0", "you may obtain a copy of the licen[sc]e at https? www apache org licenses licen[sc]e 2 0", b"apache"),
     ("apache", "unless required by applicable law or agreed to in writing software distributed under the licen[sc]e", b"unless"),
+    ("gpl-3", "the gnu general public licen[sc]e is a free copyleft licen[sc]e for software and other kinds of works", b"copyleft"),
+    ("agpl-3", "the gnu affero general public licen[sc]e is a free copyleft licen[sc]e for software and other kinds of works", b"copyleft"),
+    ("lgpl-3", "this version of the gnu lesser general public licen[sc]e incorporates the terms and conditions of version 3", b"incorporates"),
+    ("agpl", "you should have received a copy of the gnu affero general public licen[sc]e", b"affero"),
+    ("lgpl", "you should have received a copy of the gnu (?:lesser|library) general public licen[sc]e", b"general"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it", b"redistribute"),
+    ("gpl", "you should have received a copy of the gnu general public licen[sc]e", b"general"),
     ("gpl", "this program is free software you can redistribute it and or modify it", b"redistribute"),
     ("gpl", "either version [123](?: [0-9])? of the licen[sc]e or at your option any later version", b"either"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e", b"documentation"),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", b"mpl"),
     ("mpl", "this source code form is subject to the terms of the mozilla public licen[sc]e", b"mozilla"),
+    ("mpl", "the contents of this file are subject to the mozilla public licen[sc]e", b"mozilla"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e", b"eclipse"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution licen[sc]e", b"distribution"),
     ("zlib", "this software is provided as is without any express or implied warranty", b"warranty"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", b"misrepresented"),
     ("unlicense", "this is free and unencumbered software released into the public domain", b"unencumbered"),
-    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e", b"everyone"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", b"compile"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e", b"verbatim"),
+    ("beerware", "as long as you retain this notice you can do whatever you want with this stuff", b"retain"),
+    ("cc0", "to the extent possible under law the person who associated cc0 with this work has waived all copyright", b"waived"),
+    ("ofl", "this font software is licensed under the sil open font licen[sc]e", b"font"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", b"package"),
+    ("python", "this licen[sc]e agreement is between the python software foundation", b"python"),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit", b"openssl"),
+    ("sspl-1", "if you make the functionality of the program or a modified version available to third parties as a service", b"functionality"),
+    ("elastic-2.0", "you may not provide the software to third parties as a hosted or managed service", b"hosted"),
+    ("proprietary", "this software is the confidential and proprietary information of", b"proprietary"),
+    ("proprietary", "no part of this (?:document|publication|software|book) may be reproduced", b"reproduced"),
 ]
 #: Creative Commons: elements and versions.
 CC = {"by": ["by", "attribution"], "by-sa": ["by sa", "attribution share ?alike"], "by-nd": ["by nd", "attribution no ?derivatives"], "by-nc": ["by nc", "attribution non ?commercial"], "by-nc-sa": ["by nc sa", "attribution non ?commercial share ?alike"], "by-nc-nd": ["by nc nd", "attribution non ?commercial no ?derivatives"]}
@@ -182,11 +217,16 @@ def rules() -> tuple[Rule, ...]:
         for v in reversed(versions):
             for name in names:
                 add(f"{label}-{dashed(v)}", rf"{name}(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?{v}(?: only| or later)?", word, 0.95)
-            first = short[0].split()[0]
             for name in short:
-                add(f"{label}-{dashed(v)}", rf"{name} ?v? ?(?:version )?{v}(?: only| or later)?", name.split()[-1], 0.8)
-            if not v.startswith("0"):
-                add(f"{label}-{dashed(v)}", rf"{first}v{v}", f"{first}v{v.split()[0]}", 0.9)
+                numbered, own = rf"{name} ?v? ?(?:version )?{v}(?: only| or later)?", name.split()[-1]
+                if name in SHARED_NAMES:
+                    add(f"{label}-{dashed(v)}", rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?{numbered}", own, 0.9)
+                    add(f"{label}-{dashed(v)}", rf"licen[sc]e[ds]? (?:is |the |type |under )?{numbered}", own, 0.8)
+                    add(f"{label}-{dashed(v)}", rf"{numbered} licen[sc]e[ds]?", own, 0.8)
+                    continue
+                add(f"{label}-{dashed(v)}", numbered, own, 0.8)
+                if " " not in name and not v.startswith("0"):
+                    add(f"{label}-{dashed(v)}", rf"{name}v{v}", f"{name}v{v.split()[0]}", 0.9)
     for label, names, word in NAMED:
         for name in names:
             add(label, name, word, 0.8)
