@@ -79,6 +79,44 @@ def test_tags_by_pattern_and_by_tree_agree_where_nothing_nests(pages):
     assert only == {1: "<h1>Green <em>tea</em></h1>", 2: "<h2>Eins</h2>"}
 
 
+def test_nested_tags_are_matched_by_depth(spark):
+    cases = [
+        ("<div><div>inner</div>tail</div><p>keep<span>s</span></p>", [], ["div"], "<p>keep<span>s</span></p>"),
+        ("a<DIV class='x > y'>b<div>c</DIV>d</div>e", [], ["div"], "ae"),
+        ("a<div>b<div>c</div>d</div>e<div>f</div>", ["div"], [], "<div>b<div>c</div>d</div><div>f</div>"),
+        ("<div>a<nav>b<div>c</div></nav>d</div>e", ["div"], ["nav"], "<div>ad</div>"),
+        ("</nav>a<nav>b</nav></nav>c<nav>d", [], ["nav"], "ac"),
+        ("<nav>x<!-- </nav> -->y<script>'</nav>'</script>z</nav>w", [], ["nav"], "w"),
+        ("a<script>if (a<b) '<nav>'</script><navy>b</navy>", [], ["nav", "script"], "a<navy>b</navy>"),
+        ("a<br>b<img src=x>c<nav/>d", [], ["br", "nav"], "ab<img src=x>cd"),
+        ("a<br>b", ["br"], [], "<br>"),
+        ("a < b <3 <", [], ["nav"], "a < b <3 <"),
+        ("<p title=it's>don't</p><nav>x</nav>", [], ["nav"], "<p title=it's>don't</p>"),
+        ("a<nav", [], ["nav"], "a<nav"),
+        ("", [], ["nav"], ""),
+        (None, [], ["nav"], None),
+        ("<b>\u00e9\n\n\U0001f600</b>", [], [], "<b>\u00e9\n\n\U0001f600</b>"),
+    ]
+    for html, include, exclude, want in cases:
+        df = spark.createDataFrame([(1, html, "s"), (2, html, "t")], "page_id long, html string, _tag string")
+        got = E.filter_nested_tags(df, include, exclude).collect()
+        assert sorted((r.page_id, r._tag) for r in got) == [(1, "s"), (2, "t")]
+        assert {r.filtered_html for r in got} == {want}, html
+
+
+def test_nested_tags_of_a_very_long_page(spark):
+    html = "<div>" * 20_000 + "deep" + "</div>" * 20_000 + "<p>x</p>" * 20_000
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert E.filter_nested_tags(df, exclude=["div"]).first().filtered_html == "<p>x</p>" * 20_000
+    assert E.filter_nested_tags(df, include=["div"], exclude=["p"]).first().filtered_html == html[: html.index("<p>")]
+
+
+def test_nested_and_tree_mode_agree(pages):
+    for include, exclude in ((["body"], ["nav", "footer"]), ([], ["div", "ul"]), (["article", "h1"], [])):
+        nested = by_page(E.filter_nested_tags(pages, include, exclude), "filtered_html")
+        assert nested == by_page(E.filter_tags_tree(pages, include, exclude), "filtered_html")
+
+
 def test_images_and_adverts(pages):
     got = by_page(E.strip_base64_images(pages), "html")
     assert got == {1: SHOP.replace('<img src="data:image/gif;base64,R0lGOD" alt="dot">', ""), 2: STORY}

@@ -49,6 +49,13 @@ def test_tree_filter_is_the_only_python_stage(spark, sf):
     assert "MapInPandas" in plan(Q["e7_filter_tags_tree"](spark, sf))
 
 
+def test_nested_tags_are_matched_without_python_on_one_exchange(spark, sf):
+    p = plan(Q["e7_filter_nested_tags"](spark, sf))
+    assert "Python" not in p and "Pandas" not in p
+    hashed = [line for line in p.splitlines() if "hashpartitioning(_sha" in line]
+    assert len(hashed) == 1, p  # the distinct pages; depths and the kept text follow it
+
+
 def test_crawl_hop_does_not_shuffle_the_edges(spark, sf):
     from pyspark.sql import functions as F
 

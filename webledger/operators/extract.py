@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,6 +193,66 @@ def filter_tags_tree(pages: DataFrame, include: list[str] | None = None, exclude
     return pages.mapInPandas(per_batch, schema)
 
 
+#: Elements without an end tag, and elements whose content is no markup.
+VOID_TAGS = "area base br col embed hr img input link meta source track wbr".split()
+RAW_TAGS = "script style textarea title".split()
+
+
+def filter_nested_tags(pages: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None,
+                       out: str = "filtered_html") -> DataFrame:
+    """E7 (nested mode): keep only what stands in an ``include`` element, then
+    drop what stands in an ``exclude`` element; both may nest in themselves.
+
+    A distinct page becomes one row for each named tag and for the text
+    between two of them.  Each name's depth is a running sum that never falls
+    below zero, and the tokens that stay are joined again in page order.  Each
+    step is partitioned by the page's hash, and a page is one row before and after.
+
+    Tags in comments and in script, style, textarea and title elements are
+    text.  An element that is never closed reaches the page's end; an end tag
+    without a start is dropped.  A null page gives null, an empty one an empty
+    text, repeated rows repeated results.
+    """
+    inc, exc = [t.lower() for t in include or []], [t.lower() for t in exclude or []]
+    names = sorted({*inc, *exc})
+    if not names:
+        return pages.withColumn(out, F.col("html"))
+    listed, raw = "|".join(names), "|".join(RAW_TAGS)
+    special = rf"!--|(?:{raw})(?=[\s/>])|/?(?:{listed})(?=[\s/>])"
+    attrs = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+(?:>|\z)"""
+    token = (
+        rf"(?is)<!--.*?(?:-->|\z)|<({raw})(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\z)|</?(?:{listed})(?=[\s/>]){attrs}"
+        rf"|(?:[^<]++|<(?!{special}))++|<"
+    )
+    keyed = pages.withColumn("_sha", content_hash(F.col("html")))
+    distinct = keyed.where(F.col("_sha").isNotNull()).groupBy("_sha").agg(F.first("html").alias("_page"))
+    tokens = distinct.select("_sha", F.posexplode(F.regexp_extract_all("_page", F.lit(token), F.lit(0))).alias("_at", "_token"))
+    named = F.lower(F.regexp_extract("_token", rf"(?i)^</?({listed})(?=[\s/>])", 1))
+    tokens = tokens.withColumns({"_tag": named, "_end": F.col("_token").startswith("</")})
+    whole = F.col("_tag").isin(*VOID_TAGS, *RAW_TAGS) | F.col("_token").endswith("/>")
+    order = Window.partitionBy("_sha").orderBy("_at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = {t: F.when((F.col("_tag") == t) & ~whole, F.when(F.col("_end"), -1).otherwise(1)).otherwise(0) for t in names}
+    tokens = tokens.withColumns({f"_sum_{t}": F.sum(step[t]).over(so_far) for t in names})
+    tokens = tokens.withColumns({f"_open_{t}": F.col(f"_sum_{t}") - F.least(F.lit(0), F.min(f"_sum_{t}").over(so_far)) for t in names})
+    tokens = tokens.withColumns({f"_before_{t}": F.lag(f"_open_{t}", 1, 0).over(order) for t in names})
+
+    def within(tags: list[str]) -> Column:
+        found = F.lit(False)
+        for t in tags:
+            found = found | (F.col(f"_open_{t}") > 0) | ((F.col("_tag") == t) & (whole | (F.col(f"_before_{t}") > 0)))
+        return found
+
+    stray = F.lit(False)
+    for t in names:
+        stray = stray | ((F.col("_tag") == t) & F.col("_end") & (F.col(f"_before_{t}") == 0))
+    keep = ~within(exc) & ~stray & (within(inc) if inc else F.lit(True))
+    kept = tokens.where(keep).groupBy("_sha").agg(F.array_sort(F.collect_list(F.struct("_at", "_token"))).alias("_kept"))
+    kept = kept.select("_sha", F.array_join("_kept._token", "").alias("_text")).repartition("_sha")
+    joined = keyed.join(kept, "_sha", "left")
+    return joined.select(*(F.col(c) for c in pages.columns if c != out), F.when(F.col("html").isNotNull(), F.coalesce("_text", F.lit(""))).alias(out))
+
+
 def strip_base64_images(pages: DataFrame) -> DataFrame:
     """``removeBase64Images``."""
     return pages.withColumn("html", F.regexp_replace("html", H.BASE64_IMG_PATTERN, ""))

@@ -130,6 +130,20 @@ def e7_filter_tags_tree(v):
     return out.select("page_id", "filtered_html")
 
 
+@query("e7_filter_nested_tags", """
+select page_id, regexp_replace(regexp_extract(html, '(?s)<body>.*?(?:</body>|$)'),
+  '(?s)<nav>.*?</nav>|<div class="ad">.*?</div>|<footer>.*?</footer>|<script>.*?</script>|<style>.*?</style>', '', 'g') as filtered_html
+from pages
+""")
+def e7_filter_nested_tags(v):
+    """Every page gets a menu within its menu and a box around its advert; without menus and boxes all is as before them."""
+    boxed = F.replace(F.col("html"), F.lit("<nav>"), F.lit("<nav><NAV class='a > b'>top</NAV><!-- </nav> -->"))
+    boxed = F.replace(boxed, F.lit("</div>"), F.lit("</div>ends here</div>"))
+    boxed = F.replace(boxed, F.lit('<div class="ad">'), F.lit('<div>sponsored<div class="ad">'))
+    out = E.filter_nested_tags(v.table("pages").withColumn("html", boxed), include=["body"], exclude=["nav", "div", "footer", "script", "style"])
+    return out.select("page_id", "filtered_html")
+
+
 @query("e8_strip_base64_images", "select page_id, sha256(html) as html_sha, page_id % 3 = 0 as had_image from pages")
 def e8_strip_base64_images(v):
     """Inline images put into every third page come out again, and nothing else does."""
