@@ -1,10 +1,13 @@
 """A key holding a third of the rows is spread, not gathered in one task."""
 
+import contextlib
 import datetime as dt
+import io
 import random
 
 from pyspark.sql import functions as F
 
+from webledger.operators import discover as D
 from webledger.operators.windows import prefix_scan
 from webledger.streaming import jobs as J
 
@@ -57,3 +60,41 @@ def test_running_sum_equals_a_window_on_a_hot_key(spark):
     w = Window.partitionBy("acct").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.id: r.running for r in df.withColumn("running", F.sum("v").over(w)).collect()}
     assert got == want
+
+
+def _formatted(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def hub_graph(spark):
+    """Node 0 holds a third of all edges; the others form chains of ten."""
+    chains = spark.range(1, 20_001).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")).where("src % 10 <> 0")
+    return chains.unionByName(spark.range(9_000).select(F.lit(0).cast("long").alias("src"), (F.col("id") * 2 + 1).alias("dst")))
+
+
+def test_a_hub_node_of_the_crawl_spans_several_tasks(spark):
+    edges = hub_graph(spark).withColumnRenamed("src", "node")
+    plain, hubs, hub_edges = D.split_adjacency(edges, 8, hub_edges=100)
+    assert [tuple(r) for r in hubs.collect()] == [(0, 90)]
+    assert plain.where("node = 0").isEmpty() and plain.count() + hub_edges.count() == edges.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seeds = spark.createDataFrame([(0,)], "node long")
+        out = D.hop(seeds, plain, hubs, hub_edges)
+        moved = [b for b in _formatted(out).split("\n\n") if ") Exchange" in b and "dst" in b]
+        by_task = hub_edges.groupBy(F.pmod(F.hash("node", "piece"), F.lit(8))).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(by_task) == 8 and max(r["count"] for r in by_task) <= 2.5 * 9_000 / 8  # a bucket is a task
+    assert not moved  # no edge is shuffled, only what they lead to
+    assert out.count() == 9_000
+
+
+def test_crawl_over_hubs_equals_crawl_without(spark):
+    seeds = spark.createDataFrame([(0,), (5,)], "node long")
+    for depth in (1, None):
+        got = [{tuple(r) for r in D.crawl(hub_graph(spark), seeds, max_depth=depth, hub_edges=h).collect()} for h in (500, 10**6)]
+        assert got[0] == got[1] and len(got[0]) > 9_000

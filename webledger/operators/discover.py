@@ -107,14 +107,43 @@ def url_sources(captured: DataFrame, linked: DataFrame, ignore_sitemap: bool = F
     return u.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
 
 
+#: Out-degree from which a node's edges are dealt over several tasks, and the edges of one such piece, about.
+HUB_EDGES = 100_000
+
+
+def split_adjacency(edges: DataFrame, buckets: int, hub_edges: int = HUB_EDGES) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Edges (node, dst) as tables to hop over: those of ordinary nodes,
+    bucketed by node; the hubs (node, pieces), nodes of more than
+    ``hub_edges`` edges; the hubs' edges, dealt over their pieces and bucketed
+    by (node, piece).  The last two are None where there is no hub."""
+    degrees = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hub_edges)
+    hubs = cut_lineage(degrees.select("node", F.ceil(F.col("_n") / hub_edges).cast("long").alias("pieces")))
+    if hubs.isEmpty():
+        return bucketed_table(edges, "node", buckets, "edges"), None, None
+    plain = bucketed_table(edges.join(hubs, "node", "left_anti"), "node", buckets, "edges")
+    piece = F.pmod(F.xxhash64("dst"), F.col("pieces")).alias("piece")
+    return plain, hubs, bucketed_table(edges.join(hubs, "node").select("node", piece, "dst"), ["node", "piece"], buckets, "hub_edges")
+
+
+def hop(last: DataFrame, plain: DataFrame, hubs: DataFrame | None, hub_edges: DataFrame | None) -> DataFrame:
+    """Distinct nodes (node) that edges of the nodes ``last`` lead to.  Only
+    hubs are copied, once for each piece of their edges; no edge is moved."""
+    reached = last.join(plain, "node").select(F.col("dst").alias("node"))
+    if hubs is not None:
+        copies = last.join(hubs, "node").select("node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
+        reached = reached.unionByName(copies.join(hub_edges, ["node", "piece"]).select(F.col("dst").alias("node")))
+    return reached.distinct()
+
+
 def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, limit: int | None = None,
-          buckets: int | None = None) -> DataFrame:
+          buckets: int | None = None, hub_edges: int = HUB_EDGES) -> DataFrame:
     """D3: breadth-first reach from many seeds at once with minimum depth,
     ``max_depth`` hops or until nothing new is reached.
 
-    Edges are written once as a table bucketed by source, and so are the nodes
-    reached so far, which a hop appends to; both lie in the shared checkpoint
-    folder.  A hop joins the last layer with the edges and leaves out what the
+    Edges are written once as a table bucketed by source (those of hubs, by
+    source and piece, see ``split_adjacency``), and so are the nodes reached so
+    far, which a hop appends to; all lie in the shared checkpoint folder.  A
+    hop joins the last layer with the edges and leaves out what the
     table of reached nodes has; the only shuffle of a hop is the reached
     nodes' ``distinct``.  Only a layer's size reaches the driver.  ``limit`` is
     applied by (depth, node), so the result does not depend on partitioning,
@@ -122,21 +151,21 @@ def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, limi
     """
     spark = edges.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = bucketed_table(edges.select(F.col("src").alias("node"), F.col("dst")), "node", n, "edges")
+    adjacency = split_adjacency(edges.select(F.col("src").alias("node"), F.col("dst")), n, hub_edges)
     visited = seeds.select(F.col("node")).distinct().withColumn("depth", F.lit(0))
     visited = bucketed_table(visited, "node", n, "visited")
     depth, total = 0, visited.count()
     while (max_depth is None or depth < max_depth) and (limit is None or total < limit):
         last = visited.where(F.col("depth") == depth).select("node")
-        reached = last.join(e, "node").select(F.col("dst").alias("node")).distinct()
-        fresh = cut_lineage(reached.join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth + 1)))
+        fresh = cut_lineage(hop(last, *adjacency).join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth + 1)))
         new = fresh.count()
         if not new:
             break
         append_bucketed(fresh, visited, "node", n)
         visited = reread(visited)
         depth, total = depth + 1, total + new
-    drop_bucketed(e)
+    for table in (adjacency[0], adjacency[2]):
+        drop_bucketed(table)
     if limit is not None:
         visited = visited.orderBy("depth", "node").limit(limit)
     return visited

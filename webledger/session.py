@@ -102,7 +102,7 @@ def stored(df, label: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed_table(df, key: str, buckets: int, label: str):
+def bucketed_table(df, key: str | list[str], buckets: int, label: str):
     """Write ``df`` as a table bucketed by ``key`` in the shared checkpoint
     folder and read it back.  Joins on ``key`` against it then shuffle only
     the other side; the write also cuts lineage (a reliable copy)."""
