@@ -248,8 +248,10 @@ def filter_nested_tags(pages: DataFrame, include: list[str] | None = None, exclu
         stray = stray | ((F.col("_tag") == t) & F.col("_end") & (F.col(f"_before_{t}") == 0))
     keep = ~within(exc) & ~stray & (within(inc) if inc else F.lit(True))
     kept = tokens.where(keep).groupBy("_sha").agg(F.array_sort(F.collect_list(F.struct("_at", "_token"))).alias("_kept"))
-    kept = kept.select("_sha", F.array_join("_kept._token", "").alias("_text")).repartition("_sha")
-    joined = keyed.join(kept, "_sha", "left")
+    # Joined on another form of the hash, this side is dealt once more, and only then can Spark split a page that dominates.
+    same = F.concat("_sha", F.lit("."))
+    kept = kept.select(same.alias("_of"), F.array_join("_kept._token", "").alias("_text"))
+    joined = keyed.join(kept, same == F.col("_of"), "left")
     return joined.select(*(F.col(c) for c in pages.columns if c != out), F.when(F.col("html").isNotNull(), F.coalesce("_text", F.lit(""))).alias(out))
 
 
