@@ -332,12 +332,6 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], chunk:
     become intervals on a per-pool credit axis and meet in an equi join on (pool, bucket) with an
     overlap filter, never a nested loop.  Output: one row per share.
     """
-    # The demand intervals feed the bucket join and the overflow rows; they
-    # are written once to the shared checkpoint folder rather than having the
-    # running-sum windows recomputed for each consumer.
-    d = chunked_running_sum(demand, [pool], [*order, "request_id"], "credits", chunk, out="d1")
-    d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
-        "request_id", pool, "credits", "d0", "d1"))
     cap = F.greatest(F.lit(0), F.coalesce(F.col("remaining_credits"), F.col("monthly_quota") - F.col("used_credits")))
     # Keys in ascending capacity (unknown capacity last), as a running
     # capacity and a running count - one prefix scan, no window per pool.
@@ -355,6 +349,15 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], chunk:
     sizes = totals.withColumn(
         "bsize", F.greatest(F.lit(bucket_min), F.ceil(F.col("total_demand") / F.lit(buckets_per_pool))).cast("bigint")
     )
+    # The demand intervals feed the bucket join and the overflow rows; they
+    # are written once to the shared checkpoint folder rather than having the
+    # running-sum windows recomputed for each consumer.  What they need of
+    # their pool comes with the totals of its stretches, not by a join of all
+    # demand on the pool.
+    d = chunked_running_sum(demand, [pool], [*order, "request_id"], "credits", chunk, out="d1",
+                            carry=(sizes.select(pool, "bsize").join(fin, pool, "left"), [pool]))
+    d = cut_lineage(d.withColumn("d0", F.col("d1") - F.col("credits")).select(
+        "request_id", pool, "credits", "d0", "d1", "bsize", "finite_capacity", "has_unlimited"))
     k = k.join(fin, pool).join(sizes, pool)
     unlimited = F.col("capacity").isNull()
     first_unlimited = unlimited & (F.col("_rn") == F.col("_n_finite") + 1)
@@ -374,7 +377,7 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], chunk:
         "bucket", F.explode(F.sequence(F.floor(F.col("k0") / F.col("bsize")),
                                        F.floor((F.col("k1") - 1) / F.col("bsize"))))
     )
-    db = d.join(sizes.select(pool, "bsize"), pool).where(F.col("credits") > 0).withColumn(
+    db = d.select("request_id", pool, "credits", "d0", "d1", "bsize").where(F.col("credits") > 0).withColumn(
         "bucket", F.explode(F.sequence(F.floor(F.col("d0") / F.col("bsize")),
                                        F.floor((F.col("d1") - 1) / F.col("bsize"))))
     )
@@ -388,7 +391,7 @@ def allocate_budget(demand: DataFrame, keys: DataFrame, order: list[str], chunk:
         "request_id", pool, "key_id", (F.least("d1", "k1") - F.greatest("d0", "k0")).cast("bigint").alias("allocated")
     )
     fc = F.coalesce(F.col("finite_capacity"), F.lit(0))
-    rest = d.join(fin, pool, "left").where(
+    rest = d.where(
         ~F.coalesce(F.col("has_unlimited") == 1, F.lit(False)) & (F.col("d1") > fc)
     ).select(
         "request_id", pool, F.lit(None).cast("bigint").alias("key_id"),

@@ -76,10 +76,8 @@ def replay_cache(log: DataFrame, ttl_hours: int = 24) -> DataFrame:
     rows = rows.withColumn("miss", F.col("is_start") | by_age)
 
     # The entry each request sees: the bin's last miss before it, or the last one of an earlier bin.
-    written = F.when(F.col("miss"), F.struct("us", "fmt", "tool", "ts", "credits"))
-    last = rows.where("miss").groupBy("url", "bin").agg(
-        F.max_by(F.struct("us", "fmt", "tool", "ts", "credits"), F.struct("us", "request_id")).alias("last_entry"))
-    carried = before_each_bin(rows.select("url", "bin").distinct().join(last, ["url", "bin"], "left"), "last_entry", "carried_entry")
+    written = F.when(F.col("miss"), F.struct("us", "request_id", "fmt", "tool", "ts", "credits"))
+    carried = before_each_bin(rows.groupBy("url", "bin").agg(F.max(written).alias("last_entry")), "last_entry", "carried_entry")
     inside = F.last(written, ignorenulls=True).over(in_bin.rowsBetween(Window.unboundedPreceding, -1))
     seen = rows.withColumn("inside", inside).join(carried, ["url", "bin"]).withColumn("seen", F.coalesce("inside", "carried_entry"))
     reason = verdict_text(F.col("seen").isNull(), F.col("us") - F.col("seen.us") > ttl, F.col("seen.fmt") != F.col("fmt"),
