@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from webledger.llm.common import Scratch
-from webledger.llm import bpe, html, language, licenses, lines, naming, packing, pretoken, secrets, simhash, topk
+from webledger.llm import bpe, golay, html, language, licenses, lines, naming, packing, pretoken, secrets, simhash, topk
 
 tokenizers = pytest.importorskip("public_tokenizers")
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -730,3 +730,30 @@ def test_empty_tables(spark, none):
         topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0),
     ):
         assert df.count() == 0
+
+
+def test_keys_for_four_bits_meet_for_every_split_of_the_errors():
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 2**64, 4_000, dtype=np.uint64)
+    changed = fp.copy()
+    for i in range(len(fp)):
+        for bit in rng.choice(64, rng.integers(1, 5), replace=False).tolist():
+            changed[i] ^= np.uint64(1) << np.uint64(bit)
+
+    def keys_of(fps, which):
+        words = [((fps >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in simhash.SEGMENTS]
+        out = [set() for _ in fps]
+        for key, times in which(words, [golay.keys(w) for w in words]):
+            for i, k in zip(np.repeat(np.arange(len(fps)), times).tolist(), key.tolist(), strict=True):
+                out[i].add(k)
+        return out
+
+    few = keys_of(fp, simhash.few_bit_keys)
+    assert all(a & b for a, b in zip(few, keys_of(changed, simhash.few_bit_keys), strict=True))
+    every = keys_of(fp, simhash.five_bit_keys)
+    assert sum(map(len, few)) < 0.8 * sum(map(len, every))  # and far fewer strangers share one:
+
+    def strangers(keys):
+        return sum(n * (n - 1) // 2 for n in Counter(k for own in keys for k in own).values())
+
+    assert strangers(few) < 0.3 * strangers(every)

@@ -2,11 +2,15 @@
 
 A document's 64-bit fingerprint has a bit set where more than half of its
 shingle hashes have it.  Distinct fingerprints are cut into three segments of
-23, 23 and 18 bits.  If two fingerprints differ in at most five bits, then in
-two of the three segments they differ in at most two bits each, and there the
-Golay keys of both share a codeword.  So every pair of segments gives a
-fingerprint the pairs of their keys, equal keys bring fingerprints together,
-and the bits are then counted.
+23, 23 and 18 bits.  If two fingerprints differ in at most four bits, then
+either a segment is equal, and of the others one differs in at most two bits,
+where the Golay keys of both share a codeword; or all three differ, and two of
+them in exactly one bit, so that one of both words has even parity, and its
+own codeword is among the keys of the other.  So a fingerprint gets a key for
+each segment with each Golay key of each other segment, and for each pair of
+segments the pairs of their Golay keys; equal keys bring fingerprints
+together, and the bits are then counted.  (For five bits, two of the segments
+differ in at most two bits each, and all pairs of Golay keys are needed.)
 
 Fingerprints under one key are compared in a task up to ``TOGETHER`` of them;
 the rest of larger groups is cut into blocks, and each pair of blocks is
@@ -24,6 +28,7 @@ further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -76,26 +81,57 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, row: str | None = None) -
     return few.mapInArrow(run, "row long, doc_id long, fp long")
 
 
-def fuzzy_keys(fps: DataFrame) -> DataFrame:
+def fuzzy_keys(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(key, fp): all keys of each fingerprint."""
+    keys = few_bit_keys if max_bits <= 4 else five_bit_keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(every), 20_000):
                 fp = every[at : at + 20_000]
-                own = [golay.keys(((fp >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64)) for a, n in SEGMENTS]
-                for pair, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-                    (a, na), (b, nb) = own[i], own[j]
-                    key = (pair << 24 | a[:, :, None] << 12 | b[:, None, :]).reshape(len(fp), 36)
-                    real = ((np.arange(6) < na[:, None])[:, :, None] & (np.arange(6) < nb[:, None])[:, None, :]).reshape(len(fp), 36)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[real].astype(np.int32)), pa.array(np.repeat(fp, na * nb).view(np.int64))], ["key", "fp"]
-                    )
+                words = [((fp >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
+                for key, times in keys(words, [golay.keys(w) for w in words]):
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(fp, times).view(np.int64))], ["key", "fp"])
 
     return with_python(fps).mapInArrow(run, "key int, fp long")
 
 
+def five_bit_keys(words: list[np.ndarray], own: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys for up to five bits, and how many each fingerprint has: the pairs of two segments' Golay keys."""
+    for pair, (i, j) in enumerate(combinations(range(3), 2)):
+        (a, na), (b, nb) = own[i], own[j]
+        key, real = pairs_of_keys(a, na, b, nb)
+        yield (pair << 24 | key[real]).astype(np.int32), na * nb
+
+
+def few_bit_keys(words: list[np.ndarray], own: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys for up to four bits, and how many each fingerprint has: a segment
+    and the Golay keys of another one; and for two segments of one error each,
+    in which the parities differ, the pairs of their keys, where a word of even
+    parity needs only its own codeword."""
+    for kind, (i, j) in enumerate(permutations(range(3), 2)):
+        b, nb = own[j]
+        yield mixed(kind, (words[i][:, None] << 12 | b)[np.arange(6) < nb[:, None]]), nb
+    odd = [np.bitwise_count(w) & 1 for w in words]
+    for kind, (i, j) in enumerate(combinations(range(3), 2), start=6):
+        (a, na), (b, nb) = ((own[s][0], np.where(odd[s] == 1, own[s][1], 1)) for s in (i, j))
+        key, real = pairs_of_keys(a, na, b, nb)
+        unlike = np.repeat((odd[i] ^ odd[j]).astype(np.int64), na * nb)
+        yield mixed(kind, unlike << 24 | key[real]), na * nb
+
+
+def pairs_of_keys(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of the (n, 6) keys a and b of each row, and which of the 36 stand for one."""
+    key = (a[:, :, None] << 12 | b[:, None, :]).reshape(len(a), 36)
+    return key, ((np.arange(6) < na[:, None])[:, :, None] & (np.arange(6) < nb[:, None])[:, None, :]).reshape(len(a), 36)
+
+
+def mixed(kind: int, key: np.ndarray) -> np.ndarray:
+    """Keys of a kind, hashed to 32 bits: the bits are counted anyway."""
+    return ((kind << 35 | key).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def connected(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what links of at most ``max_bits`` connect among ``fp``: each to its component's first."""
     left, out_a, out_b = fp, [], []
@@ -219,7 +255,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, together: int = TOGETHE
     exactly what differences of at most ``max_bits`` bits connect."""
     if max_bits > 5:
         raise ValueError("three segments find differences of up to five bits")
-    keyed = fuzzy_keys(fps).repartition("key").sortWithinPartitions("key")
+    keyed = fuzzy_keys(fps, max_bits).repartition("key").sortWithinPartitions("key")
     found = written(compare_sorted(keyed, max_bits, together), "links")
     links = found.where("key is null").select("a", "b")
     large = found.where("key is not null").select("key", F.col("a").alias("fp"))
