@@ -77,7 +77,12 @@ def splittable(key: str) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """``batches`` in pieces of at most ``rows`` rows, so that few whole texts are Python objects at a time."""
+    """``batches`` in pieces of at most ``rows`` rows, so that few whole texts are Python objects at a time.
+
+    After each batch the worker gives back memory it no longer uses, which it would else keep for the
+    next task while other workers need it."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()

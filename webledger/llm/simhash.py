@@ -88,8 +88,8 @@ def fuzzy_keys(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(every), 20_000):
-                fp = every[at : at + 20_000]
+            for at in range(0, len(every), 5_000):
+                fp = every[at : at + 5_000]
                 words = [((fp >> np.uint64(a)) & np.uint64((1 << n) - 1)).astype(np.int64) for a, n in SEGMENTS]
                 for key, times in keys(words, [golay.keys(w) for w in words]):
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(fp, times).view(np.int64))], ["key", "fp"])
