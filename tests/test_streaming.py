@@ -1,6 +1,10 @@
 """Streaming twins: the same rows as one batch and as many micro-batches."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -191,3 +195,40 @@ def test_stream_cache_forgets_idle_urls(spark, tmp):
         reasons = {r.request_id: r.reason for r in got.collect()}
         assert reasons[3] == reasons[4] == "Cache expired"  # v was seen again before being forgotten
         assert reasons[5] == of_u
+
+
+_PLAIN_SESSION = """
+import datetime as dt, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from webledger.streaming import jobs as J
+
+to = sys.argv[2]
+spark = SparkSession.builder.master("local[2]").config(map={
+    "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": f"{to}/kept", "spark.local.dir": f"{to}/local", "spark.driver.host": "127.0.0.1"}).getOrCreate()
+at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+far = dt.datetime(2100, 1, 1)
+rows = [(1, 1, "interact", at(0)), (2, 1, "interact", at(5)), (3, 1, "interact", at(200)), (4, 2, "scrape", at(0))]
+asked = spark.createDataFrame(rows, "request_id long, account_id long, tool string, ts timestamp_ntz")
+end = {"request_id": -1, "account_id": -1, "tool": "interact", "ts": far}
+got = J.run_over(asked, f"{to}/t2", lambda s: J.stream_sessions(s, 3600, 1800, "1 day"), end=end).collect()
+assert sorted((r.account_id, r.n_events) for r in got) == [(1, 1), (1, 2)], got
+log = spark.createDataFrame([(i, "u", "markdown", at(i), "scrape", 1) for i in (1, 2)],
+                            "request_id long, url string, format string, ts timestamp_ntz, tool string, credits long")
+end = {"request_id": -1, "url": "", "format": "markdown", "ts": far, "tool": "scrape", "credits": 0}
+got = J.run_over(log, f"{to}/t3", lambda s: J.stream_cache(s, watermark="1 day"), end=end).collect()
+assert sorted((r.request_id, r.hit) for r in got) == [(1, False), (2, True)], got
+caps = spark.createDataFrame([("u", str(c), c, at(c)) for c in (1, 2)], "url string, html string, capture long, ts timestamp_ntz")
+end = {"url": "", "html": "", "capture": 3, "ts": far}
+got = J.run_over(caps, f"{to}/t4", lambda s: J.stream_changes(s, "1 day"), end=end).collect()
+assert sorted((r.capture, r.status) for r in got) == [(1, "new"), (2, "changed")], got
+"""
+
+
+def test_stateful_streams_run_in_a_session_with_spark_defaults(tmp_path):
+    """Spark's default state store, and Python workers that can't import this package by name."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    repo = str(Path(__file__).resolve().parents[1])
+    ran = subprocess.run([sys.executable, "-c", _PLAIN_SESSION, repo, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-3000:]

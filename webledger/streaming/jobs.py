@@ -8,9 +8,11 @@ rejects, so streams cast event time to ``timestamp`` (session zone UTC).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from webledger.functions.exprs import epoch_micros
 from webledger.operators.cache import ALREADY, EXPIRED, NOT_CACHED, OTHER_FORMAT
+from webledger.session import keep_state_in_rocksdb
 
 HOUR_US = 3_600_000_000
 
+# A stateful processor is first run by a Python worker of the driver, which
+# does not see files added to the session.  So what this module defines is
+# sent whole, not by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_request_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1
                         ) -> DataFrame:
@@ -174,6 +182,7 @@ class InOrder(StatefulProcessor):
 def in_order(df: DataFrame, key: str, events: list[str], waits: str, state: str, step: Callable, deadline: Callable, close: Callable, out: str,
              watermark: str) -> DataFrame:
     """``df`` (key, ts, events: time in microseconds first, then what orders equal times) through ``InOrder``."""
+    keep_state_in_rocksdb(df.sparkSession)
     names = [field.split()[0] for field in out.split(", ")]
     return df.withWatermark("ts", watermark).groupBy(key).transformWithStateInPandas(
         InOrder(events, waits, state, step, deadline, close, names), out, "append", "EventTime"
