@@ -606,6 +606,37 @@ def test_bounds_prune_and_wide_numbers_stay_exact():
             assert sorted(mine) == best
 
 
+def test_top_k_of_repeated_ids_is_by_row(spark):
+    rng = np.random.default_rng(11)
+    data = [(i % 70, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(100)]  # 0 and 20 stand twice
+    data += [data[40], (60, data[3][1])]  # a query's row once more, and a copy of another row
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    fine = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in data]
+    want = []
+    for n, (q, a) in enumerate(fine):
+        if q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for m, (i, b) in enumerate(fine) if m != n)[:20]
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    assert Counter(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0).collect()) == Counter(want)
+
+
+def test_top_k_of_vectors_without_components(spark):
+    df = spark.createDataFrame([(0, []), (20, []), (1, [])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0).collect())
+    assert got == [(0, 1, 1, 0), (0, 2, 20, 0), (20, 1, 0, 0), (20, 2, 1, 0)]
+
+
+def test_bounds_that_overflow_are_not_used():
+    rng = np.random.default_rng(12)
+    x = rng.choice([-1, 1], (400, 24)) * 2**32 + rng.integers(-50, 50, (400, 24))
+    x = x[np.abs(np.sign(x).sum(axis=1)) < 14].repeat(2, axis=0)[:400]  # scores fit a long, sums of the largest parts don't
+    dense = np.full((1, 24), 2**27, np.int64)
+    ids = np.arange(len(x))
+    _, v, s = topk.block_top(np.array([1000]), dense, ids, x, 5)
+    exact = x.astype(object) @ dense[0].astype(object)
+    assert sorted(zip((-s).tolist(), v.tolist(), strict=True)) == sorted((-int(e), int(i)) for e, i in zip(exact, ids, strict=True))[:5]
+
+
 # HTML --------------------------------------------------------------------
 
 
