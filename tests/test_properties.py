@@ -98,3 +98,18 @@ def test_target_validity_and_too_many_recipients(spark):
                                    "monitor_id long, enabled boolean, recipients array<string>")
     out = M.fan_out_alerts(changes, units, notify).collect()
     assert len(out) == 30 and {(r.monitor_id, r.valid) for r in out} == {(2, False)}
+
+
+def test_recipients_are_not_sent_to_all_tasks(spark):
+    changes = spark.createDataFrame([("u1", "changed")], "url string, status string")
+    units = spark.createDataFrame([(2, "u1"), (4, "u1")], "monitor_id long, unit string")
+    notify = spark.createDataFrame([(2, True, ["a", "b"], True), (4, True, [], False)],
+                                   "monitor_id long, enabled boolean, recipients array<string>, include_diffs boolean")
+    diffs = spark.createDataFrame([("u1", "added", "x"), ("u1", "removed", "y")], "url string, kind string, line string")
+    out = M.fan_out_alerts(changes, units, notify, diffs)
+    assert out.columns == ["url", "monitor_id", "status", "valid", "recipient", "diff"]
+    assert {(r.monitor_id, *r[3:]) for r in out.collect()} == {(2, True, "a", "+x\n-y"), (2, True, "b", "+x\n-y"), (4, False, None, None)}
+    sent = out._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in sent.splitlines() if "Join [monitor_id" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+    assert "explode(recipients" in sent.split("Join [monitor_id")[0]  # unfolded above the join
