@@ -5,9 +5,11 @@ from collections import deque
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from webledger.operators import discover as D
 from webledger.operators import monitor as M
+from webledger.operators import search as S
 from webledger.operators.replay import replay_cache
 from webledger.sources.fixtures import Views
 
@@ -113,3 +115,14 @@ def test_recipients_are_not_sent_to_all_tasks(spark):
     joins = [line for line in sent.splitlines() if "Join [monitor_id" in line]
     assert len(joins) == 1 and "SortMergeJoin" in joins[0]
     assert "explode(recipients" in sent.split("Join [monitor_id")[0]  # unfolded above the join
+
+
+def test_versions_of_a_corpus_are_searched_as_if_alone(spark):
+    rows = [(1, "red fox and red hen", True), (2, "blue fox", True), (2, "two foxes", False), (3, "red", False), (4, None, True), (5, "", True), (None, "hen fox", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, before boolean")
+    queries = spark.createDataFrame([(1, "red fox"), (2, "hen"), (3, "none of two")], "query_id long, query string")
+    found = S.search_versions(docs, {"before": F.col("before"), "now": F.lit(True), "never": F.lit(False)}, queries, limit=2)
+    got = {tuple(r) for r in found.select("version", "query_id", "doc_id", "score", "rank").collect()}
+    for version, part in (("before", docs.where("before")), ("now", docs), ("never", docs.where("false"))):
+        alone = S.search(part, queries, limit=2).select("query_id", "doc_id", "score", "rank").collect()
+        assert {r[1:] for r in got if r[0] == version} == {tuple(r) for r in alone}

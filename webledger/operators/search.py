@@ -93,6 +93,39 @@ def search(docs: DataFrame, queries: DataFrame, limit: int = 10, doc_id: str = "
     return search_index(build_index(docs, vocabulary, doc_id, text), queries, limit, query_id, query, k1, b)
 
 
+def search_versions(docs: DataFrame, versions: dict[str, Column], queries: DataFrame, limit: int = 10, doc_id: str = "doc_id", text: str = "text",
+                    query_id: str = "query_id", query: str = "query", k1: float = K1, b: float = B) -> DataFrame:
+    """(version, query_id, doc_id, score, rank): what ``search`` finds in each
+    version of a corpus, a condition on its rows.  The texts are split once and
+    the postings read once for all versions; each has its own frequencies,
+    number of documents, mean length and ranks."""
+    spark = docs.sparkSession
+    qt = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(query)))).alias("term")).distinct()
+    vocabulary = qt.select("term").distinct().unionByName(spark.range(1).select(F.lit(SENTINEL).alias("term")))
+    each = list(enumerate(versions))
+    d = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("toks"), *(versions[v].alias(f"in{i}") for i, v in each))
+    hits = d.select("doc_id", *(f"in{i}" for i, _ in each), F.size("toks").alias("dl"), F.explode(F.concat("toks", F.array(F.lit(SENTINEL)))).alias("term"))
+    tf = hits.join(vocabulary, "term", "left_semi").groupBy("doc_id", "term").agg(
+        *(F.count_if(f"in{i}").alias(f"tf{i}") for i, _ in each), *(F.first(F.when(F.col(f"in{i}"), F.col("dl")), True).alias(f"dl{i}") for i, _ in each))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    postings = bucketed_table(tf.repartition(buckets, "doc_id"), "doc_id", buckets, "postings")
+    frequencies = stored(postings.groupBy("term").agg(
+        *(F.count(f"dl{i}").alias(f"df{i}") for i, _ in each), *(F.sum(f"dl{i}").alias(f"sum{i}") for i, _ in each)), "frequencies")
+    corpus = frequencies.where(F.col("term") == SENTINEL).first()
+    n_docs = [corpus[f"df{i}"] if corpus else 0 for i, _ in each]
+    avgdl = [corpus[f"sum{i}"] / n if n else 1.0 for (i, _), n in zip(each, n_docs, strict=True)]
+    idf = [F.log(1 + (F.lit(float(n_docs[i])) - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5)).alias(f"idf{i}") for i, _ in each]
+    own = stored(qt.join(frequencies.where(F.col("term") != SENTINEL), "term").select("query_id", "term", *idf), "query-terms")
+    weight = lambda i: F.col(f"idf{i}") * F.col(f"tf{i}") * (k1 + 1) / (
+        F.col(f"tf{i}") + k1 * (1 - b + b * F.col(f"dl{i}") / F.lit(avgdl[i])))
+    sums = postings.join(own, "term").groupBy("query_id", "doc_id").agg(*(F.round(F.sum(weight(i)), 6).alias(f"score{i}") for i, _ in each))
+    found = F.explode(F.array(*(F.struct(F.lit(v).alias("version"), F.col(f"score{i}").alias("score")) for i, v in each))).alias("f")
+    scored = sums.select("query_id", "doc_id", found).select("f.version", "query_id", "doc_id", "f.score").where(F.col("score").isNotNull())
+    w = Window.partitionBy("version", "query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
+    ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 def search_then_scrape(results: DataFrame, pages: DataFrame, formats: list[str] | None = None, **options) -> DataFrame:
     """``scrapeOptions`` on search - the requested formats of each
     result's page, and its title.  The join runs first, so only result pages
