@@ -209,12 +209,13 @@ spark = SparkSession.builder.master("local[2]").config(map={
     "spark.checkpoint.dir": f"{to}/kept", "spark.local.dir": f"{to}/local", "spark.driver.host": "127.0.0.1"}).getOrCreate()
 at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
 far = dt.datetime(2100, 1, 1)
-rows = [(1, 1, "interact", at(0)), (2, 1, "interact", at(5)), (3, 1, "interact", at(200)), (4, 2, "scrape", at(0))]
+rows = [(1, 1, "interact", at(0)), (2, 1, "interact", at(5)), (3, 1, "interact", at(200)), (4, 2, "scrape", at(0)),
+        (5, None, "interact", at(0)), (6, 1, "interact", None)]
 asked = spark.createDataFrame(rows, "request_id long, account_id long, tool string, ts timestamp_ntz")
 end = {"request_id": -1, "account_id": -1, "tool": "interact", "ts": far}
 got = J.run_over(asked, f"{to}/t2", lambda s: J.stream_sessions(s, 3600, 1800, "1 day"), end=end).collect()
-assert sorted((r.account_id, r.n_events) for r in got) == [(1, 1), (1, 2)], got
-log = spark.createDataFrame([(i, "u", "markdown", at(i), "scrape", 1) for i in (1, 2)],
+assert {(r.account_id, r.n_events) for r in got} == {(1, 1), (1, 2), (None, 1)} and len(got) == 3, got
+log = spark.createDataFrame([(i, "u", "markdown", at(i), "scrape", None if i == 2 else 1) for i in (1, 2)],
                             "request_id long, url string, format string, ts timestamp_ntz, tool string, credits long")
 end = {"request_id": -1, "url": "", "format": "markdown", "ts": far, "tool": "scrape", "credits": 0}
 got = J.run_over(log, f"{to}/t3", lambda s: J.stream_cache(s, watermark="1 day"), end=end).collect()

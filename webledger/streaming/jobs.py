@@ -9,7 +9,7 @@ rejects, so streams cast event time to ``timestamp`` (session zone UTC).
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -113,6 +113,11 @@ def billed(sessions: DataFrame, activity_ttl: int, ttl: int) -> DataFrame:
 # Events in time order ------------------------------------------------------------
 
 
+def plain(values: Iterable) -> list:
+    """Values without pandas' forms of null: whole numbers among nulls come as floats, and a null as NaN."""
+    return [None if pd.isna(x) else int(x) if isinstance(x, float) else x for x in values]
+
+
 class InOrder(StatefulProcessor):
     """Events of a key, folded in event-time order whatever batch they come in.
 
@@ -137,7 +142,7 @@ class InOrder(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for frame in rows:
-            events = list(frame[self.columns].astype(object).where(frame[self.columns].notna(), None).itertuples(index=False, name=None))
+            events = list(zip(*(plain(frame[c].tolist()) for c in self.columns), strict=True))
             if events:
                 self.waiting.appendList(events)
                 low = min(e[0] for e in events)
@@ -173,7 +178,7 @@ class InOrder(StatefulProcessor):
         ends = [t for t in (later[0][0] if later else None, self.deadline(state) if state is not None else None) if t is not None]
         if ends:
             self.handle.registerTimer(min(ends) // 1000 + 1)
-        yield pd.DataFrame([(*key, *r) for r in rows], columns=self.out)
+        yield pd.DataFrame([(*plain(key), *r) for r in rows], columns=self.out)
 
     def close(self) -> None:
         pass
@@ -181,10 +186,11 @@ class InOrder(StatefulProcessor):
 
 def in_order(df: DataFrame, key: str, events: list[str], waits: str, state: str, step: Callable, deadline: Callable, close: Callable, out: str,
              watermark: str) -> DataFrame:
-    """``df`` (key, ts, events: time in microseconds first, then what orders equal times) through ``InOrder``."""
+    """``df`` (key, ts, events: time in microseconds first, then what orders equal times) through ``InOrder``;
+    a row without a time has no place in the order and is left out."""
     keep_state_in_rocksdb(df.sparkSession)
     names = [field.split()[0] for field in out.split(", ")]
-    return df.withWatermark("ts", watermark).groupBy(key).transformWithStateInPandas(
+    return df.where(F.col("ts").isNotNull()).withWatermark("ts", watermark).groupBy(key).transformWithStateInPandas(
         InOrder(events, waits, state, step, deadline, close, names), out, "append", "EventTime"
     )
 
