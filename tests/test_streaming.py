@@ -233,3 +233,34 @@ def test_stateful_streams_run_in_a_session_with_spark_defaults(tmp_path):
     repo = str(Path(__file__).resolve().parents[1])
     ran = subprocess.run([sys.executable, "-c", _PLAIN_SESSION, repo, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert ran.returncode == 0, ran.stderr[-3000:]
+
+
+def test_processor_sends_frames_and_writes_state_only_when_there_is_something_new():
+    """Each frame is a batch to send, and each call on a state a message, for every key."""
+    import pandas as pd
+
+    class Kept:
+        def __init__(self, value):
+            self.value, self.calls = value, []
+
+        def get(self):
+            self.calls.append("get")
+            return iter(self.value) if isinstance(self.value, list) else self.value
+
+        def __getattr__(self, name):
+            return lambda *args: self.calls.append(name)
+
+    class Now:
+        getCurrentWatermarkInMs = staticmethod(lambda: 5)
+
+    p = J.InOrder(["us", "request_id"], "", "", lambda s, e: ((e[0], e[1]), [(e[1],)]), lambda s: 10**9, lambda s: [], ["url", "request_id"])
+    p.waiting, p.state, p.handle = Kept([]), Kept((1, 7)), Kept(None)
+    assert list(p.handleInputRows(("u",), iter([pd.DataFrame({"us": [9_000], "request_id": [3]})]), Now)) == []
+    assert p.waiting.calls == ["appendList"] and p.handle.calls == ["registerTimer"]
+    p.waiting = Kept([(9_000, 3)])
+    assert list(p.handleExpiredTimer(("u",), Now, None)) == []
+    assert p.state.calls == ["get"] and p.waiting.calls == ["get"]
+    p.waiting = Kept([(4_000, 2), (9_000, 3)])
+    (frame,) = p.handleExpiredTimer(("u",), Now, None)
+    assert frame.values.tolist() == [["u", 2]]
+    assert p.waiting.calls == ["get", "put"] and p.state.calls == ["get", "get", "update"]

@@ -149,13 +149,14 @@ class InOrder(StatefulProcessor):
                 first = low if first is None else min(first, low)
         if first is not None:
             self.handle.registerTimer(first // 1000 + 1)
-        yield pd.DataFrame(columns=self.out)
+        return iter(())  # a frame, even an empty one, is a batch of its own to send
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         events = sorted(self.waiting.get(), key=lambda e: e[:2])
         due, later = [e for e in events if e[0] <= now], [e for e in events if e[0] > now]
-        state = tuple(self.state.get()) if self.state.exists() else None
+        kept = self.state.get()
+        state = before = None if kept is None else tuple(kept)
         rows = []
         for e in due:
             if state is not None and self.deadline(state) <= e[0]:
@@ -172,13 +173,15 @@ class InOrder(StatefulProcessor):
             else:
                 self.waiting.clear()
         if state is None:
-            self.state.clear()
-        else:
+            if before is not None:
+                self.state.clear()
+        elif state != before:
             self.state.update(state)
         ends = [t for t in (later[0][0] if later else None, self.deadline(state) if state is not None else None) if t is not None]
         if ends:
             self.handle.registerTimer(min(ends) // 1000 + 1)
-        yield pd.DataFrame([(*plain(key), *r) for r in rows], columns=self.out)
+        if rows:
+            yield pd.DataFrame([(*plain(key), *r) for r in rows], columns=self.out)
 
     def close(self) -> None:
         pass
