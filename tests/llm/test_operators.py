@@ -249,6 +249,29 @@ def test_components_of_long_chains_and_stars(spark):
 # Packing -----------------------------------------------------------------
 
 
+def test_pieces_sent_to_the_model_have_the_ids_of_whole_texts():
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    vocabulary = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    t = Tokenizer.from_str(vocabulary)
+    t.encode_special_tokens = True
+    rng = random.Random(7)
+    letters = ["".join(map(chr, range(low, low + 64))) for low in (0, 64, 0x80, 0xC0, 0x200, 0x240, 0x400, 0x4E00, 0x1F600)]
+    texts = ["".join(rng.choices(rng.choice(letters) + "  \n'ste", k=200)) for _ in range(300)] + ["", "<|endoftext|> it's we'll", " " * 70 + "a" * 100 + "\x7f" * 90]
+    got = pretoken.ids_of_texts(texts, packing.known_ids(vocabulary))
+    assert [x.tolist() for x in got] == [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    # Every byte's character is in the vocabulary, and a tokenizer that does more than merging is asked in full.
+    known = json.loads(vocabulary)
+    alphabet = packing.byte_alphabet()
+    assert all(chr(alphabet.get(b, b)) in known["model"]["vocab"] for b in range(256))
+    assert packing.only_merges(vocabulary)
+    assert not packing.only_merges(json.dumps(known | {"pre_tokenizer": known["pre_tokenizer"] | {"add_prefix_space": True}}))
+    assert not packing.only_merges(json.dumps(known | {"normalizer": {"type": "Lowercase"}}))
+
+
 @pytest.mark.parametrize("max_len", [16, 2048])
 def test_packing_places_each_id_once(docs, max_len):
     from tokenizers import Tokenizer

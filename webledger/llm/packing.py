@@ -15,6 +15,7 @@ own; an empty table gives no rows; further input columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate
@@ -31,6 +32,24 @@ from webledger.llm.pretoken import PieceIds, ids_of_texts
 RANKED_TOGETHER = 50_000
 #: Pieces that the tokenizer gets at once.
 TOGETHER = 2048
+#: The last of the Latin letters whose classes no version of Unicode disputes.
+LATIN = "\u024f"
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The characters of byte-level vocabularies: visible Latin-1 ones stand for themselves, other bytes follow U+0100."""
+    hidden = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+    return {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+def only_merges(vocabulary: str) -> bool:
+    """Whether this tokenizer does nothing to a piece but merge its bytes."""
+    t = json.loads(vocabulary)
+    step = t.get("pre_tokenizer") or {}
+    return (
+        t["model"].get("type") == "BPE" and not t.get("normalizer") and step.get("type") == "ByteLevel" and not step.get("add_prefix_space")
+        and not t.get("truncation") and not t.get("padding") and all(a.get("special") for a in t.get("added_tokens") or [])
+    )
 
 
 @functools.lru_cache(maxsize=2)
@@ -44,7 +63,7 @@ def known_ids(vocabulary: str) -> PieceIds:
     t = Tokenizer.from_str(vocabulary)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode(pieces: list[str]) -> list[list[int]]:
+    def encode_all(pieces: list[str]) -> list[list[int]]:
         # The library's results hold far more than ids, so few are held at a time.
         return [
             e.ids
@@ -52,6 +71,20 @@ def known_ids(vocabulary: str) -> PieceIds:
             for e in t.encode_batch_fast(pieces[i : i + TOGETHER], add_special_tokens=False)
         ]
 
+    if not only_merges(vocabulary):
+        return PieceIds(encode_all)
+    merge, alphabet = t.model.tokenize, byte_alphabet()
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        """As ``encode_all``, but Latin pieces go to the tokenizer's model at once: no step before it does more to
+        them than change the characters.  Of other scripts the library may know other letters than Python, and cut again."""
+        plain = [p.isascii() or max(p) <= LATIN for p in pieces]
+        rest = iter(encode_all([p for p, x in zip(pieces, plain, strict=True) if not x]))
+        return [
+            [k.id for k in merge(p.encode().decode("latin-1").translate(alphabet))] if x else next(rest)
+            for p, x in zip(pieces, plain, strict=True)
+        ]
+
     return PieceIds(encode)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -156,7 +157,7 @@ class PieceIds:
     def add(self, keys: list[int], checks: np.ndarray, pieces: list[str]) -> None:
         lists = self.encode(pieces)
         size = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for x in lists for i in x), np.uint32, int(size.sum()))
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
         n, m = len(self.place), len(pieces)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -187,8 +188,7 @@ class PieceIds:
         keys, first, where = np.unique(one[~special], return_index=True, return_inverse=True)
         usual = np.flatnonzero(~special)
         first = usual[first]
-        get = self.place.get
-        known = np.array([get(k, -1) for k in keys.tolist()], np.int64)
+        known = np.fromiter(map(self.place.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(known < 0)
         if len(new):
             if len(self.place) and len(self.place) + len(new) > self.keep:
