@@ -126,3 +126,56 @@ def test_versions_of_a_corpus_are_searched_as_if_alone(spark):
     for version, part in (("before", docs.where("before")), ("now", docs), ("never", docs.where("false"))):
         alone = S.search(part, queries, limit=2).select("query_id", "doc_id", "score", "rank").collect()
         assert {r[1:] for r in got if r[0] == version} == {tuple(r) for r in alone}
+
+
+def test_relevant_changes_in_cells_equal_brute_force(spark, monkeypatch):
+    import math
+    import random
+    import re
+    from collections import defaultdict
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    text = lambda n: " ".join(rng.choices(words, k=n)) + "; common"
+    changes = [(f"u{i % 90}", rng.choice(["added", "added", "removed"]), text(rng.randint(0, 4))) for i in range(200)] + [(None, "added", "w1 w2")]
+    goals = [(rng.randint(0, 150), text(rng.randint(0, 9)).upper()) for _ in range(300)] + [(7, None), (None, "w1 w3"), (None, "w4 w4")]
+    terms = lambda t: {x for x in re.split(r"[^a-z0-9]+", (t or "").lower()) if x}
+    held, asked, df = defaultdict(set), defaultdict(set), defaultdict(int)
+    for u, kind, line in changes:
+        held[u] |= terms(line) if kind == "added" else set()
+    for g, goal in goals:
+        asked[g] |= terms(goal)
+    held = {u: t for u, t in held.items() if t}
+    for t in held.values():
+        for x in t:
+            df[x] += 1
+    n = len(held.keys() - {None})
+    want = set()
+    for u, t in held.items():
+        scores = []
+        for g, a in asked.items():
+            both = [x for x in t & a if df[x] <= max(2.0, n * 0.05)]
+            if both:
+                scores.append((-round(sum(math.log(n / df[x]) for x in both), 6), -1 if g is None else g, g))
+        want |= {(u, g, -s, p) for p, (s, _, g) in enumerate(sorted(scores)[:3], 1)}
+    assert len(want) > 100
+    d = spark.createDataFrame(changes, "url string, kind string, line string")
+    g = spark.createDataFrame(goals, "goal_id long, goal string")
+    for sizes in ((100_000, 50_000, 1 << 21), (20, 40, 7)):
+        for name, value in zip(("CHANGES", "GOALS", "PAIRS"), sizes, strict=True):
+            monkeypatch.setattr(M, name, value)
+        got = {(r.url, r.goal_id, r.score, r.place) for r in M.relevant_changes(d, g, common_share=0.05).collect()}
+        assert got == want
+    alone = spark.createDataFrame([("u", "added", "w1")], d.schema)
+    assert [tuple(r) for r in M.relevant_changes(alone, g.where("goal = 'w1 w3'")).collect()] == [("u", None, 0.0, 1)]
+    assert M.relevant_changes(d.limit(0), g).count() == 0 and M.relevant_changes(d, g.limit(0)).count() == 0
+
+
+def test_relevant_changes_never_shuffle_pairs(spark):
+    """The pairs of changes and goals, here 40,000, stay inside the cells of the grid."""
+    d = spark.range(400).selectExpr("concat('u', id) as url", "'added' as kind", "concat('t', id % 200) as line")
+    g = spark.range(20_000).selectExpr("id as goal_id", "concat('t', id % 200) as goal")
+    out = M.relevant_changes(d, g)
+    assert out.count() == 1200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "goal_id" not in "".join(x for x in plan.splitlines() if "HashAggregate" in x)
