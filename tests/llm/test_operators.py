@@ -770,6 +770,62 @@ def test_windows_do_not_depend_on_how_pages_meet(spark, monkeypatch):
         assert {(r["host"], bytes(r["window"])): r["n"] for r in got} == want
 
 
+def test_open_blocks_beside_an_article_are_settled_by_repetition(spark):
+    menu = "Home News Sport Weather Travel Culture Science Contact Imprint"
+    lead = [f"{i} leads stand above article {i} and on no page but {i}" for i in range(4)]
+    own = [f"story {i} tells of number {i * 7} and its neighbours in the wood" for i in range(4)]
+    pages = [(i, f"https://a.example/{i}", PAGE % f"<div>{menu}</div><p>{lead[i]}</p><article><p>{own[i]}</p><p>{menu}</p></article><p>{menu}</p>") for i in range(4)]
+    pages += [(9, "https://b.example/9", pages[0][2]), (0, "https://a.example/0", pages[0][2])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    want = Counter((i, f"{lead[i]}\n\n{own[i]}\n\n{menu}") for i in [0, 0, 1, 2, 3])  # the article stays whole, repeated or not
+    want[9, f"{menu}\n\n{lead[0]}\n\n{own[0]}\n\n{menu}\n\n{menu}"] += 1
+    assert Counter((r["page_id"], r["text"]) for r in html.main_text(df).collect()) == want
+
+
+def test_arrays_hold_all_text_of_all_pages(spark, monkeypatch):
+    """Also where structure settles every block, as on the given tables."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    seen, real = [], html.windows_of
+
+    def windows_of(streams, *rest):
+        seen.append({r["page_id"]: html.unpacked(html.zstandard.ZstdDecompressor().decompress(r["packed"])) for r in streams.collect()})
+        return real(streams, *rest)
+
+    monkeypatch.setattr(html, "windows_of", windows_of)
+    assert html.main_text(pages).count() == pages.count()
+    want = {r["page_id"]: html.blocks_of(r["html"]) for r in pages.collect()}
+    assert [{i: list(zip(z, t, strict=True)) for i, (t, z) in s.items()} for s in seen] == [want]
+    assert all(any(z == html.MAIN for z, _ in b) for b in want.values())
+
+
+def test_what_is_repeated_does_not_depend_on_groups(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(3000)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    runs = [text(12) for _ in range(6)]
+    pages = []
+    for i in range(90):  # on host a, run k stands on a share of about k in 8 pages, thinly in some groups; on b all on 3 of 5 pages
+        some = [f"<p>{r}</p>" for k, r in enumerate(runs) if rng.random() < k / 8]
+        pages.append((i, f"https://a.example/{i}", f"<body><p>{text(15)}</p>{''.join(some)}<p>{text(15)}</p></body>"))
+    pages += [(100 + i, f"https://b.example/{i}", f"<body><p>{text(40)}</p>{''.join(f'<p>{r}</p>' for r in runs if i < 3)}</body>") for i in range(5)]
+    count, blocks = Counter(), {i: [t for _, t in html.blocks_of(p)] for i, _, p in pages}
+    of = {i: (u.split("/")[2], 90 if "a.example" in u else 5) for i, u, _ in pages}
+    for i, b in blocks.items():
+        w = " ".join(b).split()
+        count.update({(of[i][0], *w[k : k + html.WINDOW]) for k in range(len(w) - html.WINDOW + 1)})
+    want = {}
+    for i, b in blocks.items():
+        w = " ".join(b).split()
+        gone = [k for k in range(len(w) - html.WINDOW + 1) if count[of[i][0], *w[k : k + html.WINDOW]] >= max(html.LEAST, of[i][1] / 3)]
+        want[i] = html.unique_runs(b, [html.OPEN] * len(b), gone, html.WINDOW)
+    assert 2 <= sum(any(r in t for i, t in want.items() if i < 90) for r in runs) <= 4
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    monkeypatch.setattr(html, "GROUP_PAGES", 4)
+    for tokens in (60, 10**6):
+        monkeypatch.setattr(html, "ARRAY_TOKENS", tokens)
+        assert {r["page_id"]: r["text"] for r in html.main_text(df).collect()} == want
+
+
 # Empty tables ------------------------------------------------------------
 
 
